@@ -1,3 +1,11 @@
 """Content-desk analytics on PySpark: every operator is a DataFrame -> DataFrame function."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few Python functions that run inside tasks travel by value, so executors need no installed
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -214,14 +214,49 @@ SELECT CAST(s_suppkey + 1 AS BIGINT) AS source_id, s_name AS title,
 FROM supplier WHERE s_suppkey % 16 <> 15""",
     "b_entry": """
 SELECT doc_id AS entry_id, CAST(substr(source, 4) AS BIGINT) AS source_id,
-       split_part(text, chr(10), 1) AS title,
+       split_part(text, chr(10), 1) AS raw_title,
        CASE WHEN doc_id % 3 = 0 THEN NULL
             ELSE concat('https://Example.com/a/', CAST(doc_id % 700 AS VARCHAR(20)),
                         '/?utm_source=x&id=', CAST(doc_id % 700 AS VARCHAR(20)), '#top') END AS link,
        CASE WHEN doc_id % 2 = 0 THEN concat('g-', CAST(doc_id % 900 AS VARCHAR(20))) END AS guid,
        text AS summary,
+       CASE doc_id % 6 WHEN 0 THEN NULL
+            WHEN 1 THEN concat('Mon, ', CAST(doc_id % 28 + 1 AS VARCHAR(20)),
+                               ' Jan 2024 10:20:30 GMT')
+            WHEN 2 THEN concat('2024-02-', CASE WHEN doc_id % 28 < 9 THEN '0' ELSE '' END,
+                               CAST(doc_id % 28 + 1 AS VARCHAR(20)), 'T20:00:00+08:00')
+            WHEN 3 THEN concat('2024-03-', CAST(doc_id % 28 + 1 AS VARCHAR(20)))
+            WHEN 4 THEN 'yesterday'
+            ELSE concat('2024-04-', CAST(doc_id % 28 + 1 AS VARCHAR(20)), ' 01:02:03') END
+            AS raw_date,
        TIMESTAMP '2024-01-01 00:00:00' + (doc_id % 2592000) * INTERVAL '1' SECOND AS fetched_at
 FROM documents""",
+    "b_escaped": """
+SELECT doc_id AS payload_id, CAST(substr(source, 4) AS BIGINT) AS source_id,
+       replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS body,
+       replace(replace(replace(split_part(text, chr(10), 1), '&', '&amp;'), '<', '&lt;'),
+               '>', '&gt;') AS head
+FROM documents""",
+    "b_payload": """
+SELECT payload_id, source_id,
+       CASE WHEN payload_id % 2 = 0 THEN concat(
+            '<?xml version="1.0"?><rss version="2.0"><channel><title>c</title><item><title>', head,
+            '</title><link>https://Example.com/p/', CAST(payload_id AS VARCHAR(20)),
+            '/</link><guid isPermaLink="false">g', CAST(payload_id AS VARCHAR(20)),
+            '</guid><pubDate>Fri, 05 Jan 2024 10:00:00 GMT</pubDate><description>', body,
+            '</description></item>',
+            CASE WHEN payload_id % 10 = 0 THEN
+                '<item><title>Episode</title><enclosure url="https://media.example/e.mp3"/></item>'
+                ELSE '' END,
+            CASE WHEN payload_id % 17 = 4 THEN '' ELSE '</channel></rss>' END)
+       ELSE concat(
+            '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>', head, '</title><id>u:',
+            CAST(payload_id AS VARCHAR(20)), '</id><link rel="alternate" href="https://a.example/',
+            CAST(payload_id AS VARCHAR(20)),
+            '"/><updated>2024-01-05T18:00:00+08:00</updated><content type="html">', body,
+            '</content></entry>', CASE WHEN payload_id % 17 = 4 THEN '' ELSE '</feed>' END) END
+       AS payload
+FROM b_escaped""",
 }
 
 _NAME = re.compile(r"\b(FROM|JOIN)\s+(\w+)")

@@ -138,7 +138,7 @@ def health_history(attempts: DataFrame, prior: DataFrame | None = None,
         ends = ends.join(prior.select(
             "source_id", F.col("consecutive_failures").alias("_prior")), "source_id", "left")
         ends = ends.withColumn("_carry", F.col("_carry") + F.when(
-            "_fresh", F.coalesce("_prior", F.lit(0))).otherwise(0))
+            F.col("_fresh"), F.coalesce("_prior", F.lit(0))).otherwise(0))
     out = rows.join(ends.select("source_id", "_b", "_carry"), ["source_id", "_b"])
     fails = (F.col("_run") + F.when(F.col("_wins") == 0, F.col("_carry")).otherwise(0)).cast("long")
     return (out.withColumn("consecutive_failures", fails)
