@@ -16,22 +16,26 @@ from pressline.session import cut_lineage
 
 def running_sum(df: DataFrame, keys: list[str], position: str, value: str, out: str,
                 width: int = 1 << 16, tie: list[str | Column] | None = None,
-                strict: bool = False) -> DataFrame:
+                strict: bool = False, levels: int = 2) -> DataFrame:
     """Running sum of ``value`` per key in the order of the long ``position`` (then ``tie``).
 
     ``strict`` leaves the row itself out. Work per task is bounded by the rows that share one
-    stretch of ``width`` positions, not by the size of the key.
+    stretch of ``width`` positions, not by the size of the key; the stretch totals are summed the
+    same way once more, so sparse positions do not pile up either.
     """
-    b = "_bucket"
+    if levels == 0:
+        whole = W.partitionBy(*keys).orderBy(position, *(tie or [])).rowsBetween(
+            W.unboundedPreceding, -1 if strict else 0)
+        return df.withColumn(out, F.coalesce(F.sum(value).over(whole), F.lit(0)))
+    b = "_bucket" + str(levels)
     rows = df.withColumn(b, F.floor(F.col(position) / F.lit(width)))
     inner = W.partitionBy(*keys, b).orderBy(position, *(tie or []))
     span = inner.rowsBetween(W.unboundedPreceding, -1 if strict else 0)
     rows = rows.withColumn("_within", F.coalesce(F.sum(value).over(span), F.lit(0)))
-    outer = W.partitionBy(*keys).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (df.withColumn(b, F.floor(F.col(position) / F.lit(width)))
-               .groupBy(*keys, b).agg(F.sum(value).alias("_total"))
-               .withColumn("_before", F.coalesce(F.sum("_total").over(outer), F.lit(0)))
-               .drop("_total"))
+    totals = (df.withColumn(b, F.floor(F.col(position) / F.lit(width)))
+              .groupBy(*keys, b).agg(F.sum(value).alias("_total")))
+    offsets = running_sum(totals, keys, b, "_total", "_before", width, None, True,
+                          levels - 1).drop("_total")
     cond = [rows[k].eqNullSafe(offsets[k]) for k in [*keys, b]]
     joined = rows.join(offsets, reduce(lambda x, y: x & y, cond), "left")
     kept = [rows[c] for c in df.columns]
