@@ -8,11 +8,13 @@ from pressline import fixed_values as V
 
 
 def percent(c: Column, digits: int = 2, missing: str = V.NO_DATA) -> Column:
-    return F.when(c.isNull(), missing).otherwise(F.format_string(f"%.{digits}f%%", c * 100))
+    return F.when(c.isNull(), missing).otherwise(F.format_string(
+        f"%.{digits}f%%", F.bround(c * 100, digits)))
 
 
 def seconds(c: Column, digits: int = 2, missing: str = V.NO_DATA) -> Column:
-    return F.when(c.isNull(), missing).otherwise(F.format_string(f"%.{digits}fs", c))
+    return F.when(c.isNull(), missing).otherwise(F.format_string(f"%.{digits}fs",
+                                                               F.bround(c, digits)))
 
 
 def number(c: Column, digits: int = 0, missing: str = V.NOT_AVAILABLE) -> Column:

@@ -262,12 +262,14 @@ def source_config_audit(sources: DataFrame, categories: DataFrame, schedules: Da
                   "schedule_class", "left")
             .join(profiles.select("sanitization_profile", F.lit(True).alias("_profile")),
                   "sanitization_profile", "left"))
+    def found(broken: Column, level: str, message: str) -> Column:
+        return F.when(broken, F.struct(F.lit(level).alias("level"), F.lit(message).alias("message")))
+
     problems = F.array_compact(F.array(
-        F.when(F.col("_uses") > 1, F.struct(F.lit("error").alias("level"),
-                                            F.lit("duplicate source id").alias("message"))),
-        F.when(F.col("_on").isNull(), F.struct(F.lit("error"), F.lit("unknown category"))),
-        F.when(~F.col("_on").cast("boolean"), F.struct(F.lit("error"), F.lit("disabled category"))),
-        F.when(F.col("_schedule").isNull(), F.struct(F.lit("error"), F.lit("unknown schedule"))),
-        F.when(F.col("_profile").isNull(), F.struct(F.lit("error"), F.lit("unknown profile"))),
-        F.when(blank(F.col("html_url")), F.struct(F.lit("warning"), F.lit("missing html_url")))))
+        found(F.col("_uses") > 1, "error", "duplicate source id"),
+        found(F.col("_on").isNull(), "error", "unknown category"),
+        found(~F.col("_on").cast("boolean"), "error", "disabled category"),
+        found(F.col("_schedule").isNull(), "error", "unknown schedule"),
+        found(F.col("_profile").isNull(), "error", "unknown profile"),
+        found(blank(F.col("html_url")), "warning", "missing html_url")))
     return rows.select("source_id", F.explode(problems).alias("p")).select("source_id", "p.*")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pressline import fixed_values as V
 from pressline.functions import rates as R
 from pressline.operators.buckets import percentiles
+from pressline.session import cut_lineage
 
 KEY = "source_item_id"
 
@@ -441,7 +442,11 @@ def anomaly_rows(item, text, cls, decision, window: tuple) -> DataFrame:
 
 
 def anomalies(rows: DataFrame, samples: int = 10) -> DataFrame:
-    """Count and the first ids per code. The rank filter is applied map-side before the shuffle."""
+    """Count and the first ids per code. The rank filter is applied map-side before the shuffle.
+
+    Violations are stored first: they are few, while the joins that find them are not.
+    """
+    rows = cut_lineage(rows)
     counts = rows.groupBy("code").agg(F.count(F.lit(1)).alias("count"))
     first = (rows.withColumn("_r", F.row_number().over(W.partitionBy("code").orderBy(KEY)))
              .filter(F.col("_r") <= samples)

@@ -285,7 +285,7 @@ def lanes(row_digest: Column) -> list[Column]:
             for i in range(4)]
 
 
-def set_digest(row_digest: Column, count: Column | None = None) -> Column:
+def set_digest(row_digest: Column) -> Column:
     """Digest of a whole group of rows from their digests, as an aggregate.
 
     Lane sums combine map-side, so no group is ever gathered in one place, and the result does not
@@ -430,8 +430,7 @@ def home_page(index: DataFrame, limit: int = V.HOME_LIMIT) -> DataFrame:
 
 def _quoted(c: Column) -> Column:
     """A JSON string literal, or null."""
-    return F.coalesce(F.regexp_extract(F.to_json(F.struct(c.alias("x"))), "(?s)^\\{\"x\":(.*)\\}$", 1),
-                      F.lit("null"))
+    return F.regexp_extract(canonical_json(c.alias("x")), "(?s)^\\{\"x\":(.*)\\}$", 1)
 
 
 def post_documents(rows: DataFrame, labels: DataFrame) -> DataFrame:

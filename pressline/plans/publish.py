@@ -51,6 +51,8 @@ def export_plan(tables: dict[str, DataFrame], languages: DataFrame, metadata: Da
     payloads = B.payload_rows(tables["approved"], tables["decision"], tables["translation"],
                               tables["item"], tables["publish"], tables["publish_status"]).join(
         languages.select("language_code"), "language_code", "left_semi")
+    # Five datasets start from these rows, so the six-table join is stored once.
+    payloads = cut_lineage(payloads)
     catalogue = B.catalogue_rows(payloads)
     stamps = B.archive_stamps(B.archive_digests(catalogue), metadata, prior, run_ts)
     stats = B.export_stats(tables["publish"], tables["publish_status"], tables["item"], languages,

@@ -48,3 +48,144 @@ def slices(wide: DataFrame, sources: DataFrame) -> DataFrame:
                      F.coalesce("schedule_class", F.lit("unknown")).alias("schedule_class"))
             .agg(F.sum("n").alias("ingest_volume"), F.sum("a").alias("approved_items"),
                  R.ratio(F.sum("y"), F.sum("n")).alias("overall_yield")))
+
+
+# --- funnel ------------------------------------------------------------------------------------------
+
+def funnel_windows(t: dict[str, DataFrame], windows: dict[str, tuple]) -> DataFrame:
+    """Stage counts, readiness states and rates per window, from one pass over the wide items."""
+    wide = C.wide_items(C.in_windows(t["item"], windows), t["text"], t["cls"], t["decision"],
+                        t["approved"])
+    rows = C.with_flags(wide, t["approved"], t["translation"], t["publish"], t["publish_status"])
+    stages = {n: c for n, c in C.funnel_stages().items()
+              if n not in ("ingested", "low_context_observation_count", "classified")}
+    counted = rows.groupBy("window_name").agg(
+        *C.readiness_aggs(), *[R.tally(c).alias(n) for n, c in stages.items()])
+    return counted.join(C.conversion_rates(counted), "window_name")
+
+
+def funnel_document(t: dict[str, DataFrame], languages: DataFrame, end: str, days: int,
+                    generated_at: str, offset_hours: int = V.MATURATION_HOURS) -> DataFrame:
+    """The whole funnel report as one row: both windows, latencies, coverage and anomalies."""
+    windows = C.window_pair(end, days, offset_hours)
+    metrics = funnel_windows(t, windows).agg(F.map_from_entries(F.collect_list(F.struct(
+        "window_name", F.struct(*[c for c in _funnel_columns()])))).alias("metrics"))
+    series = C.latency_series(t["item"], t["cls"], t["decision"], t["approved"], t["translation"],
+                              t["publish"], t["publish_status"], t["attempt"], windows["raw"])
+    latency = C.latency_summary(series).agg(F.map_from_entries(F.collect_list(F.struct(
+        "stage", F.struct("average", "median", "p90")))).alias("raw_latency_metrics"))
+    eligible = C.eligible_approved(t["item"], t["text"], t["cls"], t["decision"], t["approved"],
+                                   windows["matured"])
+    coverage = C.coverage_by_language(
+        languages, C.live_by_language(eligible, t["publish"], t["publish_status"]), eligible).agg(
+        F.sort_array(F.collect_list(F.struct("language_code", "published_count", "coverage_rate")))
+        .alias("published_by_language"))
+    bad = C.anomalies(C.anomaly_rows(t["item"], t["text"], t["cls"], t["decision"],
+                                     windows["raw"])).agg(
+        F.sort_array(F.collect_list(F.struct("code", "count", "item_samples")))
+        .alias("data_quality_anomalies"))
+    one = metrics.crossJoin(latency).crossJoin(coverage).crossJoin(bad)
+    span = [F.struct(R.iso(w[0]).alias("start"), R.iso(w[1]).alias("end")).alias(f"{n}_window")
+            for n, w in windows.items()]
+    return one.select(F.lit("funnel").alias("report_type"), F.lit("3.0.0").alias("schema_version"),
+                      F.lit(generated_at).alias("generated_at"), F.lit(days).alias("lookback_days"),
+                      F.lit(offset_hours).alias("maturation_offset_hours"), *span,
+                      F.col("metrics")["raw"].alias("raw_metrics"),
+                      F.col("metrics")["matured"].alias("matured_metrics"),
+                      "raw_latency_metrics", "published_by_language", "data_quality_anomalies")
+
+
+def _funnel_columns() -> list[str]:
+    return ["total_ingested", "low_context_observation_count", "total_classified",
+            "pending_classification", "failed_text_processing", "missing_text_processing",
+            "classified_relevant", "curated", "approved", "translated", "published",
+            "classification_rate", "curation_rate", "curation_approval_rate", "translation_rate",
+            "publish_rate"]
+
+
+# --- the other families ----------------------------------------------------------------------------------
+
+def classify_breakdown(item, text, cls, window: tuple) -> DataFrame:
+    """Per-source classification numbers with the character volume."""
+    return (C.classify_by_source(item, cls, window)
+            .join(C.char_volume_by_source(item, text, window), "source_id", "left")
+            .withColumn("classification_character_volume_proxy",
+                        F.coalesce("char_volume", F.lit(0))).drop("char_volume"))
+
+
+def classify_metrics(item, text, cls, window: tuple) -> DataFrame:
+    volume = C.char_volume_by_source(item, text, window).agg(
+        F.coalesce(F.sum("char_volume"), F.lit(0)).alias("classification_character_volume_proxy"))
+    return C.classify_kpis(item, cls, window).crossJoin(volume)
+
+
+def translation_breakdown(item, decision, approved, translation, languages: DataFrame,
+                          window: tuple) -> DataFrame:
+    """Every target language with its rates, latency and volume, zero-filled."""
+    rates = T.success_rates(translation, window, by_language=True)
+    done = T.language_completion(item, decision, approved, translation, languages, window)
+    work = (T._cohort_outputs(item, approved, translation, window).groupBy("language_code")
+            .agg(F.avg(R.seconds_between("translated_at", "approved_at"))
+                 .alias("average_latency_seconds"),
+                 F.sum(T.five_field_length()).alias("_chars")))
+    return (languages.select("language_code").join(rates, "language_code", "left")
+            .join(done, "language_code", "left").join(work, "language_code", "left")
+            .select("language_code", F.col("success_rate").alias("translation_success_rate"),
+                    F.col("completion_rate").alias("translation_completion_rate"),
+                    "average_latency_seconds", "stale_rate",
+                    F.coalesce("_chars", F.lit(0)).alias("translation_character_volume_proxy")))
+
+
+def translation_metrics(item, decision, approved, translation, languages: list[str],
+                        window: tuple) -> DataFrame:
+    return (T.success_rates(translation, window)
+            .crossJoin(T.article_completion(item, decision, approved, translation, languages,
+                                            window))
+            .crossJoin(T.average_latency(item, approved, translation, window)))
+
+
+def curation_metrics(item, text, cls, decision, window: tuple) -> DataFrame:
+    """Approval rate, volume and curation delay in one row."""
+    delay = (C.cohort_items(item, window).select(C.KEY)
+             .join(cls.select(C.KEY, "classified_at"), C.KEY)
+             .join(decision.select(C.KEY, "curated_at"), C.KEY)
+             .select(R.seconds_between("curated_at", "classified_at").alias("seconds")))
+    return (C.approval_rate(item, decision, window)
+            .crossJoin(C.curation_chars(item, text, decision, window))
+            .crossJoin(C.latency_summary(delay.withColumn("stage", F.lit("curation")))
+                       .drop("stage")))
+
+
+def ingest_metrics(item, text, attempts, runs, window: tuple, attempt_window: tuple) -> DataFrame:
+    return (X.success_rate(attempts, attempt_window)
+            .crossJoin(X.run_success_rate(runs, attempt_window))
+            .crossJoin(C.ingest_quality(item, text, window)))
+
+
+def publishing_breakdown(languages, item, decision, approved, translation, publish, publish_status,
+                         cls, attempt, window: tuple) -> DataFrame:
+    """Coverage and publish delay per language."""
+    coverage = C.publishing_coverage(languages, item, decision, approved, publish, publish_status,
+                                     window)
+    series = C.latency_series(item, cls, decision, approved, translation, publish, publish_status,
+                              attempt, window).filter(F.col("stage") == "publish_delay")
+    return (languages.select("language_code").join(coverage, "language_code", "left")
+            .join(C.latency_summary(series, ["language_code"]), "language_code", "left"))
+
+
+def document(report_type: str, version: str, generated_at: str, window: tuple, metrics: DataFrame,
+             breakdown: DataFrame | None = None) -> DataFrame:
+    """One report row: head, metrics and, when given, the breakdown rows.
+
+    A breakdown has one row per source or language, so it is report-sized by nature.
+    """
+    one = metrics.select(F.struct(*metrics.columns).alias("metrics"))
+    if breakdown is not None:
+        rows = breakdown.agg(F.sort_array(F.collect_list(F.struct(*breakdown.columns)))
+                             .alias("breakdowns"))
+        one = one.crossJoin(rows)
+    return one.select(F.lit(report_type).alias("report_type"),
+                      F.lit(version).alias("schema_version"),
+                      F.lit(generated_at).alias("generated_at"),
+                      R.iso(R.at(window[0])).alias("window_start"),
+                      R.iso(R.at(window[1])).alias("window_end"), *one.columns)

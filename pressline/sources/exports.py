@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pressline import fixed_values as V
 from pressline.functions import rates as R
 from pressline.operators import publish as B
-from pressline.operators.audits import (archive_entries_audit, catalogue_audit, stats_audit)
+from pressline.operators.audits import archive_entries_audit, catalogue_audit, stats_audit
+from pressline.session import cut_lineage
 
 CATALOGUE_SCHEMA = ("slug string, display_title string, summary_short string, "
                     "canonical_url string, source_published_at string, approved_at string, "
@@ -194,7 +195,8 @@ def publish_snapshot(spark: SparkSession, root: str, plan: dict[str, DataFrame],
     last successful run moves on. The pointer row comes last, so a lost job leaves the old
     snapshot live.
     """
-    digests = B.artifact_digests(plan["documents"], plan["index"], plan["stamps"], plan["stats"])
+    digests = cut_lineage(B.artifact_digests(plan["documents"], plan["index"], plan["stamps"],
+                                             plan["stats"]))
     fingerprint = B.state_fingerprint(digests, languages).first()[0]
     old = read_pointer(spark, root)
     changed = rebuild or old is None or old["content_fingerprint"] != fingerprint
