@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pressline import fixed_values as V
-from pressline.functions.titles import strip
+from pressline.functions.titles import SPACE_CLASS, strip
 
 # --- fixed values: markup vocabulary ------------------------------------------------------------
 REMOVED_TAGS = ["script", "style", "nav", "footer"]
@@ -131,8 +131,11 @@ def tidy_lines(c: Column, normalize: bool = True, collapse: bool = True) -> Colu
     """Squeeze white space inside lines, fold runs of blank lines, trim the whole."""
     lines = F.regexp_replace(c, r"\r\n|[\r\n\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]", "\n")
     if normalize:
-        lines = F.regexp_replace(lines, r"(?U)[\s\x1f&&[^\n]]+", " ")
-        lines = F.regexp_replace(lines, r"(?m)^ | $", "")
+        # A single blank inside a line already is what it should be and is skipped.
+        inline = SPACE_CLASS.replace(r"\n", "")
+        odd = inline.replace(" ", "")
+        lines = F.regexp_replace(lines, f"[{odd}][{inline}]*| [{inline}]+", " ")
+        lines = F.regexp_replace(lines, " ?\n ?", "\n")
     if collapse:
         lines = F.regexp_replace(lines, "\n{3,}", "\n\n")
     return strip(lines)

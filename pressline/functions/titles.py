@@ -10,18 +10,22 @@ from pyspark.sql import Column, functions as F, types as T
 
 from pressline import fixed_values as V
 
-# Unicode white space plus the four ASCII separators that count as space in feed text.
-SPACE = r"(?U)[\s\x1c-\x1f]"
+# --- fixed values: white space characters of feed text -----------------------------------------
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        "
+          "        　")
+# The same characters as a regular expression class body.
+SPACE_CLASS = (r"\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+               r"\x{202f}\x{205f}\x{3000}")
 
 
 def squeeze(c: Column) -> Column:
     """Runs of white space become one blank, ends are trimmed."""
-    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(c, f"[{SPACE_CLASS}]+", " "))
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space from both ends."""
-    return F.regexp_replace(c, "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$", "")
+    """Trim every kind of white space from both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def blank(c: Column) -> Column:

@@ -13,10 +13,15 @@ from pressline.session import cut_lineage
 K1, K2 = "ingest_dedup_key", "title_key"
 
 
+def has_required_fields() -> Column:
+    """A title and a key are present."""
+    return (F.coalesce(F.length("title"), F.lit(0)) > 0) & (
+        F.coalesce(F.length(K1), F.lit(0)) > 0)
+
+
 def required_fields(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a title and a key, and the rows that lack one."""
-    ok = (F.coalesce(F.length("title"), F.lit(0)) > 0) & (F.coalesce(F.length(K1), F.lit(0)) > 0)
-    return rows.filter(ok), rows.filter(~ok)
+    return rows.filter(has_required_fields()), rows.filter(~has_required_fields())
 
 
 def known_keys(rows: DataFrame, markers: DataFrame) -> DataFrame:
@@ -51,23 +56,25 @@ def _without(rows: DataFrame, key: str, salt: str, owners: DataFrame) -> DataFra
     return rows.join(keys, [key, salt], "left_anti")
 
 
-def accept_first(rows: DataFrame, order: list[str], markers: DataFrame | None = None,
+def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None = None,
                  max_rounds: int = 10_000) -> DataFrame:
-    """Add ``accepted``: in ``order`` (unique), a row passes if no key is owned by a passed row.
+    """Places (the ``order`` columns) of the rows that pass: in ``order``, which must be unique, a
+    row passes if none of its keys is owned by a row that passed.
 
-    Only keys and order take part in the rounds. Rows with the same two keys are reduced to their
-    first one before any shuffle by a single key. In each round the rows that come first under all
-    their keys pass, everything sharing a key with them drops out, and the rest goes on. The first
-    undecided row always passes, so the rounds end.
+    Only keys and order take part. Rows with the same two keys are reduced to their first one
+    before any shuffle by a single key. In each round the rows that come first under all their keys
+    pass, everything sharing a key with them drops out, and the rest goes on. The first undecided
+    row always passes, so the rounds end.
     """
     left = rows.groupBy(K1, K2).agg(F.min(F.struct(*order)).alias("_o"))
-    if markers is not None:
-        owned = known_keys(left, markers)
-        for key in (K1, K2):
-            flags = owned.select(F.col("dedup_key").alias(key), F.lit(True).alias("_owned"))
-            left = lookup(left, flags, key).filter("_owned IS NULL").drop("_owned")
     left = cut_lineage(left)
     left = cut_lineage(_salted(_salted(left, K1, "_s1"), K2, "_s2"))
+    if markers is not None:
+        for key, salt in ((K1, "_s1"), (K2, "_s2")):
+            mine = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(salt).alias(salt))
+            owned = mine.join(markers.select(F.col("dedup_key").alias(key)), key, "left_semi")
+            left = _without(left, key, salt, owned)
+        left = cut_lineage(left)
     passed: list[DataFrame] = []
     for _ in range(max_rounds):
         by_main = left.groupBy(K1).agg(F.min(F.struct("_o", K2, "_s1", "_s2")).alias("_m")).select(
@@ -83,8 +90,16 @@ def accept_first(rows: DataFrame, order: list[str], markers: DataFrame | None =
             break
     else:
         raise RuntimeError("dedup did not settle")
-    winners = reduce(DataFrame.unionByName, passed).select("_o.*", F.lit(True).alias("_won"))
-    return (rows.join(winners, order, "left")
+    return reduce(DataFrame.unionByName, passed).select("_o.*")
+
+
+def accept_first(rows: DataFrame, order: list[str], markers: DataFrame | None = None) -> DataFrame:
+    """Add ``accepted`` by the first-wins rule; rows without title are never accepted.
+
+    The key rule always yields a key, and a filter on it would compute every key twice.
+    """
+    won = first_places(rows.filter(F.length("title") > 0), order, markers)
+    return (rows.join(won.withColumn("_won", F.lit(True)), order, "left")
             .withColumn("accepted", F.coalesce("_won", F.lit(False))).drop("_won"))
 
 
@@ -121,9 +136,9 @@ def unique_contribution(rows: DataFrame, approved_ids: DataFrame, item: str) ->
 
 # --- state tables of accepted items ---------------------------------------------------------------
 
-def number_items(accepted: DataFrame, order: list[str], last_id: int) -> DataFrame:
-    """Give accepted items the next ids in order; stored before it fans out to the tables."""
-    return cut_lineage(sequence_ids(accepted, order, "source_item_id", last_id))
+def number_places(places: DataFrame, order: list[str], last_id: int) -> DataFrame:
+    """Item ids for the passed places, in order. Only the order columns are moved around."""
+    return sequence_ids(places, order, "source_item_id", last_id)
 
 
 def item_tables(numbered: DataFrame, retention_days: int) -> dict[str, DataFrame]:

@@ -10,6 +10,7 @@ from pressline.functions.html import sanitize
 from pressline.functions.keys import with_dedup_keys
 from pressline.functions.times import published_at
 from pressline.operators import dedup as D
+from pressline.session import cut_lineage
 
 
 def keyed_entries(entries: DataFrame) -> DataFrame:
@@ -23,18 +24,21 @@ def keyed_entries(entries: DataFrame) -> DataFrame:
 def labelled_entries(entries: DataFrame, order: list[str],
                      markers: DataFrame | None = None) -> DataFrame:
     """Keyed entries with a label: new, dedup or normalization_failure."""
-    whole, broken = D.required_fields(keyed_entries(entries))
-    judged = D.accept_first(whole, order, markers).withColumn(
-        "label", F.when(F.col("accepted"), "new").otherwise("dedup"))
-    return judged.unionByName(broken.withColumn("accepted", F.lit(False))
-                              .withColumn("label", F.lit("normalization_failure")))
+    judged = D.accept_first(keyed_entries(entries), order, markers)
+    return judged.withColumn("label", F.when(F.col("accepted"), "new").when(
+        F.length("title") > 0, "dedup").otherwise("normalization_failure"))
 
 
 def ingest(entries: DataFrame, order: list[str], markers: DataFrame | None = None,
            last_id: int = 0, retention_days: int = V.RAW_RETENTION_DAYS,
            max_length: int = 12000) -> dict[str, DataFrame]:
-    """The rows a batch of entries adds to the four item tables."""
-    new = labelled_entries(entries, order, markers).filter("accepted").withColumn(
+    """The rows a batch of entries adds to the four item tables.
+
+    Dedup and numbering work on keys alone; the bodies move once, to meet their new id, and are
+    stored with it before they fan out to the tables.
+    """
+    keyed = keyed_entries(entries)
+    places = D.first_places(keyed.filter(F.length("title") > 0), order, markers)
+    new = keyed.join(D.number_places(places, order, last_id), order).withColumn(
         "body", F.when(N.strip(F.col("summary")) != "", F.col("summary")))
-    numbered = D.number_items(sanitize(new, "body", "title", max_length), order, last_id)
-    return D.item_tables(numbered, retention_days)
+    return D.item_tables(cut_lineage(sanitize(new, "body", "title", max_length)), retention_days)
