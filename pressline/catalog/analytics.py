@@ -535,7 +535,8 @@ def _(t):
 SELECT language_code, {PCT_SQL} FROM ({SERIES_SQL}) s WHERE stage = 'publish_delay'
 GROUP BY language_code""")
 def _(t):
-    rows = series(t).filter(F.col("stage") == "publish_delay")
+    outputs = C.cohort_outputs(t.b_item, t.b_approved, t.b_translation, IW)
+    rows = C.publish_gaps(outputs, t.b_publish, t.b_publish_status)
     return rounded(C.latency_summary(rows, ["language_code"]))
 
 

@@ -138,8 +138,7 @@ FROM ({AN.coverage_sql(AN.ACTIVE_SQL, False)}) c LEFT JOIN (
   GROUP BY language_code) d ON d.language_code = c.language_code""")
 def _(t):
     return rounded(P.publishing_breakdown(t.b_lang, t.b_item, t.b_decision, t.b_approved,
-                                          t.b_translation, t.b_publish, t.b_publish_status,
-                                          t.b_class, t.b_attempt, IW))
+                                          t.b_translation, t.b_publish, t.b_publish_status, IW))
 
 
 @query("emitted_reports", "SNK-10", """

@@ -127,8 +127,15 @@ def parse_markup(remove_selectors: list[str] | None = None,
     return parse
 
 
-def tidy_lines(c: Column, normalize: bool = True, collapse: bool = True) -> Column:
-    """Squeeze white space inside lines, fold runs of blank lines, trim the whole."""
+# Texts of these characters only have blanks and line feeds for white space.
+_ODD_CHARACTER = r"[^\n -~\x{a1}-\x{24f}\x{3001}-\x{fefe}]"
+
+
+def _fold_blank_lines(c: Column) -> Column:
+    return F.when(c.contains("\n\n\n"), F.regexp_replace(c, "\n{3,}", "\n\n")).otherwise(c)
+
+
+def _tidy_any(c: Column, normalize: bool) -> Column:
     lines = F.regexp_replace(c, r"\r\n|[\r\n\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]", "\n")
     if normalize:
         # A single blank inside a line already is what it should be and is skipped.
@@ -136,9 +143,25 @@ def tidy_lines(c: Column, normalize: bool = True, collapse: bool = True) -> Colu
         odd = inline.replace(" ", "")
         lines = F.regexp_replace(lines, f"[{odd}][{inline}]*| [{inline}]+", " ")
         lines = F.regexp_replace(lines, " ?\n ?", "\n")
-    if collapse:
-        lines = F.regexp_replace(lines, "\n{3,}", "\n\n")
-    return strip(lines)
+    return lines
+
+
+def _tidy_plain(c: Column, normalize: bool) -> Column:
+    if not normalize:
+        return c
+    single = F.when(c.contains("  "), F.regexp_replace(c, " {2,}", " ")).otherwise(c)
+    return F.replace(F.replace(single, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+
+
+def tidy_lines(c: Column, normalize: bool = True, collapse: bool = True) -> Column:
+    """Squeeze white space inside lines, fold runs of blank lines, trim the whole.
+
+    One look at the characters sends the many texts without odd white space down a path of plain
+    searches; the result is the same.
+    """
+    lines = F.when(c.rlike(_ODD_CHARACTER), _tidy_any(c, normalize)).otherwise(
+        _tidy_plain(c, normalize))
+    return strip(_fold_blank_lines(lines) if collapse else lines)
 
 
 def body_candidate(fields: list[str], types: dict[str, str]) -> Column:
@@ -164,9 +187,12 @@ def link_share(link_length: Column, plain_length: Column) -> Column:
     return F.try_divide(link_length.cast("double"), plain_length.cast("double"))
 
 
-def low_context_reason(text: Column, title: Column, truncated: Column, links: Column) -> Column:
-    """First matching reason, in a fixed order; NULL for usable text."""
-    low, head = F.lower(text), F.lower(strip(title))
+def low_context_reason(text: Column, low: Column, head: Column, truncated: Column,
+                       links: Column) -> Column:
+    """First matching reason, in a fixed order; NULL for usable text.
+
+    ``low`` is the text and ``head`` the trimmed title, both in lower case.
+    """
     # An empty title is part of any text; removing it changes nothing.
     rest = F.when(head == "", low).otherwise(F.replace(low, head, F.lit("")))
     heavy = low.contains(head) & (F.length(strip(rest)) < V.TITLE_REMAINDER_LIMIT)
@@ -188,17 +214,25 @@ def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = 12
     """
     parse = parse_markup(remove_selectors, content_selectors, decode)
     raw = F.nullif(F.col(body), F.lit(""))
-    rows = rows.withColumn("_raw", raw).withColumn("_p", parse(F.col("_raw")))
-    rows = rows.withColumn("_full", tidy_lines(F.col("_p.text"), normalize, collapse))
+    rows = rows.withColumn("_raw", raw)
+    # Only bodies that can hold markup travel to Python; plain ones stay where they are.
+    coded = F.col("_raw").contains("<") | F.col("_raw").contains("&")
+    rows = rows.withColumn("_p", parse(F.when(coded, F.col("_raw"))))
+    plain = F.lit("") if content_selectors else F.col("_raw")
+    rows = rows.withColumn("_full", tidy_lines(F.when(coded, F.col("_p.text")).otherwise(plain),
+                                               normalize, collapse))
     if max_length:
         rows = rows.withColumn("_cut", F.length("_full") > max_length).withColumn(
             "_text", F.substring("_full", 1, max_length))
     else:
         rows = rows.withColumn("_cut", F.lit(False)).withColumn("_text", F.col("_full"))
+    # Its own column, because most rules look at the lower-case text.
+    rows = rows.withColumn("_low", F.lower("_text")).withColumn(
+        "_head", F.lower(strip(F.coalesce(F.col(title), F.lit("")))))
     missing = F.col("_raw").isNull()
     links = F.coalesce(link_share(F.col("_p.link_length"), F.col("_p.plain_length")), F.lit(0.0))
-    reason = low_context_reason(F.col("_text"), F.coalesce(F.col(title), F.lit("")),
-                                F.col("_cut"), links)
+    reason = low_context_reason(F.col("_text"), F.col("_low"), F.col("_head"), F.col("_cut"),
+                                links)
     rows = rows.withColumn("text_processing_reason",
                            F.when(missing, "missing_body").otherwise(reason))
     return (rows.withColumn("sanitized_text", F.coalesce("_text", F.lit("")))
@@ -213,4 +247,4 @@ def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = 12
             .withColumn("sanitized_text_length", F.length("sanitized_text").cast("long"))
             .withColumn("reduction_ratio", F.when(missing, 0.0).otherwise(F.try_divide(
                 F.length("_text").cast("double"), F.length("_raw").cast("double"))))
-            .drop("_raw", "_p", "_full", "_cut", "_text"))
+            .drop("_raw", "_p", "_full", "_cut", "_text", "_low", "_head"))

@@ -371,43 +371,62 @@ def signal_outcomes(item, cls, decision, window: tuple) -> DataFrame:
 
 # --- latency ---------------------------------------------------------------------------------------
 
-def latency_series(item, cls, decision, approved, translation, publish, publish_status, attempt,
-                   window: tuple, attempt_window: tuple | None = None) -> DataFrame:
-    """The seven latency series as (stage, seconds, language_code).
+def _gap(stage: str, later: str, earlier: str, language: Column | None = None) -> Column:
+    language = F.lit(None).cast("string") if language is None else language
+    return F.struct(F.lit(stage).alias("stage"), R.seconds_between(later, earlier).alias("seconds"),
+                    language.alias("language_code"))
 
-    Items, classifications and decisions are joined once; their four deltas leave as one array.
-    """
-    cohort = cohort_items(item, window).select(KEY, "fetched_at", "published_at")
-    base = (cohort.join(cls.select(KEY, "classified_at"), KEY, "left")
+
+def item_gaps(item, cls, decision, publish, window: tuple) -> DataFrame:
+    """Lead time, freshness, classification and curation delay from one join of the items."""
+    base = (cohort_items(item, window).select(KEY, "fetched_at", "published_at")
+            .join(cls.select(KEY, "classified_at"), KEY, "left")
             .join(decision.select(KEY, "curated_at"), KEY, "left")
             .join(publish.select(KEY, "first_published_at"), KEY, "left"))
+    return base.select(F.explode(F.array(
+        _gap("pipeline_lead_time", "first_published_at", "fetched_at"),
+        _gap("feed_freshness_delay", "fetched_at", "published_at"),
+        _gap("classification_delay", "classified_at", "fetched_at"),
+        _gap("curation_delay", "curated_at", "classified_at"))).alias("p")).select("p.*")
+
+
+def fetch_gaps(attempt, window: tuple) -> DataFrame:
+    return event_rows(attempt, "started_at", window).select(
+        _gap("fetch_execution_latency", "ended_at", "started_at").alias("p")).select("p.*")
+
+
+def cohort_outputs(item, approved, translation, window: tuple) -> DataFrame:
+    """Translation outputs of the cohort's approved articles."""
+    mine = (cohort_items(item, window).select(KEY)
+            .join(approved.select(KEY, "parent_content_id", "approved_at"), KEY))
+    return mine.join(translation.select("parent_content_id", "language_code", "model_name",
+                                        "translated_at"), "parent_content_id")
 
-    def pair(stage, later, earlier):
-        return F.struct(F.lit(stage).alias("stage"), R.seconds_between(later, earlier)
-                        .alias("seconds"), F.lit(None).cast("string").alias("language_code"))
-
-    item_side = base.select(F.explode(F.array(
-        pair("pipeline_lead_time", "first_published_at", "fetched_at"),
-        pair("feed_freshness_delay", "fetched_at", "published_at"),
-        pair("classification_delay", "classified_at", "fetched_at"),
-        pair("curation_delay", "curated_at", "classified_at"))).alias("p")).select("p.*")
-    fetch_side = event_rows(attempt, "started_at", attempt_window or window).select(
-        pair("fetch_execution_latency", "ended_at", "started_at").alias("p")).select("p.*")
-    mine = cohort.select(KEY).join(approved.select(KEY, "parent_content_id", "approved_at"), KEY)
-    texts = mine.join(translation.select("parent_content_id", "language_code", "model_name",
-                                         "translated_at"), "parent_content_id")
-    translated = (texts.filter(R.not_bypass()).select(
-        F.lit("translation_delay").alias("stage"),
-        R.seconds_between("translated_at", "approved_at").alias("seconds"), "language_code"))
-    live = (publish_status.select("publish_record_id", "language_code",
-                                  F.col("published_at").alias("live_at"))
+
+def translation_gaps(outputs: DataFrame) -> DataFrame:
+    return outputs.filter(R.not_bypass()).select(
+        _gap("translation_delay", "translated_at", "approved_at", F.col("language_code"))
+        .alias("p")).select("p.*")
+
+
+def publish_gaps(outputs: DataFrame, publish, publish_status) -> DataFrame:
+    """Time from translation to publication per (item, language)."""
+    live = (publish_status.filter(F.col("published_at").isNotNull())
+            .select("publish_record_id", "language_code", F.col("published_at").alias("live_at"))
             .join(publish.select("publish_record_id", KEY), "publish_record_id"))
-    published = (texts.select(KEY, "language_code", "translated_at")
-                 .join(live, [KEY, "language_code"])
-                 .select(F.lit("publish_delay").alias("stage"),
-                         R.seconds_between("live_at", "translated_at").alias("seconds"),
-                         "language_code"))
-    return (item_side.unionByName(fetch_side).unionByName(translated).unionByName(published)
+    return (outputs.select(KEY, "language_code", "translated_at").join(live, [KEY, "language_code"])
+            .select(_gap("publish_delay", "live_at", "translated_at", F.col("language_code"))
+                    .alias("p")).select("p.*"))
+
+
+def latency_series(item, cls, decision, approved, translation, publish, publish_status, attempt,
+                   window: tuple, attempt_window: tuple | None = None) -> DataFrame:
+    """The seven latency series as (stage, seconds, language_code)."""
+    outputs = cohort_outputs(item, approved, translation, window)
+    return (item_gaps(item, cls, decision, publish, window)
+            .unionByName(fetch_gaps(attempt, attempt_window or window))
+            .unionByName(translation_gaps(outputs))
+            .unionByName(publish_gaps(outputs, publish, publish_status))
             .filter(F.col("seconds").isNotNull()))
 
 

@@ -163,12 +163,12 @@ def ingest_metrics(item, text, attempts, runs, window: tuple, attempt_window: tu
 
 
 def publishing_breakdown(languages, item, decision, approved, translation, publish, publish_status,
-                         cls, attempt, window: tuple) -> DataFrame:
+                         window: tuple) -> DataFrame:
     """Coverage and publish delay per language."""
     coverage = C.publishing_coverage(languages, item, decision, approved, publish, publish_status,
                                      window)
-    series = C.latency_series(item, cls, decision, approved, translation, publish, publish_status,
-                              attempt, window).filter(F.col("stage") == "publish_delay")
+    series = C.publish_gaps(C.cohort_outputs(item, approved, translation, window), publish,
+                            publish_status)
     return (languages.select("language_code").join(coverage, "language_code", "left")
             .join(C.latency_summary(series, ["language_code"]), "language_code", "left"))
 

@@ -70,7 +70,9 @@ def feed_entries(parsed: DataFrame) -> DataFrame:
                      F.coalesce(F.transform("_feed.item", _rss), empty),
                      F.coalesce(F.transform("_feed.entry", _atom), empty))
     kept = [c for c in parsed.columns if c not in ("_feed", "broken", "payload")]
-    return (parsed.filter("NOT broken").select(*kept, F.posexplode(every).alias("position", "_e"))
+    # No filter on ``broken``: it would be pushed below the parser and parse every payload twice.
+    valid = F.when(~F.col("broken"), every)
+    return (parsed.select(*kept, F.posexplode(valid).alias("position", "_e"))
             .select(*kept, "position", "_e.*"))
 
 

@@ -73,22 +73,32 @@ HEALTH_STATE = T.StructType([T.StructField("failures", T.LongType()),
 
 def _health_step(key: tuple, batches: Iterator[pd.DataFrame],
                  state: GroupState) -> Iterator[pd.DataFrame]:
-    """Failures in a row of one source after its new attempts; the state is two numbers."""
+    """Failures in a row of one source after its new attempts; the state is two numbers.
+
+    Chunks come in any order. Only the keys of failures later than the latest success seen so far
+    are held on to, as plain numbers; whole rows are never gathered.
+    """
     failures, seen = state.get if state.exists else (0, 0)
-    # Only the tail since the latest success matters; chunks are folded in time order.
-    rows = pd.concat([b[["started_at", "fetch_attempt_id", "outcome"]] for b in batches])
-    rows = rows.sort_values(["started_at", "fetch_attempt_id"])
-    won = (rows["outcome"] == "success").to_numpy()
-    if won.any():
-        failures = int(len(won) - 1 - won.nonzero()[0][-1])
-    else:
-        failures += len(won)
-    seen += len(won)
+    latest_win, latest, open_failures = None, None, []
+    for chunk in batches:
+        seen += len(chunk)
+        at = list(zip(chunk["started_at"].astype("datetime64[ns]").astype("int64"),
+                      chunk["fetch_attempt_id"]))
+        won = (chunk["outcome"] == "success").to_numpy()
+        for place, ok in zip(at, won):
+            latest = place if latest is None or place > latest else latest
+            if ok:
+                latest_win = place if latest_win is None or place > latest_win else latest_win
+            else:
+                open_failures.append(place)
+        if latest_win is not None:
+            open_failures = [p for p in open_failures if p > latest_win]
+    failures = len(open_failures) + (0 if latest_win is not None else failures)
     state.update((failures, seen))
     until, status = None, "healthy"
     if failures >= V.QUARANTINE_AFTER:
         status = "quarantined"
-        until = rows["started_at"].iloc[-1] + pd.Timedelta(hours=V.QUARANTINE_HOURS)
+        until = pd.Timestamp(latest[0]) + pd.Timedelta(hours=V.QUARANTINE_HOURS)
     elif failures >= V.DEGRADED_AFTER:
         status = "degraded"
     yield pd.DataFrame({"source_id": [key[0]], "attempts": [seen],
