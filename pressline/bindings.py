@@ -303,6 +303,8 @@ def with_bindings(sql: str) -> str:
     if not names:
         return body
     ctes = ",\n".join(f"{n} AS ({BINDINGS[n]})" for n in names)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pressline.catalog.helpers import (EW, ITEM_SQL, IW, LANGS, READY_SQL, START_SQL, TOPIC_SQL,
                                        joined, rounded, sql_window)
 from pressline.catalog.registry import query
-from pressline.functions import rates as R
 from pressline.functions import sources as S
 from pressline.operators import cohort as C
 from pressline.operators import fetch as X

@@ -343,20 +343,54 @@ def _(t):
         broken.select("entry_id", F.lit("normalization_failure").alias("outcome")))
 
 
-@query("first_wins_dedup", "WIN-1")
+def greedy_sql(select: str) -> str:
+    """The sequential rule, one entry per step: pass if no key is owned yet, then own the keys."""
+    return f"""
+WITH RECURSIVE keyed AS MATERIALIZED ({KEYED_SQL}),
+numbered AS MATERIALIZED (
+  SELECT entry_id, row_number() OVER (ORDER BY fetched_at, source_id, entry_id) AS i,
+         list_filter([hash(ingest_dedup_key), CASE WHEN title_key IS NOT NULL THEN hash(title_key) END],
+                     lambda k: k IS NOT NULL) AS keys FROM keyed WHERE title <> ''),
+steps AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS UBIGINT[]) AS owned, FALSE AS passed
+  UNION ALL
+  SELECT n.i, CASE WHEN list_has_any(s.owned, n.keys) THEN s.owned
+              ELSE list_concat(s.owned, n.keys) END, NOT list_has_any(s.owned, n.keys)
+  FROM steps s JOIN numbered n ON n.i = s.i + 1),
+judged AS (
+  SELECT k.*, CASE WHEN k.title = '' THEN 'normalization_failure' WHEN s.passed THEN 'new'
+              ELSE 'dedup' END AS label
+  FROM keyed k LEFT JOIN numbered n ON n.entry_id = k.entry_id LEFT JOIN steps s ON s.i = n.i)
+{select}"""
+
+
+@query("first_wins_dedup", "WIN-1", greedy_sql(
+    "SELECT entry_id, source_id, dedup_rule, label FROM judged"))
 def _(t):
     return I.labelled_entries(t.b_entry, ORDER).select("entry_id", "source_id", "dedup_rule",
                                                        "label")
 
 
-@query("unique_contribution", "DOC-3")
+@query("unique_contribution", "DOC-3", greedy_sql("""
+SELECT source_id, count(*) AS ingested,
+       count(*) FILTER (label = 'new' AND l.quality = 1) AS unique_approved,
+       ROUND(CAST(count(*) FILTER (label = 'new' AND l.quality = 1) AS DOUBLE) / count(*), 6)
+       AS unique_contribution_rate
+FROM judged j LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels WHERE quality = 1) l
+  ON l.doc_id = j.entry_id GROUP BY source_id"""))
 def _(t):
     rows = I.labelled_entries(t.b_entry, ORDER)
     good = t.labels.filter("quality = 1").select(F.col("doc_id").alias("entry_id"))
     return rounded(D.unique_contribution(rows, good, "entry_id"))
 
 
-@query("item_tables", "STA-14")
+@query("item_tables", "STA-14", greedy_sql("""
+SELECT t.table_name, CAST(sum(CASE WHEN t.table_name = 'ingest_dedup_marker' AND title_key IS NOT NULL
+                              THEN 2 ELSE 1 END) AS BIGINT) AS rows,
+       1001 AS first_id, 1000 + count(*) AS last_id
+FROM judged CROSS JOIN (SELECT unnest(['source_item', 'source_item_text', 'ingest_dedup_marker',
+                                       'source_item_raw']) AS table_name) t
+WHERE label = 'new' GROUP BY t.table_name"""))
 def _(t):
     tables = I.ingest(t.b_entry, ORDER, last_id=1000)
     parts = [df.select(F.lit(name).alias("table_name"), "source_item_id")
@@ -369,7 +403,14 @@ def _(t):
                                          F.max("source_item_id").alias("last_id"))
 
 
-@query("attempt_item_counters", "AGG-44")
+@query("attempt_item_counters", "AGG-44", greedy_sql(f"""
+SELECT source_id, count(*) FILTER (label = 'new') AS new_item_count,
+       count(*) FILTER (label = 'dedup') AS dedup_matched_count,
+       count(*) FILTER (label = 'new' AND x.status = 'low_context') AS low_context_count,
+       0 AS sanitization_failure_count,
+       count(*) FILTER (label = 'normalization_failure') AS normalization_failure_count
+FROM judged j JOIN ({label_sql(DOC_TEXT_SQL, 'doc_id')}) x ON x.doc_id = j.entry_id
+GROUP BY source_id"""))
 def _(t):
     rows = I.labelled_entries(t.b_entry, ORDER)
     text = H.sanitize(rows, "summary", "title")

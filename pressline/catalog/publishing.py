@@ -6,8 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pressline.catalog.analytics import ACTIVE_SQL, WIDE_SQL  # noqa: F401
-from pressline.catalog.helpers import LANGS, iso_sql, joined, rounded, text_times
+from pressline.catalog.helpers import IW, LANGS, iso_sql, joined, rounded, text_times
 from pressline.catalog.registry import query
 from pressline.functions import content as K
 from pressline.functions import display as Y
@@ -20,7 +19,6 @@ from pressline.operators import listings as L
 from pressline.operators import publish as B
 from pressline.operators import slugs as G
 from pressline.operators.cohort import classify_by_source
-from pressline.catalog.helpers import IW
 from pressline.plans import publish as PP
 from pressline.session import ensure_checkpoint_dir
 from pressline.sources import exports as E
@@ -642,7 +640,18 @@ def _(t):
         "run int, changed int, same_generation int")
 
 
-@query("publish_run", "STA-10 STA-11 SET-3 SET-4")
+@query("publish_run", "STA-10 STA-11 SET-3 SET-4", f"""
+SELECT coalesce(c.language_code, o.language_code) AS language_code,
+       coalesce(c.new_status, o.publish_status) AS publish_status, count(*) AS rows
+FROM (SELECT x.source_item_id, x.language_code, 'published' AS new_status FROM ({PUBLISH_SQL}) x
+      JOIN b_decision d ON d.source_item_id = x.source_item_id
+      JOIN b_translation tr ON tr.source_item_id = x.source_item_id AND tr.language_code = x.language_code
+      WHERE NOT (d.downstream_action = 'publish_summary' AND tr.bullet_2 IS NULL)
+      UNION ALL SELECT source_item_id, language_code, 'withdrawn' FROM ({ACTIVE_ROWS_SQL}) a
+      WHERE source_item_id NOT IN ({ELIGIBLE_SQL})) c
+FULL JOIN (SELECT p.source_item_id, s.language_code, s.publish_status FROM b_publish p
+           JOIN b_publish_status s ON s.publish_record_id = p.publish_record_id) o
+  ON o.source_item_id = c.source_item_id AND o.language_code = c.language_code GROUP BY ALL""")
 def _(t):
     tables = {"approved": t.b_approved, "decision": t.b_decision, "translation": t.b_translation,
               "item": t.b_item, "publish": t.b_publish, "publish_status": t.b_publish_status}

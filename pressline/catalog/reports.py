@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pressline.bindings import ITEM_WINDOW
 from pressline.catalog import analytics as AN
-from pressline.catalog.helpers import EW, ITEM_SQL, IW, LANGS, READY_SQL, TOPIC_SQL, rounded
+from pressline.catalog.helpers import EW, ITEM_SQL, IW, LANGS, READY_SQL, rounded
 from pressline.catalog.publishing import folder
 from pressline.catalog.registry import query
 from pressline.operators import cohort as C

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pressline.catalog.helpers import (EW, IW, LANGS, READY_SQL, TOPIC_SQL, iso_sql, joined,
-                                       rounded, text_times)
+from pressline.catalog.helpers import LANGS, READY_SQL, TOPIC_SQL, iso_sql, text_times
 from pressline.catalog.registry import query
 from pressline.functions import content as K
 from pressline.operators import curation as U

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from pressline.bindings import BINDINGS, RAW_SCHEMAS
-from pressline.catalog.content import ORDER
+from pressline.catalog.content import KEYED_SQL, ORDER, greedy_sql
 from pressline.catalog.helpers import iso_sql, rounded, text_times
 from pressline.catalog.publishing import folder
 from pressline.catalog.registry import query
@@ -53,22 +53,28 @@ def _(t):
         "source_id", "attempts", "s.consecutive_failures", "s.health_status")
 
 
-@query("stream_ingest", "STR-1")
+def entry_stream(t):
+    """The feed entries as a stream of files that arrive in the order of their fetch time."""
+    path = folder(t)
+    cuts = ["2024-01-01 00:00:00", "2024-01-01 00:02:00", "2024-01-01 00:10:00", "2030-01-01 00:00:00"]
+    for start, end in zip(cuts, cuts[1:]):
+        at = F.col("fetched_at")
+        t.b_entry.filter((at >= start) & (at < end)).coalesce(1).write.mode("append").parquet(path)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.b_entry.schema.fields)
+    return J.file_stream(t.spark, path, columns, 1)
+
+
+@query("stream_ingest", "STR-1", greedy_sql("""
+SELECT dedup_rule, count(*) AS items FROM judged WHERE label = 'new' GROUP BY dedup_rule"""))
 def _(t):
     path = folder(t)
-    (t.b_entry.repartitionByRange(3, *ORDER).write.parquet(f"{path}/in"))
-    entries = J.file_stream(t.spark, f"{path}/in", t.b_entry.schema.simpleString()[7:-1].replace(
-        ":", " "), 1)
-    J.stream_ingest(entries, f"{path}/out", f"{path}/state", ORDER).awaitTermination()
+    J.stream_ingest(entry_stream(t), f"{path}/out", f"{path}/state", ORDER).awaitTermination()
     return t.spark.read.parquet(f"{path}/out/source_item").groupBy("dedup_rule").agg(
         F.count(F.lit(1)).alias("items"))
 
 
-@query("stream_single_key", "STR-1")
+@query("stream_single_key", "STR-1", f"""
+SELECT dedup_rule, count(DISTINCT ingest_dedup_key) AS items FROM ({KEYED_SQL}) k GROUP BY dedup_rule""")
 def _(t):
-    path = folder(t)
-    (t.b_entry.repartitionByRange(3, *ORDER).write.parquet(f"{path}/in"))
-    entries = J.file_stream(t.spark, f"{path}/in", t.b_entry.schema.simpleString()[7:-1].replace(
-        ":", " "), 1)
-    rows = drain(J.stream_single_key(entries).select("entry_id", "dedup_rule"), "append")
+    rows = drain(J.stream_single_key(entry_stream(t)).select("entry_id", "dedup_rule"), "append")
     return rows.groupBy("dedup_rule").agg(F.count(F.lit(1)).alias("items"))

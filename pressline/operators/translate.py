@@ -70,7 +70,8 @@ def language_completion(item, decision, approved, translation, languages: DataFr
                 F.col("articles") - F.coalesce("own", F.lit(0))).alias("completion_rate")))
 
 
-def _cohort_outputs(item, approved, translation, window: tuple) -> DataFrame:
+def cohort_texts(item, approved, translation, window: tuple) -> DataFrame:
+    """Model-made outputs of the cohort's approved articles with the master text."""
     master = (cohort_items(item, window).select(KEY)
               .join(approved.select(KEY, "parent_content_id", "approved_at", *FIELDS), KEY))
     return (translation.filter(R.not_bypass())
@@ -80,7 +81,7 @@ def _cohort_outputs(item, approved, translation, window: tuple) -> DataFrame:
 
 def average_latency(item, approved, translation, window: tuple,
                     by_language: bool = False) -> DataFrame:
-    rows = _cohort_outputs(item, approved, translation, window)
+    rows = cohort_texts(item, approved, translation, window)
     return rows.groupBy(*(["language_code"] if by_language else [])).agg(
         F.avg(R.seconds_between("translated_at", "approved_at")).alias("avg_latency"))
 
@@ -95,7 +96,7 @@ def five_field_length(columns: list[str] = FIELDS) -> Column:
 
 
 def recorded_chars(item, approved, translation, window: tuple) -> DataFrame:
-    return (_cohort_outputs(item, approved, translation, window).groupBy("language_code")
+    return (cohort_texts(item, approved, translation, window).groupBy("language_code")
             .agg(F.sum(five_field_length()).alias("char_volume")))
 
 

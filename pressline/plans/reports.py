@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pressline import fixed_values as V
 from pressline.functions import rates as R
@@ -124,7 +124,7 @@ def translation_breakdown(item, decision, approved, translation, languages: Data
     """Every target language with its rates, latency and volume, zero-filled."""
     rates = T.success_rates(translation, window, by_language=True)
     done = T.language_completion(item, decision, approved, translation, languages, window)
-    work = (T._cohort_outputs(item, approved, translation, window).groupBy("language_code")
+    work = (T.cohort_texts(item, approved, translation, window).groupBy("language_code")
             .agg(F.avg(R.seconds_between("translated_at", "approved_at"))
                  .alias("average_latency_seconds"),
                  F.sum(T.five_field_length()).alias("_chars")))
