@@ -141,21 +141,20 @@ SELECT a.parent_content_id, a.source_item_id, {_LANG} AS language_code,
             WHEN l.sk % 4 = 1 THEN 'v1' ELSE 'v2' END AS prompt_version,
        CASE WHEN l.sk % 10 = 0 THEN 'old' ELSE a.content_fingerprint END AS source_fingerprint,
        a.approved_at + (l.sk % 3000) * INTERVAL '1' SECOND AS translated_at,
-       a.approved_at + (l.sk % 3000) * INTERVAL '1' SECOND AS updated_at
+       a.approved_at + (l.sk % 3000) * INTERVAL '1' SECOND AS updated_at, l.ls AS line_status
 FROM b_line l JOIN b_approved a ON a.source_item_id = l.l_orderkey""",
     "b_publish": """
 SELECT source_item_id + 2000000 AS publish_record_id, source_item_id,
        concat('order-', CAST(source_item_id AS VARCHAR(20))) AS slug,
        approved_at + INTERVAL '1' HOUR AS first_published_at
 FROM b_approved WHERE source_item_id % 5 <> 0""",
-    "b_publish_status": f"""
+    "b_publish_status": """
 SELECT p.publish_record_id, t.language_code,
-       CASE WHEN l.ls = 'F' THEN 'published' ELSE 'withdrawn' END AS publish_status,
-       CASE WHEN l.ls = 'F' THEN p.first_published_at END AS published_at,
-       CASE WHEN l.ls <> 'F' THEN p.first_published_at + INTERVAL '1' HOUR END AS withdrawn_at,
+       CASE WHEN t.line_status = 'F' THEN 'published' ELSE 'withdrawn' END AS publish_status,
+       CASE WHEN t.line_status = 'F' THEN p.first_published_at END AS published_at,
+       CASE WHEN t.line_status <> 'F' THEN p.first_published_at + INTERVAL '1' HOUR END AS withdrawn_at,
        t.source_fingerprint
-FROM b_publish p JOIN b_translation t ON t.source_item_id = p.source_item_id
-JOIN b_line l ON l.l_orderkey = p.source_item_id AND t.language_code = {_LANG}""",
+FROM b_publish p JOIN b_translation t ON t.source_item_id = p.source_item_id""",
     "b_archive_meta": """
 SELECT 'en' AS language_code, substr(CAST(published_at AS VARCHAR(30)), 1, 7) AS archive_month,
        max(fetched_at) AS updated_at
