@@ -15,15 +15,16 @@ from pressline.catalog.state import HISTORY_SQL
 from pressline.streaming import jobs as J
 
 
-def attempt_stream(t, parts: int = 4):
-    """The events table as a stream of files in time order."""
-    path = folder(t)
-    (t.events.repartitionByRange(parts, "ts").sortWithinPartitions("ts")
-     .write.parquet(path))
-    raw = J.file_stream(t.spark, path, RAW_SCHEMAS["events"], 1)
+def attempts_of(t, path: str):
+    raw = J.file_stream(t.spark, path, RAW_SCHEMAS["events"])
     return t.spark.sql(BINDINGS["b_attempt"].replace("FROM events", "FROM {events}"), events=raw)
 
 
+def entries_of(t, path: str):
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.b_entry.schema.fields)
+    return J.file_stream(t.spark, path, columns)
+
+
 def drain(stream, mode: str):
     """Run a query over everything available into a table, then return the rows."""
     name = "s_" + uuid.uuid4().hex
@@ -38,7 +39,9 @@ SELECT {iso_sql("date_trunc('hour', started_at)")} AS window_start, source_id, c
        ROUND(avg(CASE WHEN outcome = 'success' THEN 1.0 ELSE 0.0 END), 6) AS fetch_success_rate
 FROM b_attempt GROUP BY ALL""")
 def _(t):
-    return rounded(text_times(drain(J.stream_fetch_rates(attempt_stream(t)), "complete")))
+    path = folder(t)
+    t.events.write.parquet(path)
+    return rounded(text_times(drain(J.stream_fetch_rates(attempts_of(t, path)), "complete")))
 
 
 @query("stream_source_health", "STR-2", f"""
@@ -47,28 +50,34 @@ SELECT source_id, count(*) AS attempts, arg_max(fails, (started_at, fetch_attemp
        arg_max(health_status, (started_at, fetch_attempt_id)) AS health_status
 FROM ({HISTORY_SQL}) h GROUP BY source_id""")
 def _(t):
-    rows = drain(J.stream_health(attempt_stream(t)), "update")
-    return rows.groupBy("source_id").agg(F.max("attempts").alias("attempts"), F.max_by(
-        F.struct("consecutive_failures", "health_status"), "attempts").alias("s")).select(
-        "source_id", "attempts", "s.consecutive_failures", "s.health_status")
-
-
-def entry_stream(t):
-    """The feed entries as a stream of files that arrive in the order of their fetch time."""
+    # Two arrivals with a restart between them: the second run goes on from the stored state.
     path = folder(t)
-    cuts = ["2024-01-01 00:00:00", "2024-01-01 00:02:00", "2024-01-01 00:10:00", "2030-01-01 00:00:00"]
-    for start, end in zip(cuts, cuts[1:]):
-        at = F.col("fetched_at")
-        t.b_entry.filter((at >= start) & (at < end)).coalesce(1).write.mode("append").parquet(path)
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.b_entry.schema.fields)
-    return J.file_stream(t.spark, path, columns, 1)
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+
+    for arrival in (F.col("ts") < "2024-01-16", F.col("ts") >= "2024-01-16"):
+        t.events.filter(arrival).write.mode("append").parquet(f"{path}/in")
+        job = (J.stream_health(attempts_of(t, f"{path}/in")).writeStream.outputMode("update")
+               .foreachBatch(keep).option("checkpointLocation", f"{path}/state")
+               .trigger(availableNow=True).start())
+        job.awaitTermination()
+    return t.spark.read.parquet(f"{path}/out").groupBy("source_id").agg(
+        F.max("attempts").alias("attempts"), F.max_by(
+            F.struct("consecutive_failures", "health_status"), "attempts").alias("s")).select(
+        "source_id", "attempts", "s.consecutive_failures", "s.health_status")
 
 
 @query("stream_ingest", "STR-1", greedy_sql("""
 SELECT dedup_rule, count(*) AS items FROM judged WHERE label = 'new' GROUP BY dedup_rule"""))
 def _(t):
+    # Two arrivals in fetch order; the second one meets the stored markers of the first.
     path = folder(t)
-    J.stream_ingest(entry_stream(t), f"{path}/out", f"{path}/state", ORDER).awaitTermination()
+    cut = F.lit("2024-01-01 00:01:40").cast("timestamp")
+    for arrival in (F.col("fetched_at") < cut, F.col("fetched_at") >= cut):
+        t.b_entry.filter(arrival).write.mode("append").parquet(f"{path}/in")
+        J.stream_ingest(entries_of(t, f"{path}/in"), f"{path}/out", f"{path}/state",
+                        ORDER).awaitTermination()
     return t.spark.read.parquet(f"{path}/out/source_item").groupBy("dedup_rule").agg(
         F.count(F.lit(1)).alias("items"))
 
@@ -76,5 +85,7 @@ def _(t):
 @query("stream_single_key", "STR-1", f"""
 SELECT dedup_rule, count(DISTINCT ingest_dedup_key) AS items FROM ({KEYED_SQL}) k GROUP BY dedup_rule""")
 def _(t):
-    rows = drain(J.stream_single_key(entry_stream(t)).select("entry_id", "dedup_rule"), "append")
+    path = folder(t)
+    t.b_entry.write.parquet(path)
+    rows = drain(J.stream_single_key(entries_of(t, path)).select("entry_id", "dedup_rule"), "append")
     return rows.groupBy("dedup_rule").agg(F.count(F.lit(1)).alias("items"))
