@@ -141,9 +141,11 @@ def _(t):
                                           t.b_translation, t.b_publish, t.b_publish_status, IW))
 
 
-@query("emitted_reports", "SNK-10", """
-SELECT 'classify' AS report_type, '2.0.0' AS schema_version, 98 AS breakdowns
-UNION ALL SELECT 'sources', '2.0.0', 100 UNION ALL SELECT 'translation', '1.0.0', 3
+@query("emitted_reports", "SNK-10", f"""
+SELECT 'classify' AS report_type, '2.0.0' AS schema_version, count(DISTINCT source_id) AS breakdowns
+FROM ({AN.WIDE_SQL}) w WHERE {ITEM_SQL} AND class_id IS NOT NULL
+UNION ALL SELECT 'sources', '2.0.0', count(*) FROM ({AN.SOURCE_REPORT_SQL}) s
+UNION ALL SELECT 'translation', '1.0.0', 3
 UNION ALL SELECT 'curation_diagnostics', '2.0.0', NULL""")
 def _(t):
     path, now = folder(t), "2001-06-01T00:00:00Z"

@@ -107,7 +107,7 @@ def _health_step(key: tuple, batches: Iterator[pd.DataFrame],
 
 
 def stream_health(attempts: DataFrame) -> DataFrame:
-    """Source health after each micro-batch."""
+    """Source health after each micro-batch; batches must follow each other in time."""
     return attempts.groupBy("source_id").applyInPandasWithState(
         _health_step, HEALTH, HEALTH_STATE, "update", GroupStateTimeout.NoTimeout)
 
