@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import norm
-from pressline.catalog import SURVEY
+from pressline.catalog import ORACLES, QUERIES, SURVEY
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -22,15 +22,15 @@ def oracle():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, oracle, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = sorted(tuple(norm(r[c]) for c in columns) for r in df.collect())
-    if name not in entry.oracle_sql():
+    if name not in ORACLES:
         assert got
         return
-    rel = oracle.sql(entry.oracle_sql()[name])
+    rel = oracle.sql(ORACLES[name])
     assert sorted(rel.columns) == columns
     order = [rel.columns.index(c) for c in columns]
     assert got == sorted(tuple(norm(r[i]) for i in order) for r in rel.fetchall())
@@ -41,4 +41,9 @@ def test_flagship(spark):
 
 
 def test_every_query_names_its_survey_rows():
-    assert all(SURVEY[name] for name in entry.queries())
+    assert all(SURVEY[name] for name in QUERIES)
+
+
+def test_the_entry_holds_the_catalog():
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.keys() <= entry.oracle_sql().keys()
