@@ -8,21 +8,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressline.session import ensure_checkpoint_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Later steps restart from these files, so a lost executor costs a step, never the job. The folder
-    goes when the application ends. The shuffle files of the finished step are given back by the
-    collector of the driver, which is asked to run here.
+    goes when the application ends; the shuffle files of the step go as soon as it is written.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # A frame of its own plans under the setting.
+        df.select("*").write.parquet(folder)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    jvm.System.gc()
     return spark.read.schema(df.schema).parquet(folder)
 
 

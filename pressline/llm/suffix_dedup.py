@@ -7,14 +7,15 @@ so equal strings have their anchors at equal places, and every string that is sh
 anchor that belongs to it. Around an anchor stands its context: all strings that chose it.
 
 1. Whole copies of a text are settled by its digest.
-2. Anchors meet by their gram. A context that an earlier document has too is settled. A gram with one
-   context, or in one document, is settled. What is left are equal grams in unequal contexts.
-3. These contexts are cut from the texts as suffixes (what follows the anchor, then what precedes it,
+2. Anchors meet by their gram alone, which finds the few that more than one document has.
+3. These get their contexts. A context that an earlier document has too is settled. What is left are
+   equal grams in unequal contexts.
+4. These contexts are cut from the texts as suffixes (what follows the anchor, then what precedes it,
    read backwards). Sampled splitters range-partition them by their leading bytes; every bucket sorts
    its own by multikey quicksort and finds, for each string, the smallest doc_id among equal ones.
    Strings whose run of equal leading bytes touches a border of the bucket may go on in its
    neighbours; they are compared across borders by one aggregate over the strings.
-4. The settled strings of each document are laid over its text.
+5. The settled strings of each document are laid over its text.
 
 Copies are reduced to the smallest document per task before anything is shuffled, and no step needs
 all suffixes of one gram in one task, so passages that most documents share cost no more than others.
@@ -33,7 +34,7 @@ from pressline.llm.hashing import BYTE_CODES, _P, _P_INVERSE, mix, powers, texts
 from pressline.llm.storage import stored
 
 LENGTH = 50
-GRAM = 24
+GRAM = 20
 OFFSETS = LENGTH - GRAM + 1
 """Strings that can choose one anchor: it may stand at 0 .. OFFSETS - 1 in them."""
 ALL = (1 << OFFSETS) - 1
@@ -92,31 +93,79 @@ def context_hashes(text: np.ndarray, at: np.ndarray) -> np.ndarray:
         np.zeros(0, dtype=np.uint64))
 
 
+def _leaders(texts: list[bytes], ids: np.ndarray) -> set[int]:
+    """Of equal texts the index of the smallest document: the rest are copies, settled elsewhere."""
+    best: dict[bytes, int] = {}
+    for i, t in enumerate(texts):
+        if t not in best or ids[i] < ids[best[t]]:
+            best[t] = i
+    return set(best.values())
+
+
+HEAD, SHARED = 1, 2
+
+
 def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, context, doc_id, place, covered, deal) of every anchor.
+    """(deal, doc_id, tag) of every anchor; tag is its place times four, and HEAD and SHARED.
+
+    Only the smallest document of a batch that has the gram goes on to meet the other batches by it
+    (HEAD); the rest are known to be shared and spread.
+    """
+    for batch in batches:
+        texts = texts_of(batch.column("text"))
+        ids = batch.column("doc_id").to_numpy()
+        leaders = _leaders(texts, ids)
+        for few in groups_of(texts, 8 << 20):
+            out = []
+            for i in few:
+                if i in leaders:
+                    at, gram = anchors(np.frombuffer(texts[i], dtype=np.uint8))
+                    out.append((gram, np.full(len(at), ids[i]), at))
+            gram, doc, place = (np.concatenate(c) for c in zip(*out)) if out else [np.zeros(0)] * 3
+            if not len(gram):
+                continue
+            order = np.lexsort((doc, gram))
+            gram, doc, place = gram[order], doc[order], place[order]
+            first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+            size = np.diff(np.append(first, len(doc)))
+            head = doc == np.repeat(doc[first], size)
+            shared = np.repeat(doc[first] != doc[first + size - 1], size)
+            deal = np.where(head, gram, mix(gram ^ (doc * 64 + place).astype(np.uint64)))
+            tag = place * 4 + head * HEAD + shared * SHARED
+            for a in range(0, len(gram), 100_000):
+                s = slice(a, a + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(deal[s].view(np.int64)), pa.array(doc[s]), pa.array(tag[s])],
+                    ["deal", "doc_id", "tag"])
+
+
+def shared_anchors(docs: DataFrame) -> DataFrame:
+    """(doc_id, place) of the anchors whose gram more than one document has."""
+    rows = docs.mapInArrow(_anchor_rows, "deal long, doc_id long, tag long")
+    # Rows that are no heads have a deal of their own; should one meet a head's, it is kept in vain.
+    low, high = (F.expr(f"{f}(doc_id) OVER (PARTITION BY deal)") for f in ("min", "max"))
+    rows = rows.withColumn("low", low).withColumn("high", high)
+    known = F.col("tag").bitwiseAND(F.lit(HEAD | SHARED)) != F.lit(HEAD)
+    return rows.where(known | (F.col("low") < F.col("high"))).select(
+        "doc_id", F.shiftright("tag", 2).cast("int").alias("place"))
+
+
+def _context_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, context, doc_id, place, covered, deal) of every shared anchor.
 
     ``covered``: this batch has the context in a smaller document. Only the smallest goes on to meet
     the other batches by its gram; the rest spread.
     """
     for batch in batches:
         texts = texts_of(batch.column("text"))
+        places = batch.column("places").to_pylist()
         ids = batch.column("doc_id").to_numpy()
-        # Of equal texts in a batch only the smallest document is looked at: the rest are copies.
-        leader: dict[bytes, int] = {}
-        for i, t in enumerate(texts):
-            if t not in leader or ids[i] < ids[leader[t]]:
-                leader[t] = i
         for few in groups_of(texts, 8 << 20):
             out = []
             for i in few:
-                if leader[texts[i]] != i:
-                    continue
                 data = np.frombuffer(texts[i], dtype=np.uint8)
-                at, gram = anchors(data)
-                if len(at):
-                    out.append((gram, context_hashes(data, at), np.full(len(at), ids[i]), at))
-            if not out:
-                continue
+                at = np.unique(np.array(places[i], dtype=np.int64))
+                out.append((gram_hashes(data)[at], context_hashes(data, at), np.full(len(at), ids[i]), at))
             gram, context, doc, place = (np.concatenate(c) for c in zip(*out))
             order = np.lexsort((place, doc, context, gram))
             gram, context, doc, place = gram[order], context[order], doc[order], place[order]
@@ -149,17 +198,18 @@ def groups_of(texts: list[bytes], limit: int) -> Iterator[list[int]]:
 
 
 def settle_contexts(docs: DataFrame) -> DataFrame:
-    """(gram, context, doc_id, place, settled): anchors that an earlier document has wholly
+    """(doc_id, place, settled): anchors that an earlier document has wholly
     (``settled``), and, once per context, those whose gram stands in other contexts too."""
-    rows = docs.mapInArrow(_anchor_rows, "gram long, context long, doc_id long, place int, "
-                                         "covered boolean, deal long")
+    places = stored(shared_anchors(docs)).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    rows = docs.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(
+        _context_rows, "gram long, context long, doc_id long, place int, covered boolean, deal long")
     alike = "OVER (PARTITION BY deal, covered, gram, context)"
     same = "OVER (PARTITION BY deal, covered, gram)"
     rows = (rows.withColumn("first_doc", F.expr(f"min(doc_id) {alike}"))
             .withColumn("low", F.expr(f"min(doc_id) {same}")).withColumn("high", F.expr(f"max(doc_id) {same}"))
             .withColumn("other", F.expr(f"min(context) {same} <> max(context) {same}")))
     settled = F.col("covered") | (F.col("doc_id") > F.col("first_doc"))
-    return rows.select("gram", "context", "doc_id", "place", settled.alias("settled"), (
+    return rows.select("doc_id", "place", settled.alias("settled"), (
         F.col("other") & (F.col("low") < F.col("high"))).alias("open")).where("settled OR open").drop("open")
 
 
