@@ -262,7 +262,8 @@ def _matrix(column: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
 def smallest_documents(follow: np.ndarray, n_follow: np.ndarray, before: np.ndarray, n_before: np.ndarray,
                        doc: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray], np.ndarray]:
     """For a bucket in suffix order: bit mask of the strings that an earlier document here has;
-    per offset the rows whose string may go on beyond the bucket; and the keys of all strings.
+    per offset the rows that are first here but whose string may go on beyond the bucket; and the
+    keys of all strings.
 
     A string is named by two 64-bit hashes of its bytes.
     """
@@ -289,10 +290,12 @@ def smallest_documents(follow: np.ndarray, n_follow: np.ndarray, before: np.ndar
         new = np.concatenate(([True], (k[1:] != k[:-1]).any(axis=1)))
         first = np.flatnonzero(new)
         low = np.repeat(doc[order][first], np.diff(np.append(first, len(order))))
-        mask[order[doc[order] > low]] |= 1 << a
+        later = doc[order] > low
+        mask[order[later]] |= 1 << a
         ahead = follow[:, :LENGTH - a]
-        border = (ahead == ahead[0]).all(axis=1) | (ahead == ahead[-1]).all(axis=1)
-        open_rows[a] = np.flatnonzero(border & whole)
+        rows = order[~later]
+        border = (ahead[rows] == ahead[0]).all(axis=1) | (ahead[rows] == ahead[-1]).all(axis=1)
+        open_rows[a] = rows[border]
     return mask, open_rows, key
 
 
@@ -340,14 +343,14 @@ def compared_suffixes(suffixes: DataFrame) -> DataFrame:
     return done.where("mask <> 0").select("doc_id", "place", "mask").unionByName(over)
 
 
-def remove_strings(text: bytes, places: np.ndarray, masks: np.ndarray) -> np.ndarray:
-    """Which bytes of ``text`` lie in a settled string."""
-    steps = np.zeros(len(text) + 1, dtype=np.int64)
-    for a in range(OFFSETS):
-        start = places[(masks >> a) & 1 == 1] - a
-        start = start[(start >= 0) & (start + LENGTH <= len(text))]
-        np.add.at(steps, start, 1)
-        np.add.at(steps, start + LENGTH, -1)
+def remove_strings(size: int, places: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Which of ``size`` bytes lie in a settled string."""
+    whole = masks == ALL
+    row, bit = np.nonzero((masks[~whole, None] >> np.arange(OFFSETS)) & 1)
+    start = places[~whole][row] - bit
+    start = np.concatenate([start, np.maximum(places[whole] - REACH, 0)])
+    stop = np.minimum(np.concatenate([start[:len(row)], places[whole]]) + LENGTH, size)
+    steps = np.bincount(start, minlength=size + 1) - np.bincount(stop, minlength=size + 1)
     return np.cumsum(steps)[:-1] > 0
 
 
@@ -361,13 +364,16 @@ def _removal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     few = (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512))
     for batch in few:
         rows = []
-        found = batch.column("found").to_pylist()
+        found = batch.column("found")
+        bounds = found.offsets.to_numpy()
+        place, mask = (found.values.field(c).to_numpy().astype(np.int64) for c in ("place", "mask"))
         copies = batch.column("copy").to_pylist()
-        for text, strings, copy in zip(texts_of(batch.column("text")), found, copies):
-            gone = np.full(len(text), copy and len(text) >= LENGTH)
-            if strings:
-                place = np.array([s["place"] for s in strings], dtype=np.int64)
-                gone |= remove_strings(text, place, np.array([s["mask"] for s in strings], dtype=np.int64))
+        for k, (text, copy) in enumerate(zip(texts_of(batch.column("text")), copies)):
+            a, b = int(bounds[k]), int(bounds[k + 1])
+            if copy or a == b:
+                gone = np.full(len(text), bool(copy) and len(text) >= LENGTH)
+            else:
+                gone = remove_strings(len(text), place[a:b], mask[a:b])
             edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
             spans = [{"start": a, "stop": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(),
                                                              np.flatnonzero(edge == -1).tolist())]
