@@ -12,8 +12,9 @@ Candidates are never written out as all pairs of a group. First every class is p
 leader that it shares most parts with. Verified pairs grow into components. Only where a group still
 holds several components are its classes compared across components, block by block, by bit sketches:
 a sketch is the parity of every residue of the hashes, and the Hamming distance of two sketches is a
-lower bound of the symmetric difference. What the bound does not rule out is verified on the texts,
-first the closest pair of every two components, and then, after these have merged, all that is left.
+lower bound of the symmetric difference. What the bound does not rule out is verified on the texts:
+in two merging rounds the nearest candidate of every class, and then, after these have merged, every
+pair that is left.
 Every linked pair shares a part, so no link between different components is lost.
 """
 
@@ -31,6 +32,7 @@ from pressline.llm.storage import components, stored
 SHINGLE = 5
 SIMILAR, OF = 80, 100
 """Linked when OF * |A and B| >= SIMILAR * |A or B|."""
+MERGING_ROUNDS = 2
 BLOCK = 1024
 """Classes of one group that are compared in one block."""
 
@@ -248,63 +250,83 @@ def _possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(keep, pa.bool_()))
 
 
+POSSIBLE = "doc long, far double, a long, b long"
+
+
 def compare_blocks(closest: bool):
     """Compares classes of different components inside (part, block, block) groups.
 
     Rows come sorted by group, and one group of at most two blocks is held at a time. With
-    ``closest`` one pair is given for every two components of a group, else every possible pair.
+    ``closest`` every class gives the one pair to its nearest class of another component, else every
+    possible pair is given.
     """
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple]:
-        same = rows[0][0][1] == rows[0][0][2]
-        left = [r for r in rows if r[1] == rows[0][0][1]]
-        right = left if same else [r for r in rows if r[1] == rows[0][0][2]]
+    def pairs_of(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+        (_, low, high), same = rows[0][0], rows[0][0][1] == rows[0][0][2]
+        left = [r for r in rows if r[1] == low]
+        right = left if same else [r for r in rows if r[1] == high]
         if not left or not right:
-            return
+            return NOTHING
         words = min(len(r[5]) for r in rows) // 8
         table = np.stack([fold(np.frombuffer(r[5], dtype=np.uint64), words) for r in right])
-        doc = np.array([r[2] for r in right])
-        component = np.array([r[3] for r in right])
-        n = np.array([r[4] for r in right])
-        best: dict[tuple, tuple] = {}
+        doc, component, n = (np.array([r[k] for r in right]) for k in (2, 3, 4))
+        far_right, mate_right = np.full(len(right), np.inf), np.zeros(len(right), dtype=np.int64)
+        out: list[tuple] = []
         for k, (_, _, a, c, size, sketch) in enumerate(left):
             near = hamming_at_most(size, sketch, n, table) & (component != c)
             if same:
                 near[:k + 1] = False
-            for j in np.flatnonzero(near).tolist():
-                low, high = sorted((a, int(doc[j])))
-                if not closest:
-                    yield low, high
-                    continue
-                own = fold(np.frombuffer(sketch, dtype=np.uint64), words)
-                far = int(np.bitwise_count(table[j] ^ own).sum()) / (size + int(n[j]))
-                two = tuple(sorted((c, int(component[j]))))
-                best[two] = min(best.get(two, (2.0, 0, 0)), (far, low, high))
-        yield from ((low, high) for _, low, high in best.values())
+            at = np.flatnonzero(near)
+            if not len(at):
+                continue
+            if not closest:
+                out.append((np.full(len(at), a), np.zeros(len(at)), np.full(len(at), a), doc[at]))
+                continue
+            own = fold(np.frombuffer(sketch, dtype=np.uint64), words)
+            far = np.bitwise_count(table[at] ^ own).sum(axis=1) / (size + n[at])
+            j = int(far.argmin())
+            out.append((np.array([a]), far[j:j + 1], np.array([a]), doc[at[j:j + 1]]))
+            better = far < far_right[at]
+            far_right[at[better]], mate_right[at[better]] = far[better], a
+        if closest:
+            at = np.flatnonzero(far_right < np.inf)
+            out.append((doc[at], far_right[at], doc[at], mate_right[at]))
+        return tuple(np.concatenate(c) for c in zip(*out)) if out else NOTHING
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        out: list[tuple] = []
+        out: list[tuple] = [NOTHING]
         names = ["part", "block_a", "block_b", "block", "doc", "component", "n", "sketch"]
         for batch in batches:
             for r in zip(*[batch.column(c).to_pylist() for c in names]):
                 if rows and rows[0][0] != r[:3]:
-                    out.extend(pairs_of(rows))
+                    out.append(pairs_of(rows))
                     rows = []
                 rows.append((r[:3], *r[3:]))
-            if len(out) > 10_000:
-                yield as_pairs(out)
-                out = []
+            if sum(len(x[0]) for x in out) > 100_000:
+                yield reduced(out)
+                out = [NOTHING]
         if rows:
-            out.extend(pairs_of(rows))
-        yield as_pairs(out)
-
-    def as_pairs(out: list[tuple]) -> pa.RecordBatch:
-        flat = np.array(list(set(out)), dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(flat[:, 0].copy()), pa.array(flat[:, 1].copy())], ["a", "b"])
+            out.append(pairs_of(rows))
+        yield reduced(out)
+
+    def reduced(out: list[tuple]) -> pa.RecordBatch:
+        """What the next step needs of these pairs: the nearest of each class, or each pair once."""
+        doc, far, x, y = (np.concatenate(c) for c in zip(*out))
+        a, b = np.minimum(x, y), np.maximum(x, y)
+        order = np.lexsort((b, a, far, doc)) if closest else np.lexsort((b, a))
+        first = doc[order] if closest else np.stack([a[order], b[order]], axis=1)
+        keep = np.ones(len(order), dtype=bool)
+        keep[1:] = first[1:] != first[:-1] if closest else (first[1:] != first[:-1]).any(axis=1)
+        order = order[keep]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(c[order])) for c in (doc, far, a, b)], ["doc", "far", "a", "b"])
 
     return run
 
 
+NOTHING = (np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+
+
 def across_components(shared: DataFrame, classes: DataFrame, closest: bool) -> DataFrame:
     """Possible pairs (a, b) of classes that share a part and are of different components.
 
@@ -322,8 +344,11 @@ def across_components(shared: DataFrame, classes: DataFrame, closest: bool) -> D
              .withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
              .join(classes.select("doc", "n", "sketch"), "doc")
              .repartition("part", "block_a", "block_b").sortWithinPartitions("part", "block_a", "block_b"))
-    return dealt.select("part", "block_a", "block_b", "block", "doc", "component", "n", "sketch").mapInArrow(
-        compare_blocks(closest), "a long, b long").distinct()
+    found = dealt.select("part", "block_a", "block_b", "block", "doc", "component", "n", "sketch").mapInArrow(
+        compare_blocks(closest), POSSIBLE)
+    if closest:
+        found = found.groupBy("doc").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.*")
+    return found.select("a", "b").distinct()
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -347,7 +372,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
              .join(own.toDF("leader", "b", "n_b", "sketch_b"), "leader")
              .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_possible, "a long, b long"))
     links = stored(verified(stored(first), docs))
-    for closest in (True, False):
+    # Merging rounds only save work: the last round looks at every possible pair that is left.
+    for closest in [True] * MERGING_ROUNDS + [False]:
         named = components(links)
         labelled = classes.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
             "key", "doc", F.coalesce("component", "doc").alias("component"), "n", "sketch")
