@@ -56,7 +56,7 @@ def tokens(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, table row of every token, text of every token), chunk by chunk."""
     for first, data, bounds in chunks(texts):
         kind = CLASSES[data]
-        starts, ends = word_spans(data, kind != 1)
+        starts, ends = word_spans(data, CLASSES != 1)
         lower = LOWER[data]
         row = (span_hashes(lower, starts, ends) % np.uint64(ROWS - SIGNS)).astype(np.int64) + SIGNS
         upper = np.concatenate(([0], np.cumsum((data >= 65) & (data <= 90))))
