@@ -192,8 +192,10 @@ PHRASES = " + ".join(f"CASE WHEN contains(lower({{0}}), '{p}') THEN 1 ELSE 0 END
                      for p in V.BOILERPLATE_PHRASES)
 
 
-def label_sql(rows: str, key: str) -> str:
+def label_sql(rows: str, key: str, limit: int | None = None) -> str:
     """Text record columns from rows with key, head, full_text, raw_length, link and plain length."""
+    cut = (f"length(full_text) > {limit} AS cut, substr(full_text, 1, {limit}) AS text" if limit
+           else "FALSE AS cut, full_text AS text")
     return f"""
 SELECT *, CASE WHEN reason IS NULL THEN 'completed' ELSE 'low_context' END AS status
 FROM (SELECT {key}, text, raw_length, length(text) AS text_length, cut,
@@ -205,7 +207,7 @@ FROM (SELECT {key}, text, raw_length, length(text) AS text_length, cut,
     WHEN length(text) < 100 THEN CASE WHEN cut THEN 'truncated_to_low_context' ELSE 'too_short' END
   END AS reason
 FROM (SELECT {key}, lower(trim(head)) AS head, raw_length, link_length, plain_length,
-             length(full_text) > 12000 AS cut, substr(full_text, 1, 12000) AS text
+             {cut}
       FROM ({rows}) r) s) l"""
 
 
@@ -220,17 +222,18 @@ def page_records(t):
     return H.sanitize(rows, "html", "head")
 
 
-def document_records(t):
+def document_records(t, max_length=None):
     rows = t.documents.withColumn("head", N.display_title(F.split("text", "\n")[0]))
-    return H.sanitize(rows, "text", "head")
+    return H.sanitize(rows, "text", "head", max_length)
 
 
 @query("truncated_texts", "FN-11 FN-12", f"""
 SELECT doc_id, md5(text) AS text_md5, text_length, CASE WHEN cut THEN 1 ELSE 0 END AS was_truncated,
        ROUND(CAST(text_length AS DOUBLE) / raw_length, 6) AS reduction_ratio
-FROM ({label_sql(DOC_TEXT_SQL, 'doc_id')}) x""")
+FROM ({label_sql(DOC_TEXT_SQL, 'doc_id', 12000)}) x""")
 def _(t):
-    return rounded(document_records(t).select(
+    # The length limit of the default profile: cutting is what this query shows.
+    return rounded(document_records(t, 12000).select(
         "doc_id", F.md5("sanitized_text").alias("text_md5"),
         F.col("sanitized_text_length").alias("text_length"),
         F.col("was_truncated").cast("int").alias("was_truncated"), "reduction_ratio"))

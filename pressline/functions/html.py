@@ -24,7 +24,8 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen
 
 PARSED = T.StructType([
     T.StructField("text", T.StringType()), T.StructField("plain_length", T.LongType()),
-    T.StructField("link_length", T.LongType()), T.StructField("has_tag", T.BooleanType())])
+    T.StructField("link_length", T.LongType()), T.StructField("has_tag", T.BooleanType()),
+    T.StructField("failed", T.BooleanType())])
 
 
 def has_markup(c: Column) -> Column:
@@ -114,16 +115,20 @@ def parse_markup(remove_selectors: list[str] | None = None,
         out = []
         for body in bodies:
             if body is None:
-                out.append((None, None, None, None))
+                out.append((None, None, None, None, False))
             elif "<" not in body and "&" not in body:
                 text = "" if keep else body
-                out.append((text, len(body.strip()), 0, False))
+                out.append((text, len(body.strip()), 0, False, False))
             else:
                 reader = _Reader(remove, keep)
-                reader.feed(body)
-                reader.close()
-                out.append(reader.result(decode))
-        return pd.DataFrame(out, columns=["text", "plain_length", "link_length", "has_tag"])
+                try:
+                    reader.feed(body)
+                    reader.close()
+                    out.append((*reader.result(decode), False))
+                except (AssertionError, ValueError):
+                    # The parser's own ways to refuse markup: a failure of this text alone.
+                    out.append(("", 0, 0, False, True))
+        return pd.DataFrame(out, columns=["text", "plain_length", "link_length", "has_tag", "failed"])
     return parse
 
 
@@ -204,13 +209,15 @@ def low_context_reason(text: Column, low: Column, head: Column, truncated: Colum
                 truncated, "truncated_to_low_context").otherwise("too_short")))
 
 
-def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = 12000,
+def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = None,
              remove_selectors: list[str] | None = None,
              content_selectors: list[str] | None = None, decode: bool = True,
              normalize: bool = True, collapse: bool = True, method: str = "default") -> DataFrame:
     """Add the text record columns to rows that hold a raw body and a title.
 
-    A missing body is a failed text; everything else is completed or low context with a reason.
+    A missing body is a failed text, and so is one that the parser gives up on; everything else is
+    completed or low context with a reason. Labels are judged on the whole text unless
+    ``max_length`` is given.
     """
     parse = parse_markup(remove_selectors, content_selectors, decode)
     raw = F.nullif(F.col(body), F.lit(""))
@@ -230,17 +237,19 @@ def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = 12
     rows = rows.withColumn("_low", F.lower("_text")).withColumn(
         "_head", F.lower(strip(F.coalesce(F.col(title), F.lit("")))))
     missing = F.col("_raw").isNull()
+    broken = F.coalesce(F.col("_p.failed"), F.lit(False))
     links = F.coalesce(link_share(F.col("_p.link_length"), F.col("_p.plain_length")), F.lit(0.0))
     reason = low_context_reason(F.col("_text"), F.col("_low"), F.col("_head"), F.col("_cut"),
                                 links)
     rows = rows.withColumn("text_processing_reason",
-                           F.when(missing, "missing_body").otherwise(reason))
+                           F.when(missing, "missing_body").when(broken, "sanitizer_exception")
+                           .otherwise(reason))
     return (rows.withColumn("sanitized_text", F.coalesce("_text", F.lit("")))
             .withColumn("sanitization_method", F.lit(method))
             .withColumn("html_detected", ~missing & has_markup(F.col("_raw")))
             .withColumn("was_truncated", F.coalesce("_cut", F.lit(False)))
             .withColumn("text_processing_status",
-                        F.when(missing, "failed")
+                        F.when(missing | broken, "failed")
                         .when(F.col("text_processing_reason").isNotNull(), "low_context")
                         .otherwise("completed"))
             .withColumn("raw_text_length", F.coalesce(F.length("_raw"), F.lit(0)).cast("long"))

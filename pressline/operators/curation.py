@@ -139,7 +139,7 @@ def apply_results(decision: DataFrame, brief: DataFrame, output: DataFrame, resu
                          F.lit(0).alias("retry_count"), *shared).unionByName(
         lost.select(KEY, F.lit("failed").alias("curate_status"),
                     F.lit(None).cast("string").alias("downstream_action"),
-                    F.substring("decision_reason", 1, 245).alias("decision_reason"),
+                    F.col("decision_reason"),
                     (F.coalesce("_retries", F.lit(0)) + 1).alias("retry_count"), *shared))
     action = F.col("downstream_action")
     with_output = won.filter(action.isin(V.PUBLISH_ACTIONS))

@@ -56,8 +56,7 @@ def _without(rows: DataFrame, key: str, salt: str, owners: DataFrame) -> DataFra
     return rows.join(keys, [key, salt], "left_anti")
 
 
-def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None = None,
-                 max_rounds: int = 10_000) -> DataFrame:
+def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None = None) -> DataFrame:
     """Places (the ``order`` columns) of the rows that pass: in ``order``, which must be unique, a
     row passes if none of its keys is owned by a row that passed.
 
@@ -76,7 +75,7 @@ def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None =
             left = _without(left, key, salt, owned)
         left = cut_lineage(left)
     passed: list[DataFrame] = []
-    for _ in range(max_rounds):
+    while True:
         by_main = left.groupBy(K1).agg(F.min(F.struct("_o", K2, "_s1", "_s2")).alias("_m")).select(
             K1, "_m.*")
         by_title = left.filter(F.col(K2).isNotNull()).groupBy(K2).agg(F.min("_o").alias("_o"))
@@ -88,8 +87,6 @@ def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None =
         left = cut_lineage(_without(_without(left, K1, "_s1", first), K2, "_s2", first))
         if left.isEmpty():
             break
-    else:
-        raise RuntimeError("dedup did not settle")
     return reduce(DataFrame.unionByName, passed).select("_o.*")
 
 

@@ -31,7 +31,7 @@ def labelled_entries(entries: DataFrame, order: list[str],
 
 def ingest(entries: DataFrame, order: list[str], markers: DataFrame | None = None,
            last_id: int = 0, retention_days: int = V.RAW_RETENTION_DAYS,
-           max_length: int = 12000) -> dict[str, DataFrame]:
+           max_length: int | None = None) -> dict[str, DataFrame]:
     """The rows a batch of entries adds to the four item tables.
 
     Dedup and numbering work on keys alone; the bodies move once, to meet their new id, and are

@@ -162,7 +162,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
 # --- snapshots ---------------------------------------------------------------------------------------------------
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
@@ -170,7 +170,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def read_pointer(spark: SparkSession, root: str) -> dict | None:
     """The newest pointer row, or None before the first export."""
     path = f"{root}/pointer"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return None
     rows = (spark.read.schema(POINTER_SCHEMA).json(path)
             .orderBy(F.desc("last_successful_run_at")).limit(1).collect())
@@ -205,7 +205,7 @@ def publish_snapshot(spark: SparkSession, root: str, plan: dict[str, DataFrame],
     else:
         generation = run_ts.replace(":", "-")
         step = 2
-        while _exists(spark, f"{root}/generations/generation={generation}"):
+        while path_exists(spark, f"{root}/generations/generation={generation}"):
             generation = f"{run_ts.replace(':', '-')}-r{step}"
             step += 1
         pointer = {"generation": generation, "export_completed_at": run_ts,

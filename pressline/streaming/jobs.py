@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pressline import fixed_values as V
 from pressline.functions import rates as R
 from pressline.plans.ingest import ingest, keyed_entries
+from pressline.sources.exports import path_exists
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
@@ -22,18 +23,16 @@ def file_stream(spark: SparkSession, path: str, schema: str, files_per_trigger:
 
 def _stored_ids(spark: SparkSession, root: str, batch_id: int) -> int:
     """Largest item id stored by earlier batches."""
-    try:
-        old = spark.read.parquet(f"{root}/source_item").filter(F.col("batch") < batch_id)
-    except Exception:  # noqa: BLE001 - nothing stored yet
+    if not path_exists(spark, f"{root}/source_item"):
         return 0
+    old = spark.read.parquet(f"{root}/source_item").filter(F.col("batch") < batch_id)
     return old.agg(F.max("source_item_id")).first()[0] or 0
 
 
 def _stored_markers(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    try:
-        rows = spark.read.parquet(f"{root}/ingest_dedup_marker")
-    except Exception:  # noqa: BLE001 - nothing stored yet
+    if not path_exists(spark, f"{root}/ingest_dedup_marker"):
         return None
+    rows = spark.read.parquet(f"{root}/ingest_dedup_marker")
     return rows.filter(F.col("batch") < batch_id).select("dedup_key")
 
 

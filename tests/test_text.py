@@ -121,3 +121,14 @@ def test_labels(spark):
 def test_fences(spark):
     given = ["```json\n{\"a\": 1}\n```", "```{}```", " {} ", "```\nx"]
     assert column(spark, given, K.unfenced) == ['{"a": 1}', "{}", "{}", "x"]
+
+
+def test_a_body_that_the_parser_refuses_fails_alone(spark):
+    bad, good = sanitized(spark, ["<p>x</p><![foo[bar]]>", "<p>" + "long enough text " * 10 + "</p>"])
+    assert (bad["text_processing_status"], bad["text_processing_reason"]) == ("failed", "sanitizer_exception")
+    assert good["text_processing_status"] == "completed"
+
+
+def test_nothing_is_cut_by_default(spark):
+    row = sanitized(spark, ["word " * 5000])[0]
+    assert row["sanitized_text_length"] == 24999 and not row["was_truncated"]
