@@ -13,7 +13,7 @@ leader that it shares most parts with. Verified pairs grow into components. Only
 holds several components are its classes compared across components, block by block, by bit sketches:
 a sketch is the parity of every residue of the hashes, and the Hamming distance of two sketches is a
 lower bound of the symmetric difference. What the bound does not rule out is verified on the texts:
-in two merging rounds the nearest candidate of every class, and then, after these have merged, every
+in a merging round the nearest candidate of every class, and then, after these have merged, every
 pair that is left.
 Every linked pair shares a part, so no link between different components is lost.
 """
@@ -32,7 +32,7 @@ from pressline.llm.storage import components, stored
 SHINGLE = 5
 SIMILAR, OF = 80, 100
 """Linked when OF * |A and B| >= SIMILAR * |A or B|."""
-MERGING_ROUNDS = 2
+MERGING_ROUNDS = 1
 BLOCK = 1024
 """Classes of one group that are compared in one block."""
 
