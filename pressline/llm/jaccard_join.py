@@ -13,7 +13,7 @@ leader that it shares most parts with. Verified pairs grow into components. Only
 holds several components are its classes compared across components, block by block, by bit sketches:
 a sketch is the parity of every residue of the hashes, and the Hamming distance of two sketches is a
 lower bound of the symmetric difference. What the bound does not rule out is verified on the texts:
-in a merging round the nearest candidate of every class, and then, after these have merged, every
+in the merging rounds the nearest candidate of every class, and then, after these have merged, every
 pair that is left.
 Every linked pair shares a part, so no link between different components is lost.
 """
@@ -32,7 +32,7 @@ from pressline.llm.storage import components, stored
 SHINGLE = 5
 SIMILAR, OF = 80, 100
 """Linked when OF * |A and B| >= SIMILAR * |A or B|."""
-MERGING_ROUNDS = 1
+MERGING_ROUNDS = 2
 BLOCK = 1024
 """Classes of one group that are compared in one block."""
 
@@ -327,28 +327,30 @@ def compare_blocks(closest: bool):
 NOTHING = (np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 
 
-def across_components(shared: DataFrame, classes: DataFrame, closest: bool) -> DataFrame:
+def across_components(members: DataFrame, labels: DataFrame, closest: bool) -> tuple[DataFrame, DataFrame]:
     """Possible pairs (a, b) of classes that share a part and are of different components.
 
-    ``classes``: (key, doc, component, n, sketch). Large groups are dealt as pairs of blocks.
+    ``members``: (part, doc) once each; ``labels``: (doc, component, n, sketch). Large groups are dealt
+    as pairs of blocks. The second table holds the members of the parts that had several components:
+    components only grow, so no other part can give a pair later.
     """
     # The group's span of components, summed map-side; groups of one component are done.
-    rows = shared.join(classes.select("key", "doc", "component"), "key").select(
-        "part", "doc", "component").distinct()
+    rows = members.join(labels.select("doc", "component"), "doc")
     mixed = (rows.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                       F.count(F.lit(1)).alias("members"))
              .where("low < high").select("part", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    rows = rows.join(mixed, "part").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    rows = stored(rows.join(mixed, "part"))
+    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = (rows.select("*", other)
+    dealt = (rows.withColumn("block", block).select("*", other)
              .withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
-             .join(classes.select("doc", "n", "sketch"), "doc")
+             .join(labels.select("doc", "n", "sketch"), "doc")
              .repartition("part", "block_a", "block_b").sortWithinPartitions("part", "block_a", "block_b"))
     found = dealt.select("part", "block_a", "block_b", "block", "doc", "component", "n", "sketch").mapInArrow(
         compare_blocks(closest), POSSIBLE)
     if closest:
         found = found.groupBy("doc").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.*")
-    return found.select("a", "b").distinct()
+    return found.select("a", "b").distinct(), rows.select("part", "doc")
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -373,12 +375,13 @@ def similar_groups(docs: DataFrame) -> DataFrame:
              .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_possible, "a long, b long"))
     links = stored(verified(stored(first), docs))
     # Merging rounds only save work: the last round looks at every possible pair that is left.
+    members = stored(shared.join(classes.select("key", "doc"), "key").select("part", "doc").distinct())
     for closest in [True] * MERGING_ROUNDS + [False]:
         named = components(links)
         labelled = classes.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
-            "key", "doc", F.coalesce("component", "doc").alias("component"), "n", "sketch")
-        more = stored(across_components(shared, stored(labelled), closest))
-        links = links.unionByName(stored(verified(more, docs)))
+            "doc", F.coalesce("component", "doc").alias("component"), "n", "sketch")
+        more, members = across_components(members, stored(labelled), closest)
+        links = links.unionByName(stored(verified(stored(more), docs)))
     named = components(links)
     groups = classes.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
         "key", "key2", F.coalesce("component", "doc").alias("component_id"))
