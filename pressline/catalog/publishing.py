@@ -640,24 +640,40 @@ def _(t):
         "run int, changed int, same_generation int")
 
 
+REJECTED_SQL = f"""
+SELECT x.source_item_id FROM ({PUBLISH_SQL}) x
+JOIN b_decision d ON d.source_item_id = x.source_item_id
+JOIN b_translation tr ON tr.source_item_id = x.source_item_id AND tr.language_code = x.language_code
+WHERE d.downstream_action = 'publish_summary' AND tr.bullet_2 IS NULL"""
+ACCEPTED_SQL = f"SELECT * FROM ({PUBLISH_SQL}) w WHERE source_item_id NOT IN ({REJECTED_SQL})"
+
+
 @query("publish_run", "STA-10 STA-11 SET-3 SET-4", f"""
-SELECT coalesce(c.language_code, o.language_code) AS language_code,
-       coalesce(c.new_status, o.publish_status) AS publish_status, count(*) AS rows
-FROM (SELECT x.source_item_id, x.language_code, 'published' AS new_status FROM ({PUBLISH_SQL}) x
-      JOIN b_decision d ON d.source_item_id = x.source_item_id
-      JOIN b_translation tr ON tr.source_item_id = x.source_item_id AND tr.language_code = x.language_code
-      WHERE NOT (d.downstream_action = 'publish_summary' AND tr.bullet_2 IS NULL)
-      UNION ALL SELECT source_item_id, language_code, 'withdrawn' FROM ({ACTIVE_ROWS_SQL}) a
-      WHERE source_item_id NOT IN ({ELIGIBLE_SQL})) c
-FULL JOIN (SELECT p.source_item_id, s.language_code, s.publish_status FROM b_publish p
+WITH accepted AS ({ACCEPTED_SQL}),
+fresh AS (SELECT source_item_id, CASE WHEN n = 1 THEN base ELSE base || '-' || n END AS slug
+          FROM (SELECT source_item_id, base, row_number() OVER (PARTITION BY base ORDER BY source_item_id) AS n
+                FROM (SELECT source_item_id, {SLUGIFY.format('title')} AS base
+                      FROM ({SLUG_TITLE_SQL.replace(f"({PUBLISH_SQL}) q", "accepted")}) s) b) r),
+changes AS (SELECT source_item_id, language_code, 'published' AS new_status FROM accepted
+            UNION ALL SELECT source_item_id, language_code, 'withdrawn' FROM ({ACTIVE_ROWS_SQL}) a
+            WHERE source_item_id NOT IN ({ELIGIBLE_SQL})),
+rows AS (SELECT coalesce(c.source_item_id, o.source_item_id) AS source_item_id,
+                coalesce(c.language_code, o.language_code) AS language_code,
+                coalesce(c.new_status, o.publish_status) AS publish_status
+         FROM changes c FULL JOIN (
+           SELECT p.source_item_id, s.language_code, s.publish_status FROM b_publish p
            JOIN b_publish_status s ON s.publish_record_id = p.publish_record_id) o
-  ON o.source_item_id = c.source_item_id AND o.language_code = c.language_code GROUP BY ALL""")
+           ON o.source_item_id = c.source_item_id AND o.language_code = c.language_code)
+SELECT r.source_item_id, r.language_code, r.publish_status, coalesce(p.slug, f.slug) AS slug
+FROM rows r LEFT JOIN b_publish p ON p.source_item_id = r.source_item_id
+LEFT JOIN fresh f ON f.source_item_id = r.source_item_id""")
 def _(t):
     tables = {"approved": t.b_approved, "decision": t.b_decision, "translation": t.b_translation,
               "item": t.b_item, "publish": t.b_publish, "publish_status": t.b_publish_status}
     out = PP.reconcile(tables, LANGS, RUN_TS, 9_000_000)
-    return out["publish_language_status"].groupBy("language_code", "publish_status").agg(
-        F.count(F.lit(1)).alias("rows"))
+    records = out["publish_record"].select("publish_record_id", "source_item_id", "slug")
+    return out["publish_language_status"].join(records, "publish_record_id").select(
+        "source_item_id", "language_code", "publish_status", "slug")
 
 
 # --- audits -----------------------------------------------------------------------------------------------------------

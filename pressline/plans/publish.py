@@ -15,7 +15,8 @@ def reconcile(tables: dict[str, DataFrame], languages: list[str], run_ts,
               last_record_id: int) -> dict[str, DataFrame]:
     """The complete publish_record and publish_language_status tables after a run.
 
-    Pairs whose payload breaks the contract are not published; they come back as ``rejected``.
+    Pairs whose payload is missing or breaks the contract come back as ``rejected``. Nothing of their
+    items is published or refreshed, in no language, and no slug or record is made for them.
     """
     from pressline.operators.buckets import sequence_ids
     item, approved, decision = tables["item"], tables["approved"], tables["decision"]
@@ -24,17 +25,23 @@ def reconcile(tables: dict[str, DataFrame], languages: list[str], run_ts,
     rows = cut_lineage(B.candidates(approved, decision, translation, item, publish, status))
     wanted = B.to_publish(rows, languages)
     withdrawn = B.to_withdraw(rows, publish, status, languages)
-    fresh = B.new_records(wanted, publish, run_ts)
-    numbered = cut_lineage(sequence_ids(fresh, [KEY], "publish_record_id", last_record_id))
-    records = publish.unionByName(numbered.select(*publish.columns))
+    # Judged before any slug is given: an assigned slug is never blank, so a mark stands in for it.
     payloads = (B.canonical_payloads(approved, decision, translation, item)
-                .join(records.select(KEY, "slug"), KEY))
+                .join(publish.select(KEY, "slug"), KEY, "left").fillna("item", ["slug"]))
     judged = payload_audit(payloads).select(KEY, "language_code", "is_valid", "reason")
-    plan = wanted.select(KEY, "language_code", "content_fingerprint").join(
-        judged, [KEY, "language_code"])
-    changes = (plan.filter("is_valid").select(KEY, "language_code",
-                                              F.lit("published").alias("publish_status"),
-                                              F.col("content_fingerprint").alias("source_fingerprint"))
+    plan = cut_lineage(
+        wanted.select(KEY, "language_code", "content_fingerprint", "display_title")
+        .join(judged, [KEY, "language_code"], "left")
+        .withColumn("reason", F.when(F.col("is_valid").isNull(), "payload is missing").otherwise(F.col("reason")))
+        .withColumn("is_valid", F.coalesce("is_valid", F.lit(False))))
+    failed = plan.filter("NOT is_valid")
+    accepted = plan.join(failed.select(KEY).distinct(), KEY, "left_anti")
+    fresh = B.new_records(accepted, publish, run_ts)
+    numbered = cut_lineage(sequence_ids(fresh, [KEY], "publish_record_id", last_record_id))
+    records = publish.unionByName(numbered.select(*publish.columns))
+    changes = (accepted.select(KEY, "language_code",
+                               F.lit("published").alias("publish_status"),
+                               F.col("content_fingerprint").alias("source_fingerprint"))
                .unionByName(withdrawn.select(KEY, "language_code",
                                              F.lit("withdrawn").alias("publish_status"),
                                              "source_fingerprint"))
@@ -42,7 +49,7 @@ def reconcile(tables: dict[str, DataFrame], languages: list[str], run_ts,
                .withColumn("moment", R.at(run_ts)))
     return {"publish_record": records,
             "publish_language_status": B.upsert_status(status, changes),
-            "rejected": plan.filter("NOT is_valid")}
+            "rejected": failed.drop("display_title")}
 
 
 def export_plan(tables: dict[str, DataFrame], languages: DataFrame, metadata: DataFrame,
