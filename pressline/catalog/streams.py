@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from pressline.bindings import BINDINGS, RAW_SCHEMAS
@@ -15,8 +13,8 @@ from pressline.catalog.state import HISTORY_SQL
 from pressline.streaming import jobs as J
 
 
-def attempts_of(t, path: str):
-    raw = J.file_stream(t.spark, path, RAW_SCHEMAS["events"])
+def attempts_of(t, path: str, files: int = 100):
+    raw = J.file_stream(t.spark, path, RAW_SCHEMAS["events"], files)
     return t.spark.sql(BINDINGS["b_attempt"].replace("FROM events", "FROM {events}"), events=raw)
 
 
@@ -25,23 +23,33 @@ def entries_of(t, path: str):
     return J.file_stream(t.spark, path, columns)
 
 
-def drain(stream, mode: str):
-    """Run a query over everything available into a table, then return the rows."""
-    name = "s_" + uuid.uuid4().hex
-    job = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
-           .trigger(availableNow=True).start())
-    job.awaitTermination()
-    return stream.sparkSession.table(name)
+def drain(stream, path: str, mode: str = "append"):
+    """Run a query over everything available into a Parquet folder; a later call goes on from there."""
+    (stream.writeStream.format("parquet").option("path", f"{path}/rows").outputMode(mode)
+     .option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination())
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
+# Every fiftieth attempt arrives after the restart, most of them behind the watermark by then.
 @query("stream_fetch_rates", "STR-3", f"""
+WITH arrived AS (SELECT *, date_trunc('hour', started_at) + INTERVAL 1 HOUR AS window_end,
+                        started_at < TIMESTAMP '2024-01-16' AND fetch_attempt_id % 50 <> 0 AS early
+                 FROM b_attempt),
+marks AS (SELECT max(started_at) FILTER (early) - INTERVAL 2 HOUR AS first_mark,
+                 max(started_at) - INTERVAL 2 HOUR AS last_mark FROM arrived)
 SELECT {iso_sql("date_trunc('hour', started_at)")} AS window_start, source_id, count(*) AS attempts,
        ROUND(avg(CASE WHEN outcome = 'success' THEN 1.0 ELSE 0.0 END), 6) AS fetch_success_rate
-FROM b_attempt GROUP BY ALL""")
+FROM arrived CROSS JOIN marks WHERE (early OR window_end > first_mark) AND window_end <= last_mark
+GROUP BY ALL""")
 def _(t):
     path = folder(t)
-    t.events.write.parquet(path)
-    return rounded(text_times(drain(J.stream_fetch_rates(attempts_of(t, path)), "complete")))
+    early = (F.col("ts") < "2024-01-16") & (F.col("event_id") % 50 != 0)
+    for arrival in (early, ~early):
+        t.events.filter(arrival).write.mode("append").parquet(f"{path}/in")
+        # One batch per arrival, so that the mark moves between the two and not inside them.
+        rates = J.stream_fetch_rates(attempts_of(t, f"{path}/in", files=1 << 30))
+        out = drain(rates, path)
+    return rounded(text_times(out))
 
 
 @query("stream_source_health", "STR-2", f"""
@@ -69,7 +77,7 @@ def _(t):
 
 
 @query("stream_ingest", "STR-1", greedy_sql("""
-SELECT dedup_rule, count(*) AS items FROM judged WHERE label = 'new' GROUP BY dedup_rule"""))
+SELECT source_id, title, dedup_rule, ingest_dedup_key FROM judged WHERE label = 'new'"""))
 def _(t):
     # Two arrivals in fetch order; the second one meets the stored markers of the first.
     path = folder(t)
@@ -78,14 +86,14 @@ def _(t):
         t.b_entry.filter(arrival).write.mode("append").parquet(f"{path}/in")
         J.stream_ingest(entries_of(t, f"{path}/in"), f"{path}/out", f"{path}/state",
                         ORDER).awaitTermination()
-    return t.spark.read.parquet(f"{path}/out/source_item").groupBy("dedup_rule").agg(
-        F.count(F.lit(1)).alias("items"))
+    return t.spark.read.parquet(f"{path}/out/source_item").select(
+        "source_id", "title", "dedup_rule", "ingest_dedup_key")
 
 
 @query("stream_single_key", "STR-1", f"""
-SELECT dedup_rule, count(DISTINCT ingest_dedup_key) AS items FROM ({KEYED_SQL}) k GROUP BY dedup_rule""")
+SELECT DISTINCT dedup_rule, ingest_dedup_key FROM ({KEYED_SQL}) k""")
 def _(t):
     path = folder(t)
-    t.b_entry.write.parquet(path)
-    rows = drain(J.stream_single_key(entries_of(t, path)).select("entry_id", "dedup_rule"), "append")
-    return rows.groupBy("dedup_rule").agg(F.count(F.lit(1)).alias("items"))
+    t.b_entry.write.parquet(f"{path}/in")
+    return drain(J.stream_single_key(entries_of(t, f"{path}/in")).select(
+        "dedup_rule", "ingest_dedup_key"), path)

@@ -6,8 +6,10 @@ later step is built-in expressions.
 
 from __future__ import annotations
 
+import re
 from html import unescape
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -35,41 +37,126 @@ def has_markup(c: Column) -> Column:
     return F.coalesce(entity | tag, F.lit(False))
 
 
-def _parts(selector: str) -> tuple[str, str, set[str]]:
-    """``tag#id.class`` pieces of a simple selector."""
-    head, *classes = selector.strip().split(".")
-    tag, _, ident = head.partition("#")
-    return tag.lower(), ident, set(classes)
+_PIECE = re.compile(r"""([.#])([\w-]+)|\[\s*([\w:-]+)\s*(?:([~^$*]?=)\s*("[^"]*"|'[^']*'|[^\]\s]+)\s*)?\]""")
+_TAG = re.compile(r"\*|[A-Za-z][\w-]*")
+
+
+def _compound(text: str) -> tuple[str, list[tuple[str, str, str]]]:
+    """Tag and (attribute, operator, value) tests of ``tag#id.class[name=value]``."""
+    head = _TAG.match(text)
+    at, tests = (head.end() if head else 0), []
+    while at < len(text):
+        m = _PIECE.match(text, at)
+        if not m:
+            raise ValueError(f"selector not supported: {text}")
+        if m[1]:
+            tests.append(("id", "=", m[2]) if m[1] == "#" else ("class", "~=", m[2]))
+        else:
+            tests.append((m[3].lower(), m[4] or "", (m[5] or "").strip("\"'")))
+        at = m.end()
+    if not head and not tests:
+        raise ValueError("empty selector")
+    tag = head[0].lower() if head else ""
+    return ("" if tag == "*" else tag), tests
+
+
+def selector_steps(selector: str) -> list[list[tuple[bool, tuple]]]:
+    """The alternatives of a selector, each as (only direct children, compound) from outside in.
+
+    Descendant and child combinators, tags, ids, classes and attribute tests are known; anything else
+    raises ValueError, so that a profile never silently matches nothing.
+    """
+    rules = []
+    for part in re.split(r",(?![^\[]*\])", selector):
+        words = re.findall(r">|(?:\[[^\]]*\]|[^\s>\[])+", part)
+        steps, child = [], False
+        for word in words:
+            if word == ">":
+                if child or not steps:
+                    raise ValueError(f"selector not supported: {selector}")
+                child = True
+            else:
+                steps.append((child, _compound(word)))
+                child = False
+        if child or not steps:
+            raise ValueError(f"selector not supported: {selector}")
+        rules.append(steps)
+    return rules
+
+
+def _fits(compound: tuple, tag: str, named: dict) -> bool:
+    want, tests = compound
+    if want and want != tag:
+        return False
+    for name, how, value in tests:
+        have = named.get(name)
+        if name not in named:
+            return False
+        have = have or ""
+        ok = (not how or (how == "=" and have == value) or (how == "~=" and value in have.split())
+              or (bool(value) and (how == "^=" and have.startswith(value) or how == "$=" and have.endswith(value)
+                                   or how == "*=" and value in have)))
+        if not ok:
+            return False
+    return True
+
+
+class _Open(NamedTuple):
+    """An open element: what it matched itself, and with its ancestors, of the selectors' steps."""
+    tag: str
+    own: frozenset
+    above: frozenset
+    removed: bool
+    found: int | None
 
 
 class _Reader(HTMLParser):
-    """Collects text with the open elements known, so removed and selected parts can be told."""
+    """Collects text with the open elements known, so removed and selected parts can be told.
+
+    What the open elements mean for a text is held in counters, so a text costs no walk over them.
+    """
 
     def __init__(self, remove: list, keep: list):
         super().__init__(convert_charrefs=True)
-        self.remove, self.keep = remove, keep
-        self.open: list[tuple[str, bool, list[int]]] = []
+        # (steps, is a removal) of every alternative.
+        self.rules = [(r, True) for r in remove] + [(r, False) for r in keep]
+        self.keep = bool(keep)
+        self.open: list[_Open] = []
+        self.depth: dict[str, int] = {}
+        self.silent, self.removed, self.active = 0, 0, []
         self.kept: list[str] = []
         self.chunks: list[str] = []
         self.links, self.any_tag = 0, False
         self.found: list[list[str]] = []
 
-    @staticmethod
-    def _hit(rules, tag, attrs):
-        named = dict(attrs)
-        classes = set((named.get("class") or "").split())
-        return any((not t or t == tag) and (not i or named.get("id") == i) and c <= classes
-                   for t, i, c in rules)
-
     def handle_starttag(self, tag, attrs):
         self.any_tag = True
         if tag in VOID_TAGS:
             return
-        found = []
-        if self.keep and self._hit(self.keep, tag, attrs):
-            found = [len(self.found)]
+        named: dict = {}
+        for k, v in attrs:
+            named.setdefault(k, v)
+        parent = self.open[-1] if self.open else None
+        own, removed, selected = [], False, False
+        for i, (steps, removal) in enumerate(self.rules):
+            for k, (child, compound) in enumerate(steps):
+                if k and (parent is None or (i, k - 1) not in (parent.own if child else parent.above)):
+                    continue
+                if _fits(compound, tag, named):
+                    own.append((i, k))
+                    if k == len(steps) - 1:
+                        removed, selected = removed or removal, selected or not removal
+        above = parent.above if parent else frozenset()
+        own = frozenset(own)
+        found = None
+        if selected:
+            found = len(self.found)
             self.found.append([])
-        self.open.append((tag, self._hit(self.remove, tag, attrs), found))
+            self.active.append(found)
+        self.open.append(_Open(tag, own, above if own <= above else above | own, removed, found))
+        self.depth[tag] = self.depth.get(tag, 0) + 1
+        self.silent += tag in SILENT_TAGS
+        self.removed += removed
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -77,23 +164,28 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
+        if not self.depth.get(tag):
+            return
+        while True:
+            last = self.open.pop()
+            self.depth[last.tag] -= 1
+            self.silent -= last.tag in SILENT_TAGS
+            self.removed -= last.removed
+            if last.found is not None:
+                self.active.pop()
+            if last.tag == tag:
                 return
 
     def handle_data(self, data):
-        names = [o[0] for o in self.open]
-        if not SILENT_TAGS.isdisjoint(names):
+        if self.silent:
             return
         self.chunks.append(data)
-        self.links += len(data) * names.count("a")
-        if any(o[1] for o in self.open):
+        self.links += len(data) * self.depth.get("a", 0)
+        if self.removed:
             return
         self.kept.append(data)
-        for _, _, ids in self.open:
-            for i in ids:
-                self.found[i].append(data)
+        for i in self.active:
+            self.found[i].append(data)
 
     def result(self, decode: bool):
         if self.keep:
@@ -107,8 +199,8 @@ class _Reader(HTMLParser):
 def parse_markup(remove_selectors: list[str] | None = None,
                  content_selectors: list[str] | None = None, decode: bool = True):
     """Arrow UDF: markup -> text without the removed parts, plain length, link length, tag flag."""
-    remove = [_parts(s) for s in REMOVED_TAGS + list(remove_selectors or [])]
-    keep = [_parts(s) for s in content_selectors or []]
+    remove = [r for s in REMOVED_TAGS + list(remove_selectors or []) for r in selector_steps(s)]
+    keep = [r for s in content_selectors or [] for r in selector_steps(s)]
 
     @F.pandas_udf(PARSED)
     def parse(bodies: pd.Series) -> pd.DataFrame:
