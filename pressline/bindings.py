@@ -220,8 +220,10 @@ SELECT doc_id AS entry_id, CAST(substr(source, 4) AS BIGINT) AS source_id,
        CASE WHEN doc_id % 2 = 0 THEN concat('g-', CAST(doc_id % 900 AS VARCHAR(20))) END AS guid,
        text AS summary,
        CASE doc_id % 6 WHEN 0 THEN NULL
-            WHEN 1 THEN concat('Mon, ', CAST(doc_id % 28 + 1 AS VARCHAR(20)),
-                               ' Jan 2024 10:20:30 GMT')
+            WHEN 1 THEN concat(CASE WHEN doc_id % 5 = 0 THEN 'Monday ' ELSE 'Mon, ' END,
+                               CAST(doc_id % 28 + 1 AS VARCHAR(20)),
+                               CASE doc_id % 4 WHEN 1 THEN ' Jan 2024 05:20:30 EST'
+                                    ELSE ' Jan 24 10:20:30 GMT' END)
             WHEN 2 THEN concat('2024-02-', CASE WHEN doc_id % 28 < 9 THEN '0' ELSE '' END,
                                CAST(doc_id % 28 + 1 AS VARCHAR(20)), 'T20:00:00+08:00')
             WHEN 3 THEN concat('2024-03-', CAST(doc_id % 28 + 1 AS VARCHAR(20)))
@@ -239,11 +241,18 @@ FROM documents""",
     "b_payload": """
 SELECT payload_id, source_id,
        CASE WHEN payload_id % 2 = 0 THEN concat(
-            '<?xml version="1.0"?><rss version="2.0"><channel><title>c</title><item><title>', head,
-            '</title><link>https://Example.com/p/', CAST(payload_id AS VARCHAR(20)),
+            '<?xml version="1.0"?><rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/" ',
+            'xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd" ',
+            'xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>c</title><item><title>', head,
+            '</title>', CASE WHEN payload_id % 4 = 0 THEN '<media:title>Caption</media:title>' ELSE '' END,
+            '<link>https://Example.com/p/', CAST(payload_id AS VARCHAR(20)),
             '/</link><guid isPermaLink="false">g', CAST(payload_id AS VARCHAR(20)),
-            '</guid><pubDate>Fri, 05 Jan 2024 10:00:00 GMT</pubDate><description>', body,
-            '</description></item>',
+            '</guid><pubDate>', CASE WHEN payload_id % 4 = 0 THEN 'Fri 5 Jan 24 05:00 EST'
+                                 ELSE 'Fri, 05 Jan 2024 10:00:00 GMT' END, '</pubDate>',
+            CASE WHEN payload_id % 6 = 2 THEN '<content:encoded>' ELSE '<description>' END, body,
+            CASE WHEN payload_id % 6 = 2 THEN '</content:encoded>' ELSE '</description>' END,
+            CASE WHEN payload_id % 4 = 0 THEN '<media:description>Alt</media:description><itunes:summary>S</itunes:summary>'
+                 ELSE '' END, '</item>',
             CASE WHEN payload_id % 10 = 0 THEN
                 '<item><title>Episode</title><enclosure url="https://media.example/e.mp3"/></item>'
                 ELSE '' END,
@@ -252,8 +261,9 @@ SELECT payload_id, source_id,
             '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>', head, '</title><id>u:',
             CAST(payload_id AS VARCHAR(20)), '</id><link rel="alternate" href="https://a.example/',
             CAST(payload_id AS VARCHAR(20)),
-            '"/><updated>2024-01-05T18:00:00+08:00</updated><content type="html">', body,
-            '</content></entry>', CASE WHEN payload_id % 17 = 4 THEN '' ELSE '</feed>' END) END
+            '"/><updated>2024-01-05T18:00:00+08:00</updated><content type="',
+            CASE WHEN payload_id % 4 = 1 THEN 'xhtml"><div xmlns="http://www.w3.org/1999/xhtml">' ELSE 'html">' END, body,
+            CASE WHEN payload_id % 4 = 1 THEN '</div>' ELSE '' END, '</content></entry>', CASE WHEN payload_id % 17 = 4 THEN '' ELSE '</feed>' END) END
        AS payload
 FROM b_escaped""",
 }

@@ -18,19 +18,34 @@ DATE_SHAPES = [
      "d MMM yyyy H:m:s xxx"),
     ("^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}[+-]\\d{2}:\\d{2}$", "yyyy-MM-dd'T'HH:mm:ssxxx"),
     ("^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    ("^\\d{1,2} [A-Za-z]{3} \\d{4} \\d{1,2}:\\d{1,2}:\\d{1,2}$", "d MMM yyyy H:m:s"),
 ]
+# Zone names of the mail date format, by offset.
+ZONE_OFFSETS = {"-0400": "EDT", "-0500": "EST|CDT", "-0600": "CST|MDT", "-0700": "MST|PDT",
+                "-0800": "PST", "+0000": "UT|Z"}
 
 
 def published_at(raw: Column) -> Column:
     """Feed date text to a UTC timestamp, NULL when no accepted shape fits.
 
-    The weekday is dropped before parsing; fractions of a second are dropped.
+    The weekday, with or without a comma, and fractions of a second are dropped. In the mail format
+    the seconds may be missing, years may have two digits (69 to 99 are of the last century), zones
+    may be named, and no zone means UTC.
     """
-    text = F.regexp_replace(strip(raw), "^[A-Za-z]{3}, ", "")
+    text = F.regexp_replace(strip(raw), "^[A-Za-z]{3,9},?\\s+(?=[0-9])", "")
     text = F.regexp_replace(text, "([0-9]{2}:[0-9]{2}:[0-9]{2})\\.[0-9]+", "$1")
-    tries = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
-             for shape, pattern in DATE_SHAPES]
-    return F.coalesce(*tries)
+    text = F.regexp_replace(text, "^([0-9]{1,2} [A-Za-z]{3}) ([0-5][0-9]|6[0-8]) ", "$1 20$2 ")
+    text = F.regexp_replace(text, "^([0-9]{1,2} [A-Za-z]{3}) (69|[7-9][0-9]) ", "$1 19$2 ")
+    text = F.regexp_replace(text, "^([0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{1,2}:[0-9]{2})( |$)", "$1:00$2")
+    for offset, zones in ZONE_OFFSETS.items():
+        text = F.regexp_replace(text, f" ({zones})$", f" {offset}")
+
+    def first_fit(c: Column) -> Column:
+        return F.coalesce(*[F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(pattern)))
+                            for shape, pattern in DATE_SHAPES])
+
+    # The cleaned text is made once, not once per shape.
+    return F.get(F.transform(F.array(text), first_fit), F.lit(0))
 
 
 def expires_at(fetched: Column, days: int) -> Column:

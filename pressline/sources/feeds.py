@@ -8,23 +8,33 @@ from pressline.functions import titles as N
 from pressline.functions.times import published_at
 
 # --- fixed values: elements of the two feed dialects ---------------------------------------------
+# Names keep their prefix: media:title or itunes:summary never stand for the item's own fields.
 _RSS_ITEM = ("struct<title: string, link: array<struct<_VALUE: string, _href: string>>, "
-             "guid: struct<_VALUE: string, _isPermaLink: string>, pubDate: string, date: string, "
-             "description: string, encoded: string, "
+             "guid: struct<_VALUE: string, _isPermaLink: string>, pubDate: string, `dc:date`: string, "
+             "description: string, `content:encoded`: string, "
              "enclosure: array<struct<_url: string>>>")
-_ATOM_ENTRY = ("struct<title: struct<_VALUE: string>, id: string, "
+# Text constructs are read as strings, so XHTML comes as its markup.
+_ATOM_ENTRY = ("struct<title: string, id: string, "
                "link: array<struct<_rel: string, _href: string>>, published: string, "
-               "updated: string, summary: struct<_VALUE: string>, "
-               "content: array<struct<_VALUE: string>>>")
+               "updated: string, summary: string, content: array<string>>")
 FEED_SCHEMA = (f"channel struct<item: array<{_RSS_ITEM}>>, item array<{_RSS_ITEM}>, "
                f"entry array<{_ATOM_ENTRY}>, _broken string")
+_PREFIXED_ROOT = r"^\s*(?:<[?!][^>]*>\s*)*<([A-Za-z_][\w.-]*):feed[\s>]"
+_XHTML_DIV = r"(?s)^\s*<div\b[^>]*http://www\.w3\.org/1999/xhtml[^>]*>(.*)</div>\s*$"
 
 
 def parse_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
-    """Payload rows with their parsed feed; ``broken`` marks payloads that are no valid XML."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken",
-               "ignoreNamespace": "true"}
-    parsed = F.from_xml(F.col(column), FEED_SCHEMA, options)
+    """Payload rows with their parsed feed; ``broken`` marks payloads that are no valid XML.
+
+    A feed whose root carries a prefix is read with that prefix taken off its tags.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    raw = F.col(column)
+    prefix = F.regexp_extract(raw, _PREFIXED_ROOT, 1)
+    bare = F.when(F.coalesce(prefix, F.lit("")) == "", raw).otherwise(F.replace(
+        F.replace(raw, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<")),
+        F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</")))
+    parsed = F.from_xml(bare, FEED_SCHEMA, options)
     return payloads.withColumn("_feed", parsed).withColumn(
         "broken", F.col("_feed").isNull() | F.col("_feed._broken").isNotNull())
 
@@ -39,6 +49,11 @@ def _text(c: Column) -> Column:
     return F.nullif(N.strip(c), F.lit(""))
 
 
+def _markup(c: Column) -> Column:
+    """An Atom text; the wrapper that XHTML needs is not part of it."""
+    return _text(F.regexp_replace(c, _XHTML_DIV, "$1"))
+
+
 def _rss(item: Column) -> Column:
     link = F.get(F.filter(item["link"], lambda x: _text(x["_VALUE"]).isNotNull()), F.lit(0))
     permalink = F.coalesce(F.lower(item["guid"]["_isPermaLink"]) != "false", F.lit(True))
@@ -46,8 +61,8 @@ def _rss(item: Column) -> Column:
         item["title"].alias("raw_title"), _text(item["guid"]["_VALUE"]).alias("guid"),
         F.coalesce(_text(link["_VALUE"]), F.when(permalink, _text(item["guid"]["_VALUE"])),
                    _text(F.get(item["enclosure"], F.lit(0))["_url"])).alias("link"),
-        _text(item["description"]).alias("description"), _text(item["encoded"]).alias("content"),
-        F.coalesce(_text(item["pubDate"]), _text(item["date"])).alias("raw_date"))
+        _text(item["description"]).alias("description"), _text(item["content:encoded"]).alias("content"),
+        F.coalesce(_text(item["pubDate"]), _text(item["dc:date"])).alias("raw_date"))
 
 
 def _atom(entry: Column) -> Column:
@@ -55,10 +70,10 @@ def _atom(entry: Column) -> Column:
         return F.get(F.filter(entry["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate"))
                               == rel), F.lit(0))["_href"]
     return F.struct(
-        entry["title"]["_VALUE"].alias("raw_title"), _text(entry["id"]).alias("guid"),
+        F.regexp_replace(entry["title"], _XHTML_DIV, "$1").alias("raw_title"), _text(entry["id"]).alias("guid"),
         F.coalesce(_text(href(F.lit("alternate"))), _text(href(F.lit("enclosure")))).alias("link"),
-        _text(entry["summary"]["_VALUE"]).alias("description"),
-        _text(F.get(entry["content"], F.lit(0))["_VALUE"]).alias("content"),
+        _markup(entry["summary"]).alias("description"),
+        _markup(F.get(entry["content"], F.lit(0))).alias("content"),
         F.coalesce(_text(entry["published"]), _text(entry["updated"])).alias("raw_date"))
 
 

@@ -1,7 +1,9 @@
 """Feed payload samples."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from pressline.functions.times import published_at
 from pressline.sources import feeds
 
 ATOM = '<feed xmlns="http://www.w3.org/2005/Atom">{}</feed>'
@@ -24,6 +26,16 @@ SAMPLES = {
                             '<enclosure url="https://example.net/ep9.mp3" type="audio/mpeg" length="1"/></item>'),
     "minimal": RSS.format("<item><description>Only.</description></item>"),
     "two": RSS.format("<item><title>one</title></item><item><title>two</title></item>"),
+    "media": RSS.replace("<rss ", '<rss xmlns:media="m" xmlns:itunes="i" xmlns:content="c" xmlns:dc="d" '
+                         'xmlns:atom="a" ').format(
+        "<item><title>Real</title><media:title>Caption</media:title><atom:link href='https://self.example/'/>"
+        "<link>https://example.com/m</link><media:description>Alt</media:description><itunes:summary>S"
+        "</itunes:summary><content:encoded><![CDATA[<p>Whole</p>]]></content:encoded>"
+        "<dc:date>2026-06-01T12:00:00Z</dc:date></item>"),
+    "xhtml": ATOM.format('<entry><title type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml">A <b>b</b></div></title>'
+                         '<content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml"><p>x</p></div></content>'
+                         "</entry>"),
+    "prefixed": '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:title>P</a:title></a:entry></a:feed>',
     "empty": RSS.format(""),
     "malformed": "<rss><channel><item><title>x</item></channel>",
     "text": "not xml",
@@ -56,3 +68,17 @@ def test_entries(parsed):
     assert rows["enclosure"][0].canonical_url == "https://example.net/ep9.mp3"
     assert rows["minimal"][0].title == "" and rows["minimal"][0].summary == "Only."
     assert [r.title for r in rows["two"]] == ["one", "two"]
+    media = rows["media"][0]
+    assert (media.title, media.canonical_url, media.summary) == ("Real", "https://example.com/m", "<p>Whole</p>")
+    assert media.published_at.isoformat() == "2026-06-01T12:00:00"
+    assert rows["xhtml"][0].title == "A <b>b</b>" and rows["xhtml"][0].summary == "<p>x</p>"
+    assert rows["prefixed"][0].title == "P"
+
+
+@pytest.mark.parametrize("raw, iso", [
+    ("Mon, 01 Jun 2026 12:00 GMT", "2026-06-01T12:00:00"), ("Mon 1 Jun 2026 07:00:00 EST", "2026-06-01T12:00:00"),
+    ("1 Jun 26 12:00:00 +0000", "2026-06-01T12:00:00"), ("Monday, 1 Jun 99 12:00 PDT", "1999-06-01T19:00:00"),
+    ("1 Jun 2026 12:00:00", "2026-06-01T12:00:00"), ("01 Jun 2026 12:00:00 XYZ", None), (None, None)])
+def test_dates(spark, raw, iso):
+    got = spark.createDataFrame([(raw,)], "raw string").select(published_at(F.col("raw")).alias("at")).first().at
+    assert (got and got.isoformat()) == iso

@@ -1,5 +1,6 @@
 """Text rules on literal rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pressline.functions import content as K
@@ -132,3 +133,25 @@ def test_a_body_that_the_parser_refuses_fails_alone(spark):
 def test_nothing_is_cut_by_default(spark):
     row = sanitized(spark, ["word " * 5000])[0]
     assert row["sanitized_text_length"] == 24999 and not row["was_truncated"]
+
+
+def read_markup(body, remove=(), keep=()):
+    rules = [[r for s in given for r in H.selector_steps(s)] for given in ([*H.REMOVED_TAGS, *remove], keep)]
+    reader = H._Reader(*rules)
+    reader.feed(body)
+    reader.close()
+    return reader.result(True)[0]
+
+
+def test_selectors():
+    page = "<div><i><p class='body x'>A</p></i></div><p class=body data-k='v w'>D</p>"
+    assert read_markup(page, keep=["div .body"]) == "A" and read_markup(page, keep=["div > .body"]) == ""
+    assert read_markup(page, keep=["i > p.x, p[data-k~=w]"]) == "A\nD"
+    assert read_markup(page, remove=["[data-k^='v']"]) == "A"
+    for bad in ("p:first-child", "a + b", "> p", "p >", ""):
+        with pytest.raises(ValueError):
+            H.selector_steps(bad)
+
+
+def test_unclosed_elements_cost_no_walk():
+    assert read_markup("<p>x</q>" * 50_000) == "x" * 50_000
