@@ -202,7 +202,7 @@ def publishing_coverage(languages, item, decision, approved, publish, publish_st
     active = active_approved(item, decision, approved, window)
     live = live_by_language(active.select(KEY, "content_fingerprint"), publish, publish_status)
     return (coverage_by_language(languages, live, active)
-            .join(active.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0"))
+            .join(F.broadcast(active.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")))
             .select("language_code", "coverage_rate"))
 
 
