@@ -35,6 +35,8 @@ SIMILAR, OF = 80, 100
 MERGING_ROUNDS = 2
 BLOCK = 1024
 """Classes of one group that are compared in one block."""
+AT_ONCE = 1 << 20
+"""Words of 64 bits that are compared at once."""
 
 
 def bands(top: int = 1 << 40) -> list[int]:
@@ -222,135 +224,171 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long")
 
 
-def hamming_at_most(n_a: int, sketch_a: bytes, n_b: np.ndarray, sketches: np.ndarray) -> np.ndarray:
-    """Which of many sketches (rows of uint64, one width) are near enough to the given one."""
-    own = fold(np.frombuffer(sketch_a, dtype=np.uint64), sketches.shape[1])
-    distance = np.bitwise_count(sketches ^ own).sum(axis=1)
-    fits = (OF * np.minimum(n_a, n_b) >= SIMILAR * np.maximum(n_a, n_b))
-    return fits & (distance * (OF + SIMILAR) <= (n_a + n_b) * (OF - SIMILAR))
-
-
 def fold(sketch: np.ndarray, words: int) -> np.ndarray:
-    """A sketch of half the bits is the XOR of its halves."""
-    while len(sketch) > words:
-        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    """A sketch of half the bits is the XOR of its halves; also for many sketches, one a row."""
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
     return sketch
 
 
+class Sketches:
+    """The bit sketches of many sets side by side, as words of 64 bits."""
+
+    def __init__(self, n: np.ndarray, sketches: list[bytes]):
+        self.n = n
+        self.width = np.fromiter((len(x) // 8 for x in sketches), dtype=np.int64, count=len(sketches))
+        self.start = np.cumsum(self.width) - self.width
+        self.words = np.frombuffer(b"".join(sketches), dtype=np.uint64)
+        # The XOR of all words is the sketch of 64 bits.
+        self.short = np.bitwise_xor.reduceat(self.words, self.start) if len(sketches) else self.words
+
+    def folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Sketches of ``rows`` in ``width`` words."""
+        out = np.empty((len(rows), width), dtype=np.uint64)
+        own = self.width[rows]
+        for w in np.unique(own):
+            at = np.flatnonzero(own == w)
+            out[at] = fold(self.words[self.start[rows[at]][:, None] + np.arange(w)], width)
+        return out
+
+    def fits(self, i: np.ndarray, j: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """Whether sets at this distance may be linked, by their sizes and by what may differ."""
+        a, b = self.n[i], self.n[j]
+        return ((OF * np.minimum(a, b) >= SIMILAR * np.maximum(a, b))
+                & (distance * (OF + SIMILAR) <= (a + b) * (OF - SIMILAR)))
+
+    def likely(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """What sizes and short sketches do not rule out."""
+        return self.fits(i, j, np.bitwise_count(self.short[i] ^ self.short[j]).astype(np.int64))
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, distance) of the pairs that the whole sketches do not rule out."""
+        width = np.minimum(self.width[i], self.width[j])
+        distance = np.zeros(len(i), dtype=np.int64)
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            step = max(1, AT_ONCE // int(w))
+            for k in range(0, len(at), step):
+                s = at[k:k + step]
+                both = self.folded(i[s], int(w)) ^ self.folded(j[s], int(w))
+                distance[s] = np.bitwise_count(both).sum(axis=1)
+        yes = self.fits(i, j, distance)
+        return i[yes], j[yes], distance[yes]
+
+
 def _possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that the bit sketches do not rule out."""
     for batch in batches:
-        c = {k: batch.column(k).to_pylist() for k in ("n_a", "n_b", "sketch_a", "sketch_b")}
-        keep = []
-        for na, nb, sa, sb in zip(c["n_a"], c["n_b"], c["sketch_a"], c["sketch_b"]):
-            words = min(len(sa), len(sb)) // 8
-            other = fold(np.frombuffer(sb, dtype=np.uint64), words)[None, :]
-            keep.append(bool(hamming_at_most(na, sa, np.array([nb]), other)[0]))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(
-            pa.array(keep, pa.bool_()))
+        m = batch.num_rows
+        n = np.concatenate([batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b")])
+        sets = Sketches(n, batch.column("sketch_a").to_pylist() + batch.column("sketch_b").to_pylist())
+        i, _, _ = sets.near(np.arange(m), np.arange(m, 2 * m))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).take(
+            pa.array(np.sort(i)))
 
 
-POSSIBLE = "doc long, far double, a long, b long"
+POSSIBLE = "part long, doc long, far double, a long, b long"
+DEALT = ["part", "block_a", "block_b", "block", "doc", "component", "n", "sketch"]
+
+
+def firsts(*keys: np.ndarray, of: int) -> np.ndarray:
+    """Positions of the first row of each value of the first ``of`` keys, ordered by all keys."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for k in keys[:of]:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    return order[new]
 
 
 def compare_blocks(closest: bool):
     """Compares classes of different components inside (part, block, block) groups.
 
-    Rows come sorted by group, and one group of at most two blocks is held at a time. With
-    ``closest`` every class gives the one pair to its nearest class of another component, else every
-    possible pair is given.
+    Rows come sorted by group; some thousand rows of whole groups are compared at a time, each with
+    the row k places on, for every k that a group has. With ``closest`` every class of a part gives
+    the one pair to its nearest class of another component, else every possible pair is given.
     """
-    def pairs_of(rows: list[tuple]) -> tuple[np.ndarray, ...]:
-        (_, low, high), same = rows[0][0], rows[0][0][1] == rows[0][0][2]
-        left = [r for r in rows if r[1] == low]
-        right = left if same else [r for r in rows if r[1] == high]
-        if not left or not right:
-            return NOTHING
-        words = min(len(r[5]) for r in rows) // 8
-        table = np.stack([fold(np.frombuffer(r[5], dtype=np.uint64), words) for r in right])
-        doc, component, n = (np.array([r[k] for r in right]) for k in (2, 3, 4))
-        far_right, mate_right = np.full(len(right), np.inf), np.zeros(len(right), dtype=np.int64)
-        out: list[tuple] = []
-        for k, (_, _, a, c, size, sketch) in enumerate(left):
-            near = hamming_at_most(size, sketch, n, table) & (component != c)
-            if same:
-                near[:k + 1] = False
-            at = np.flatnonzero(near)
-            if not len(at):
-                continue
-            if not closest:
-                out.append((np.full(len(at), a), np.zeros(len(at)), np.full(len(at), a), doc[at]))
-                continue
-            own = fold(np.frombuffer(sketch, dtype=np.uint64), words)
-            far = np.bitwise_count(table[at] ^ own).sum(axis=1) / (size + n[at])
-            j = int(far.argmin())
-            out.append((np.array([a]), far[j:j + 1], np.array([a]), doc[at[j:j + 1]]))
-            better = far < far_right[at]
-            far_right[at[better]], mate_right[at[better]] = far[better], a
-        if closest:
-            at = np.flatnonzero(far_right < np.inf)
-            out.append((doc[at], far_right[at], doc[at], mate_right[at]))
-        return tuple(np.concatenate(c) for c in zip(*out)) if out else NOTHING
+    def pairs_of(table: pa.Table) -> pa.RecordBatch:
+        part, low, high, block, doc, component, n = (table[c].to_numpy() for c in DEALT[:-1])
+        sets = Sketches(n, table["sketch"].to_pylist())
+        new = np.concatenate(([True], (part[1:] != part[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+        bounds = np.append(np.flatnonzero(new), len(part))
+        end = np.repeat(bounds[1:], np.diff(bounds))
+        found: list[tuple] = [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64))]
+        waiting: list[tuple] = []
+
+        def settle() -> None:
+            i, j, distance = sets.near(*(np.concatenate(c) for c in zip(*waiting)))
+            waiting.clear()
+            far = distance / (n[i] + n[j])
+            row, far, mate = np.concatenate((i, j)), np.concatenate((far, far)), np.concatenate((j, i))
+            if closest:
+                keep = firsts(row, far, doc[mate], of=1)
+                row, far, mate = row[keep], far[keep], mate[keep]
+            else:
+                row, far, mate = i, far[:len(i)], j
+            found.append((row, far, mate))
+
+        i, k = np.arange(len(part)), 0
+        while len(i):
+            k += 1
+            i = i[i + k < end[i]]
+            j = i + k
+            # Two rows of one block meet in the group of that block with itself.
+            yes = (component[i] != component[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
+            a, b = i[yes], j[yes]
+            yes = sets.likely(a, b)
+            if yes.any():
+                waiting.append((a[yes], b[yes]))
+            if sum(len(x) for x, _ in waiting) > AT_ONCE // 8:
+                settle()
+        if waiting:
+            settle()
+        row, far, mate = (np.concatenate(c) for c in zip(*found))
+        a, b = np.minimum(doc[row], doc[mate]), np.maximum(doc[row], doc[mate])
+        keep = firsts(row, far, a, b, of=1) if closest else firsts(a, b, of=2)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c[keep]) for c in (part[row], doc[row], far, a, b)], ["part", "doc", "far", "a", "b"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        out: list[tuple] = [NOTHING]
-        names = ["part", "block_a", "block_b", "block", "doc", "component", "n", "sketch"]
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for r in zip(*[batch.column(c).to_pylist() for c in names]):
-                if rows and rows[0][0] != r[:3]:
-                    out.append(pairs_of(rows))
-                    rows = []
-                rows.append((r[:3], *r[3:]))
-            if sum(len(x[0]) for x in out) > 100_000:
-                yield reduced(out)
-                out = [NOTHING]
-        if rows:
-            out.append(pairs_of(rows))
-        yield reduced(out)
-
-    def reduced(out: list[tuple]) -> pa.RecordBatch:
-        """What the next step needs of these pairs: the nearest of each class, or each pair once."""
-        doc, far, x, y = (np.concatenate(c) for c in zip(*out))
-        a, b = np.minimum(x, y), np.maximum(x, y)
-        order = np.lexsort((b, a, far, doc)) if closest else np.lexsort((b, a))
-        first = doc[order] if closest else np.stack([a[order], b[order]], axis=1)
-        keep = np.ones(len(order), dtype=bool)
-        keep[1:] = first[1:] != first[:-1] if closest else (first[1:] != first[:-1]).any(axis=1)
-        order = order[keep]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(c[order])) for c in (doc, far, a, b)], ["doc", "far", "a", "b"])
+            held.append(batch.select(DEALT))
+            if sum(x.num_rows for x in held) < 8 * BLOCK:
+                continue
+            table = pa.Table.from_batches(held)
+            # The last group may go on in the next batch.
+            before = np.logical_or.reduce([c != c[-1] for c in (table[x].to_numpy() for x in DEALT[:3])])
+            if before.any():
+                cut = int(np.flatnonzero(before)[-1]) + 1
+                yield pairs_of(table.slice(0, cut))
+                held = table.slice(cut).to_batches()
+        if held and sum(x.num_rows for x in held):
+            yield pairs_of(pa.Table.from_batches(held))
 
     return run
 
 
-NOTHING = (np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-
-
-def across_components(members: DataFrame, labels: DataFrame, closest: bool) -> tuple[DataFrame, DataFrame]:
+def across_components(members: DataFrame, labels: DataFrame, closest: bool) -> DataFrame:
     """Possible pairs (a, b) of classes that share a part and are of different components.
 
     ``members``: (part, doc) once each; ``labels``: (doc, component, n, sketch). Large groups are dealt
-    as pairs of blocks. The second table holds the members of the parts that had several components:
-    components only grow, so no other part can give a pair later.
+    as pairs of blocks. Each row names a class and a part where it has such a pair. Components only
+    grow, so a class without one in a part gets none there later.
     """
     # The group's span of components, summed map-side; groups of one component are done.
     rows = members.join(labels.select("doc", "component"), "doc")
     mixed = (rows.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                       F.count(F.lit(1)).alias("members"))
              .where("low < high").select("part", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    rows = stored(rows.join(mixed, "part"))
     block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = (rows.withColumn("block", block).select("*", other)
+    dealt = (rows.join(mixed, "part").withColumn("block", block).select("*", other)
              .withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
              .join(labels.select("doc", "n", "sketch"), "doc")
              .repartition("part", "block_a", "block_b").sortWithinPartitions("part", "block_a", "block_b"))
-    found = dealt.select("part", "block_a", "block_b", "block", "doc", "component", "n", "sketch").mapInArrow(
-        compare_blocks(closest), POSSIBLE)
-    if closest:
-        found = found.groupBy("doc").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.*")
-    return found.select("a", "b").distinct(), rows.select("part", "doc")
+    return dealt.select(*DEALT).mapInArrow(compare_blocks(closest), POSSIBLE)
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -374,15 +412,21 @@ def similar_groups(docs: DataFrame) -> DataFrame:
              .join(own.toDF("leader", "b", "n_b", "sketch_b"), "leader")
              .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_possible, "a long, b long"))
     links = stored(verified(stored(first), docs))
-    # Merging rounds only save work: the last round looks at every possible pair that is left.
+    named = components(links)
     members = stored(shared.join(classes.select("key", "doc"), "key").select("part", "doc").distinct())
+    # Merging rounds only save work: the last round looks at every possible pair that is left.
     for closest in [True] * MERGING_ROUNDS + [False]:
-        named = components(links)
-        labelled = classes.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
-            "doc", F.coalesce("component", "doc").alias("component"), "n", "sketch")
-        more, members = across_components(members, stored(labelled), closest)
-        links = links.unionByName(stored(verified(stored(more), docs)))
-    named = components(links)
+        labelled = stored(classes.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
+            "doc", F.coalesce("component", "doc").alias("component"), "n", "sketch"))
+        found = stored(across_components(members, labelled, closest))
+        if found.isEmpty():
+            break
+        members = found.select("part", "doc").distinct()
+        nearest = found.groupBy("doc").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.*")
+        more = stored(verified((nearest if closest else found).select("a", "b").distinct(), docs))
+        if not more.isEmpty():
+            # What hung together before is as many links as it has classes.
+            named = components(more.unionByName(named.toDF("a", "b")))
     groups = classes.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
         "key", "key2", F.coalesce("component", "doc").alias("component_id"))
     out = sets.join(groups, ["key", "key2"], "left")
