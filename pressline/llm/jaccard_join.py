@@ -224,14 +224,6 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long")
 
 
-def fold(sketch: np.ndarray, words: int) -> np.ndarray:
-    """A sketch of half the bits is the XOR of its halves; also for many sketches, one a row."""
-    while sketch.shape[-1] > words:
-        half = sketch.shape[-1] // 2
-        sketch = sketch[..., :half] ^ sketch[..., half:]
-    return sketch
-
-
 class Sketches:
     """The bit sketches of many sets side by side, as words of 64 bits."""
 
@@ -243,13 +235,18 @@ class Sketches:
         # The XOR of all words is the sketch of 64 bits.
         self.short = np.bitwise_xor.reduceat(self.words, self.start) if len(sketches) else self.words
 
-    def folded(self, rows: np.ndarray, width: int) -> np.ndarray:
-        """Sketches of ``rows`` in ``width`` words."""
-        out = np.empty((len(rows), width), dtype=np.uint64)
+    def folded(self, rows: np.ndarray, width: int, low: int, high: int) -> np.ndarray:
+        """Words ``low`` to ``high`` of the sketches of ``rows`` in ``width`` words."""
+        out = np.empty((len(rows), high - low), dtype=np.uint64)
         own = self.width[rows]
         for w in np.unique(own):
             at = np.flatnonzero(own == w)
-            out[at] = fold(self.words[self.start[rows[at]][:, None] + np.arange(w)], width)
+            start = self.start[rows[at]]
+            # Folding to this width is the XOR of all stretches of it.
+            x = self.words[start[:, None] + np.arange(low, high)]
+            for k in range(width, int(w), width):
+                x ^= self.words[start[:, None] + np.arange(low + k, high + k)]
+            out[at] = x
         return out
 
     def fits(self, i: np.ndarray, j: np.ndarray, distance: np.ndarray) -> np.ndarray:
@@ -266,13 +263,16 @@ class Sketches:
         """(i, j, distance) of the pairs that the whole sketches do not rule out."""
         width = np.minimum(self.width[i], self.width[j])
         distance = np.zeros(len(i), dtype=np.int64)
-        for w in np.unique(width):
-            at = np.flatnonzero(width == w)
-            step = max(1, AT_ONCE // int(w))
-            for k in range(0, len(at), step):
-                s = at[k:k + step]
-                both = self.folded(i[s], int(w)) ^ self.folded(j[s], int(w))
-                distance[s] = np.bitwise_count(both).sum(axis=1)
+        for w in np.unique(width).tolist():
+            left = np.flatnonzero(width == w)
+            # The distance of a stretch is a bound already; most pairs go after the first quarter.
+            for low, high in ((0, w // 4), (w // 4, w)):
+                step = max(1, AT_ONCE // w)
+                for k in range(0, len(left) if low < high else 0, step):
+                    s = left[k:k + step]
+                    both = self.folded(i[s], w, low, high) ^ self.folded(j[s], w, low, high)
+                    distance[s] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+                left = left[self.fits(i[left], j[left], distance[left])]
         yes = self.fits(i, j, distance)
         return i[yes], j[yes], distance[yes]
 

@@ -6,6 +6,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -85,14 +86,55 @@ def test_sketch_distance_never_exceeds_the_difference():
     for size in (6, 40, 700):
         a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
         b = np.unique(np.concatenate([a[: size * 9 // 10], rng.integers(0, 1 << 63, size // 10 + 1).astype(np.uint64)]))
-        sa, sb = jaccard_join.bit_sketch(a), jaccard_join.bit_sketch(b)
-        words = min(len(sa), len(sb)) // 8
-        x, y = (jaccard_join.fold(np.frombuffer(s, dtype=np.uint64), words) for s in (sa, sb))
-        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        sets = jaccard_join.Sketches(np.array([len(a), len(b)]), [jaccard_join.bit_sketch(x) for x in (a, b)])
+        words = int(sets.width.min())
+        x, y = (sets.folded(np.array([k]), words, 0, words)[0] for k in (0, 1))
+        distance = int(np.bitwise_count(x ^ y).sum())
+        assert distance <= len(np.setxor1d(a, b))
+        one, other = np.array([0]), np.array([1])
+        fits = bool(sets.fits(one, other, np.array([distance]))[0])
+        assert [d.tolist() for d in sets.near(one, other)] == ([[0], [1], [distance]] if fits else [[], [], []])
         if jaccard_join.linked(a, b):
+            assert fits and sets.likely(one, other)[0]
             assert set(jaccard_join.part_parities(a)) & set(jaccard_join.part_parities(b))
 
 
+@pytest.mark.parametrize("closest", [True, False])
+def test_blocks_give_the_pairs_of_all_groups(closest):
+    rng = np.random.default_rng(5)
+    base = [np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for size in (3, 40, 41, 700)]
+    rows = []
+    for part, size in enumerate((2, 1, 60, 5, 300, 7)):
+        for at in range(size):
+            h = base[rng.integers(0, 4)]
+            h = np.sort(h[rng.permutation(len(h))[:max(1, len(h) - int(rng.integers(0, 4)))]])
+            block = int(rng.integers(0, 2)) if size > 50 else 0
+            row = (block, part * 1000 + at, int(rng.integers(0, 9)), len(h), jaccard_join.bit_sketch(h))
+            for other in range(2 if size > 50 else 1):
+                rows.append((part, min(block, other), max(block, other), *row))
+    rows.sort(key=lambda r: r[:3])
+    table = pa.table(dict(zip(jaccard_join.DEALT, map(pa.array, zip(*rows)))))
+    out = pa.Table.from_batches(jaccard_join.compare_blocks(closest)(table.to_batches(max_chunksize=37))).to_pylist()
+    unique = {(r[0], r[4]): r for r in rows}.values()
+    sets = jaccard_join.Sketches(np.array([r[6] for r in unique]), [r[7] for r in unique])
+    near: dict = {}
+    for i, r in enumerate(unique):
+        for j, q in enumerate(unique):
+            if r[0] == q[0] and r[5] != q[5] and len(sets.near(np.array([i]), np.array([j]))[0]):
+                far = sets.near(np.array([i]), np.array([j]))[2][0] / (r[6] + q[6])
+                near.setdefault((r[0], r[4]), {})[min(r[4], q[4]), max(r[4], q[4])] = far
+    assert near
+    if closest:
+        assert {(r["part"], r["doc"]) for r in out} == set(near)
+        best: dict = {}
+        for r in out:
+            assert near[r["part"], r["doc"]][r["a"], r["b"]] == r["far"]
+            best[r["part"], r["doc"]] = min(best.get((r["part"], r["doc"]), 2), r["far"])
+        assert best == {k: min(v.values()) for k, v in near.items()}
+    else:
+        assert {(r["a"], r["b"]) for r in out} == {p for v in near.values() for p in v}
+
+
 def test_perfect_hash_is_minimal_and_checks_bytes():
     words = np.random.default_rng(2).integers(0, 1 << 63, (3000, 4)).astype(np.uint64)
     levels = exact_dedup.build_perfect_hash(words[:2000])
