@@ -1,12 +1,14 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a small numpy network.
 
 A text is read as tokens: words without case, runs of equal marks, and signs of form (a word in
-capitals, a word in capitals at its start, the word before once more). Every token falls into one of
-``ROWS`` rows of a table, and every row owns a sparse random ternary index vector. A row's word vector
-is the sum of the index vectors of its neighbours over all documents of the corpus, which is one
-co-occurrence count. A document is the mean and the spread of its tokens' vectors, with the shares of
-the signs and its length. A network of two layers, trained on labelled rows, maps that to a logit, and one temperature,
-fitted on labelled rows that the training has not seen, calibrates it.
+capitals, a word in capitals at its start, the word before once more). A token is known by its 64-bit
+hash, and the hash alone gives its sparse ternary index vector, so the vocabulary has no fixed size.
+A word's vector is the sum of the index vectors of its neighbours over all documents of the corpus,
+added up per group of documents first and by key in Spark then. The table of all words is joined
+with the words of each group, never broadcast. A document is the mean and the spread of its tokens'
+vectors, with the shares of the signs and its length. A network of two layers, trained on labelled
+rows, maps that to a logit, and one temperature, fitted on labelled rows that the training has not
+seen, calibrates it.
 """
 
 from __future__ import annotations
@@ -16,27 +18,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import chunks, mix, span_hashes, texts_of, word_spans, LOWER
 from pressline.llm.storage import stored
 from pressline.llm.toxicity import remainder
 
-ROWS, SIZE, NONZERO = 2048, 24, 4
+SIZE, NONZERO = 24, 4
 SIGNS = 4
-"""The first rows of the table belong to the signs: capitals, capital at start, repeat, line end."""
+"""The keys 0 to 3 belong to the signs: capitals, capital at start, repeat, line end."""
 REACH = 2
 FEATURES = 2 * SIZE + SIGNS + 2
+GROUP_BYTES = 32 << 20
+"""Documents share one list of words up to about this many bytes; it only sets how often a word is sent."""
 SAMPLE_ROWS = 40_000
 """At most this many labelled rows are fitted, chosen by a hash of their id."""
 
 
-def index_vectors() -> np.ndarray:
-    """One sparse random vector of +1 and -1 per row, the same everywhere."""
-    out = np.zeros((ROWS, SIZE), dtype=np.float64)
-    rng = np.random.default_rng(11)
-    for row in out:
-        row[rng.choice(SIZE, NONZERO, replace=False)] = rng.choice([-1.0, 1.0], NONZERO)
+def index_vectors(keys: np.ndarray) -> np.ndarray:
+    """One sparse random vector of +1 and -1 per key, the same everywhere."""
+    salts = mix(np.arange(1, SIZE + 1, dtype=np.uint64))
+    order = mix(mix(keys)[:, None] ^ salts)
+    places = np.argpartition(order, NONZERO, axis=1)[:, :NONZERO]
+    out = np.zeros((len(keys), SIZE), dtype=np.int8)
+    signs = (np.take_along_axis(order, places, axis=1) & np.uint64(1)).astype(np.int8) * 2 - 1
+    np.put_along_axis(out, places, signs, axis=1)
     return out
 
 
@@ -53,77 +60,157 @@ CLASSES = _classes()
 
 
 def tokens(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, table row of every token, text of every token), chunk by chunk."""
+    """(first text, key of every token, text of every token), chunk by chunk."""
     for first, data, bounds in chunks(texts):
         kind = CLASSES[data]
         starts, ends = word_spans(data, CLASSES != 1)
         lower = LOWER[data]
-        row = (span_hashes(lower, starts, ends) % np.uint64(ROWS - SIGNS)).astype(np.int64) + SIGNS
+        key = span_hashes(lower, starts, ends)
         upper = np.concatenate(([0], np.cumsum((data >= 65) & (data <= 90))))
         capitals = upper[ends] - upper[starts]
         first_up = (upper[starts + 1] - upper[starts]) if len(starts) else capitals
         mark_new = (kind == 2) & (np.concatenate(([0], data[:-1])) != data)
         marks = np.flatnonzero(mark_new)
-        mark_row = (mix(data[marks].astype(np.uint64) + np.uint64(7)) % np.uint64(ROWS - SIGNS)
-                    ).astype(np.int64) + SIGNS
+        mark_key = mix(data[marks].astype(np.uint64) + np.uint64(7))
         lines = np.flatnonzero(data == 10)
-        same = np.zeros(len(row), dtype=bool)
-        same[1:] = row[1:] == row[:-1]
+        same = np.zeros(len(key), dtype=bool)
+        same[1:] = key[1:] == key[:-1]
         all_up = (capitals > 1) & (capitals * 2 > ends - starts)
         title = (first_up == 1) & ~all_up
         # A sign stands just before its word: places are doubled to make room.
         place = np.concatenate([starts * 4 + 3, starts[all_up] * 4 + 1, starts[title] * 4 + 1,
                                 starts[same] * 4 + 2, marks * 4 + 3, lines * 4])
-        value = np.concatenate([row, np.full(all_up.sum(), 0), np.full(title.sum(), 1),
-                                np.full(same.sum(), 2), mark_row, np.full(len(lines), 3)])
+        sign = np.repeat(np.arange(SIGNS, dtype=np.uint64), [all_up.sum(), title.sum(), same.sum(), len(lines)])
+        early = len(sign) - len(lines)
+        value = np.concatenate([key, sign[:early], mark_key, sign[early:]])
         order = np.argsort(place, kind="stable")
         owner = np.searchsorted(bounds, place[order] // 4, side="right") - 1
         yield first, value[order], owner
 
 
-def neighbour_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word-vector table summed over this task's texts, one record per block of rows."""
-    pairs = np.zeros(ROWS * ROWS, dtype=np.int64)
+def neighbour_sums(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sum of the index vectors of all their neighbours, distinct key of every token)."""
+    words, local = np.unique(key, return_inverse=True)
+    own = index_vectors(words)[local]
+    near = np.zeros_like(own)
+    for k in range(1, min(REACH, len(key) - 1) + 1):
+        one = (owner[k:] == owner[:-k])[:, None].astype(np.int8)
+        near[:-k] += own[k:] * one
+        near[k:] += own[:-k] * one
+    n = np.bincount(local, minlength=len(words))
+    sums = np.add.reduceat(near[np.argsort(local, kind="stable")], np.cumsum(n) - n, axis=0, dtype=np.int32)
+    return words, sums, local
+
+
+WORDS_AND_TEXTS = ("part long, doc_id long, size long, words binary, counts binary, "
+                   "key long, sums array<int>")
+
+
+def words_and_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of some texts each: a row per distinct word with its sums, and a row per text.
+
+    A text's row has the numbers of its distinct words among the sorted keys of the part, and counts.
+    """
+    part = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+    ids, sizes, found, held = [], [], [], 0
+    names = [c.split()[0] for c in WORDS_AND_TEXTS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int32())]
+
+    def record(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [columns.get(c, pa.nulls(n, k)) for c, k in zip(names, kinds)], names)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        keys = np.concatenate([np.zeros(0, dtype=np.uint64), *[f[0] for f in found]])
+        every, at = np.unique(keys, return_inverse=True)
+        sums = np.zeros((len(every), SIZE), dtype=np.int32)
+        words, counts, ends = [], [], []
+        before = 0
+        for key, near, code, n in found:
+            to = at[before:before + len(key)]
+            before += len(key)
+            sums[to] += near
+            words.append(to[code & np.uint64(0xFFFFFFFF)].astype(np.uint32))
+            counts.append(n.astype(np.uint32))
+            ends.append((code >> np.uint64(32)).astype(np.int64))
+        owner = np.concatenate([np.zeros(0, dtype=np.int64), *ends])
+        flat, n = (np.concatenate([np.zeros(0, dtype=np.uint32), *x]) for x in (words, counts))
+        cut = np.searchsorted(owner, np.arange(len(sizes) + 1))
+        for at in range(0, len(every), 10_000):
+            some = every[at:at + 10_000]
+            rows = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * SIZE,
+                                            pa.array(sums[at:at + len(some)].ravel()))
+            yield record(len(some), part=pa.array(np.full(len(some), part)),
+                         key=pa.array(some.view(np.int64)), sums=rows)
+        for at in range(0, len(sizes), 1000):
+            spans = [slice(*cut[i:i + 2]) for i in range(at, min(at + 1000, len(sizes)))]
+            yield record(len(spans), part=pa.array(np.full(len(spans), part)),
+                         doc_id=pa.array(ids[at:at + 1000], pa.int64()), size=pa.array(sizes[at:at + 1000]),
+                         words=pa.array([flat[x].tobytes() for x in spans], pa.binary()),
+                         counts=pa.array([n[x].tobytes() for x in spans], pa.binary()))
+
     for batch in batches:
-        for _, row, owner in tokens(texts_of(batch.column("text"))):
-            for k in range(1, REACH + 1):
-                one = owner[k:] == owner[:-k]
-                np.add.at(pairs, row[:-k][one] * ROWS + row[k:][one], 1)
-    square = pairs.reshape(ROWS, ROWS)
-    vectors = np.rint((square + square.T) @ index_vectors()).astype(np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(range(ROWS), pa.int32()), pa.array(list(vectors), pa.list_(pa.int64()))],
-        ["row", "vector"])
-
-
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """ROWS x SIZE: the summed table, each vector scaled to length one. Its size is fixed."""
-    sums = docs.select("text").mapInArrow(neighbour_sums, "row int, vector array<long>")
-    total = sums.groupBy("row").agg(*[F.sum(F.get("vector", F.lit(i))).alias(f"v{i}")
-                                      for i in range(SIZE)])
-    out = np.zeros((ROWS, SIZE))
-    for r in total.toArrow().to_pylist():
-        out[r["row"]] = [r[f"v{i}"] for i in range(SIZE)]
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
-
-
-def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
-    """Mean and standard deviation of the token vectors, sign shares, log length, tokens per byte."""
+        texts, own = texts_of(batch.column("text")), batch.column("doc_id").to_pylist()
+        done = 0
+        # A part may end inside a batch, so texts are taken in runs of about a chunk.
+        while done < len(texts):
+            stop, n = done, 0
+            while stop < len(texts) and (n == 0 or n + len(texts[stop]) <= 1 << 20):
+                n += len(texts[stop]) + 1
+                stop += 1
+            for first, key, owner in tokens(texts[done:stop]):
+                if len(key):
+                    words, near, local = neighbour_sums(key, owner)
+                    text = (len(sizes) + first + owner).astype(np.uint64)
+                    found.append((words, near, *np.unique(text << np.uint64(32) | local.astype(np.uint64),
+                                                          return_counts=True)))
+            ids.extend(own[done:stop])
+            sizes.extend(len(x) for x in texts[done:stop])
+            held, done = held + n, stop
+            if held > GROUP_BYTES:
+                yield from flush()
+                part, held = part + 1, 0
+                for x in (ids, sizes, found):
+                    x.clear()
+    if sizes:
+        yield from flush()
+
+
+def word_vectors(parts: DataFrame) -> DataFrame:
+    """(key, vector): the neighbour sums of every distinct word of the corpus."""
+    total = parts.where("key IS NOT NULL").groupBy("key").agg(
+        *[F.sum(F.get("sums", F.lit(i))).alias(f"v{i}") for i in range(SIZE)])
+    return total.select("key", F.array(*[F.col(f"v{i}").cast("float") for i in range(SIZE)]).alias("vector"))
+
+
+def pooled(texts: pa.Table, table: pa.Table) -> pa.Table:
+    """Mean and standard deviation of the token vectors, sign shares, log length, tokens per byte.
+
+    ``texts`` and ``table`` are the texts and the words of one part; a text without tokens is zero.
+    """
+    key = table.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    vectors = np.asarray(table.column("vector").combine_chunks().flatten(), dtype=np.float32).reshape(-1, SIZE)[order]
+    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = vectors / np.where(norm > 0, norm, 1)
+    signs = key[order][:, None] == np.arange(SIGNS, dtype=np.uint64)
+    both = np.concatenate([vectors, vectors ** 2, signs], axis=1).astype(np.float32)
     out = np.zeros((len(texts), FEATURES), dtype=np.float32)
-    both = np.concatenate([vectors, vectors ** 2, np.eye(ROWS, SIGNS)], axis=1).astype(np.float32)
-    for first, row, owner in tokens(texts):
-        if not len(row):
+    rows = zip(texts.column("words").to_pylist(), texts.column("counts").to_pylist(),
+               texts.column("size").to_pylist())
+    for i, (words, counts, size) in enumerate(rows):
+        if not words:
             continue
-        some, at = np.unique(owner, return_index=True)
-        n = np.diff(np.append(at, len(owner)))
-        sums = np.add.reduceat(both[row], at, axis=0) / n[:, None]
-        size = np.array([len(texts[first + i]) for i in some])
-        mean = sums[:, :SIZE]
-        spread = np.sqrt(np.maximum(sums[:, SIZE:2 * SIZE] - mean ** 2, 0))
-        out[first + some] = np.concatenate(
-            [mean, spread, sums[:, 2 * SIZE:], np.log1p(n)[:, None], (n / np.maximum(size, 1))[:, None]], axis=1)
-    return out
+        n = np.frombuffer(counts, dtype=np.uint32).astype(np.float32)
+        total = n.sum(dtype=np.float64)
+        sums = (n @ both[np.frombuffer(words, dtype=np.uint32)]) / np.float32(total)
+        mean = sums[:SIZE]
+        out[i, :SIZE] = mean
+        out[i, SIZE:2 * SIZE] = np.sqrt(np.maximum(sums[SIZE:2 * SIZE] - mean ** 2, 0))
+        out[i, 2 * SIZE:-2] = sums[2 * SIZE:]
+        out[i, -2:] = np.log1p(total), total / max(size, 1)
+    flat = pa.ListArray.from_arrays(np.arange(len(out) + 1, dtype=np.int32) * FEATURES, pa.array(out.ravel()))
+    return pa.table({"doc_id": texts.column("doc_id"), "features": flat})
 
 
 @dataclass
@@ -190,19 +277,14 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(min(np.geomspace(0.25, 8, 61), key=loss))
 
 
-def document_vectors(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """(doc_id, features) of every row, from one scan."""
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = pooled(texts_of(batch.column("text")), shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
-                 pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * FEATURES,
-                                          pa.array(x.ravel()))], ["doc_id", "features"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, features array<float>")
+def document_vectors(docs: DataFrame) -> DataFrame:
+    """(doc_id, features) of every row: each part's texts meet the vectors of the words they hold."""
+    parts = stored(docs.select("doc_id", "text").mapInArrow(words_and_texts, WORDS_AND_TEXTS))
+    texts = parts.where("key IS NULL").select("part", "doc_id", "size", "words", "counts")
+    wanted = parts.where("key IS NOT NULL").select(F.col("part").alias("of"), "key")
+    table = stored(word_vectors(parts))
+    return texts.groupBy("part").cogroup(wanted.join(table, "key").groupBy("of")).applyInArrow(
+        pooled, "doc_id long, features array<float>")
 
 
 def train(features: DataFrame, labels: DataFrame, label: str = "quality") -> QualityModel:
@@ -241,7 +323,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataF
     columns of ``docs`` are never read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = stored(document_vectors(docs, word_vectors(docs)))
+    features = stored(document_vectors(docs))
     out = scored(features, train(features, labels, label))
     return out.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(True)).alias("held_out"),
                       "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

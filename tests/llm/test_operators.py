@@ -367,3 +367,25 @@ def test_query_equals_oracle(spark, name):
     rel = con.sql(ORACLES[name])
     assert sorted(rel.columns) == sorted(df.columns)
     assert rows_of(df, *rel.columns) == {tuple(r) for r in rel.fetchall()}
+
+
+def test_every_word_has_its_own_vector(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(6000)}" for _ in range(60)) for _ in range(200)] + ["", None, "Ab, AB ab\n"]
+    docs = frame(spark, [(i if i % 7 else None, t) for i, t in enumerate(texts)]).repartition(3)
+    want, seen = {}, set()
+    for _, key, owner in quality.tokens([(t or "").encode() for t in texts]):
+        seen |= set(key.tolist())
+        own = quality.index_vectors(key).astype(int)
+        for i in range(len(key)):
+            near = [j for j in range(i - 2, i + 3) if 0 <= j < len(key) and j != i and owner[j] == owner[i]]
+            want[key[i]] = want.get(key[i], 0) + own[near].sum(axis=0)
+    assert len(seen) > 5000
+    for size in (quality.GROUP_BYTES, 500):
+        monkeypatch.setattr(quality, "GROUP_BYTES", size)
+        parts = docs.mapInArrow(quality.words_and_texts, quality.WORDS_AND_TEXTS)
+        got = {r["key"] % 2**64: r["vector"] for r in quality.word_vectors(parts).collect()}
+        assert got.keys() == {int(k) for k in want}
+        assert all((np.array(got[int(k)]) == v).all() for k, v in want.items())
+        assert quality.document_vectors(docs.select("doc_id", "text")).count() == len(texts)
+    assert (quality.index_vectors(np.arange(9000, dtype=np.uint64)) != 0).sum(axis=1).tolist() == [quality.NONZERO] * 9000
