@@ -2,8 +2,8 @@
 
 The builder turns markup into properly nested open, text and close events: void elements close at
 once, implied end tags (p, li, dt, dd, option, table parts) and implied rows are put in, stray end
-tags fall away, and open elements close at the end. The renderer skips what a browser would not show
-and lays out the rest: margins between blocks, bullets and numbers of nested lists, preformatted text
+tags fall away, and open elements close at the end. The renderer skips what a browser would not show,
+takes the chosen option of a select and the text of SVG and MathML, and lays out the rest: margins between blocks, bullets and numbers of nested lists, preformatted text
 as it is, and tables as cells aligned in columns. Both keep explicit stacks, so neither the depth nor
 the length of a page matters, and both take time in proportion to the page.
 """
@@ -22,7 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist "
-                   "object audio video canvas svg math select".split())
+                   "object audio video canvas".split())
+FOREIGN = frozenset("svg math".split())
+# Not drawn inside SVG and MathML.
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl figure table fieldset".split())
 BLOCK = MARGIN | frozenset("html body div section article aside header footer nav main address form "
                            "li dt dd tr td th thead tbody tfoot caption hr details summary dialog "
@@ -42,8 +45,10 @@ IMPLIED_END = {
 WALLS = frozenset("table td th caption template".split())
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
-_STOP = re.compile(r"""[>"']""")
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# Between attributes; a name, which may start with "="; a value, where only a quote right at its start
+# delimits (one without a fellow is read as a plain value).
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"""(=?[^\s/>=]*)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
@@ -53,7 +58,7 @@ Event = tuple[str, str, dict]
 
 def tokens(page: str) -> Iterator[Event]:
     """("start" | "end" | "text", name or text, attributes), as written."""
-    at, n, dead = 0, len(page), set()
+    at, n, foreign = 0, len(page), 0
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -75,32 +80,28 @@ def tokens(page: str) -> Iterator[Event]:
             yield "text", "<", {}
             at = lt + 1
             continue
-        end = name.end()
+        tag, attributes, end = name.group().lower(), {}, name.end()
         while True:
-            stop = _STOP.search(page, end)
-            if not stop:
+            gap = _GAP.match(page, end)
+            end = gap.end()
+            if end == n:
                 return
-            end = stop.end()
-            quote = stop.group()
-            if quote == ">":
+            if page[end] == ">":
                 break
-            if quote not in dead:
-                close = page.find(quote, end)
-                if close < 0:
-                    dead.add(quote)
-                else:
-                    end = close + 1
-        tag = name.group().lower()
-        at = end
+            m = _ATTRIBUTE.match(page, end)
+            end = m.end()
+            value = m.group(2) or m.group(3) or m.group(4) or ""
+            attributes.setdefault(m.group(1).lower(), html.unescape(value))
+        at = end + 1
         if closing:
+            foreign -= tag in FOREIGN and foreign > 0
+            yield "end", tag, {}
+            continue
+        if (foreign or tag in FOREIGN) and tag not in VOID and gap.group().endswith("/"):
+            yield "start", tag, attributes
             yield "end", tag, {}
             continue
-        body = page[name.end():end - 1]
-        attributes = {}
-        if body.strip(" /"):
-            for m in _ATTRIBUTE.finditer(body):
-                value = m.group(2) or m.group(3) or m.group(4) or ""
-                attributes.setdefault(m.group(1).lower(), html.unescape(value))
+        foreign += tag in FOREIGN
         yield "start", tag, attributes
         if tag in RAW:
             closed = _RAW_END[tag].search(page, at)
@@ -262,9 +263,9 @@ def aligned(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
     return out
 
 
-def hidden(tag: str, attributes: dict) -> bool:
+def hidden(tag: str, attributes: dict, foreign: int = 0) -> bool:
     """Whether the element and all in it stay unseen."""
-    if tag in UNSEEN:
+    if tag in UNSEEN or tag in UNDRAWN and foreign:
         return True
     if not attributes:
         return tag == "dialog"
@@ -275,6 +276,18 @@ def hidden(tag: str, attributes: dict) -> bool:
     return bool(_INVISIBLE.search(attributes.get("style", "")))
 
 
+def shown(attributes: dict, options: list[tuple[dict, list[str]]]) -> list[list[str]]:
+    """The lines of the options that a select shows: all of a list box, else the chosen or first one."""
+    try:
+        size = int(attributes.get("size", "1"))
+    except ValueError:
+        size = 1
+    if "multiple" in attributes or size > 1:
+        return [lines for _, lines in options]
+    chosen = [o for o in options if "selected" in o[0]][-1:]
+    return [lines for _, lines in (chosen or [o for o in options if "disabled" not in o[0]][:1])]
+
+
 def render(page: str) -> str:
     """The visible text of a page."""
     flow = Flow()
@@ -282,7 +295,8 @@ def render(page: str) -> str:
     tables: list[list] = []
     lists: list[list] = []
     undo: list[tuple] = []
-    unseen = pre = 0
+    selects: list[list] = []
+    unseen = pre = foreign = 0
     closed_details: list[int] = []
     for kind, name, attributes in build(page):
         if kind == "text":
@@ -291,7 +305,7 @@ def render(page: str) -> str:
             continue
         if kind == "open":
             outside = bool(closed_details) and closed_details[-1] == 1 and name != "summary"
-            if unseen or outside or hidden(name, attributes):
+            if unseen or outside or hidden(name, attributes, foreign):
                 unseen += 1
                 undo.append(("unseen",))
                 continue
@@ -302,6 +316,15 @@ def render(page: str) -> str:
                     flow.gap += 1
                 undo.append(())
                 continue
+            if name == "select" or name == "option" and selects:
+                boxes.append(flow)
+                undo.append((name, attributes, pre))
+                if name == "select":
+                    selects.append([])
+                flow, pre = Flow(), 0
+                continue
+            if name in FOREIGN:
+                foreign += 1
             if name in ("td", "th") and tables:
                 try:
                     span = min(max(int(attributes.get("colspan", "1")), 1), 100)
@@ -323,6 +346,8 @@ def render(page: str) -> str:
                 # Text between the cells of a table stands before it, as in a browser.
                 flow, pre = Flow(), 0
                 continue
+            if name == "text" and foreign:
+                flow.break_line()
             if name in BLOCK:
                 flow.break_line(1 if name in MARGIN and not (lists and name in ("ul", "ol")) else 0)
             saved = (flow.indent, flow.marker)
@@ -357,6 +382,16 @@ def render(page: str) -> str:
             continue
         if state[0] == "unseen":
             unseen -= 1
+        elif state[0] == "option":
+            selects[-1].append((state[1], flow.finish()))
+            flow, pre = boxes.pop(), state[2]
+        elif state[0] == "select":
+            # Text beside the options is not shown.
+            flow, pre = boxes.pop(), state[2]
+            for k, lines in enumerate(shown(state[1], selects.pop())):
+                if k:
+                    flow.break_line()
+                flow.words(" ".join(lines))
         elif state[0] == "cell":
             if not tables[-1]:
                 tables[-1].append([])
@@ -370,6 +405,11 @@ def render(page: str) -> str:
             flow.break_line(1)
         else:
             _, (indent, marker), tag, *held = state
+            if tag in FOREIGN:
+                foreign -= 1
+            elif tag == "text" and foreign:
+                # Each text element of SVG stands at a place of its own.
+                flow.break_line()
             if tag in BLOCK:
                 flow.break_line(1 if tag in MARGIN and not (len(lists) > 1 and tag in ("ul", "ol")) else 0)
             if tag in ("ul", "ol", "menu"):

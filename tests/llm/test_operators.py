@@ -389,3 +389,20 @@ def test_every_word_has_its_own_vector(spark, monkeypatch):
         assert all((np.array(got[int(k)]) == v).all() for k, v in want.items())
         assert quality.document_vectors(docs.select("doc_id", "text")).count() == len(texts)
     assert (quality.index_vectors(np.arange(9000, dtype=np.uint64)) != 0).sum(axis=1).tolist() == [quality.NONZERO] * 9000
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<a href="x"">text</a> <a href="y">more</a> end "q"', 'text more end "q"'),
+    ("<a title=Bob's>text</a> it's all here", "text it's all here"),
+    ("<p class=a\"b>one</p><p '>two</p><p a='>'b=\"'>\">three</p><i =x>four</i>", "one\n\ntwo\n\nthree\n\nfour"),
+    ("</b \">kept</b> \"x\"", 'kept "x"'),
+    ('<a b="c>d', "d"),
+    ("<svg><title>no</title><defs/><text>in</text><text>side</text><desc>no</desc><title/></svg> after", "in\nside\nafter"),
+    ("x <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> y", "x a=2 y"),
+    ("is <select><option>a<option selected>b c<option>d</select> end", "is b c end"),
+    ("is <select><option disabled>a<optgroup><option>b<option>c</select> end", "is b end"),
+    ("<select multiple><option>a<option>b</select>", "a\nb"), ("<option>a</option>", "a"),
+    ("<select><option>a<table><tr><td>b</table></select>c<select>", "a bc"),
+    ("a <svg/><b/>b</b> <svg><foreignObject>c<br/>d</foreignObject></svg>", "a b c\nd")])
+def test_html_attributes_and_foreign_text(page, want):
+    assert html_text.render(page) == want
