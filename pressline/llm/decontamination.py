@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -92,12 +93,12 @@ def original_spans(text: bytes, runs: np.ndarray) -> list[dict]:
             for a, n in runs.tolist()]
 
 
-HITS = ("doc_id long, n_words long, runs array<struct<first: long, n: long>>, items array<string>, "
+HITS = ("row long, doc_id long, n_words long, runs array<struct<first: long, n: long>>, items array<string>, "
         "spans array<struct<start: long, stop: long>>")
 
 
 def hits(docs: DataFrame, items: list[tuple[str, bytes]]) -> DataFrame:
-    """What one block of items hits in every document (schema ``HITS``), from one scan."""
+    """What one block of items hits in every (row, doc_id, text) of ``docs`` (schema ``HITS``), from one scan."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
     kinds = pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))
     places = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
@@ -114,11 +115,11 @@ def hits(docs: DataFrame, items: list[tuple[str, bytes]]) -> DataFrame:
                 found.append(sorted(ids))
                 spans.append(original_spans(text, r))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(runs, kinds),
+                [batch.column("row"), batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(runs, kinds),
                  pa.array(found, pa.list_(pa.string())), pa.array(spans, places)],
-                ["doc_id", "n_words", "runs", "items", "spans"])
+                ["row", "doc_id", "n_words", "runs", "items", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, HITS)
+    return docs.select("row", "doc_id", "text").mapInArrow(run, HITS)
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
@@ -136,10 +137,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     """One row per row of ``docs``: n_words, n_hit, n_items, items_sha256, contaminated, items, spans.
 
     Null texts have no words, and documents without words are clean. Items without id or words hit
-    nothing. Repeated rows are judged alike. Rows without doc_id are judged too if the benchmark is
-    one block; with several blocks they are summed up into one. Other columns are never read.
+    nothing. Every row is judged by its own text, whether its doc_id repeats or is null, and whatever
+    the size of the benchmark. Other columns are never read.
     """
-    parts = [hits(docs, items) for items in blocks(benchmark, block_bytes)]
+    every_block = blocks(benchmark, block_bytes)
+    ahead = list(islice(every_block, 2))
+    docs = docs.select(F.lit(0).cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if len(ahead) > 1:
+        # The blocks' hits of one row meet by its number, which is written down before any scan.
+        docs = stored(docs.withColumn("row", F.monotonically_increasing_id()))
+    parts = [hits(docs, items) for items in chain(ahead, every_block)]
     if len(parts) == 1:
         every = parts[0].select(
             "doc_id", "n_words", "items", "spans",
@@ -148,8 +155,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
         # Blocks can hit the same words, so their runs are joined as sets of words.
         part = stored(_union(parts))
         word = F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))
-        every = (part.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"),
+        every = (part.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
             F.size(F.array_distinct(F.flatten(F.collect_list(word)))).cast("long").alias("n_hit")))

@@ -406,3 +406,17 @@ def test_every_word_has_its_own_vector(spark, monkeypatch):
     ("a <svg/><b/>b</b> <svg><foreignObject>c<br/>d</foreignObject></svg>", "a b c\nd")])
 def test_html_attributes_and_foreign_text(page, want):
     assert html_text.render(page) == want
+
+
+def test_contamination_judges_every_row_at_every_benchmark_size(spark):
+    words = ROWS[6][1].split()
+    items = [(i, " ".join(words[i * 13:i * 13 + 15])) for i in range(5)] + [(9, ROWS[12][1])]
+    rows = [(None, ROWS[6][1]), (None, "clean words alone"), (None, None), (7, ROWS[6][1]), (7, ROWS[6][1]),
+            (7, "other words " + " ".join(words[10:40])), (8, ""), (8, ROWS[12][1])]
+    bench = frame(spark, items, "item_id long, text string")
+    one = [(i, text) for i, (_, text) in enumerate(rows)]
+    want = sorted((str(rows[r[0]][0]), *r[1:]) for r in brute.hits(one, items))
+    for block in (1 << 20, 200):
+        out = decontamination.contamination(frame(spark, rows).repartition(3), bench, block)
+        got = out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+        assert sorted((str(r[0]), *r[1:]) for r in got) == want
