@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import texts_of
-from pressline.llm.storage import stored
+from pressline.llm.storage import stored, with_keys
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -175,7 +175,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents; columns unchanged."""
-    bad = contamination(docs.where("doc_id IS NOT NULL"), benchmark).where("contaminated").select(
-        "doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the contaminated documents; columns unchanged.
+
+    Every row without doc_id is kept or dropped by its own hits.
+    """
+    rows = with_keys(docs)
+    bad = contamination(rows.select(F.col("row_key").alias("doc_id"), "text"), benchmark).where("contaminated")
+    return rows.join(bad.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_anti").select(
+        *docs.columns)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressline.llm.hashing import mix
-from pressline.llm.storage import stored
+from pressline.llm.storage import stored, with_keys
 
 BUCKET_DIGESTS = 50_000
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -122,10 +122,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     The lower half of the doc_id range is the history, the upper half the batch that is looked up in
     it. Null texts are empty texts, and all empty texts are equal. Rows that repeat a doc_id with an
     equal text count each in ``group_size`` and are all kept if that doc_id wins. A null doc_id never
-    wins; a group of such rows alone has no ``keep_id`` and keeps nothing. An empty table gives none.
+    wins; a group of such rows alone has no ``keep_id`` and keeps one of them. An empty table gives none.
     """
-    rows = stored(digests(docs))
-    low, high, total = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("digest")).first()
+    rows = stored(digests(docs).withColumn("place", F.monotonically_increasing_id()))
+    low, high, total, with_id = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("digest"),
+                                         F.count("doc_id")).first()
     # Rows without doc_id are grouped beside, under an id below all others.
     floor = (low if low is not None else 0) - 1
     middle = ((low or 0) + (high or 0)) // 2
@@ -134,14 +135,23 @@ def exact_groups(docs: DataFrame) -> DataFrame:
                                                        F.col("doc_id") > middle))
     merged = merge_groups(history, batch, max(8, total // BUCKET_DIGESTS + 1))
     winner = F.when(F.col("winner") > floor, F.col("winner"))
-    return rows.join(merged.select("digest", winner.alias("keep_id"), F.col("n").alias("group_size")),
-                     "digest").select(
-        "doc_id", "keep_id", "group_size",
-        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
+    out = rows.join(merged.select("digest", winner.alias("keep_id"), F.col("n").alias("group_size")), "digest")
+    kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))
+    if with_id < total:
+        lone = rows.where("doc_id IS NULL").groupBy("digest").agg(F.min("place").alias("first"))
+        out = out.join(lone, "digest", "left")
+        kept = kept | (F.col("keep_id").isNull() & (F.col("place") == F.col("first")))
+    return out.select(
+        "doc_id", "keep_id", "group_size", kept.alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text a row with a larger doc_id repeats; columns unchanged."""
-    kept = exact_groups(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """``docs`` without the rows whose text a row with a larger doc_id repeats; columns unchanged.
+
+    Rows without doc_id come last: one stays where no row with a doc_id has its text.
+    """
+    rows = with_keys(docs, below=True)
+    kept = exact_groups(rows.select(F.col("row_key").alias("doc_id"), "text")).where("kept")
+    return rows.join(kept.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_semi").select(
+        *docs.columns)

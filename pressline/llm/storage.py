@@ -31,6 +31,26 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def with_keys(docs: DataFrame, *others: DataFrame, below: bool = False) -> DataFrame:
+    """``docs`` with ``row_key``: the doc_id, or an id of its own for every row without one.
+
+    Such ids lie above (or below) all ids of ``docs`` and ``others``, so a row without doc_id meets all
+    other rows, takes no row's id, and gives way to rows with one. They are written down once.
+    """
+    own = F.col("doc_id").cast("long")
+    ids = docs.select(own.alias("i"), F.lit(1).alias("own"))
+    for other in others:
+        ids = ids.unionByName(other.select(own.alias("i"), F.lit(0).alias("own")))
+    low, high, missing = ids.agg(F.min("i"), F.max("i"), F.count_if(F.expr("own = 1 AND i IS NULL"))).first()
+    keyed = docs.withColumn("row_key", own)
+    if not missing:
+        return keyed
+    at = F.monotonically_increasing_id() + 1
+    key = F.lit(low or 0) - at if below else F.lit(high or 0) + at
+    return keyed.where("doc_id IS NOT NULL").unionByName(
+        stored(docs.where("doc_id IS NULL").withColumn("row_key", key)))
+
+
 def components(edges: DataFrame, kind: str = "long") -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b), for every node in them.
 

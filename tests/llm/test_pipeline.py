@@ -1,6 +1,7 @@
 """The pipeline's stages, each against brute force over what the stage before kept."""
 
 import os
+import random
 import sys
 
 import pytest
@@ -9,9 +10,9 @@ sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from pressline.llm import quality  # noqa: E402
+from pressline.llm import decontamination, exact_dedup, jaccard_join, quality  # noqa: E402
 from pressline.llm.storage import stored  # noqa: E402
-from test_operators import check_packing  # noqa: E402
+from test_operators import check_packing, prose  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -36,3 +37,34 @@ def test_stages(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect(), rows)
     assert corpus_pipeline.run(spark, FOLDER).count() >= len(rows)
+
+
+def test_stages_keep_rows_without_id(spark, monkeypatch):
+    rng = random.Random(21)
+    text = [prose(rng, 60) for _ in range(6)]
+    near = text[3].rsplit(" ", 1)[0] + " other"
+    rows = [(None, text[0]), (None, text[0].replace("a", "A")), (5, text[1]), (None, text[1]), (None, text[2]),
+            (6, text[3]), (None, near), (None, text[4]), (None, text[4].rsplit(" ", 1)[0] + " other"),
+            (7, text[5]), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS lang").repartition(3)
+    labels = spark.createDataFrame([(5, 1), (8, 0)], "doc_id long, quality int")
+
+    def kept(df):
+        assert df.columns == docs.columns
+        return sorted([(r["doc_id"] or 0, (r["text"] or "").lower()) for r in df.collect()])
+
+    def want(*places):
+        return sorted((rows[i][0] or 0, (rows[i][1] or "").lower()) for i in places)
+
+    assert kept(exact_dedup.drop_copies(docs)) == want(0, 2, 4, 5, 6, 7, 8, 9, 10)
+    groups = exact_dedup.exact_groups(docs)
+    assert groups.where("kept AND doc_id IS NULL").count() == 6 and groups.count() == len(rows)
+    ends = kept(jaccard_join.drop_near_copies(docs))
+    assert ends in (want(0, 2, 4, 5, 7, 9, 10), want(0, 2, 4, 5, 8, 9, 10))
+    bench = spark.createDataFrame([(1, text[2]), (2, text[5])], "item_id long, text string")
+    assert kept(decontamination.drop_contaminated(docs, bench)) == want(0, 1, 2, 3, 5, 6, 7, 8, 10)
+    scores = quality.quality(docs, labels)
+    assert kept(quality.drop_poor(docs, labels)) == want(*range(len(rows)))  # without a model all have 0.5
+    monkeypatch.setattr(quality, "quality", lambda d, *_: d.selectExpr("doc_id", "cast(length(text) % 2 = 0 as int) AS predicted"))
+    assert kept(quality.drop_poor(docs, labels)) == want(*[i for i, r in enumerate(rows) if r[1] and len(r[1]) % 2 == 0])
+    assert scores.count() == len(rows)
