@@ -526,6 +526,18 @@ def _(t):
                                               "source_published_at")
 
 
+@query("whole_written_index", "SNK-2 SRC-6", f"""
+SELECT language_code, position, slug, {iso_sql('source_published_at')} AS source_published_at,
+  source_published_at IS NOT NULL AS is_valid
+FROM ({INDEX_SQL}) i""")
+def _(t):
+    path = folder(t)
+    E.write_index(B.latest_index(catalogue(t)), path)
+    valid, invalid = E.split_index(t.spark, path)
+    return valid.unionByName(invalid).select("language_code", "position", "slug", "source_published_at",
+                                             "is_valid")
+
+
 @query("written_archives", "SNK-3 SRC-6", f"""
 SELECT language_code, archive_month, slug, {iso_sql('published_at')} AS published_at
 FROM ({CATALOGUE_SQL}) c WHERE archive_month IS NOT NULL""")

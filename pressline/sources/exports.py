@@ -102,13 +102,23 @@ def _fail_on(bad: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {first[0].asDict()}")
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema("position int, language_code string, " + CATALOGUE_SCHEMA).json(
+def _index_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("position int, language_code string, " + CATALOGUE_SCHEMA).json(
         path, mode="FAILFAST")
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    rows = _index_rows(spark, path)
     _fail_on(catalogue_audit(rows).filter("NOT is_valid"), "invalid index entry")
     return rows
 
 
+def split_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) entries of a written index; undated ones are invalid, with the reason."""
+    rows = catalogue_audit(_index_rows(spark, path))
+    return rows.filter("is_valid"), rows.filter("NOT is_valid")
+
+
 def read_archives(spark: SparkSession, path: str, language: str | None = None,
                   month: str | None = None) -> DataFrame:
     """Archive entries; language and month prune folders before anything is read."""

@@ -101,3 +101,11 @@ def test_configuration_files(spark, tmp_path):
     cats = tmp_path / "categories.yaml"
     cats.write_text("categories:\n  1: {name: A, slug: a, enabled: true}\n  z: {name: B}\n")
     assert [r.category_id for r in ST.category_dimension(spark, str(cats)).collect()] == [1]
+
+
+def test_whole_index_reads_back_with_its_undated_entries(spark, tmp_path):
+    rows = catalogue(spark, [("dated", datetime(2024, 1, 1)), ("undated", None)])
+    E.write_index(B.latest_index(rows), str(tmp_path / "index"))
+    valid, invalid = E.split_index(spark, str(tmp_path / "index"))
+    assert [(r.slug, r.position) for r in valid.collect()] == [("dated", 1)]
+    assert [(r.slug, r.position) for r in invalid.collect()] == [("undated", 2)]
