@@ -78,3 +78,22 @@ def chunks(texts: list[bytes], limit: int = CHUNK) -> Iterator[tuple[int, np.nda
         lengths = np.fromiter((len(x) + 1 for x in part), dtype=np.int64, count=len(part))
         yield first, data, np.concatenate(([0], np.cumsum(lengths)))
         first = last
+
+
+def spans_taken(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all spans in a row, offset of each span and the end)."""
+    length = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(length)))
+    return data[np.repeat(starts - offsets[:-1], length) + np.arange(offsets[-1])], offsets
+
+
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Whether each span has the bytes of span number ``like``, compared byte by byte."""
+    same = ends - starts == (ends - starts)[like]
+    length = np.where(same, ends - starts, 0)
+    offsets = np.cumsum(length) - length
+    here = np.repeat(starts - offsets, length) + np.arange(length.sum())
+    equal = data[here] == data[here + np.repeat(starts[like] - starts, length)]
+    wrong = np.repeat(np.arange(len(starts)), length)[~equal]
+    same[wrong] = False
+    return same

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressline.llm import (decontamination, exact_dedup, html_text, jaccard_join, packing, quality, sharding,
-                           suffix_dedup, toxicity, url_filters)
+from pressline.llm import (decontamination, exact_dedup, html_text, jaccard_join, language_id, packing,
+                           periodic_runs, quality, sharding, spelling, suffix_dedup, toxicity, url_filters)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,10 +64,27 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(docs, "doc_id")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of the documents with its usual form; 31 is the rule by which runs lose a letter."""
+    words = spelling.word_counts(table(spark, folder, "documents"), drop_every=31)
+    return spelling.spelling_variants(words.where(F.col("n") >= spelling.LEAST_COUNT))
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its language."""
+    return language_id.language_id(table(spark, folder, "documents"), reject=False)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its longest run and digests of all runs and of the collapsed text."""
+    found = periodic_runs.periodic_runs(table(spark, folder, "documents"), source=periodic_runs.planted_periods)
+    return periodic_runs.run_digests(found)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_toxicity, op3_ngram_jaccard_join, op4_exact_dedup,
     op5_benchmark_decontamination, op6_best_fit_packing, op7_url_filters, op8_suffix_array_dedup,
-    op9_quality_classifier, op10_sharding)}
+    op9_quality_classifier, op10_sharding, op11_spelling_variants, op12_language_id, op13_periodic_runs)}
 
 LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
