@@ -374,6 +374,32 @@ def _(t):
                                                        "label")
 
 
+CHAIN_EVERY = 9973
+
+
+@query("chained_keys_dedup", "WIN-1", f"""
+WITH links AS (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i,
+         CASE WHEN o_orderkey % {CHAIN_EVERY} = 0 THEN 0 ELSE 1 END AS late FROM orders),
+steps AS (
+  SELECT *, CASE WHEN coalesce((lag(late) OVER w, lag(i) OVER w) < (late, i), FALSE) THEN 0 ELSE 1 END AS up_ends,
+         CASE WHEN coalesce((lead(late) OVER w, lead(i) OVER w) < (late, i), FALSE) THEN 0 ELSE 1 END AS down_ends
+  FROM links WINDOW w AS (ORDER BY i)),
+far AS (
+  SELECT *, i - max(CASE WHEN up_ends = 1 THEN i END) OVER (ORDER BY i) AS before,
+         min(CASE WHEN down_ends = 1 THEN i END) OVER (ORDER BY i DESC) - i AS behind FROM steps)
+SELECT o_orderkey, before % 2 = 0 AND behind % 2 = 0 AS accepted FROM far""")
+def _(t):
+    # One path of keys over all orders: each order shares one key with the order before it and another
+    # with the next one, so who passes hangs on chains of thousands of rows.
+    rows = D.sequence_ids(t.orders.select("o_orderkey"), ["o_orderkey"], "i").select(
+        "o_orderkey", F.lit("t").alias("title"),
+        F.when(F.col("o_orderkey") % CHAIN_EVERY == 0, 0).otherwise(1).alias("late"),
+        F.format_string("url:%d", F.expr("i div 2")).alias("ingest_dedup_key"),
+        F.format_string("th:%d", F.expr("(i - 1) div 2")).alias("title_key"))
+    return D.accept_first(rows, ["late", "o_orderkey"], settled=1000).select("o_orderkey", "accepted")
+
+
 @query("unique_contribution", "DOC-3", greedy_sql("""
 SELECT source_id, count(*) AS ingested,
        count(*) FILTER (label = 'new' AND l.quality = 1) AS unique_approved,

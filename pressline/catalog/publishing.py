@@ -173,6 +173,46 @@ def _(t):
                           "display_title")
 
 
+EPISODE_SQL = """
+SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'Episode ' || (CAST(floor(o_orderkey / 7) AS BIGINT) + 2)
+         WHEN 1 THEN 'Episode ' || (o_custkey % 500 + 2) ELSE 'Episode' END AS title FROM orders"""
+FROZEN_SQL = "SELECT 'episode-' || (c_custkey * 3) AS slug, c_custkey * 3 AS slot FROM customer WHERE c_custkey % 5 = 0"
+
+
+@query("numbered_title_slugs", "WIN-4 STA-11", f"""
+WITH RECURSIVE items AS MATERIALIZED (
+  SELECT id, title, CASE WHEN title = 'Episode' THEN 1 ELSE CAST(substr(title, 9) AS BIGINT) END AS n
+  FROM ({EPISODE_SQL}) e),
+frozen AS MATERIALIZED ({FROZEN_SQL}),
+bare AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY id) AS b FROM items WHERE title = 'Episode'),
+claims AS MATERIALIZED (
+  SELECT n, first_id, (SELECT count(*) FROM bare WHERE bare.id < first_id) AS before
+  FROM (SELECT n, min(id) AS first_id FROM items WHERE title <> 'Episode' GROUP BY n) c
+  WHERE n NOT IN (SELECT slot FROM frozen)),
+slots AS MATERIALIZED (
+  SELECT s, CASE WHEN s IN (SELECT slot FROM frozen) THEN -1 ELSE coalesce(before, 1000000000) END AS taken_at
+  FROM (SELECT unnest(range(1, (SELECT count(*) FROM items) * 2 + 2)) AS s) r LEFT JOIN claims ON n = s
+  ORDER BY s LIMIT (SELECT count(*) FROM items) * 2),
+-- Slot by slot: it goes to the next bare title unless it was frozen or claimed before that title came.
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS b, FALSE AS used
+  UNION ALL
+  SELECT t.s, CASE WHEN t.taken_at >= w.b AND t.taken_at <> -1 THEN w.b + 1 ELSE w.b END,
+         t.taken_at >= w.b AND t.taken_at <> -1
+  FROM walk w JOIN slots t ON t.s = w.s + 1 WHERE w.b < (SELECT count(*) FROM bare)),
+bare_slots AS (SELECT s, b FROM walk WHERE used),
+child AS (
+  SELECT i.id, i.n, row_number() OVER (PARTITION BY i.n ORDER BY i.id)
+         + CASE WHEN i.n IN (SELECT slot FROM frozen) OR i.n IN (SELECT s FROM bare_slots) THEN 1 ELSE 0 END AS k
+  FROM items i WHERE title <> 'Episode')
+SELECT id, CASE WHEN s = 1 THEN 'episode' ELSE 'episode-' || s END AS slug
+FROM bare JOIN bare_slots USING (b)
+UNION ALL SELECT id, 'episode-' || n || CASE WHEN k = 1 THEN '' ELSE '-' || k END FROM child""")
+def _(t):
+    items = t.sql(EPISODE_SQL)
+    return G.assign_slugs(items, t.sql(FROZEN_SQL).select("slug"), "id", "title")
+
+
 @query("slugified_titles", "FN-18", rf"""
 SELECT doc_id, coalesce(NULLIF({SLUGIFY.format("replace(split_part(text, chr(10), 1), 'ß', '')")}, ''),
        'item') AS slug FROM documents""")

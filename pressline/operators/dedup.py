@@ -56,46 +56,112 @@ def _without(rows: DataFrame, key: str, salt: str, owners: DataFrame) -> DataFra
     return rows.join(keys, [key, salt], "left_anti")
 
 
-def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None = None) -> DataFrame:
+SETTLED_ROWS = 1 << 17
+"""Rows that are settled in one task: what is left of the key graph, never more than this."""
+
+
+def _settled(left: DataFrame) -> DataFrame:
+    """The rows of a piece of at most SETTLED_ROWS rows that pass, by the sequential rule itself."""
+    import pyarrow as pa
+
+    def run(batches):
+        owned: set = set()
+        for batch in batches:
+            kept = []
+            for keys in zip(batch.column(K1).to_pylist(), batch.column(K2).to_pylist()):
+                free = not any(k in owned for k in keys if k is not None)
+                if free:
+                    owned.update(k for k in keys if k is not None)
+                kept.append(free)
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    piece = left.select("_o", K1, K2).repartition(1).sortWithinPartitions("_o")
+    return piece.mapInArrow(run, piece.schema)
+
+
+def _two_first(left: DataFrame, key: str, place: str, before: str) -> DataFrame:
+    """The first two rows of each key: ``place`` is 1 or 2, ``before`` the row in front of the second.
+
+    The rank limit is applied before the shuffle, so a hot key sends two rows per task.
+    """
+    w = W.partitionBy(key).orderBy("_o")
+    return (left.filter(F.col(key).isNotNull()).select(key, "_o")
+            .withColumn(place, F.row_number().over(w)).filter(F.col(place) <= 2)
+            .withColumn(before, F.lag("_o").over(w)).drop(key))
+
+
+def _decided(left: DataFrame) -> DataFrame:
+    """Rows of ``left`` that surely pass: those that come first under all their keys, and those whose
+    chain of blockers ends at such a row after an even number of steps.
+
+    A row that is second under one key and first under the other passes if and only if the row in
+    front of it does not. Such rows form chains, and pointer jumping halves what is left of every chain
+    in each step. A row with two blockers, or further behind, ends a chain undecided.
+    """
+    titled = left.join(_two_first(left, K2, "_n2", "_p2"), "_o", "left")
+    near = titled.join(_two_first(left, K1, "_n1", "_p1"), "_o").withColumn(
+        "_n2", F.when(F.col(K2).isNull(), 1).otherwise(F.col("_n2")))
+    known = cut_lineage(near.filter("_n1 + _n2 <= 3").select(
+        "_o", K1, K2, "_s1", "_s2", F.coalesce("_p1", "_p2", "_o").alias("_up")))
+    free = F.col("_up") == F.col("_o")
+    chain = known.select("_o", "_up", (~free).alias("_odd"), free.alias("_free"))
+    while True:
+        above = chain.select(F.col("_o").alias("_up"), F.col("_up").alias("_top"),
+                             F.col("_odd").alias("_more"), F.col("_free").alias("_end"))
+        joined = chain.filter("NOT _free").join(above, "_up", "left").select(
+            "_o", F.coalesce("_top", "_up").alias("_up"),
+            F.coalesce(F.col("_odd") != F.col("_more"), F.col("_odd")).alias("_odd"),
+            F.coalesce("_end", F.lit(False)).alias("_free"),
+            F.coalesce(F.col("_top") != F.col("_up"), F.lit(False)).alias("_moved"))
+        chain = cut_lineage(joined.unionByName(
+            chain.filter("_free").withColumn("_moved", F.lit(False))))
+        moved = chain.filter("_moved AND NOT _free").isEmpty()
+        chain = chain.drop("_moved")
+        if moved:
+            break
+    return known.join(chain.filter("_free AND NOT _odd").select("_o"), "_o", "left_semi").drop("_up")
+
+
+def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None = None,
+                 settled: int = SETTLED_ROWS) -> DataFrame:
     """Places (the ``order`` columns) of the rows that pass: in ``order``, which must be unique, a
     row passes if none of its keys is owned by a row that passed.
 
     Only keys and order take part. Rows with the same two keys are reduced to their first one
     before any shuffle by a single key. In each round the rows that come first under all their keys
-    pass, everything sharing a key with them drops out, and the rest goes on. The first undecided
-    row always passes, so the rounds end.
+    pass, and with them every row whose chain of blockers leads to one of them by an even number of
+    steps; everything sharing a key with them drops out, and the rest goes on. A chain of any length
+    is decided in one round of logarithmically many steps, and the first undecided row always passes,
+    so the rounds end. Once at most ``settled`` rows are left, one task takes them in order.
     """
-    left = rows.groupBy(K1, K2).agg(F.min(F.struct(*order)).alias("_o"))
-    left = cut_lineage(left)
-    left = cut_lineage(_salted(_salted(left, K1, "_s1"), K2, "_s2"))
+    left = cut_lineage(rows.groupBy(K1, K2).agg(F.min(F.struct(*order)).alias("_o")))
+    count = left.count()
+    if count > settled:
+        left = cut_lineage(_salted(_salted(left, K1, "_s1"), K2, "_s2"))
+    else:
+        left = left.withColumns({"_s1": F.lit(-1), "_s2": F.lit(-1)})
     if markers is not None:
         for key, salt in ((K1, "_s1"), (K2, "_s2")):
             mine = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(salt).alias(salt))
             owned = mine.join(markers.select(F.col("dedup_key").alias(key)), key, "left_semi")
             left = _without(left, key, salt, owned)
-        left = cut_lineage(left)
+        left = cut_lineage(left) if count > settled else left
     passed: list[DataFrame] = []
-    while True:
-        by_main = left.groupBy(K1).agg(F.min(F.struct("_o", K2, "_s1", "_s2")).alias("_m")).select(
-            K1, "_m.*")
-        by_title = left.filter(F.col(K2).isNotNull()).groupBy(K2).agg(F.min("_o").alias("_o"))
-        # Both sides hold at most one row per (key, place), so this join cannot be skewed.
-        first = by_main.filter(F.col(K2).isNull()).unionByName(
-            by_main.join(by_title, [K2, "_o"], "left_semi"))
-        first = cut_lineage(first)
-        passed.append(first)
+    while count > settled:
+        first = cut_lineage(_decided(left))
+        passed.append(first.select("_o"))
         left = cut_lineage(_without(_without(left, K1, "_s1", first), K2, "_s2", first))
-        if left.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, passed).select("_o.*")
+        count = left.count()
+    return reduce(DataFrame.unionByName, [*passed, _settled(left).select("_o")]).select("_o.*")
 
 
-def accept_first(rows: DataFrame, order: list[str], markers: DataFrame | None = None) -> DataFrame:
+def accept_first(rows: DataFrame, order: list[str], markers: DataFrame | None = None,
+                 settled: int = SETTLED_ROWS) -> DataFrame:
     """Add ``accepted`` by the first-wins rule; rows without title are never accepted.
 
     The key rule always yields a key, and a filter on it would compute every key twice.
     """
-    won = first_places(rows.filter(F.length("title") > 0), order, markers)
+    won = first_places(rows.filter(F.length("title") > 0), order, markers, settled)
     return (rows.join(won.withColumn("_won", F.lit(True)), order, "left")
             .withColumn("accepted", F.coalesce("_won", F.lit(False))).drop("_won"))
 

@@ -4,12 +4,15 @@ The rule is sequential: in id order each item takes its base slug, or the first
 ``base-3``, ... Here a base is a line of numbered slots. The i-th item of a base takes the i-th
 slot that is not blocked, so ranks give all slots at once. Slots are blocked by frozen slugs and by
 items of a related base: the base ``a-3`` and slot 3 of base ``a`` are the same slug. Who gets such
-a shared slug follows from two counts, parent before child, so the result equals the sequential
-rule exactly and no base, however popular, is walked item by item.
+a shared slug follows from counts, parent before child, folded stretch by stretch, so the result
+equals the sequential rule exactly and no base, however popular, is walked item by item or held in
+one task.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,20 +38,90 @@ def _runs(slots: DataFrame) -> DataFrame:
             .agg(F.min("slot").alias("first"), F.count(F.lit(1)).alias("n")))
 
 
-def _who_wins(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For one base: which children get their shared slot. Rows are runs and children only."""
-    rows = pdf.sort_values(["first", "kind"])
-    blocked, out = 0, []
-    for row in rows.itertuples(index=False):
-        if row.kind == 0:
-            blocked += row.n
-            continue
-        free_below = row.first - 1 - blocked
-        child_wins = row.before <= free_below
-        if child_wins:
-            blocked += 1
-        out.append((row.base, row.first, row.child, child_wins))
-    return pd.DataFrame(out, columns=["base", "slot", "child", "child_wins"])
+STRETCH = 8192
+"""Claims of one base that are folded in one task."""
+
+
+def _thresholds(limits: list[int]) -> list[int]:
+    """The claims of a stretch as one function: of ``b`` claims won before it, the stretch makes
+    ``b`` plus the number of thresholds that are ``b`` or more.
+
+    A claim with limit ``c`` is won if at most ``c`` claims below it are won. Such steps never turn
+    the order of two starting points around, so the starting points from which a claim is won are all
+    those up to one threshold, which binary search finds among the thresholds so far.
+    """
+    found: list[int] = []
+    for c in limits:
+        low, high = -1, c + 1
+        # The largest x with x + |{t >= x}| <= c, or -1.
+        while high - low > 1:
+            x = (low + high) // 2
+            if x + len(found) - bisect_left(found, x) <= c:
+                low = x
+            else:
+                high = x
+        if low >= 0:
+            insort(found, low)
+    return found
+
+
+def _folded(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row per stretch: thresholds that count from any possible start, and those that may not."""
+    rows = pdf.sort_values("rank")
+    least, most = int(rows["sure_before"].iloc[0]), int(rows["rank"].iloc[0]) - 1
+    found = _thresholds(rows["limit"].tolist())
+    return pd.DataFrame({"base": [rows["base"].iloc[0]], "stretch": [rows["stretch"].iloc[0]],
+                         "sure": [sum(t >= most for t in found)],
+                         "open": [[t for t in found if least <= t < most]]})
+
+
+def _resolved(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Every claim of a stretch, once the number of claims won below the stretch is known."""
+    rows = pdf.sort_values("rank")
+    won, out = int(rows["start"].iloc[0]), []
+    for limit in rows["limit"].tolist():
+        out.append(won <= limit)
+        won += out[-1]
+    return pd.DataFrame({"base": rows["base"], "slot": rows["slot"], "child": rows["child"],
+                         "child_wins": out})
+
+
+def won_claims(runs: DataFrame, claims: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """(base, slot, child, child_wins) of every claim (base, slot, child, before).
+
+    A child gets its slot if the items of its parent that came before it fit into the free slots below:
+    ``before`` plus the claims won below is at most the slots below less the blocked ones (``runs``:
+    base, first, n). So each claim maps the number of claims won below it to the number including it.
+    The claims of a base are cut into stretches by slot; every stretch is folded into one such map, the
+    maps are applied one after the other, and then every stretch is resolved from its own start. A map
+    keeps only thresholds between the fewest and the most claims that can be won below it, which are
+    the claims that really compete; a claim that any number of others leaves room for is never one.
+    """
+    events = runs.select("base", F.col("first").alias("at"), F.col("n").alias("blocked"),
+                         F.lit(None).cast("string").alias("child"), F.lit(0).cast("long").alias("before")).unionByName(
+        claims.select("base", F.col("slot").alias("at"), F.lit(0).cast("long").alias("blocked"), "child", "before"))
+    # Each running sum reads its input more than once, so inputs are stored first.
+    below = running_sum(cut_lineage(events), ["base"], "at", "blocked", "_blocked").filter(F.col("child").isNotNull())
+    limited = below.select("base", F.col("at").alias("slot"), "child",
+                           (F.col("at") - 1 - F.col("_blocked") - F.col("before")).alias("limit"))
+    ranked = cut_lineage(row_rank(cut_lineage(limited), ["base"], "slot", "rank"))
+    ranked = ranked.withColumn("_sure", (F.col("limit") >= F.col("rank") - 1).cast("long"))
+    ranked = running_sum(ranked, ["base"], "rank", "_sure", "sure_before", strict=True).withColumn(
+        "stretch", F.floor((F.col("rank") - 1) / stretch)).drop("_sure")
+    ranked = cut_lineage(ranked)
+    maps = ranked.groupBy("base", "stretch").applyInPandas(
+        _folded, "base string, stretch long, sure long, open array<long>")
+    # A base has one row per stretch here, with its open thresholds alone.
+    start = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("stretch", "sure", "open"))),
+        F.struct(F.lit(0).cast("long").alias("won"), F.array().cast("array<struct<stretch: long, start: long>>").alias("starts")),
+        lambda so, m: F.struct(
+            (so["won"] + m["sure"] + F.size(F.filter(m["open"], lambda t: t >= so["won"]))).alias("won"),
+            F.array_append(so["starts"], F.struct(m["stretch"].alias("stretch"), so["won"].alias("start"))).alias("starts")),
+        lambda so: so["starts"])
+    starts = maps.groupBy("base").agg(start.alias("_s")).select("base", F.inline("_s"))
+    return ranked.join(starts, ["base", "stretch"]).groupBy("base", "stretch").applyInPandas(
+        _resolved, "base string, slot long, child string, child_wins boolean")
 
 
 def _shared_slots(items: DataFrame, bases: DataFrame, frozen: DataFrame) -> DataFrame:
@@ -71,21 +144,15 @@ def _shared_slots(items: DataFrame, bases: DataFrame, frozen: DataFrame) -> Data
     before = (running_sum(events, ["base"], "pos", "one", "before")
               .filter(F.col("child").isNotNull()).select("child", "before"))
     children = cut_lineage(children.join(before, "child"))
-    kinds = "base string, slot long, child string, child_wins boolean"
     blocked = frozen_slots(frozen, parents.drop("_p"))
     extra = empty
     level = children.join(children.select(F.col("child").alias("parent")), "parent", "left_anti")
     while not level.isEmpty():
         here = level.select(F.col("parent").alias("base")).distinct()
         slots = blocked.unionByName(extra.select("base", "slot")).join(here, "base", "left_semi")
-        runs = _runs(slots.distinct()).select(
-            "base", "first", "n", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("before"),
-            F.lit(None).cast("string").alias("child"))
-        claims = level.select(F.col("parent").alias("base"), F.col("slot").alias("first"),
-                              F.lit(1).cast("long").alias("n"), F.lit(1).alias("kind"),
-                              F.col("before").cast("long").alias("before"), "child")
-        # One group holds the blocked runs and numbered titles of one base, not its items.
-        wins = (runs.unionByName(claims).groupBy("base").applyInPandas(_who_wins, kinds))
+        claims = level.select(F.col("parent").alias("base"), "slot", "child",
+                              F.col("before").cast("long").alias("before"))
+        wins = won_claims(_runs(slots.distinct()), claims)
         extra = cut_lineage(extra.unionByName(wins.select(
             F.when(F.col("child_wins"), F.col("base")).otherwise(F.col("child")).alias("base"),
             F.when(F.col("child_wins"), F.col("slot")).otherwise(F.lit(1)).alias("slot"))))

@@ -31,25 +31,39 @@ def random_rows(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_matches_the_sequential_rule(spark, seed):
-    rows = random_rows(seed)
-    got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"])
+@pytest.mark.parametrize("settled", [20, D.SETTLED_ROWS])
+def test_matches_the_sequential_rule(spark, settled):
+    rows = random_rows(1)
+    got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"], settled=settled)
     assert got.count() == len(rows)
     assert {r.id for r in got.filter("accepted").collect()} == sequential(rows)
 
 
-def test_chain_of_alternating_keys(spark):
-    rows = [(i, f"url:{(i + 1) // 2}", f"th:{i // 2}", "t") for i in range(12)]
-    got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"])
+@pytest.mark.parametrize("places", [list(range(70)), [(i % 26 > 0) * 1000 + i * 37 % 130 for i in range(70)]])
+def test_chains_of_alternating_keys(spark, monkeypatch, places):
+    rows = [(p, f"url:{(i + 1) // 2}", f"th:{i // 2}", "t") for i, p in enumerate(places)]
+    rounds = []
+    decided = D._decided
+    monkeypatch.setattr(D, "_decided", lambda left: rounds.append(1) or decided(left))
+    got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"], settled=0)
     assert {r.id for r in got.filter("accepted").collect()} == sequential(rows)
+    assert len(rounds) <= 3
 
 
-def test_stored_markers_block_items(spark):
+def test_rows_without_second_key_and_no_rows(spark):
+    rows = [(i, f"url:{i % 5}", None if i % 3 else f"th:{i % 4}", "t") for i in range(40)]
+    for settled in (5, 100):
+        got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"], settled=settled)
+        assert {r.id for r in got.filter("accepted").collect()} == sequential(rows)
+        assert D.accept_first(spark.createDataFrame([], SCHEMA), ["id"], settled=settled).count() == 0
+
+
+@pytest.mark.parametrize("settled", [4, D.SETTLED_ROWS])
+def test_stored_markers_block_items(spark, settled):
     rows = random_rows(9, 60)
     known = ["url:3", "th:hot", "url:hot", "th:5"]
     markers = spark.createDataFrame([(k,) for k in known], "dedup_key string")
-    got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"], markers)
+    got = D.accept_first(spark.createDataFrame(rows, SCHEMA), ["id"], markers, settled)
     assert {r.id for r in got.filter("accepted").collect()} == sequential(rows, known)
 
 

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from pressline.operators import slugs
 from pressline.operators.slugs import assign_slugs
 
 
@@ -49,3 +50,23 @@ def test_one_hot_title(spark):
 
 def test_nothing_frozen_and_no_collision(spark):
     run(spark, [(1, "One"), (2, "Two")], ["three"])
+
+
+def test_many_numbered_titles_compete_for_slots(spark, monkeypatch):
+    # Short stretches, so that maps of several stretches are applied one after the other.
+    monkeypatch.setattr(slugs.won_claims, "__defaults__", (7,))
+    rng = random.Random(12)
+    rows = [(i, "Episode" if rng.random() < 0.5 else f"Episode {rng.randint(1, 160)}") for i in range(400)]
+    run(spark, rows, [f"episode-{k}" for k in rng.sample(range(2, 200), 25)])
+
+
+def test_folded_maps_equal_single_steps():
+    rng = random.Random(5)
+    for _ in range(200):
+        limits = [rng.randint(-3, 30) for _ in range(rng.randint(0, 40))]
+        found = slugs._thresholds(limits)
+        for start in range(35):
+            won = start
+            for c in limits:
+                won += won <= c
+            assert won == start + sum(t >= start for t in found)
