@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from pressline import fixed_values as V
 from pressline.catalog.helpers import iso_sql, rounded, text_times
 from pressline.catalog.registry import query
 from pressline.functions import content as K
 from pressline.functions import html as H
+from pressline.functions import rates as R
 from pressline.functions import sources as S
 from pressline.functions import times as M
 from pressline.functions import titles as N
@@ -413,23 +416,34 @@ def _(t):
     return rounded(D.unique_contribution(rows, good, "entry_id"))
 
 
-@query("item_tables", "STA-14", greedy_sql("""
-SELECT t.table_name, CAST(sum(CASE WHEN t.table_name = 'ingest_dedup_marker' AND title_key IS NOT NULL
-                              THEN 2 ELSE 1 END) AS BIGINT) AS rows,
-       1001 AS first_id, 1000 + count(*) AS last_id
-FROM judged CROSS JOIN (SELECT unnest(['source_item', 'source_item_text', 'ingest_dedup_marker',
-                                       'source_item_raw']) AS table_name) t
-WHERE label = 'new' GROUP BY t.table_name"""))
+@query("item_tables", "STA-14", greedy_sql(f"""
+, fresh AS (
+  SELECT *, 1000 + row_number() OVER (ORDER BY fetched_at, source_id, entry_id) AS id FROM judged WHERE label = 'new'),
+texts AS ({label_sql(DOC_TEXT_SQL, 'doc_id')})
+SELECT 'source_item' AS table_name, id AS source_item_id, ingest_dedup_key AS key,
+       md5(concat_ws('|', source_id, coalesce(guid, '-'), coalesce(canonical_url, '-'), title, coalesce(stamp, '-'),
+                     {iso_sql('fetched_at')}, dedup_rule)) AS content FROM fresh
+UNION ALL SELECT 'ingest_dedup_marker', id, ingest_dedup_key, dedup_rule FROM fresh
+UNION ALL SELECT 'ingest_dedup_marker', id, title_key, 'th' FROM fresh WHERE title_key IS NOT NULL
+UNION ALL SELECT 'source_item_raw', id, {iso_sql(f"fetched_at + INTERVAL '{V.RAW_RETENTION_DAYS}' DAY")},
+       md5(CASE WHEN trim(summary, ' ' || chr(10)) <> '' THEN summary ELSE '' END) FROM fresh
+UNION ALL SELECT 'source_item_text', id, x.status || '|' || coalesce(x.reason, '-'),
+       md5(x.text || '|' || length(x.text)) FROM fresh f JOIN texts x ON x.doc_id = f.entry_id"""))
 def _(t):
     tables = I.ingest(t.b_entry, ORDER, last_id=1000)
-    parts = [df.select(F.lit(name).alias("table_name"), "source_item_id")
-             for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"),
-                                         F.min("source_item_id").alias("first_id"),
-                                         F.max("source_item_id").alias("last_id"))
+    def shown(name, key, content):
+        return tables[name].select(F.lit(name).alias("table_name"), "source_item_id", key.alias("key"),
+                                   content.alias("content"))
+    dash = lambda c: F.coalesce(c, F.lit("-"))
+    parts = [
+        shown("source_item", F.col("ingest_dedup_key"), F.md5(F.concat_ws(
+            "|", F.col("source_id").cast("string"), dash(F.col("source_item_guid")), dash(F.col("canonical_url")), "title",
+            dash(R.iso("published_at")), R.iso("fetched_at"), "dedup_rule"))),
+        shown("ingest_dedup_marker", F.col("dedup_key"), F.col("dedup_rule")),
+        shown("source_item_raw", R.iso("expires_at"), F.md5("raw_payload")),
+        shown("source_item_text", F.concat_ws("|", "text_processing_status", dash(F.col("text_processing_reason"))),
+              F.md5(F.concat_ws("|", "sanitized_text", F.col("sanitized_text_length").cast("string"))))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("attempt_item_counters", "AGG-44", greedy_sql(f"""

@@ -335,6 +335,14 @@ def retired_months(metadata: DataFrame, months: DataFrame, languages: DataFrame)
             .join(months, ["language_code", "archive_month"], "left_anti"))
 
 
+def metadata_changes(metadata: DataFrame, stamps: DataFrame) -> DataFrame:
+    """What a run changes in the metadata table: new or moved stamps, and months that are gone (``_gone``)."""
+    key = ["language_code", "archive_month"]
+    planned = stamps.select(*metadata.columns)
+    gone = metadata.join(planned.select(*key), key, "left_anti").withColumn("_gone", F.lit(True))
+    return planned.exceptAll(metadata).withColumn("_gone", F.lit(False)).unionByName(gone)
+
+
 def synced_metadata(metadata: DataFrame, stamps: DataFrame) -> DataFrame:
     """The metadata table after a run: exactly the planned months with their stamps."""
     return stamps.select(*metadata.columns)

@@ -1,8 +1,11 @@
 """Writing and reading exported snapshots.
 
-An export root holds ``generations/generation=<id>/`` with one folder per artifact kind, and
-``pointer/``, an append-only log whose newest row names the live snapshot. Readers follow the
-pointer, so a half-written snapshot is never seen.
+An export root holds ``generations/generation=<id>/`` with one folder per small artifact kind,
+``store/`` with the item and archive files by the generation that wrote them, and ``pointer/``, an
+append-only log whose newest row names the live snapshot. Readers follow the pointer, so a
+half-written snapshot is never seen. A generation lists its parts with their digests; a part that has
+the digest of the generation before is not written again, its entry refers to the files it has. So the
+files of a generation may be removed when no kept generation refers to them any more.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ STATS_SCHEMA = ("total_active_published_items_by_language map<string,long>, "
 POINTER_SCHEMA = ("generation string, export_completed_at string, last_successful_run_at string, "
                   "languages array<string>, content_fingerprint string")
 DIGEST_SCHEMA = "path string, digest string, ordinal string"
+PARTS_SCHEMA = "kind string, language_code string, part string, digest string, n long, home string"
+ITEM_PARTS = 32
+"""Parts of the item documents of one language, by a hash of the slug."""
 
 
 # --- sinks ---------------------------------------------------------------------------------------------------
@@ -197,13 +203,69 @@ def live_path(root: str, pointer: dict, kind: str) -> str:
     return f"{root}/generations/generation={pointer['generation']}/{kind}"
 
 
+def snapshot_parts(plan: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """kind -> rows with ``part``, ``line`` (the stored text) and ``_d`` (its digest)."""
+    items = plan["documents"].select(
+        "language_code", F.format_string("%02d", F.pmod(F.xxhash64("slug"), F.lit(ITEM_PARTS))).alias("part"),
+        F.col("document").alias("line"))
+    entry = F.to_json(F.struct(*[F.col(c) for c in B.CATALOGUE]), {"ignoreNullFields": "false"})
+    rows = plan["catalogue"].filter(F.col("archive_month").isNotNull())
+    archives = _iso_columns(rows.select("language_code", F.col("archive_month").alias("part"), *B.CATALOGUE)).select(
+        "language_code", "part", entry.alias("line"))
+    return {"items": items, "archives": archives}
+
+
+def part_digests(parts: dict[str, DataFrame]) -> DataFrame:
+    """(kind, language_code, part, digest, n): sums of line digests, so no part is gathered anywhere."""
+    out = [rows.groupBy(F.lit(kind).alias("kind"), "language_code", "part").agg(
+        B.set_digest(F.sha2("line", 256)).alias("digest"), F.count(F.lit(1)).alias("n")) for kind, rows in parts.items()]
+    return out[0].unionByName(out[1])
+
+
+def read_parts(spark: SparkSession, root: str, pointer: dict) -> DataFrame:
+    return spark.read.schema(PARTS_SCHEMA).json(live_path(root, pointer, "parts"), mode="FAILFAST")
+
+
+def read_lines(spark: SparkSession, root: str, pointer: dict, kind: str) -> DataFrame:
+    """(language_code, part, line) of a generation, wherever its parts were written."""
+    homes = read_parts(spark, root, pointer).filter(F.col("kind") == kind).select("home").distinct().collect()
+    wanted = read_parts(spark, root, pointer).filter(F.col("kind") == kind).select("language_code", "part", "home")
+    if not homes:
+        return spark.createDataFrame([], "language_code string, part string, line string")
+    # Partition columns only, so files of other parts are pruned; there is one row per part on the other side.
+    stored = spark.read.schema("value string, home string, language_code string, part string").text(f"{root}/store/{kind}")
+    here = stored.filter(F.col("home").isin([r[0] for r in homes]))
+    return here.join(wanted, ["home", "language_code", "part"], "left_semi").select(
+        "language_code", "part", F.col("value").alias("line"))
+
+
+def write_changed_parts(spark: SparkSession, root: str, pointer: dict, old: dict | None,
+                        parts: dict[str, DataFrame], rebuild: bool = False) -> None:
+    """Write the parts that the generation before does not hold, and the list of all parts."""
+    fresh = part_digests(parts)
+    key = ["kind", "language_code", "part", "digest"]
+    before = (read_parts(spark, root, old).select(*key, "home") if old and not rebuild
+              else spark.createDataFrame([], PARTS_SCHEMA).select(*key, "home"))
+    listed = cut_lineage(fresh.join(before, key, "left").withColumn(
+        "home", F.coalesce("home", F.lit(pointer["generation"]))))
+    new = listed.filter(F.col("home") == pointer["generation"])
+    for kind, rows in parts.items():
+        own = new.filter(F.col("kind") == kind).select("language_code", "part")
+        (rows.join(own, ["language_code", "part"], "left_semi")
+         .select("language_code", "part", F.col("line").alias("value"))
+         .write.mode("overwrite").partitionBy("language_code", "part")
+         .text(f"{root}/store/{kind}/home={pointer['generation']}"))
+    listed.write.json(live_path(root, pointer, "parts"))
+
+
 def publish_snapshot(spark: SparkSession, root: str, plan: dict[str, DataFrame], run_ts: str,
                      languages: list[str], rebuild: bool = False) -> dict:
-    """Write a new complete snapshot when the export state changed, then move the pointer.
+    """Make a new complete snapshot when the export state changed, then move the pointer.
 
     ``plan``: documents, index, catalogue, stamps, stats. Without a change only the time of the
-    last successful run moves on. The pointer row comes last, so a lost job leaves the old
-    snapshot live.
+    last successful run moves on. Of items and archives only parts with another digest than in the live
+    snapshot are written; ``rebuild`` writes all. The pointer row comes last, so a lost job leaves the
+    old snapshot live.
     """
     digests = cut_lineage(B.artifact_digests(plan["documents"], plan["index"], plan["stamps"],
                                              plan["stats"]))
@@ -221,9 +283,8 @@ def publish_snapshot(spark: SparkSession, root: str, plan: dict[str, DataFrame],
         pointer = {"generation": generation, "export_completed_at": run_ts,
                    "last_successful_run_at": run_ts, "languages": languages,
                    "content_fingerprint": fingerprint}
-        write_items(plan["documents"], live_path(root, pointer, "items"))
+        write_changed_parts(spark, root, pointer, old, snapshot_parts(plan), rebuild)
         write_index(plan["index"], live_path(root, pointer, "index"))
-        write_archives(plan["catalogue"], live_path(root, pointer, "archives"))
         write_manifest(plan["stamps"], live_path(root, pointer, "manifest"))
         write_stats(plan["stats"], live_path(root, pointer, "stats"))
         write_digests(digests, live_path(root, pointer, "digests"))

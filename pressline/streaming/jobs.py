@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressline import fixed_values as V
 from pressline.functions import rates as R
+from pressline.operators.buckets import lookup
 from pressline.plans.ingest import ingest, keyed_entries
-from pressline.sources.exports import path_exists
+from pressline.session import cut_lineage
+from pressline.streaming.markers import MarkerStore
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
@@ -21,33 +19,34 @@ def file_stream(spark: SparkSession, path: str, schema: str, files_per_trigger:
 
 # --- ingest -----------------------------------------------------------------------------------------
 
-def _stored_ids(spark: SparkSession, root: str, batch_id: int) -> int:
-    """Largest item id stored by earlier batches."""
-    if not path_exists(spark, f"{root}/source_item"):
-        return 0
-    old = spark.read.parquet(f"{root}/source_item").filter(F.col("batch") < batch_id)
-    return old.agg(F.max("source_item_id")).first()[0] or 0
-
-
-def _stored_markers(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    if not path_exists(spark, f"{root}/ingest_dedup_marker"):
-        return None
-    rows = spark.read.parquet(f"{root}/ingest_dedup_marker")
-    return rows.filter(F.col("batch") < batch_id).select("dedup_key")
+LEDGER = "last_id long, marker_folders_read long"
 
 
-def stream_ingest(entries: DataFrame, root: str, checkpoint: str, order: list[str]):
-    """Every micro-batch runs the whole ingest plan against the stored markers.
+def stream_ingest(entries: DataFrame, root: str, checkpoint: str, order: list[str], buckets: int = 64,
+                  bits: int = 1 << 20):
+    """Every micro-batch runs the whole ingest plan against the stored markers of its own keys.
 
-    Each table is written under ``batch=<id>`` with overwrite, so a repeated batch replaces its own
-    rows and nothing else.
+    The markers lie in buckets behind Bloom filters (see ``markers``), and the last item id in the
+    ledger of the batch before, so no batch reads the history. Each table is written under
+    ``batch=<id>`` with overwrite, so a repeated batch replaces its own rows and nothing else.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        markers = _stored_markers(spark, root, batch_id)
-        tables = ingest(batch, order, markers, _stored_ids(spark, root, batch_id))
+        store = MarkerStore(spark, root, buckets, bits)
+        last = (spark.read.schema(LEDGER).parquet(f"{root}/ledger/batch={batch_id - 1}").first()["last_id"]
+                if batch_id else 0)
+        keys = cut_lineage(keyed_entries(batch).select(F.explode(F.array_compact(
+            F.array("ingest_dedup_key", "title_key"))).alias("dedup_key")).distinct())
+        known, folders = store.known(keys, batch_id)
+        tables = ingest(batch, order, cut_lineage(known), last)
         for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+            if name != "ingest_dedup_marker":
+                rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+        items = spark.read.parquet(f"{root}/source_item/batch={batch_id}")
+        last = items.agg(F.max("source_item_id")).first()[0] or last
+        store.append(tables["ingest_dedup_marker"], batch_id)
+        spark.createDataFrame([(last, len(folders))], LEDGER).coalesce(1).write.mode("overwrite").parquet(
+            f"{root}/ledger/batch={batch_id}")
 
     return (entries.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -61,54 +60,79 @@ def stream_single_key(entries: DataFrame, delay: str = "7 days") -> DataFrame:
 
 # --- source health ------------------------------------------------------------------------------------
 
-HEALTH = T.StructType([
-    T.StructField("source_id", T.LongType()), T.StructField("attempts", T.LongType()),
-    T.StructField("consecutive_failures", T.LongType()),
-    T.StructField("health_status", T.StringType()),
-    T.StructField("quarantine_until", T.TimestampType())])
-HEALTH_STATE = T.StructType([T.StructField("failures", T.LongType()),
-                             T.StructField("attempts", T.LongType())])
-
-
-def _health_step(key: tuple, batches: Iterator[pd.DataFrame],
-                 state: GroupState) -> Iterator[pd.DataFrame]:
-    """Failures in a row of one source after its new attempts; the state is two numbers.
+def health_summary(attempts: DataFrame) -> DataFrame:
+    """Per source: attempts, the latest one, the latest success, and the failures after that success.
 
-    Chunks come in any order. Only the keys of failures later than the latest success seen so far
-    are held on to, as plain numbers; whole rows are never gathered.
+    Both aggregates combine map-side, so a source with a third of all attempts sends one row per task.
     """
-    failures, seen = state.get if state.exists else (0, 0)
-    latest_win, latest, open_failures = None, None, []
-    for chunk in batches:
-        seen += len(chunk)
-        at = list(zip(chunk["started_at"].astype("datetime64[ns]").astype("int64"),
-                      chunk["fetch_attempt_id"]))
-        won = (chunk["outcome"] == "success").to_numpy()
-        for place, ok in zip(at, won):
-            latest = place if latest is None or place > latest else latest
-            if ok:
-                latest_win = place if latest_win is None or place > latest_win else latest_win
-            else:
-                open_failures.append(place)
-        if latest_win is not None:
-            open_failures = [p for p in open_failures if p > latest_win]
-    failures = len(open_failures) + (0 if latest_win is not None else failures)
-    state.update((failures, seen))
-    until, status = None, "healthy"
-    if failures >= V.QUARANTINE_AFTER:
-        status = "quarantined"
-        until = pd.Timestamp(latest[0]) + pd.Timedelta(hours=V.QUARANTINE_HOURS)
-    elif failures >= V.DEGRADED_AFTER:
-        status = "degraded"
-    yield pd.DataFrame({"source_id": [key[0]], "attempts": [seen],
-                        "consecutive_failures": [failures], "health_status": [status],
-                        "quarantine_until": pd.Series([until], dtype="datetime64[ns]")})
-
-
-def stream_health(attempts: DataFrame) -> DataFrame:
-    """Source health after each micro-batch; batches must follow each other in time."""
-    return attempts.groupBy("source_id").applyInPandasWithState(
-        _health_step, HEALTH, HEALTH_STATE, "update", GroupStateTimeout.NoTimeout)
+    place = F.struct("started_at", "fetch_attempt_id")
+    won = F.col("outcome") == "success"
+    wins = attempts.filter(won).groupBy("source_id").agg(F.max(place).alias("win"))
+    marked = lookup(attempts.select("source_id", "started_at", "fetch_attempt_id", "outcome"), wins, "source_id")
+    return marked.groupBy("source_id").agg(
+        F.count(F.lit(1)).alias("attempts"), F.max(place).alias("latest"), F.max("win").alias("win"),
+        F.count_if(~won & (F.col("win").isNull() | (place > F.col("win")))).alias("failures"))
+
+
+def merged_health(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """The summary of two stretches of time: a success of the later one ends all earlier failures."""
+    a, b = earlier.alias("a"), later.alias("b")
+    of = lambda c: F.coalesce(F.col(f"a.{c}"), F.lit(0)), lambda c: F.coalesce(F.col(f"b.{c}"), F.lit(0))
+    return a.join(b, F.col("a.source_id") == F.col("b.source_id"), "full").select(
+        F.coalesce("a.source_id", "b.source_id").alias("source_id"),
+        (of[0]("attempts") + of[1]("attempts")).alias("attempts"),
+        F.greatest("a.latest", "b.latest").alias("latest"), F.greatest("a.win", "b.win").alias("win"),
+        F.when(F.col("b.win").isNotNull(), F.col("b.failures")).otherwise(
+            of[0]("failures") + of[1]("failures")).alias("failures"))
+
+
+def health_rows(summary: DataFrame) -> DataFrame:
+    """Health status of each source from its failures in a row."""
+    failures = F.col("failures")
+    return summary.select(
+        "source_id", "attempts", failures.alias("consecutive_failures"),
+        F.when(failures >= V.QUARANTINE_AFTER, "quarantined").when(failures >= V.DEGRADED_AFTER, "degraded")
+        .otherwise("healthy").alias("health_status"),
+        F.when(failures >= V.QUARANTINE_AFTER, F.col("latest.started_at") + F.make_interval(
+            hours=F.lit(V.QUARANTINE_HOURS))).alias("quarantine_until"))
+
+
+def stream_health(attempts: DataFrame, root: str, checkpoint: str, delay_seconds: int = 7200):
+    """Source health after each micro-batch, under ``root``/health/batch=<id>.
+
+    Attempts may come in any order as long as none is later than ``delay_seconds`` behind the newest
+    one seen. The carry of a source is one summary of everything before that mark; the attempts behind
+    the mark wait in a table of their own, shared by all sources, until it has passed them. An attempt
+    before the mark of an earlier batch is dropped, as behind a watermark. A batch reads what the batch
+    before it wrote and overwrites only its own folders, so it may be repeated after a restart.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        old = {name: spark.read.parquet(f"{root}/{name}/batch={batch_id - 1}")
+               for name in ("settled", "waiting", "mark")} if batch_id else {}
+        rows = batch.select("source_id", "started_at", "fetch_attempt_id", "outcome")
+        before = old["mark"].first()[0] if old else None
+        if before is not None:
+            rows = rows.filter(F.col("started_at") > F.lit(before))
+        if old:
+            rows = rows.unionByName(old["waiting"])
+        rows = cut_lineage(rows)
+        newest = rows.agg(F.max("started_at") - F.make_interval(secs=F.lit(delay_seconds))).first()[0]
+        mark = max((x for x in (before, newest) if x is not None), default=None)
+        passed = F.coalesce(F.col("started_at") <= F.lit(mark), F.lit(False)) if mark else F.lit(False)
+        settled = health_summary(rows.filter(passed))
+        if old:
+            settled = merged_health(old["settled"], settled)
+        settled.write.mode("overwrite").parquet(f"{root}/settled/batch={batch_id}")
+        rows.filter(~passed).write.mode("overwrite").parquet(f"{root}/waiting/batch={batch_id}")
+        spark.createDataFrame([(mark,)], "mark timestamp").write.mode("overwrite").parquet(
+            f"{root}/mark/batch={batch_id}")
+        now = merged_health(spark.read.parquet(f"{root}/settled/batch={batch_id}"),
+                            health_summary(spark.read.parquet(f"{root}/waiting/batch={batch_id}")))
+        health_rows(now).write.mode("overwrite").parquet(f"{root}/health/batch={batch_id}")
+
+    return (attempts.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 # --- windowed rates -------------------------------------------------------------------------------------

@@ -3,7 +3,10 @@
 import random
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from pressline.operators import fetch as X
+from pressline.streaming import jobs as J
 
 SCHEMA = "fetch_attempt_id long, source_id long, started_at timestamp, outcome string"
 
@@ -73,3 +76,32 @@ def test_skip_order_and_due_border(spark):
     got = {r.source_id: r.skip_reason for r in
            X.skip_reasons(sources, states, "2024-01-01 12:00:00").collect()}
     assert got == {1: "disabled", 2: "quarantined", 3: "not_due", 4: None, 5: None}
+
+
+def test_streamed_health_takes_late_and_shuffled_attempts(spark, tmp_path):
+    rows = random_rows(7, 160)
+    rng = random.Random(3)
+    # Shuffled within three hours, then cut into four arrivals, each with a restart of the job.
+    rows.sort(key=lambda r: r[2] + timedelta(seconds=rng.randrange(10_000)))
+    for k in range(4):
+        part = rows[40 * k:40 * k + 40]
+        spark.createDataFrame(part, SCHEMA).repartition(2).write.mode("append").parquet(f"{tmp_path}/in")
+        J.stream_health(J.file_stream(spark, f"{tmp_path}/in", SCHEMA), f"{tmp_path}/out", f"{tmp_path}/state",
+                        delay_seconds=10_800).awaitTermination()
+        got = {r.source_id: (r.attempts, r.consecutive_failures, r.health_status) for r in spark.read.parquet(
+            f"{tmp_path}/out/health").filter(F.col("batch") == k).collect()}
+        seen = rows[:40 * k + 40]
+        states = model(seen)
+        last = {s: max((r for r in seen if r[1] == s), key=lambda r: (r[2], r[0]))[0] for s in {r[1] for r in seen}}
+        assert got == {s: (sum(r[1] == s for r in seen), *states[i]) for s, i in last.items()}
+    # The wait is bounded by the delay, not by the history; what comes behind the mark is dropped.
+    waiting = spark.read.parquet(f"{tmp_path}/out/waiting").filter("batch = 3")
+    newest = max(r[2] for r in rows)
+    assert waiting.count() == sum(r[2] > newest - timedelta(seconds=10_800) for r in rows)
+    spark.createDataFrame([(900, 1, rows[0][2] - timedelta(days=1), "success")], SCHEMA).write.mode(
+        "append").parquet(f"{tmp_path}/in")
+    J.stream_health(J.file_stream(spark, f"{tmp_path}/in", SCHEMA), f"{tmp_path}/out", f"{tmp_path}/state",
+                    delay_seconds=10_800).awaitTermination()
+    after = {r.source_id: r.consecutive_failures for r in spark.read.parquet(
+        f"{tmp_path}/out/health").filter("batch = 4").collect()}
+    assert after == {s: v[1] for s, v in got.items()}
