@@ -233,7 +233,8 @@ SELECT doc_id AS entry_id, CAST(substr(source, 4) AS BIGINT) AS source_id,
        TIMESTAMP '2024-01-01 00:00:00' + (doc_id % 2592000) * INTERVAL '1' SECOND AS fetched_at
 FROM documents""",
     "b_escaped": """
-SELECT doc_id AS payload_id, CAST(substr(source, 4) AS BIGINT) AS source_id,
+SELECT doc_id AS payload_id, CAST(substr(source, 4) AS BIGINT) AS source_id, text AS plain,
+       CASE WHEN doc_id % 12 = 8 THEN 'body' ELSE 'content' END AS prefix,
        replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS body,
        replace(replace(replace(split_part(text, chr(10), 1), '&', '&amp;'), '<', '&lt;'),
                '>', '&gt;') AS head
@@ -243,14 +244,15 @@ SELECT payload_id, source_id,
        CASE WHEN payload_id % 2 = 0 THEN concat(
             '<?xml version="1.0"?><rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/" ',
             'xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd" ',
-            'xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>c</title><item><title>', head,
+            'xmlns:', prefix, '="http://purl.org/rss/1.0/modules/content/"><channel><title>c</title><item><title>', head,
             '</title>', CASE WHEN payload_id % 4 = 0 THEN '<media:title>Caption</media:title>' ELSE '' END,
             '<link>https://Example.com/p/', CAST(payload_id AS VARCHAR(20)),
             '/</link><guid isPermaLink="false">g', CAST(payload_id AS VARCHAR(20)),
             '</guid><pubDate>', CASE WHEN payload_id % 4 = 0 THEN 'Fri 5 Jan 24 05:00 EST'
                                  ELSE 'Fri, 05 Jan 2024 10:00:00 GMT' END, '</pubDate>',
-            CASE WHEN payload_id % 6 = 2 THEN '<content:encoded>' ELSE '<description>' END, body,
-            CASE WHEN payload_id % 6 = 2 THEN '</content:encoded>' ELSE '</description>' END,
+            CASE WHEN payload_id % 6 = 2 THEN concat('<', prefix, ':encoded>') ELSE '<description>' END,
+            CASE WHEN payload_id % 24 = 8 THEN concat('<![CDATA[<body:b>', plain, '</body:b>]]>') ELSE body END,
+            CASE WHEN payload_id % 6 = 2 THEN concat('</', prefix, ':encoded>') ELSE '</description>' END,
             CASE WHEN payload_id % 4 = 0 THEN '<media:description>Alt</media:description><itunes:summary>S</itunes:summary>'
                  ELSE '' END, '</item>',
             CASE WHEN payload_id % 10 = 0 THEN

@@ -4,7 +4,7 @@ import importlib
 
 from pressline.catalog.registry import ORACLES, QUERIES, SURVEY  # noqa: F401
 
-MODULES: list[str] = ["analytics", "content", "state", "publishing", "reports", "streams"]
+MODULES: list[str] = ["analytics", "content", "state", "publishing", "reports", "streams", "canonical"]
 
 
 def load() -> None:

@@ -40,7 +40,8 @@ VALID_SQL = "SELECT * FROM b_escaped WHERE payload_id % 17 <> 4"
 SELECT payload_id, 0 AS position, trim(regexp_replace(d.head, '\s+', ' ', 'g')) AS title,
        CASE WHEN payload_id % 2 = 0 THEN 'g' ELSE 'u:' END || payload_id AS guid,
        CASE WHEN payload_id % 2 = 0 THEN 'https://example.com/p/' ELSE 'https://a.example/' END
-       || payload_id AS canonical_url, md5(trim(d.body, ' ' || chr(10))) AS summary_md5,
+       || payload_id AS canonical_url, md5(CASE WHEN payload_id % 24 = 8 THEN '<body:b>' || d.body || '</body:b>'
+            ELSE trim(d.body, ' ' || chr(10)) END) AS summary_md5,
        '2024-01-05T10:00:00Z' AS published_at
 FROM (SELECT doc_id AS payload_id, text AS body, split_part(text, chr(10), 1) AS head
       FROM documents) d WHERE payload_id % 17 <> 4
@@ -471,7 +472,22 @@ def _(t):
         "title_key", "entry_id")
 
 
-@query("near_duplicate_groups", "DOC-11")
+@query("near_duplicate_groups", "DOC-11", rf"""
+WITH RECURSIVE permutation(j, a, c) AS (VALUES {', '.join(f'({j}, {a}, {c})' for j, (a, c) in enumerate(D.permutations(32)))}),
+tokens AS (SELECT entry_id, CAST(floor(epoch(fetched_at) / 86400) AS BIGINT) AS day,
+                  list_filter(string_split_regex(lower(summary), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM b_entry),
+grams AS (SELECT DISTINCT entry_id, day, CAST('0x' || substr(md5(array_to_string(t[i:i + 2], ' ')), 1, 8) AS BIGINT) % {D.PRIME} AS h
+          FROM (SELECT *, unnest(range(1, greatest(len(t) - 2, 1) + 1)) AS i FROM tokens)),
+mins AS (SELECT entry_id, day, j, min((h * a + c) % {D.PRIME}) AS m FROM grams, permutation GROUP BY ALL),
+bands AS (SELECT entry_id, day, j // 4 AS band, string_agg(m, ',' ORDER BY j) AS k FROM mins GROUP BY entry_id, day, j // 4),
+linked AS (SELECT DISTINCT entry_id AS a, min(entry_id) OVER (PARTITION BY day, band, k) AS b FROM bands),
+both_ways AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b),
+groups AS (SELECT a AS entry_id, min(b) AS group_id FROM reach GROUP BY a),
+tiered AS (SELECT g.*, e.source_id % 3 + 1 AS tier FROM groups g JOIN b_entry e USING (entry_id))
+SELECT group_id, arg_min(entry_id, (tier, entry_id)) AS primary_item, min(tier) AS tier, count(*) - 1 AS alternatives
+FROM tiered GROUP BY group_id"""
+)
 def _(t):
     rows = t.b_entry.select("entry_id", "summary", "fetched_at")
     groups = D.near_groups(rows, "entry_id", "summary", "fetched_at")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pressline.catalog.helpers import IW, LANGS, iso_sql, joined, rounded, text_times
 from pressline.catalog.registry import query
@@ -559,19 +560,15 @@ def _(t):
         "language_code", F.md5("value").alias("document_md5"))
 
 
-# Undated entries break the reader's contract, so the written index holds the dated ones.
-DATED_INDEX_SQL = INDEX_SQL.replace(f"FROM ({CATALOGUE_SQL}) c)",
-                                    f"FROM ({CATALOGUE_SQL}) c WHERE archive_month IS NOT NULL)")
-
-
 @query("written_index", "SNK-2 SRC-6", f"""
 SELECT language_code, position, slug, {iso_sql('source_published_at')} AS source_published_at
-FROM ({DATED_INDEX_SQL}) i""")
+FROM ({INDEX_SQL}) i""")
 def _(t):
+    # Undated entries break the reader's contract: they come back beside the valid ones, not at all mixed up.
     path = folder(t)
-    E.write_index(B.latest_index(catalogue(t).filter("archive_month IS NOT NULL")), path)
-    return E.read_index(t.spark, path).select("language_code", "position", "slug",
-                                              "source_published_at")
+    E.write_index(B.latest_index(catalogue(t)), path)
+    valid, invalid = E.split_index(t.spark, path)
+    return valid.unionByName(invalid).select("language_code", "position", "slug", "source_published_at")
 
 
 @query("whole_written_index", "SNK-2 SRC-6", f"""
@@ -805,13 +802,23 @@ def _(t):
 
 
 @query("stats_audit", "VAL-8", """
-SELECT 'en,zh,ja' AS locales, CAST(NULL AS VARCHAR) AS reason
-UNION ALL SELECT 'en,de', 'total_active_published_items_by_language.de'""")
-def _(t):
-    doc = B.stats_document(B.export_stats(t.b_publish, t.b_publish_status, t.b_item, t.b_lang),
-                           RUN_TS)
-    return A.stats_audit(doc, LANGS).select(F.lit("en,zh,ja").alias("locales"), "reason").unionByName(
-        A.stats_audit(doc, ["en", "de"]).select(F.lit("en,de").alias("locales"), "reason"))
+SELECT DISTINCT lang AS locale, CASE WHEN lang NOT IN (SELECT language_code FROM b_lang)
+       THEN 'total_active_published_items_by_language.' || lang END AS reason
+FROM (SELECT lang FROM documents WHERE lang IS NOT NULL UNION SELECT language_code FROM b_lang) l
+UNION ALL SELECT 'broken', 'latest_index_count_by_language.' || min(language_code) FROM b_publish_status
+UNION ALL SELECT 'undated', 'oldest_archive_month_by_language.' || max(language_code) FROM b_publish_status""")
+def _(t):
+    doc = B.stats_document(B.export_stats(t.b_publish, t.b_publish_status, t.b_item, t.b_lang), RUN_TS)
+    # The locales of the desk and of all documents: a handful of names.
+    locales = sorted({r[0] for r in t.documents.filter("lang IS NOT NULL").select("lang").union(
+        t.b_lang.select("language_code")).distinct().collect()})
+    ends = t.b_publish_status.agg(F.min("language_code"), F.max("language_code")).first()
+    count, oldest = "latest_index_count_by_language", "oldest_archive_month_by_language"
+    negative = doc.withColumn(count, F.transform_values(count, lambda k, v: F.when(k == ends[0], F.lit(-1)).otherwise(v)))
+    odd = doc.withColumn(oldest, F.transform_values(oldest, lambda k, v: F.when(k == ends[1], F.lit("1995")).otherwise(v)))
+    cases = [(name, doc, [name]) for name in locales] + [("broken", negative, LANGS), ("undated", odd, LANGS)]
+    return reduce(DataFrame.unionByName, [A.stats_audit(rows, wanted).select(F.lit(name).alias("locale"), "reason")
+                                          for name, rows, wanted in cases])
 
 
 @query("table_check_violations", "VAL-9", """
@@ -1160,15 +1167,3 @@ def _(t):
         F.when(k != 2, F.col("s_name")).alias("title"),
         F.col("s_nationkey").cast("string").alias("category_id"))
     return ST.valid_sources(entries)
-
-
-@query("stored_tables", "SRC-4", """
-SELECT 'publish_archive_metadata' AS table_name, count(*) AS rows, count(DISTINCT archive_month) AS months
-FROM b_archive_meta""")
-def _(t):
-    root = folder(t)
-    t.b_archive_meta.write.parquet(f"{root}/publish_archive_metadata")
-    df = ST.read_table(t.spark, root, "publish_archive_metadata")
-    return df.agg(F.lit("publish_archive_metadata").alias("table_name"),
-                  F.count(F.lit(1)).alias("rows"),
-                  F.count_distinct("archive_month").alias("months"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from pressline.bindings import ITEM_WINDOW
 from pressline.catalog import analytics as AN
@@ -56,22 +56,74 @@ def _(t):
         "translation_rate", "publish_rate"))
 
 
-@query("funnel_document", "REP-1 SNK-10", f"""
-SELECT 'funnel' AS report_type, '3.0.0' AS schema_version, (SELECT count(*) FROM b_item
-  WHERE {ITEM_SQL}) AS total_ingested, 6 AS latency_stages, 3 AS languages, 3 AS anomaly_codes""")
+COUNTED = {"total_ingested": "total_ingested", "low_context_observation_count": "low_context_observation_count",
+           "total_classified": "total_classified", "relevant_classified": "classified_relevant",
+           "total_curated": "curated", "curation_approved": "approved", "total_translated": "translated",
+           "total_published": "published"}
+RATES = ["classification_rate", "curation_rate", "curation_approval_rate", "translation_rate", "publish_rate"]
+STATES = ["low_context_observation_count", "total_classified", "pending_classification", "failed_text_processing",
+          "missing_text_processing"]
+
+
+def leaf_sql(path: str, number: str, source: str, text: str = "NULL") -> str:
+    return f"SELECT {path} AS leaf, CAST({number} AS DOUBLE) AS number, CAST({text} AS VARCHAR) AS shown FROM {source}"
+
+
+def document_sql() -> str:
+    """Every leaf of the funnel document, from the queries of its parts."""
+    parts = [leaf_sql(f"'{k}'", "NULL", "(SELECT 1) x", f"'{v}'") for k, v in {
+        "report_type": "funnel", "schema_version": "3.0.0", "generated_at": "2001-06-01T00:00:00Z",
+        "raw_window.start": "1995-03-01T00:00:00Z", "raw_window.end": "2001-06-01T00:00:00Z",
+        "matured_window.start": "1995-02-27T00:00:00Z", "matured_window.end": "2001-05-30T00:00:00Z"}.items()]
+    parts += [leaf_sql("'lookback_days'", str(DAYS), "(SELECT 1) x"), leaf_sql("'maturation_offset_hours'", str(OFFSET), "(SELECT 1) x")]
+    for window in ("raw", "matured"):
+        leaves = {**COUNTED, **{f"classification_readiness_breakdown.{c}": c for c in STATES},
+                  **({r: r for r in RATES} if window == "matured" else {})}
+        parts += [leaf_sql(f"'{window}_metrics.{k}'", c, f"(SELECT * FROM funnel WHERE window_name = '{window}') f{n}")
+                  for n, (k, c) in enumerate(leaves.items())]
+    for n, stage in enumerate(C.LATENCY_STAGES):
+        place = "pipeline_lead_time_seconds" if n == 0 else f"stage_latency_breakdown_seconds.{stage}"
+        parts += [leaf_sql(f"'raw_latency_metrics.{place}.{c}'", f"(SELECT {c} FROM latency WHERE stage = '{stage}')", "(SELECT 1) x")
+                  for c in ("average", "median", "p90")]
+    parts += [leaf_sql(f"'published_by_language.' || language_code || '.{c}'", c, "coverage") for c in ("published_count", "coverage_rate")]
+    parts.append(leaf_sql("'data_quality_anomalies.' || code", "count", "anomaly", "item_samples"))
+    series = AN.SERIES_SQL.replace(AN.START_SQL, f"(started_at >= TIMESTAMP '{ITEM_WINDOW[0]}' AND started_at < TIMESTAMP '{ITEM_WINDOW[1]}')")
+    coverage = AN.coverage_sql(AN.ELIGIBLE_SQL.replace(ITEM_SQL, MATURED), True)
+    samples = "array_to_string(list_slice(list(source_item_id ORDER BY source_item_id), 1, 10), ',')"
+    return f"""
+WITH funnel AS MATERIALIZED ({FUNNEL}),
+latency AS MATERIALIZED (SELECT stage, {AN.PCT_SQL} FROM ({series}) s GROUP BY stage),
+coverage AS MATERIALIZED ({coverage}),
+anomaly AS MATERIALIZED (SELECT code, count(*) AS count, {samples} AS item_samples FROM ({AN.ANOMALY_SQL}) a GROUP BY code)
+""" + " UNION ALL ".join(parts)
+
+
+def leaves_of(column: str, kind) -> list:
+    """(path, number, text) structs of all leaves of a struct column."""
+    if isinstance(kind, T.StructType):
+        return [x for f in kind for x in leaves_of(f"{column}.{f.name}", f.dataType)]
+    text = isinstance(kind, T.StringType)
+    return [F.struct(F.lit(column).alias("leaf"), (F.lit(None) if text else F.col(column)).cast("double").alias("number"),
+                     (F.col(column) if text else F.lit(None)).cast("string").alias("shown"))]
+
+
+@query("funnel_document", "REP-1 SNK-10", document_sql())
 def _(t):
     path = folder(t)
-    E.emit_report(P.funnel_document(frames(t), t.b_lang, ITEM_WINDOW[1], DAYS,
-                                    "2001-06-01T00:00:00Z"), path)
-    doc = t.spark.read.schema(
-        "report_type string, schema_version string, raw_metrics struct<total_ingested: long>, "
-        "raw_latency_metrics map<string, struct<median: double>>, "
-        "published_by_language array<struct<language_code: string>>, "
-        "data_quality_anomalies array<struct<code: string>>").json(path)
-    return doc.select("report_type", "schema_version", "raw_metrics.total_ingested",
-                      F.size("raw_latency_metrics").alias("latency_stages"),
-                      F.size("published_by_language").alias("languages"),
-                      F.size("data_quality_anomalies").alias("anomaly_codes"))
+    document = P.funnel_document(frames(t), t.b_lang, ITEM_WINDOW[1], DAYS, "2001-06-01T00:00:00Z", OFFSET)
+    E.emit_report(document, path)
+    doc = t.spark.read.schema(document.schema).json(path)
+    plain = [f for f in doc.schema if not isinstance(f.dataType, T.ArrayType)]
+    def of_language(c):
+        return F.transform("published_by_language", lambda x: F.struct(
+            F.concat(F.lit("published_by_language."), x["language_code"], F.lit(f".{c}")).alias("leaf"),
+            x[c].cast("double").alias("number"), F.lit(None).cast("string").alias("shown")))
+    anomalies = F.transform("data_quality_anomalies", lambda x: F.struct(
+        F.concat(F.lit("data_quality_anomalies."), x["code"]).alias("leaf"), x["count"].cast("double").alias("number"),
+        F.array_join(x["item_samples"].cast("array<string>"), ",").alias("shown")))
+    listed = F.concat(of_language("published_count"), of_language("coverage_rate"), anomalies)
+    every = F.concat(F.array(*[x for f in plain for x in leaves_of(f.name, f.dataType)]), listed)
+    return rounded(doc.select(F.inline(every)))
 
 
 @query("classify_report", "REP-3", f"""
@@ -145,7 +197,7 @@ def _(t):
 SELECT 'classify' AS report_type, '2.0.0' AS schema_version, count(DISTINCT source_id) AS breakdowns
 FROM ({AN.WIDE_SQL}) w WHERE {ITEM_SQL} AND class_id IS NOT NULL
 UNION ALL SELECT 'sources', '2.0.0', count(*) FROM ({AN.SOURCE_REPORT_SQL}) s
-UNION ALL SELECT 'translation', '1.0.0', 3
+UNION ALL SELECT 'translation', '1.0.0', count(*) FROM b_lang
 UNION ALL SELECT 'curation_diagnostics', '2.0.0', NULL""")
 def _(t):
     path, now = folder(t), "2001-06-01T00:00:00Z"

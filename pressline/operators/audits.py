@@ -13,7 +13,7 @@ from pressline.functions import rates as R
 from pressline.functions.titles import blank
 from pressline.functions.times import valid_iso
 from pressline.operators.responses import first_failure, judged
-from pressline.schemas import CHECKS, KEYS, PARENTS
+from pressline.schemas import CHECKS, KEYS, PARENTS, TABLES
 
 
 def is_date(c: Column) -> Column:
@@ -226,6 +226,45 @@ def parent_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _rule_counts(df: DataFrame, table: str) -> DataFrame:
+    """(table, rule, violations) of all check rules and required columns of a table: one aggregate."""
+    rules = {f"check {n}": ~F.coalesce(F.expr(e).cast("boolean"), F.lit(False)) for n, e in CHECKS.get(table, {}).items()}
+    rules |= {f"required {f.name}": F.col(f.name).isNull() for f in TABLES[table] if not f.nullable}
+    row = df.agg(*[R.tally(broken).alias(name) for name, broken in rules.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("violations")) for n in rules])
+    return row.select(F.lit(table).alias("table_name"), F.explode(pairs).alias("p")).select("table_name", "p.*")
+
+
+def table_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, rule, violations) of every declared constraint of ``tables``.
+
+    Checks and required columns of a table are one aggregate, each key one grouping that combines
+    map-side, and all tables that refer to the same parent meet it in one anti-join. A check that is
+    not true is broken; null keys and null references are none.
+    """
+    parts = [_rule_counts(df, name) for name, df in tables.items()]
+    for name, df in tables.items():
+        for key in KEYS.get(name, []):
+            whole = df.select(*key).dropna()
+            parts.append(whole.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(
+                F.lit(name).alias("table_name"), F.lit("unique " + ",".join(key)).alias("rule"),
+                R.tally(F.col("_n") > 1).alias("violations")))
+    by_parent: dict[tuple[str, str], list[str]] = {}
+    for child, key, parent in PARENTS:
+        if child in tables and parent in tables:
+            by_parent.setdefault((parent, key), []).append(child)
+    for (parent, key), children in by_parent.items():
+        # Equal references are one row before they meet the parent.
+        keys = reduce(DataFrame.unionByName, [tables[c].select(F.lit(c).alias("_c"), key) for c in children])
+        counted = keys.filter(F.col(key).isNotNull()).groupBy("_c", key).agg(F.count(F.lit(1)).alias("_n"))
+        lost = counted.join(tables[parent].select(key), key, "left_anti").agg(
+            *[F.coalesce(F.sum(F.when(F.col("_c") == c, F.col("_n"))), F.lit(0)).alias(c) for c in children])
+        rows = F.array(*[F.struct(F.lit(c).alias("table_name"), F.lit(f"parent {parent}").alias("rule"),
+                                  F.col(c).alias("violations")) for c in children])
+        parts.append(lost.select(F.explode(rows).alias("p")).select("p.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def error_class_audit(rows: DataFrame, column: str = "error_class") -> DataFrame:
     """Rows by what may be done with their error class: writable, storable only, unknown."""
     c = F.col(column)

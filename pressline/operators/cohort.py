@@ -38,12 +38,11 @@ def window_pair(end, days: int, offset_hours: int = V.MATURATION_HOURS) -> dict[
 
 
 def in_windows(item: DataFrame, windows: dict[str, tuple]) -> DataFrame:
-    """One row per (item, window) it belongs to; both windows share a single scan."""
-    names = [F.when(R.in_window("fetched_at", *w), F.lit(n)) for n, w in windows.items()]
+    """Items of any window with a flag ``in_<name>`` per window: one row per item, one scan."""
+    flags = {f"in_{n}": R.in_window("fetched_at", *w) for n, w in windows.items()}
     starts = F.least(*[R.at(w[0]) for w in windows.values()])
     ends = F.greatest(*[R.at(w[1]) for w in windows.values()])
-    return (item.filter(R.in_window("fetched_at", starts, ends))
-            .withColumn("window_name", F.explode(F.array_compact(F.array(*names)))))
+    return item.filter(R.in_window("fetched_at", starts, ends)).withColumns(flags)
 
 
 def full_chain(item, text, cls, decision, approved) -> DataFrame:
@@ -54,7 +53,7 @@ def full_chain(item, text, cls, decision, approved) -> DataFrame:
 def wide_items(item, text, cls, decision, approved) -> DataFrame:
     """Every item with whatever later stages it has."""
     return (item.select(KEY, "source_id", "title", "published_at", "fetched_at",
-                        *[c for c in ("window_name",) if c in item.columns])
+                        *[c for c in item.columns if c.startswith("in_")])
             .join(text.select(KEY, "text_processing_status", "text_processing_reason",
                               "sanitized_text_length"), KEY, "left")
             .join(cls.select(KEY, "topic_class", "classification_confidence", "content_density",
@@ -112,16 +111,20 @@ def funnel_counts(flagged: DataFrame, by: list[str] | None = None) -> DataFrame:
     return flagged.groupBy(*(by or [])).agg(*aggs)
 
 
+def readiness_states() -> dict[str, Column]:
+    """State name -> membership of one item row."""
+    return {
+        "total_ingested": F.lit(True),
+        "low_context_observation_count": F.col("text_processing_status") == "low_context",
+        "total_classified": R.classifiable() & F.col("topic_class").isNotNull(),
+        "pending_classification": R.classifiable() & F.col("topic_class").isNull(),
+        "failed_text_processing": F.col("text_processing_status") == "failed",
+        "missing_text_processing": F.col("text_processing_status").isNull(),
+    }
+
+
 def readiness_aggs() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("total_ingested"),
-        R.tally(F.col("text_processing_status") == "low_context")
-        .alias("low_context_observation_count"),
-        R.tally(R.classifiable() & F.col("topic_class").isNotNull()).alias("total_classified"),
-        R.tally(R.classifiable() & F.col("topic_class").isNull()).alias("pending_classification"),
-        R.tally(F.col("text_processing_status") == "failed").alias("failed_text_processing"),
-        R.tally(F.col("text_processing_status").isNull()).alias("missing_text_processing"),
-    ]
+    return [R.tally(state).alias(name) for name, state in readiness_states().items()]
 
 
 def readiness(item, text, cls, window: tuple) -> DataFrame:
@@ -131,16 +134,14 @@ def readiness(item, text, cls, window: tuple) -> DataFrame:
             .join(cls.select(KEY, "topic_class"), KEY, "left").agg(*readiness_aggs()))
 
 
-def conversion_rates(counts: DataFrame) -> DataFrame:
+def stage_rates() -> dict[str, Column]:
     """The five stage-to-stage rates of a row that holds funnel and readiness counts."""
     c = F.col
-    return counts.select(
-        *[x for x in ("window_name",) if x in counts.columns],
-        R.ratio(c("total_classified"), c("total_ingested")).alias("classification_rate"),
-        R.ratio(c("curated"), c("total_classified")).alias("curation_rate"),
-        R.ratio(c("approved"), c("curated")).alias("curation_approval_rate"),
-        R.ratio(c("translated"), c("approved")).alias("translation_rate"),
-        R.ratio(c("published"), c("approved")).alias("publish_rate"))
+    return {"classification_rate": R.ratio(c("total_classified"), c("total_ingested")),
+            "curation_rate": R.ratio(c("curated"), c("total_classified")),
+            "curation_approval_rate": R.ratio(c("approved"), c("curated")),
+            "translation_rate": R.ratio(c("translated"), c("approved")),
+            "publish_rate": R.ratio(c("published"), c("approved"))}
 
 
 def cumulative_yield(counts: DataFrame) -> DataFrame:
@@ -419,17 +420,30 @@ def publish_gaps(outputs: DataFrame, publish, publish_status) -> DataFrame:
                     .alias("p")).select("p.*"))
 
 
+def output_gaps(outputs: DataFrame, publish, publish_status) -> DataFrame:
+    """Translation and publish gaps of the same outputs, which meet their publication once."""
+    live = (publish_status.filter(F.col("published_at").isNotNull())
+            .select("publish_record_id", "language_code", F.col("published_at").alias("live_at"))
+            .join(publish.select("publish_record_id", KEY), "publish_record_id").drop("publish_record_id"))
+    language = F.col("language_code")
+    both = F.array(F.when(R.not_bypass(), _gap("translation_delay", "translated_at", "approved_at", language)),
+                   _gap("publish_delay", "live_at", "translated_at", language))
+    return outputs.join(live, [KEY, "language_code"], "left").select(
+        F.explode(F.array_compact(both)).alias("p")).select("p.*")
+
+
 def latency_series(item, cls, decision, approved, translation, publish, publish_status, attempt,
                    window: tuple, attempt_window: tuple | None = None) -> DataFrame:
     """The seven latency series as (stage, seconds, language_code)."""
     outputs = cohort_outputs(item, approved, translation, window)
     return (item_gaps(item, cls, decision, publish, window)
             .unionByName(fetch_gaps(attempt, attempt_window or window))
-            .unionByName(translation_gaps(outputs))
-            .unionByName(publish_gaps(outputs, publish, publish_status))
+            .unionByName(output_gaps(outputs, publish, publish_status))
             .filter(F.col("seconds").isNotNull()))
 
 
+LATENCY_STAGES = ["pipeline_lead_time", "feed_freshness_delay", "fetch_execution_latency", "classification_delay",
+                  "curation_delay", "translation_delay", "publish_delay"]
 LATENCY_PROBS = {"median": 0.5, "p90": 0.9}
 
 

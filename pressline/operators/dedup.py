@@ -230,16 +230,33 @@ def item_tables(numbered: DataFrame, retention_days: int) -> dict[str, DataFrame
 
 # --- near duplicates --------------------------------------------------------------------------------
 
+PRIME = (1 << 31) - 1
+
+
+def permutations(hashes: int) -> list[tuple[int, int]]:
+    """(factor, shift) of each permutation modulo PRIME, by a linear congruential rule."""
+    out, x = [], 1
+    for _ in range(hashes):
+        a = x = (x * 1_103_515_245 + 12_345) % PRIME
+        x = (x * 1_103_515_245 + 12_345) % PRIME
+        out.append((a or 1, x))
+    return out
+
+
 def signatures(rows: DataFrame, text: str, hashes: int = 32, words: int = 3) -> DataFrame:
-    """Min-hash signature over all word runs of the whole text."""
+    """Min-hash signature over all word runs of the whole text.
+
+    A run is hashed by the start of its MD5, which every engine has, and permuted modulo PRIME.
+    """
     token = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     rows = rows.withColumn("_t", token)
     size = F.greatest(F.size("_t") - (words - 1), F.lit(1))
-    grams = F.transform(F.sequence(F.lit(1), size), lambda i: F.xxhash64(
-        F.array_join(F.slice("_t", i, words), " ")))
+    grams = F.transform(F.sequence(F.lit(1), size), lambda i: F.conv(F.substring(F.md5(
+        F.array_join(F.slice("_t", i, words), " ")), 1, 8), 16, 10).cast("long") % PRIME)
     rows = rows.withColumn("_g", F.array_distinct(grams))
-    mins = [F.array_min(F.transform("_g", lambda g, s=s: F.xxhash64(g, F.lit(s))))
-            for s in range(hashes)]
+    def least(a: int, c: int) -> Column:
+        return F.array_min(F.transform("_g", lambda g: (g * a + c) % PRIME))
+    mins = [least(a, c) for a, c in permutations(hashes)]
     return rows.withColumn("signature", F.array(*mins)).drop("_t", "_g")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pressline import fixed_values as V
 from pressline.functions import rates as R
@@ -52,28 +52,53 @@ def slices(wide: DataFrame, sources: DataFrame) -> DataFrame:
 
 # --- funnel ------------------------------------------------------------------------------------------
 
+FUNNEL_STAGES = ["classified_relevant", "curated", "approved", "translated", "published"]
+
+
 def funnel_windows(t: dict[str, DataFrame], windows: dict[str, tuple]) -> DataFrame:
-    """Stage counts, readiness states and rates per window, from one pass over the wide items."""
+    """Stage counts, readiness states and rates per window, from one aggregate over the wide items."""
     wide = C.wide_items(C.in_windows(t["item"], windows), t["text"], t["cls"], t["decision"],
                         t["approved"])
     rows = C.with_flags(wide, t["approved"], t["translation"], t["publish"], t["publish_status"])
-    stages = {n: c for n, c in C.funnel_stages().items()
-              if n not in ("ingested", "low_context_observation_count", "classified")}
-    counted = rows.groupBy("window_name").agg(
-        *C.readiness_aggs(), *[R.tally(c).alias(n) for n, c in stages.items()])
-    return counted.join(C.conversion_rates(counted), "window_name")
+    stages = C.funnel_stages()
+    counts = {**C.readiness_states(), **{n: stages[n] for n in FUNNEL_STAGES}}
+    one = rows.agg(*[R.tally(F.col(f"in_{w}") & c).alias(f"{w}_{n}") for w in windows for n, c in counts.items()])
+    per_window = F.array(*[F.struct(F.lit(w).alias("window_name"), *[F.col(f"{w}_{n}").alias(n) for n in counts])
+                           for w in windows])
+    return one.select(F.inline(per_window)).withColumns(C.stage_rates())
+
+
+def window_metrics(rates: bool) -> Column:
+    """The metrics of one window under the names of the document."""
+    c, states = F.col, ["low_context_observation_count", "total_classified", "pending_classification",
+                        "failed_text_processing", "missing_text_processing"]
+    return F.struct(
+        "total_ingested", "low_context_observation_count", "total_classified",
+        c("classified_relevant").alias("relevant_classified"), c("curated").alias("total_curated"),
+        c("approved").alias("curation_approved"), c("translated").alias("total_translated"),
+        c("published").alias("total_published"), *(list(C.stage_rates()) if rates else []),
+        F.struct(*states).alias("classification_readiness_breakdown"))
+
+
+def latency_metrics(summary: DataFrame) -> DataFrame:
+    """All latency stages as one row; a stage without rows keeps its place with empty figures."""
+    def of(stage: str) -> Column:
+        return F.struct(*[F.max(F.when(F.col("stage") == stage, F.col(c))).alias(c) for c in ("average", "median", "p90")])
+    lead, *stages = C.LATENCY_STAGES
+    return summary.agg(F.struct(of(lead).alias(f"{lead}_seconds"), F.struct(*[of(x).alias(x) for x in stages]).alias(
+        "stage_latency_breakdown_seconds")).alias("raw_latency_metrics"))
 
 
 def funnel_document(t: dict[str, DataFrame], languages: DataFrame, end: str, days: int,
                     generated_at: str, offset_hours: int = V.MATURATION_HOURS) -> DataFrame:
     """The whole funnel report as one row: both windows, latencies, coverage and anomalies."""
     windows = C.window_pair(end, days, offset_hours)
-    metrics = funnel_windows(t, windows).agg(F.map_from_entries(F.collect_list(F.struct(
-        "window_name", F.struct(*[c for c in _funnel_columns()])))).alias("metrics"))
+    pick = lambda name, rates: F.max(F.when(F.col("window_name") == name, window_metrics(rates)))
+    metrics = funnel_windows(t, windows).agg(pick("raw", False).alias("raw_metrics"),
+                                             pick("matured", True).alias("matured_metrics"))
     series = C.latency_series(t["item"], t["cls"], t["decision"], t["approved"], t["translation"],
                               t["publish"], t["publish_status"], t["attempt"], windows["raw"])
-    latency = C.latency_summary(series).agg(F.map_from_entries(F.collect_list(F.struct(
-        "stage", F.struct("average", "median", "p90")))).alias("raw_latency_metrics"))
+    latency = latency_metrics(C.latency_summary(series))
     eligible = C.eligible_approved(t["item"], t["text"], t["cls"], t["decision"], t["approved"],
                                    windows["matured"])
     coverage = C.coverage_by_language(
@@ -84,23 +109,14 @@ def funnel_document(t: dict[str, DataFrame], languages: DataFrame, end: str, day
                                      windows["raw"])).agg(
         F.sort_array(F.collect_list(F.struct("code", "count", "item_samples")))
         .alias("data_quality_anomalies"))
-    one = metrics.crossJoin(latency).crossJoin(coverage).crossJoin(bad)
+    # Aggregates without a key have one row each.
+    one = metrics.crossJoin(F.broadcast(latency)).crossJoin(F.broadcast(coverage)).crossJoin(F.broadcast(bad))
     span = [F.struct(R.iso(w[0]).alias("start"), R.iso(w[1]).alias("end")).alias(f"{n}_window")
             for n, w in windows.items()]
     return one.select(F.lit("funnel").alias("report_type"), F.lit("3.0.0").alias("schema_version"),
                       F.lit(generated_at).alias("generated_at"), F.lit(days).alias("lookback_days"),
-                      F.lit(offset_hours).alias("maturation_offset_hours"), *span,
-                      F.col("metrics")["raw"].alias("raw_metrics"),
-                      F.col("metrics")["matured"].alias("matured_metrics"),
-                      "raw_latency_metrics", "published_by_language", "data_quality_anomalies")
-
-
-def _funnel_columns() -> list[str]:
-    return ["total_ingested", "low_context_observation_count", "total_classified",
-            "pending_classification", "failed_text_processing", "missing_text_processing",
-            "classified_relevant", "curated", "approved", "translated", "published",
-            "classification_rate", "curation_rate", "curation_approval_rate", "translation_rate",
-            "publish_rate"]
+                      F.lit(offset_hours).alias("maturation_offset_hours"), *span, "raw_metrics",
+                      "matured_metrics", "raw_latency_metrics", "published_by_language", "data_quality_anomalies")
 
 
 # --- the other families ----------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pressline.functions import titles as N
 from pressline.functions.times import published_at
 
 # --- fixed values: elements of the two feed dialects ---------------------------------------------
-# Names keep their prefix: media:title or itunes:summary never stand for the item's own fields.
+# Names keep a prefix by namespace: media:title or itunes:summary never stand for the item's own fields.
 _RSS_ITEM = ("struct<title: string, link: array<struct<_VALUE: string, _href: string>>, "
              "guid: struct<_VALUE: string, _isPermaLink: string>, pubDate: string, `dc:date`: string, "
              "description: string, `content:encoded`: string, "
@@ -19,22 +19,50 @@ _ATOM_ENTRY = ("struct<title: string, id: string, "
                "updated: string, summary: string, content: array<string>>")
 FEED_SCHEMA = (f"channel struct<item: array<{_RSS_ITEM}>>, item array<{_RSS_ITEM}>, "
                f"entry array<{_ATOM_ENTRY}>, _broken string")
-_PREFIXED_ROOT = r"^\s*(?:<[?!][^>]*>\s*)*<([A-Za-z_][\w.-]*):feed[\s>]"
+# Namespaces whose elements are read, with the prefix that the schema uses for them.
+NAMESPACES = {"http://purl.org/rss/1.0/modules/content/": "content", "http://purl.org/dc/elements/1.1/": "dc",
+              "http://purl.org/dc/terms/": "dc"}
+ATOM = "http://www.w3.org/2005/Atom"
+_DECLARED = r"""xmlns:([A-Za-z_][\w.-]*)\s*=\s*["']([^"']*)["']"""
+_ROOT = r"^\s*(?:<!--.*?-->\s*|<[?!][^>]*>\s*)*<([A-Za-z_][\w.-]*):feed[\s>]"
 _XHTML_DIV = r"(?s)^\s*<div\b[^>]*http://www\.w3\.org/1999/xhtml[^>]*>(.*)</div>\s*$"
 
 
+def _renamed(raw: Column) -> Column:
+    """The payload with the prefixes of the schema, whatever prefixes it declares for their namespaces.
+
+    A declared prefix of a read namespace becomes the schema's one; a prefix that the schema uses but
+    that stands for another namespace becomes a foreign one; the prefix of an Atom root goes. Tags
+    alone are renamed: CDATA sections, comments and text stay as they are.
+    """
+    declared = F.arrays_zip(F.regexp_extract_all(raw, F.lit(_DECLARED), F.lit(1)).alias("p"),
+                            F.regexp_extract_all(raw, F.lit(_DECLARED), F.lit(2)).alias("u"))
+    known = F.create_map(*[F.lit(x) for pair in NAMESPACES.items() for x in pair])
+    root = F.regexp_extract(raw, _ROOT, 1)
+    used = F.array(*[F.lit(x) for x in sorted(set(NAMESPACES.values()))])
+    goals = F.filter(F.transform(declared, lambda d: F.struct(d["p"].alias("p"), F.when(
+        (d["u"] == ATOM) & (d["p"] == root), "").when(
+        F.try_element_at(known, d["u"]).isNotNull(), F.concat(F.try_element_at(known, d["u"]), F.lit(":"))).when(
+        F.array_contains(used, d["p"]), F.concat(F.lit("foreign-"), d["p"], F.lit(":"))).alias("to"))),
+        lambda g: g["to"].isNotNull() & (g["to"] != F.concat(g["p"], F.lit(":"))))
+    # New names are marked until all old ones are gone, so that no name is renamed twice.
+    def tags(text: Column) -> Column:
+        return F.replace(F.aggregate(goals, text, lambda t, g: F.regexp_replace(
+            t, F.concat(F.lit("(</?)\\Q"), g["p"], F.lit("\\E:")), F.concat(F.lit("$1"), F.lit("\u0001"), g["to"]))),
+            F.lit("\u0001"), F.lit(""))
+    parts = F.split(raw, r"(?=<!\[CDATA\[)|(?<=\]\]>)|(?=<!--)|(?<=-->)")
+    inert = lambda x: x.startswith("<![CDATA[") | x.startswith("<!--")
+    whole = F.array_join(F.transform(parts, lambda x: F.when(inert(x), x).otherwise(tags(x))), "")
+    return F.when(F.size(goals) > 0, whole).otherwise(raw)
+
+
 def parse_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """Payload rows with their parsed feed; ``broken`` marks payloads that are no valid XML.
 
-    A feed whose root carries a prefix is read with that prefix taken off its tags.
+    Elements are told by the namespace their prefix is declared for, not by the prefix.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    raw = F.col(column)
-    prefix = F.regexp_extract(raw, _PREFIXED_ROOT, 1)
-    bare = F.when(F.coalesce(prefix, F.lit("")) == "", raw).otherwise(F.replace(
-        F.replace(raw, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<")),
-        F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</")))
-    parsed = F.from_xml(bare, FEED_SCHEMA, options)
+    parsed = F.from_xml(_renamed(F.col(column)), FEED_SCHEMA, options)
     return payloads.withColumn("_feed", parsed).withColumn(
         "broken", F.col("_feed").isNull() | F.col("_feed._broken").isNotNull())
 

@@ -26,8 +26,8 @@ SAMPLES = {
                             '<enclosure url="https://example.net/ep9.mp3" type="audio/mpeg" length="1"/></item>'),
     "minimal": RSS.format("<item><description>Only.</description></item>"),
     "two": RSS.format("<item><title>one</title></item><item><title>two</title></item>"),
-    "media": RSS.replace("<rss ", '<rss xmlns:media="m" xmlns:itunes="i" xmlns:content="c" xmlns:dc="d" '
-                         'xmlns:atom="a" ').format(
+    "media": RSS.replace("<rss ", '<rss xmlns:media="m" xmlns:itunes="i" xmlns:dc="http://purl.org/dc/elements/1.1/" '
+                         'xmlns:content="http://purl.org/rss/1.0/modules/content/" xmlns:atom="http://www.w3.org/2005/Atom" ').format(
         "<item><title>Real</title><media:title>Caption</media:title><atom:link href='https://self.example/'/>"
         "<link>https://example.com/m</link><media:description>Alt</media:description><itunes:summary>S"
         "</itunes:summary><content:encoded><![CDATA[<p>Whole</p>]]></content:encoded>"
@@ -36,6 +36,12 @@ SAMPLES = {
                          '<content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml"><p>x</p></div></content>'
                          "</entry>"),
     "prefixed": '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:title>P</a:title></a:entry></a:feed>',
+    "other prefixes": RSS.replace("<rss ", '<rss xmlns:body="http://purl.org/rss/1.0/modules/content/" '
+                                  "xmlns:d.c='http://purl.org/dc/elements/1.1/' xmlns:content='urn:other' ").format(
+        "<item><title>O</title><content:encoded>not this</content:encoded><body:encoded><![CDATA[<body:b> <content:x> "
+        "]]>tail</body:encoded><!-- <body:encoded> --><d.c:date>2026-06-01T12:00:00Z</d.c:date></item>"),
+    "prefixed with tags in CDATA": '<?xml version="1.0"?><!-- c --><a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry>'
+                                   "<a:title>Q</a:title><a:content><![CDATA[<a:b>x</a:b>]]></a:content></a:entry></a:feed>",
     "empty": RSS.format(""),
     "malformed": "<rss><channel><item><title>x</item></channel>",
     "text": "not xml",
@@ -73,6 +79,11 @@ def test_entries(parsed):
     assert media.published_at.isoformat() == "2026-06-01T12:00:00"
     assert rows["xhtml"][0].title == "A <b>b</b>" and rows["xhtml"][0].summary == "<p>x</p>"
     assert rows["prefixed"][0].title == "P"
+    other = rows["other prefixes"][0]
+    assert (other.title, other.summary) == ("O", "<body:b> <content:x> tail")
+    assert other.published_at.isoformat() == "2026-06-01T12:00:00"
+    inner = rows["prefixed with tags in CDATA"][0]
+    assert (inner.title, inner.summary) == ("Q", "<a:b>x</a:b>")
 
 
 @pytest.mark.parametrize("raw, iso", [
