@@ -3,9 +3,12 @@
 The builder turns markup into properly nested open, text and close events: void elements close at
 once, implied end tags (p, li, dt, dd, option, table parts) and implied rows are put in, stray end
 tags fall away, and open elements close at the end. The renderer skips what a browser would not show,
-takes the chosen option of a select and the text of SVG and MathML, and lays out the rest: margins between blocks, bullets and numbers of nested lists, preformatted text
-as it is, and tables as cells aligned in columns. Both keep explicit stacks, so neither the depth nor
-the length of a page matters, and both take time in proportion to the page.
+takes the chosen option of a select and the text of SVG and MathML, and lays out the rest: margins
+between blocks, bullets and numbers of nested lists, preformatted text as it is, and tables as cells
+aligned in columns, spanned rows and columns included. What is hidden follows from elements, attributes,
+style attributes, and those rules of the page's style sheets that name a tag, a class or an id (no
+combinators, no at-rules). Both keep explicit stacks, so neither the depth nor the length of a page
+matters, and both take time in proportion to the page.
 """
 
 from __future__ import annotations
@@ -41,6 +44,10 @@ IMPLIED_END = {
     "tbody": (("thead", "tbody", "tfoot"), ("table",)),
     "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
 }
+# What may stand in the head; anything else ends it.
+IN_HEAD = frozenset("head html base basefont bgsound link meta noframes noscript script style template title".split())
+# Only the first one counts.
+ONCE = frozenset("html head body".split())
 # End tags and implied ends do not reach beyond these.
 WALLS = frozenset("table td th caption template".split())
 
@@ -50,7 +57,9 @@ _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _GAP = re.compile(r"[\s/]*")
 _ATTRIBUTE = re.compile(r"""(=?[^\s/>=]*)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT_END = re.compile(r"--!?>")
+_REMARK = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+_SELECTOR = re.compile(r"^(\*|[A-Za-z][\w-]*)?((?:[.#][\w-]+)*)$")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 
 Event = tuple[str, str, dict]
@@ -67,8 +76,11 @@ def tokens(page: str) -> Iterator[Event]:
         if lt > at:
             yield "text", html.unescape(page[at:lt]), {}
         if page.startswith("<!--", lt):
-            end = page.find("-->", lt + 4)
-            at = n if end < 0 else end + 3
+            if page.startswith((">", "->"), lt + 4):
+                at = page.find(">", lt) + 1
+                continue
+            end = _COMMENT_END.search(page, lt + 4)
+            at = end.end() if end else n
             continue
         if page[lt + 1:lt + 2] in ("!", "?"):
             end = page.find(">", lt)
@@ -140,8 +152,14 @@ def build(page: str) -> Iterator[Event]:
 
     for kind, name, attributes in tokens(page):
         if kind == "text":
+            if stack and stack[-1] == "head" and name.strip(" \t\n\r\f"):
+                yield from pop_to(len(stack) - 1)
             yield kind, name, attributes
         elif kind == "start":
+            if name in ONCE and (open_.get(name) or name == "head" and open_.get("body")):
+                continue
+            if open_.get("head") and name not in IN_HEAD and (k := find(("head",), ("template",))) >= 0:
+                yield from pop_to(k)
             if name in CLOSES_P and (k := find(("p",), WALLS)) >= 0:
                 yield from pop_to(k)
             if name in IMPLIED_END:
@@ -240,40 +258,140 @@ class Flow:
         return self.lines
 
 
-def aligned(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """Rows of (columns spanned, lines) as text: every column as wide as its widest single cell."""
+def aligned(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    """Rows of (columns spanned, rows spanned, lines) as text: every column as wide as its widest single cell."""
     widths: list[int] = []
+    placed: list[list[tuple[int, list[str]]]] = []
+    held: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for span, lines in row:
+        at, cells, down = 0, [], {}
+        for span, deep, lines in row:
+            while at in held:
+                at += 1
             widths.extend([0] * (at + span - len(widths)))
             if span == 1:
                 widths[at] = max([widths[at], *map(width, lines)])
+            cells.append((at, lines))
+            if deep != 1:
+                # Nought reaches to the end of the table.
+                down.update(dict.fromkeys(range(at, at + span), deep - 1 if deep else len(rows)))
             at += span
+        held = {c: n - 1 for c, n in held.items() if n > 1} | down
+        placed.append(cells)
+    starts = [0]
+    for w in widths:
+        starts.append(starts[-1] + w + 2)
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for _, lines in row), default=0)):
-            at, parts = 0, []
-            for span, lines in row:
-                cell = lines[k] if k < len(lines) else ""
-                room = sum(widths[at:at + span]) + 2 * (span - 1)
-                parts.append(cell + " " * max(0, room - width(cell)))
-                at += span
-            out.append("  ".join(parts).rstrip())
+    for cells in placed:
+        for k in range(max((len(lines) for _, lines in cells), default=0)):
+            line, filled = "", 0
+            for at, lines in cells:
+                if k < len(lines) and lines[k]:
+                    gap = max(starts[at] - filled, 2 if line else 0)
+                    line += " " * gap + lines[k]
+                    filled += gap + width(lines[k])
+            out.append(line.rstrip())
     return out
 
 
-def hidden(tag: str, attributes: dict, foreign: int = 0) -> bool:
+def number(attributes: dict, name: str, low: int, high: int) -> int:
+    """A whole number of an attribute between bounds; 1 if there is none."""
+    try:
+        return min(max(int(attributes.get(name, "1")), low), high)
+    except ValueError:
+        return 1
+
+
+def declarations(text: str) -> dict[str, tuple[bool, str]]:
+    """display and visibility of a list of declarations: (important, value); the last one counts."""
+    out: dict[str, tuple[bool, str]] = {}
+    for part in _REMARK.sub("", text).split(";"):
+        name, colon, value = part.partition(":")
+        name = name.strip().lower()
+        if colon and name in ("display", "visibility"):
+            value, important, _ = value.strip().lower().partition("!")
+            if important or name not in out or not out[name][0]:
+                out[name] = (bool(important), value.strip())
+    return out
+
+
+class Style:
+    """Rules on display and visibility, by their plain selectors."""
+
+    def __init__(self) -> None:
+        self.rules: dict[str, list] = {}
+        self.count = 0
+
+    def read(self, sheet: str) -> None:
+        """Add the rules of a style sheet; at-rules are passed over whole."""
+        sheet = _REMARK.sub("", sheet)
+        at = 0
+        while (brace := sheet.find("{", at)) >= 0:
+            head = sheet[at:brace]
+            if (semicolon := head.rfind(";")) >= 0:
+                head = head[semicolon + 1:]
+            end, depth = brace + 1, 1
+            if head.strip().startswith("@"):
+                while depth and end < len(sheet):
+                    depth += {"{": 1, "}": -1}.get(sheet[end], 0)
+                    end += 1
+                at = end
+                continue
+            end = sheet.find("}", brace)
+            end = len(sheet) if end < 0 else end
+            at = end + 1
+            found = declarations(sheet[brace + 1:end])
+            for selector in head.split(",") if found else ():
+                m = _SELECTOR.match(selector.strip())
+                if m and m.group():
+                    marks = re.findall(r"[.#][\w-]+", m.group(2))
+                    tag = "" if m.group(1) in (None, "*") else m.group(1).lower()
+                    rank = (sum(x[0] == "#" for x in marks), sum(x[0] == "." for x in marks), bool(tag), self.count)
+                    self.count += 1
+                    self.rules.setdefault((marks or [tag or "*"])[0], []).append((tag, set(marks), rank, found))
+
+    def of(self, tag: str, attributes: dict) -> dict[str, str]:
+        """display and visibility of an element, where a rule or its style attribute sets them."""
+        if not self.rules and "style" not in attributes:
+            return {}
+        marks = {"." + c for c in attributes.get("class", "").split()}
+        if attributes.get("id"):
+            marks.add("#" + attributes["id"])
+        best: dict[str, tuple] = {}
+        for key in ({"*", tag} | marks if self.rules else ()):
+            for wanted, needed, rank, found in self.rules.get(key, ()):
+                if (not wanted or wanted == tag) and needed <= marks:
+                    for name, (important, value) in found.items():
+                        best[name] = max(best.get(name, ()), (important, False, rank, value))
+        for name, (important, value) in declarations(attributes.get("style", "")).items():
+            best[name] = max(best.get(name, ()), (important, True, (), value))
+        return {name: b[3] for name, b in best.items()}
+
+
+_SHEETS = re.compile(r"<style[\s/>]", re.I)
+
+
+def page_style(page: str) -> Style:
+    """The rules of all style sheets of a page, wherever they stand."""
+    style = Style()
+    if _SHEETS.search(page):
+        sheet = False
+        for kind, name, _ in tokens(page):
+            if kind == "text" and sheet:
+                style.read(name)
+            sheet = kind == "start" and name == "style"
+    return style
+
+
+def hidden(tag: str, attributes: dict, style: dict[str, str], foreign: int = 0) -> bool:
     """Whether the element and all in it stay unseen."""
     if tag in UNSEEN or tag in UNDRAWN and foreign:
         return True
-    if not attributes:
-        return tag == "dialog"
-    if "hidden" in attributes and attributes["hidden"].lower() != "until-found":
-        return True
-    if tag == "dialog" and "open" not in attributes:
+    if style.get("display") == "none":
         return True
-    return bool(_INVISIBLE.search(attributes.get("style", "")))
+    if "hidden" in attributes and attributes["hidden"].lower() != "until-found":
+        return "display" not in style
+    return tag == "dialog" and "open" not in attributes
 
 
 def shown(attributes: dict, options: list[tuple[dict, list[str]]]) -> list[list[str]]:
@@ -298,14 +416,21 @@ def render(page: str) -> str:
     selects: list[list] = []
     unseen = pre = foreign = 0
     closed_details: list[int] = []
+    style = page_style(page)
+    veils: list[bool] = []
+    veiled = False
     for kind, name, attributes in build(page):
         if kind == "text":
-            if not unseen and not (closed_details and closed_details[-1] == 1):
+            if not unseen and not veiled and not (closed_details and closed_details[-1] == 1):
                 flow.verbatim(name) if pre else flow.words(name)
             continue
         if kind == "open":
+            veils.append(veiled)
+            own = {} if unseen else style.of(name, attributes)
+            if "visibility" in own and own["visibility"] in ("hidden", "collapse", "visible"):
+                veiled = own["visibility"] != "visible"
             outside = bool(closed_details) and closed_details[-1] == 1 and name != "summary"
-            if unseen or outside or hidden(name, attributes, foreign):
+            if unseen or outside or hidden(name, attributes, own, foreign):
                 unseen += 1
                 undo.append(("unseen",))
                 continue
@@ -326,12 +451,8 @@ def render(page: str) -> str:
             if name in FOREIGN:
                 foreign += 1
             if name in ("td", "th") and tables:
-                try:
-                    span = min(max(int(attributes.get("colspan", "1")), 1), 100)
-                except ValueError:
-                    span = 1
                 boxes.append(flow)
-                undo.append(("cell", span, pre))
+                undo.append(("cell", number(attributes, "colspan", 1, 1000), number(attributes, "rowspan", 0, 65534), pre))
                 flow, pre = Flow(), 0
                 continue
             if name == "tr" and tables:
@@ -378,6 +499,7 @@ def render(page: str) -> str:
             undo.append(tuple(state))
             continue
         state = undo.pop()
+        veiled = veils.pop()
         if not state:
             continue
         if state[0] == "unseen":
@@ -395,8 +517,8 @@ def render(page: str) -> str:
         elif state[0] == "cell":
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append((state[1], flow.finish()))
-            flow, pre = boxes.pop(), state[2]
+            tables[-1][-1].append((state[1], state[2], flow.finish()))
+            flow, pre = boxes.pop(), state[3]
         elif state[0] == "table":
             before = flow.finish()
             rows = aligned(tables.pop())

@@ -3,19 +3,41 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressline.session import ensure_checkpoint_dir
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_collected: list[list[str]] = []
+
+
+@contextmanager
+def folders_noted() -> Iterator[list[str]]:
+    """The folders that ``stored`` makes meanwhile, so that their maker can free them."""
+    made: list[str] = []
+    _collected.append(made)
+    try:
+        yield made
+    finally:
+        _collected.remove(made)
+
+
+def freed(spark: SparkSession, folders: list[str]) -> None:
+    """Delete stored folders that nothing reads any more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Later steps restart from these files, so a lost executor costs a step, never the job. The folder
-    goes when the application ends; the shuffle files of the step go as soon as it is written.
+    goes when the application ends or its maker frees it; the shuffle files of the step go as soon as it
+    is written.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
@@ -28,6 +50,8 @@ def stored(df: DataFrame) -> DataFrame:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    for made in _collected:
+        made.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

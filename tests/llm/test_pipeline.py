@@ -68,3 +68,22 @@ def test_stages_keep_rows_without_id(spark, monkeypatch):
     monkeypatch.setattr(quality, "quality", lambda d, *_: d.selectExpr("doc_id", "cast(length(text) % 2 = 0 as int) AS predicted"))
     assert kept(quality.drop_poor(docs, labels)) == want(*[i for i, r in enumerate(rows) if r[1] and len(r[1]) % 2 == 0])
     assert scores.count() == len(rows)
+
+
+def test_stages_free_what_the_stage_before_stored(spark, tmp_path):
+    from pressline.llm.storage import stored as keep
+    made = []
+
+    @corpus_pipeline.tidy
+    def stage(spark, docs, sf_dir):
+        out = keep(docs)
+        made.append(out.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0])
+        return out.selectExpr("*")
+
+    docs = spark.range(5)
+    first = stage(spark, docs, "")
+    second = stage(spark, first, "")  # not written: what it reads stays
+    assert os.path.isdir(made[0]) and second.count() == 5
+    second.write.parquet(f"{tmp_path}/out")
+    third = stage(spark, spark.read.parquet(f"{tmp_path}/out"), "")
+    assert not os.path.isdir(made[0]) and not os.path.isdir(made[1]) and third.count() == 5
