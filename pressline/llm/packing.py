@@ -13,6 +13,7 @@ the table.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -29,6 +30,9 @@ DEME_PIECES = 4096
 ISLANDS, EPOCHS = 2, 2
 POPULATION, GENERATIONS = 4, 8
 SPECIAL = "<|endoftext|>"
+LONG_RUN = 100_000
+"""White space of this length in a row is more than the pattern engine of the fast library can walk back."""
+_SPACES = re.compile(r"\s+")
 
 
 def tokenizer_files() -> tuple[str, str, str]:
@@ -40,7 +44,8 @@ def tokenizer_files() -> tuple[str, str, str]:
 
 class Encoder:
     """Ids of the JSON vocabulary. Its ranks are read by the faster of two libraries, which gives the
-    same ids; a text with a special string goes to the library that the JSON file is made for."""
+    same ids; a text with a special string or very long white space goes to the library that the JSON
+    file is made for."""
 
     def __init__(self, files: tuple[str, str, str]) -> None:
         import tiktoken
@@ -52,7 +57,8 @@ class Encoder:
         self.whole = None
 
     def __call__(self, text: str) -> list[int]:
-        if SPECIAL not in text:
+        if SPECIAL not in text and (len(text) < LONG_RUN or all(
+                m.end() - m.start() < LONG_RUN for m in _SPACES.finditer(text))):
             return self.fast.encode_ordinary(text)
         if self.whole is None:
             from tokenizers import Tokenizer

@@ -259,51 +259,51 @@ def _matrix(column: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(flat, dtype=np.uint8).reshape(len(column), size), length
 
 
+def shared_with_last(rows: np.ndarray) -> np.ndarray:
+    """Leading bytes that each row but the first shares with the row before it."""
+    differ = rows[1:] != rows[:-1]
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+
+
 def smallest_documents(follow: np.ndarray, n_follow: np.ndarray, before: np.ndarray, n_before: np.ndarray,
-                       doc: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray], np.ndarray]:
-    """For a bucket in suffix order: bit mask of the strings that an earlier document here has;
-    per offset the rows that are first here but whose string may go on beyond the bucket; and the
-    keys of all strings.
+                       doc: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """For a bucket in suffix order: bit mask of the strings that an earlier document here has, and
+    per offset the rows that are first here but whose string may go on beyond the bucket.
 
-    A string is named by two 64-bit hashes of its bytes.
+    Equal strings are found as neighbours. Rows that follow each other in suffix order and share the
+    bytes behind the anchor form a stretch; what precedes the anchor, read backwards, is sorted the same
+    way and forms stretches of its own. A string is a pair of stretches: bytes are compared, not hashes.
     """
     mask = np.zeros(len(doc), dtype=np.int64)
-    # Prefix hashes of both directions make every string's key a sum of two terms.
-    key = np.zeros((OFFSETS, len(doc), 2), dtype=np.uint64)
+    ahead = shared_with_last(follow)
+    padded = np.zeros((len(doc), -(-REACH // 8) * 8), dtype=np.uint8)
+    padded[:, :REACH] = before
+    back_order = multikey_quicksort(padded.view(">u8").astype(np.uint64))
+    behind = shared_with_last(before[back_order])
     open_rows: dict[int, np.ndarray] = {}
-    for k, salt in enumerate((17, 29)):
-        codes = mix(BYTE_CODES ^ np.uint64(salt))
-        weight = powers(LENGTH + REACH + 1, np.uint64(0x9FB21C651E98DF25 | 1))
-        ahead = np.cumsum(codes[follow] * weight[REACH:REACH + LENGTH], axis=1, dtype=np.uint64)
-        behind = np.zeros((len(doc), REACH + 1), dtype=np.uint64)
-        np.cumsum(codes[before] * weight[REACH - 1::-1][:REACH], axis=1, out=behind[:, 1:])
-        for a in range(OFFSETS):
-            key[a, :, k] = mix(ahead[:, LENGTH - a - 1] + behind[:, a]) ^ mix(
-                np.array([a * 2 + k + 1], dtype=np.uint64))[0]
     for a in range(OFFSETS):
-        whole = (n_before >= a) & (n_follow >= LENGTH - a)
-        rows = np.flatnonzero(whole)
+        rows = np.flatnonzero((n_before >= a) & (n_follow >= LENGTH - a))
         if not len(rows):
             continue
-        order = rows[np.lexsort((doc[rows], key[a, rows, 1], key[a, rows, 0]))]
-        k = key[a, order]
-        new = np.concatenate(([True], (k[1:] != k[:-1]).any(axis=1)))
-        first = np.flatnonzero(new)
-        low = np.repeat(doc[order][first], np.diff(np.append(first, len(order))))
-        later = doc[order] > low
-        mask[order[later]] |= 1 << a
-        ahead = follow[:, :LENGTH - a]
-        rows = order[~later]
-        border = (ahead[rows] == ahead[0]).all(axis=1) | (ahead[rows] == ahead[-1]).all(axis=1)
-        open_rows[a] = rows[border]
-    return mask, open_rows, key
+        stretch = np.concatenate(([0], np.cumsum(ahead < LENGTH - a)))
+        back = np.empty(len(doc), dtype=np.int64)
+        back[back_order] = np.concatenate(([0], np.cumsum(behind < a)))
+        string = (stretch * len(doc) + back)[rows]
+        order = np.lexsort((doc[rows], string))
+        rows, string = rows[order], string[order]
+        first = np.flatnonzero(np.concatenate(([True], string[1:] != string[:-1])))
+        later = doc[rows] > np.repeat(doc[rows][first], np.diff(np.append(first, len(rows))))
+        mask[rows[later]] |= 1 << a
+        rows = rows[~later]
+        open_rows[a] = rows[(stretch[rows] == 0) | (stretch[rows] == stretch[-1])]
+    return mask, open_rows
 
 
-SORTED = "doc_id long, place int, mask long, offset int, key1 long, key2 long"
+SORTED = "doc_id long, place int, mask long, offset int, string binary"
 
 
 def _sort_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket of suffixes: rows with a mask, and rows (offset, key) of strings at the borders."""
+    """One bucket of suffixes: rows with a mask, and rows (offset, string) of strings at the borders."""
     table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
     if table is None or not table.num_rows:
         return
@@ -313,22 +313,20 @@ def _sort_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     place = table.column("place").to_numpy()
     words = np.ascontiguousarray(np.concatenate((suffix, before), axis=1)).view(">u8").astype(np.uint64)
     order = multikey_quicksort(words)
-    doc, place = doc[order], place[order]
-    mask, open_rows, key = smallest_documents(suffix[order, :LENGTH], n_follow[order],
-                                              before[order, :REACH], n_before[order], doc)
-    none = np.full(len(doc), -1)
-    yield sorted_rows(doc, place, mask, none, none, none)
+    doc, place, follow, before = doc[order], place[order], suffix[order, :LENGTH], before[order, :REACH]
+    mask, open_rows = smallest_documents(follow, n_follow[order], before, n_before[order], doc)
+    yield sorted_rows(doc, place, mask, np.full(len(doc), -1), pa.nulls(len(doc), pa.binary()))
     for a, rows in open_rows.items():
-        k = key[a, rows].view(np.int64)
-        yield sorted_rows(doc[rows], place[rows], np.zeros(len(rows), dtype=np.int64),
-                          np.full(len(rows), a), k[:, 0], k[:, 1])
+        whole = np.ascontiguousarray(np.concatenate((before[rows, :a][:, ::-1], follow[rows, :LENGTH - a]), axis=1))
+        strings = pa.FixedSizeBinaryArray.from_buffers(pa.binary(LENGTH), len(rows), [None, pa.py_buffer(whole)])
+        yield sorted_rows(doc[rows], place[rows], np.zeros(len(rows), dtype=np.int64), np.full(len(rows), a),
+                          strings.cast(pa.binary()))
 
 
-def sorted_rows(doc, place, mask, offset, key1, key2) -> pa.RecordBatch:
+def sorted_rows(doc, place, mask, offset, string) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc), pa.array(place.astype(np.int32)), pa.array(mask), pa.array(offset.astype(np.int32)),
-         pa.array(np.ascontiguousarray(key1)), pa.array(np.ascontiguousarray(key2))],
-        ["doc_id", "place", "mask", "offset", "key1", "key2"])
+        [pa.array(doc), pa.array(place.astype(np.int32)), pa.array(mask), pa.array(offset.astype(np.int32)), string],
+        ["doc_id", "place", "mask", "offset", "string"])
 
 
 def compared_suffixes(suffixes: DataFrame) -> DataFrame:
@@ -337,8 +335,8 @@ def compared_suffixes(suffixes: DataFrame) -> DataFrame:
     dealt = suffixes.repartitionByRange(buckets, "suffix", "before")
     done = stored(dealt.mapInArrow(_sort_bucket, SORTED))
     edge = done.where("offset >= 0")
-    low = edge.groupBy("offset", "key1", "key2").agg(F.min("doc_id").alias("low"))
-    over = edge.join(low, ["offset", "key1", "key2"]).where("low < doc_id").select(
+    low = edge.groupBy("offset", "string").agg(F.min("doc_id").alias("low"))
+    over = edge.join(low, ["offset", "string"]).where("low < doc_id").select(
         "doc_id", "place", F.expr("shiftleft(1L, offset)").alias("mask"))
     return done.where("mask <> 0").select("doc_id", "place", "mask").unionByName(over)
 

@@ -215,6 +215,8 @@ def test_packing_is_near_the_bound_and_ids_are_the_tokenizers(spark):
     whole = Tokenizer.from_file(packing.tokenizer_files()[0])
     encode = packing.Encoder(packing.tokenizer_files())
     assert all(encode(t) == whole.encode(t, add_special_tokens=False).ids for _, t in rows + ROWS[6:] if t)
+    for text in (" " * 2_000_000 + "a", "\n" * 2_000_000 + "a", "a" * 2_000_000, " \t" * 60_000 + "b c  d"):
+        assert encode(text) == whole.encode(text, add_special_tokens=False).ids
 
 
 def test_crossover_keeps_every_piece():

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pressline.llm import language_id, periodic_runs, spelling
+from pressline.llm import language_id, periodic_runs, spelling, suffix_dedup
 from pressline.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -295,3 +295,43 @@ def test_held_out_languages(spark):
     got = QUERIES["op12_language_id"](spark, folder).where("held_out AND lang_pred <> 'und'").collect()
     right = [r["lang_pred"] == lang[r["doc_id"]] for r in got]
     assert len(right) > 200 and np.mean(right) > 0.95
+
+
+# --- the suffix order of the string dedup ----------------------------------------------------------------
+
+def bucket(rng, rows):
+    follow = np.zeros((rows, suffix_dedup.LENGTH), dtype=np.uint8)
+    before = np.zeros((rows, suffix_dedup.REACH), dtype=np.uint8)
+    base = [(rng.integers(97, 100, suffix_dedup.LENGTH), rng.integers(97, 100, suffix_dedup.REACH)) for _ in range(6)]
+    for k in range(rows):
+        f, b = base[rng.integers(0, 6)]
+        follow[k], before[k] = f, b
+        follow[k, rng.integers(10, suffix_dedup.LENGTH):] += np.uint8(rng.integers(0, 2))
+        before[k, rng.integers(0, suffix_dedup.REACH):] += np.uint8(rng.integers(0, 3))
+    n_follow = np.where(rng.random(rows) < 0.1, rng.integers(20, 50, rows), 50)
+    n_before = np.where(rng.random(rows) < 0.1, rng.integers(0, 30, rows), 30)
+    for k in range(rows):
+        follow[k, n_follow[k]:] = 0
+        before[k, n_before[k]:] = 0
+    return follow, n_follow, before, n_before, rng.integers(0, 40, rows)
+
+
+def test_equal_strings_are_neighbours_in_suffix_order():
+    rng = np.random.default_rng(3)
+    follow, n_follow, before, n_before, doc = bucket(rng, 900)
+    rows = list(zip(map(bytes, follow), map(bytes, before)))
+    order = np.array(sorted(range(900), key=lambda k: rows[k]))
+    mask, _ = suffix_dedup.smallest_documents(*(x[order] for x in (follow, n_follow, before, n_before, doc)))
+    first, strings = {}, {}
+    for k in range(900):
+        for a in range(suffix_dedup.OFFSETS):
+            if n_before[k] >= a and n_follow[k] >= suffix_dedup.LENGTH - a:
+                strings[k, a] = (a, bytes(before[k, :a]), bytes(follow[k, :suffix_dedup.LENGTH - a]))
+                first[strings[k, a]] = min(first.get(strings[k, a], 99), doc[k])
+    want = [sum(1 << a for a in range(suffix_dedup.OFFSETS) if (k, a) in strings and first[strings[k, a]] < doc[k]) for k in range(900)]
+    assert mask.tolist() == [want[k] for k in order]
+    # The result comes from the order: without it neighbours are torn apart.
+    middle = order.copy()
+    middle[1:-1] = rng.permutation(order[1:-1])
+    torn, _ = suffix_dedup.smallest_documents(*(x[middle] for x in (follow, n_follow, before, n_before, doc)))
+    assert dict(zip(middle.tolist(), torn.tolist())) != dict(zip(order.tolist(), mask.tolist()))
