@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import texts_of
-from pressline.llm.storage import stored, with_keys
+from pressline.llm.storage import judged_rows, keyed_rows, rows_with, stored
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -177,9 +177,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents; columns unchanged.
 
-    Every row without doc_id is kept or dropped by its own hits.
+    Every row is kept or dropped by its own hits, whether its doc_id is missing or repeated or not.
     """
-    rows = with_keys(docs)
-    bad = contamination(rows.select(F.col("row_key").alias("doc_id"), "text"), benchmark).where("contaminated")
-    return rows.join(bad.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_anti").select(
-        *docs.columns)
+    rows = keyed_rows(docs)
+    return rows_with(rows, contamination(judged_rows(rows), benchmark).where("contaminated"), "left_anti")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressline.llm.hashing import mix
-from pressline.llm.storage import stored, with_keys
+from pressline.llm.storage import judged_rows, keyed_rows, rows_with, stored
 
 BUCKET_DIGESTS = 50_000
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -149,9 +149,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text a row with a larger doc_id repeats; columns unchanged.
 
-    Rows without doc_id come last: one stays where no row with a doc_id has its text.
+    Rows are judged one by one. Rows without doc_id and further rows of a repeated doc_id come last: one
+    stays where no other row has its text, so of equal rows one stays.
     """
-    rows = with_keys(docs, below=True)
-    kept = exact_groups(rows.select(F.col("row_key").alias("doc_id"), "text")).where("kept")
-    return rows.join(kept.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_semi").select(
-        *docs.columns)
+    rows = keyed_rows(docs, below=True)
+    return rows_with(rows, exact_groups(judged_rows(rows)).where("kept"))

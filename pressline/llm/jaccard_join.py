@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import LOWER, WHITE, chunks, mix, span_hashes, texts_of, word_spans
-from pressline.llm.storage import components, stored, with_keys
+from pressline.llm.storage import components, judged_rows, keyed_rows, rows_with, stored
 
 SHINGLE = 5
 SIMILAR, OF = 80, 100
@@ -438,10 +438,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with the smallest doc_id of every group alone; columns unchanged.
 
-    Rows without doc_id are compared like all others and come last: one stays where its group has no
-    row with a doc_id.
+    Rows are judged one by one. Rows without doc_id and further rows of a repeated doc_id are compared
+    like all others and come last: one stays where its group has no other row.
     """
-    rows = with_keys(docs)
-    kept = similar_groups(rows.select(F.col("row_key").alias("doc_id"), "text")).where("doc_id = component_id")
-    return rows.join(kept.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_semi").select(
-        *docs.columns)
+    rows = keyed_rows(docs)
+    return rows_with(rows, similar_groups(judged_rows(rows)).where("doc_id = component_id"))

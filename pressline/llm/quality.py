@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import chunks, mix, span_hashes, texts_of, word_spans, LOWER
-from pressline.llm.storage import stored, with_keys
+from pressline.llm.storage import judged_rows, keyed_rows, rows_with, stored
 from pressline.llm.toxicity import remainder
 
 SIZE, NONZERO = 24, 4
@@ -332,9 +332,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataF
 def drop_poor(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """``docs`` without the documents that the classifier rejects; columns unchanged.
 
-    Every row without doc_id is kept or rejected by its own score.
+    Every row is kept or rejected by its own score, whether its doc_id is missing or repeated or not.
     """
-    rows = with_keys(docs, labels)
-    good = quality(rows.select(F.col("row_key").alias("doc_id"), "text"), labels, label).where("predicted = 1")
-    return rows.join(good.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_semi").select(
-        *docs.columns)
+    rows = keyed_rows(docs, labels)
+    return rows_with(rows, quality(judged_rows(rows), labels, label).where("predicted = 1"))

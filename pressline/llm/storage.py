@@ -55,24 +55,44 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def with_keys(docs: DataFrame, *others: DataFrame, below: bool = False) -> DataFrame:
-    """``docs`` with ``row_key``: the doc_id, or an id of its own for every row without one.
+def keyed_rows(docs: DataFrame, *others: DataFrame, below: bool = False) -> DataFrame:
+    """(row_key, kept): every row of ``docs`` as a struct, under a key of its own.
 
-    Such ids lie above (or below) all ids of ``docs`` and ``others``, so a row without doc_id meets all
-    other rows, takes no row's id, and gives way to rows with one. They are written down once.
+    The key is the doc_id. A row without doc_id, and every row but one of those that repeat a doc_id,
+    gets an id that lies above (or below) all ids of ``docs`` and ``others``: such a row meets all other
+    rows, takes no row's id, and gives way to rows with one. These ids are written down once. As the
+    columns stay inside the struct, none of their names can clash.
     """
     own = F.col("doc_id").cast("long")
-    ids = docs.select(own.alias("i"), F.lit(1).alias("own"))
+    per_id = docs.groupBy(own.alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    ids = per_id
     for other in others:
-        ids = ids.unionByName(other.select(own.alias("i"), F.lit(0).alias("own")))
-    low, high, missing = ids.agg(F.min("i"), F.max("i"), F.count_if(F.expr("own = 1 AND i IS NULL"))).first()
-    keyed = docs.withColumn("row_key", own)
-    if not missing:
-        return keyed
-    at = F.monotonically_increasing_id() + 1
-    key = F.lit(low or 0) - at if below else F.lit(high or 0) + at
-    return keyed.where("doc_id IS NOT NULL").unionByName(
-        stored(docs.where("doc_id IS NULL").withColumn("row_key", key)))
+        ids = ids.unionByName(other.select(own.alias("i"), F.lit(0).cast("long").alias("n")))
+    low, high, missing, repeated = ids.agg(F.min("i"), F.max("i"), F.count_if(F.expr("n > 0 AND i IS NULL")),
+                                           F.count_if(F.expr("n > 1 AND i IS NOT NULL"))).first()
+    rows = docs.select(own.alias("row_key"), F.struct("*").alias("kept"))
+    if not missing and not repeated:
+        return rows
+    again = stored(per_id.where("n > 1 AND i IS NOT NULL").select(F.col("i").alias("row_key")))
+    odd = rows.join(again, "row_key", "left_semi").unionByName(rows.where("row_key IS NULL"))
+    odd = stored(odd.withColumn("place", F.monotonically_increasing_id() + 1))
+    first = odd.where("row_key IS NOT NULL").groupBy("row_key").agg(F.min("place").alias("first"))
+    key = F.lit(low or 0) - F.col("place") if below else F.lit(high or 0) + F.col("place")
+    odd = odd.join(first, "row_key", "left").select(
+        F.when(F.col("place") == F.col("first"), F.col("row_key")).otherwise(key).alias("row_key"), "kept")
+    plain = rows.where("row_key IS NOT NULL").join(again, "row_key", "left_anti")
+    return plain.unionByName(stored(odd))
+
+
+def judged_rows(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) of keyed rows, as the operators take them."""
+    return rows.select(F.col("row_key").alias("doc_id"), F.col("kept.text").alias("text"))
+
+
+def rows_with(rows: DataFrame, found: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The documents of keyed rows whose key is (or, by left_anti, is not) a doc_id of ``found``."""
+    keys = found.select(F.col("doc_id").alias("row_key")).distinct()
+    return rows.join(keys, "row_key", how).select("kept.*")
 
 
 def components(edges: DataFrame, kind: str = "long") -> DataFrame:

@@ -87,3 +87,31 @@ def test_stages_free_what_the_stage_before_stored(spark, tmp_path):
     second.write.parquet(f"{tmp_path}/out")
     third = stage(spark, spark.read.parquet(f"{tmp_path}/out"), "")
     assert not os.path.isdir(made[0]) and not os.path.isdir(made[1]) and third.count() == 5
+
+
+def test_stages_decide_by_row(spark, monkeypatch):
+    rng = random.Random(31)
+    text = [prose(rng, 60) for _ in range(5)]
+    near = text[2].rsplit(" ", 1)[0] + " other"
+    # One id with three texts, equal rows, a near copy and a contaminated text under a repeated id.
+    rows = [(5, text[0]), (5, text[1]), (5, text[1]), (6, text[2]), (6, near), (7, text[3]), (7, text[3]), (8, text[1].replace("a", "A")),
+            (6, text[4]), (None, text[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'mine' AS row_key", "'k' AS kept", "1 AS place", "2 AS first").repartition(3)
+    labels = spark.createDataFrame([(5, 1), (8, 0)], "doc_id long, quality int")
+
+    def kept(df):
+        assert df.columns == docs.columns and {r["row_key"] for r in df.collect()} <= {"mine"}
+        return sorted([(r["doc_id"] or 0, (r["text"] or "").lower()) for r in df.collect()])
+
+    def rows_at(*places):
+        return sorted((rows[i][0] or 0, rows[i][1].lower()) for i in places)
+
+    exact = kept(exact_dedup.drop_copies(docs))
+    assert sorted(t for _, t in exact) == sorted(x.lower() for x in (text[0], text[1], text[2], near, text[3], text[4]))
+    ends = kept(jaccard_join.drop_near_copies(docs))
+    assert len(ends) == 5 and {t for _, t in ends} >= {text[0].lower(), text[1].lower(), text[3].lower(), text[4].lower()}
+    bench = spark.createDataFrame([(1, text[1]), (2, text[4])], "item_id long, text string")
+    assert kept(decontamination.drop_contaminated(docs, bench)) == rows_at(0, 3, 4, 5, 6)
+    monkeypatch.setattr(quality, "quality", lambda d, *_: d.selectExpr("doc_id", "cast(length(text) % 2 = 0 as int) AS predicted"))
+    assert kept(quality.drop_poor(docs, labels)) == rows_at(*[i for i, r in enumerate(rows) if len(r[1]) % 2 == 0])
