@@ -350,10 +350,10 @@ def _(t):
         broken.select("entry_id", F.lit("normalization_failure").alias("outcome")))
 
 
-def greedy_sql(select: str) -> str:
+def greedy_sql(select: str, keyed: str = KEYED_SQL) -> str:
     """The sequential rule, one entry per step: pass if no key is owned yet, then own the keys."""
     return f"""
-WITH RECURSIVE keyed AS MATERIALIZED ({KEYED_SQL}),
+WITH RECURSIVE keyed AS MATERIALIZED ({keyed}),
 numbered AS MATERIALIZED (
   SELECT entry_id, row_number() OVER (ORDER BY fetched_at, source_id, entry_id) AS i,
          list_filter([hash(ingest_dedup_key), CASE WHEN title_key IS NOT NULL THEN hash(title_key) END],
@@ -447,17 +447,77 @@ def _(t):
     return reduce(DataFrame.unionByName, parts)
 
 
+def escaped(text: str) -> str:
+    return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+LEAD = """concat('<p>Lead ', CAST(entry_id AS VARCHAR(20)), '</p><div class="drop"><b>Advert</b></div>')"""
+STORY = f"""concat('<article><h1>Head</h1><p>', {escaped('summary')}, '</p></article><aside class="drop">Side</aside>')"""
+# Feeds with a short description and a whole story, both as escaped markup.
+PROFILED_SQL = f"""
+SELECT entry_id, source_id, fetched_at, concat(
+  '<rss version="2.0" xmlns:body="http://purl.org/rss/1.0/modules/content/"><channel><item><title>', {escaped('raw_title')},
+  '</title><link>https://p.example/', CAST(entry_id AS VARCHAR(20)), '</link><description>', {escaped(LEAD)},
+  '</description><body:encoded>', {escaped(STORY)}, '</body:encoded></item></channel></rss>') AS payload FROM b_entry"""
+PROFILES = [("lead", ["summary", "content"], [], [], True, None), ("story", ["content", "summary"], ["aside"], ["article p"], False, 500),
+            ("clean", ["title", "summary"], [".drop b", "nav"], [], True, None)]
+PROFILED_TEXT_SQL = rf"""
+SELECT entry_id, title AS head, 0 AS link_length, 1 AS plain_length, CASE WHEN source_id % 3 = 1 THEN length({STORY})
+       ELSE length({LEAD}) END AS raw_length, CASE source_id % 3 WHEN 1 THEN {TIDY_SQL.format('summary')}
+       WHEN 0 THEN 'Lead ' || entry_id || 'Advert' ELSE 'Lead ' || entry_id END AS full_text
+FROM ({KEYED_SQL}) k WHERE source_id % 3 @ 1"""
+
+
+@query("profiled_item_tables", "FN-31 SRC-1 SRC-3 FN-8 STA-14", greedy_sql(f"""
+, fresh AS (
+  SELECT *, row_number() OVER (ORDER BY fetched_at, source_id, entry_id) AS id FROM judged WHERE label = 'new'),
+texts AS ({label_sql(PROFILED_TEXT_SQL.replace('@', '='), 'entry_id', 500)} UNION ALL {label_sql(PROFILED_TEXT_SQL.replace('@', '<>'), 'entry_id')})
+SELECT 'source_item' AS table_name, id AS source_item_id, ingest_dedup_key AS key, md5(title) AS content FROM fresh
+UNION ALL SELECT 'ingest_dedup_marker', id, ingest_dedup_key, 'url' FROM fresh
+UNION ALL SELECT 'ingest_dedup_marker', id, title_key, 'th' FROM fresh WHERE title_key IS NOT NULL
+UNION ALL SELECT 'source_item_raw', id, 'raw', md5(CASE WHEN source_id % 3 = 1 THEN {STORY} ELSE {LEAD} END) FROM fresh
+UNION ALL SELECT 'source_item_text', id, concat_ws('|', CASE source_id % 3 WHEN 0 THEN 'lead' WHEN 1 THEN 'story' ELSE 'clean' END,
+  x.status, coalesce(x.reason, '-'), x.raw_length, x.cut), md5(x.text) FROM fresh f JOIN texts x ON x.entry_id = f.entry_id""",
+    f"SELECT entry_id, source_id, fetched_at, title, summary, 'url:https://p.example/' || entry_id AS ingest_dedup_key, "
+    f"title_key FROM ({KEYED_SQL}) k"))
+def _(t):
+    parsed = feeds.parse_payloads(t.sql(PROFILED_SQL))
+    entries = feeds.feed_entries(parsed).withColumnRenamed("description", "summary")
+    named = t.spark.createDataFrame(PROFILES, "sanitization_profile string, input_preference array<string>, remove_selectors array<string>, "
+                                    "content_selectors array<string>, decode_entities boolean, max_length int")
+    fields = ["input_preference", "remove_selectors", "content_selectors", "decode_entities", "max_length"]
+    # Every source names a profile; those of "story" set their own length and the shared one has none.
+    sources = t.b_entry.select("source_id").distinct().withColumn("sanitization_profile", F.element_at(
+        F.array(*[F.lit(p[0]) for p in PROFILES]), (F.col("source_id") % 3 + 1).cast("int"))).withColumns(
+        {f"override_{f}": F.lit(None).cast(named.schema[f].dataType) for f in fields}).withColumn(
+        "override_max_length", F.when(F.col("sanitization_profile") == "story", 500))
+    profiles = S.merged_profiles(sources, named.withColumn("max_length", F.lit(None).cast("int")), fields).withColumns(
+        {c: F.lit(True) for c in ("normalize_whitespace", "collapse_blank_lines")})
+    tables = I.ingest_by_profile(entries, profiles, ORDER)
+    def shown(name, key, content):
+        return tables[name].select(F.lit(name).alias("table_name"), "source_item_id", key.alias("key"), content.alias("content"))
+    record = F.concat_ws("|", "sanitization_method", "text_processing_status", F.coalesce("text_processing_reason", F.lit("-")),
+                         F.col("raw_text_length").cast("string"), F.col("was_truncated").cast("string"))
+    return reduce(DataFrame.unionByName, [
+        shown("source_item", F.col("ingest_dedup_key"), F.md5("title")),
+        shown("ingest_dedup_marker", F.col("dedup_key"), F.col("dedup_rule")),
+        shown("source_item_raw", F.lit("raw"), F.md5("raw_payload")),
+        shown("source_item_text", record, F.md5("sanitized_text"))])
+
+
+# Every eleventh body is markup that the parser refuses.
 @query("attempt_item_counters", "AGG-44", greedy_sql(f"""
 SELECT source_id, count(*) FILTER (label = 'new') AS new_item_count,
        count(*) FILTER (label = 'dedup') AS dedup_matched_count,
-       count(*) FILTER (label = 'new' AND x.status = 'low_context') AS low_context_count,
-       0 AS sanitization_failure_count,
+       count(*) FILTER (label = 'new' AND entry_id % 11 <> 3 AND x.status = 'low_context') AS low_context_count,
+       count(*) FILTER (label = 'new' AND entry_id % 11 = 3) AS sanitization_failure_count,
        count(*) FILTER (label = 'normalization_failure') AS normalization_failure_count
 FROM judged j JOIN ({label_sql(DOC_TEXT_SQL, 'doc_id')}) x ON x.doc_id = j.entry_id
 GROUP BY source_id"""))
 def _(t):
-    rows = I.labelled_entries(t.b_entry, ORDER)
-    text = H.sanitize(rows, "summary", "title")
+    rows = I.labelled_entries(t.b_entry, ORDER).withColumn("body", F.when(
+        F.col("entry_id") % 11 == 3, F.concat(F.lit("<p>x</p><![foo[bar]]>"), F.col("summary"))).otherwise(F.col("summary")))
+    text = H.sanitize(rows, "body", "title")
     return X.attempt_counters(text.select(
         "source_id", "label", F.col("text_processing_status").alias("text_status"),
         F.col("text_processing_reason").alias("text_reason")), ["source_id"])

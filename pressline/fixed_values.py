@@ -89,6 +89,9 @@ UI_LABELS = [
     "主要な主張", "主張の要点", "証拠の水準", "証拠レベル", "証拠水準", "エビデンスレベル",
     "客観的な影響", "客観的影響", "目的上の影響",
 ]
+# Label at the start of a value, and the stricter guard of translated fields; {labels} are alternatives.
+LABEL_PREFIX = r"(?U)^[\s*_-]*({labels})[\s*_]*[:：]"
+LABEL_GUARD = r"(?U)^\s*(?:[*\-+]\s+)?(?:\*\*|__|\*|_)?\s*(?:{labels})(?:\*\*|__|\*|_)?\s*[:：]"
 BULLET_KEYS = ["key_claim", "evidence_level", "objective_impact"]
 POST_LABELS = {
     "en": ["Key Claim", "Evidence Level", "Objective Impact"],

@@ -33,15 +33,12 @@ _LABELS_LONGEST = "|".join(re.escape(x) for x in sorted(V.UI_LABELS, key=len, re
 
 def has_label_prefix(c: Column) -> Column:
     """The value starts with a presentation label, list or emphasis marks aside."""
-    return F.coalesce(c.rlike(rf"(?U)^[\s*_-]*({_LABELS})[\s*_]*[:：]"), F.lit(False))
+    return F.coalesce(c.rlike(V.LABEL_PREFIX.format(labels=_LABELS)), F.lit(False))
 
 
 def has_guarded_label(c: Column) -> Column:
     """The stricter guard for translated fields: one list mark and one emphasis mark at most."""
-    mark = r"(?:\*\*|__|\*|_)?"
-    return F.coalesce(
-        c.rlike(rf"(?U)^\s*(?:[*\-+]\s+)?{mark}\s*(?:{_LABELS_LONGEST}){mark}\s*[:：]"),
-        F.lit(False))
+    return F.coalesce(c.rlike(V.LABEL_GUARD.format(labels=_LABELS_LONGEST)), F.lit(False))
 
 
 def has_ideograph(c: Column) -> Column:

@@ -301,30 +301,10 @@ def low_context_reason(text: Column, low: Column, head: Column, truncated: Colum
                 truncated, "truncated_to_low_context").otherwise("too_short")))
 
 
-def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = None,
-             remove_selectors: list[str] | None = None,
-             content_selectors: list[str] | None = None, decode: bool = True,
-             normalize: bool = True, collapse: bool = True, method: str = "default") -> DataFrame:
-    """Add the text record columns to rows that hold a raw body and a title.
-
-    A missing body is a failed text, and so is one that the parser gives up on; everything else is
-    completed or low context with a reason. Labels are judged on the whole text unless
-    ``max_length`` is given.
-    """
-    parse = parse_markup(remove_selectors, content_selectors, decode)
-    raw = F.nullif(F.col(body), F.lit(""))
-    rows = rows.withColumn("_raw", raw)
-    # Only bodies that can hold markup travel to Python; plain ones stay where they are.
-    coded = F.col("_raw").contains("<") | F.col("_raw").contains("&")
-    rows = rows.withColumn("_p", parse(F.when(coded, F.col("_raw"))))
-    plain = F.lit("") if content_selectors else F.col("_raw")
-    rows = rows.withColumn("_full", tidy_lines(F.when(coded, F.col("_p.text")).otherwise(plain),
-                                               normalize, collapse))
-    if max_length:
-        rows = rows.withColumn("_cut", F.length("_full") > max_length).withColumn(
-            "_text", F.substring("_full", 1, max_length))
-    else:
-        rows = rows.withColumn("_cut", F.lit(False)).withColumn("_text", F.col("_full"))
+def _text_record(rows: DataFrame, title: str, method: str | Column) -> DataFrame:
+    """Text record columns from ``_raw``, ``_p``, ``_full`` and the length limit ``_most`` (NULL: none)."""
+    rows = rows.withColumn("_cut", F.coalesce(F.length("_full") > F.col("_most"), F.lit(False))).withColumn(
+        "_text", F.when(F.col("_cut"), F.substring("_full", F.lit(1), F.col("_most"))).otherwise(F.col("_full")))
     # Its own column, because most rules look at the lower-case text.
     rows = rows.withColumn("_low", F.lower("_text")).withColumn(
         "_head", F.lower(strip(F.coalesce(F.col(title), F.lit("")))))
@@ -337,7 +317,7 @@ def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = No
                            F.when(missing, "missing_body").when(broken, "sanitizer_exception")
                            .otherwise(reason))
     return (rows.withColumn("sanitized_text", F.coalesce("_text", F.lit("")))
-            .withColumn("sanitization_method", F.lit(method))
+            .withColumn("sanitization_method", F.lit(method) if isinstance(method, str) else method)
             .withColumn("html_detected", ~missing & has_markup(F.col("_raw")))
             .withColumn("was_truncated", F.coalesce("_cut", F.lit(False)))
             .withColumn("text_processing_status",
@@ -348,4 +328,92 @@ def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = No
             .withColumn("sanitized_text_length", F.length("sanitized_text").cast("long"))
             .withColumn("reduction_ratio", F.when(missing, 0.0).otherwise(F.try_divide(
                 F.length("_text").cast("double"), F.length("_raw").cast("double"))))
-            .drop("_raw", "_p", "_full", "_cut", "_text", "_low", "_head"))
+            .drop("_raw", "_p", "_full", "_most", "_cut", "_text", "_low", "_head"))
+
+
+def sanitize(rows: DataFrame, body: str, title: str, max_length: int | None = None,
+             remove_selectors: list[str] | None = None,
+             content_selectors: list[str] | None = None, decode: bool = True,
+             normalize: bool = True, collapse: bool = True, method: str = "default") -> DataFrame:
+    """Add the text record columns to rows that hold a raw body and a title.
+
+    A missing body is a failed text, and so is one that the parser gives up on; everything else is
+    completed or low context with a reason. Labels are judged on the whole text unless
+    ``max_length`` is given.
+    """
+    parse = parse_markup(remove_selectors, content_selectors, decode)
+    rows = rows.withColumn("_raw", F.nullif(F.col(body), F.lit("")))
+    # Only bodies that can hold markup travel to Python; plain ones stay where they are.
+    coded = F.col("_raw").contains("<") | F.col("_raw").contains("&")
+    rows = rows.withColumn("_p", parse(F.when(coded, F.col("_raw"))))
+    plain = F.lit("") if content_selectors else F.col("_raw")
+    rows = rows.withColumn("_full", tidy_lines(F.when(coded, F.col("_p.text")).otherwise(plain),
+                                               normalize, collapse))
+    return _text_record(rows.withColumn("_most", F.lit(max_length).cast("int")), title, method)
+
+
+PROFILE = ("input_preference array<string>, remove_selectors array<string>, content_selectors array<string>, "
+           "decode_entities boolean, normalize_whitespace boolean, collapse_blank_lines boolean, max_length int")
+
+
+@F.pandas_udf(PARSED)
+def parse_by_profile(bodies: pd.Series, removed: pd.Series, kept: pd.Series, decode: pd.Series) -> pd.DataFrame:
+    """Like ``parse_markup`` with the selectors of each row; every distinct list is compiled once a batch.
+
+    A selector of a row that cannot be read matches nothing, so one source's slip fails no other source.
+    """
+    compiled: dict = {}
+
+    def read(selector: str) -> list:
+        try:
+            return selector_steps(selector)
+        except ValueError:
+            return []
+
+    def steps(selectors) -> list:
+        key = tuple(selectors) if selectors is not None else ()
+        if key not in compiled:
+            compiled[key] = [r for s in key for r in read(s)]
+        return compiled[key]
+
+    default = [r for s in REMOVED_TAGS for r in selector_steps(s)]
+    out = []
+    for body, remove, keep, unescaped in zip(bodies, removed, kept, decode):
+        if body is None:
+            out.append((None, None, None, None, False))
+            continue
+        reader = _Reader(default + steps(remove), steps(keep))
+        reader.keep = keep is not None and len(keep) > 0
+        try:
+            reader.feed(body)
+            reader.close()
+            out.append((*reader.result(bool(unescaped)), False))
+        except (AssertionError, ValueError):
+            out.append(("", 0, 0, False, True))
+    return pd.DataFrame(out, columns=["text", "plain_length", "link_length", "has_tag", "failed"])
+
+
+def sanitize_by_profile(rows: DataFrame, profile: str, title: str, fields: list[str],
+                        method: Column | None = None) -> DataFrame:
+    """Text record columns where every row brings its own profile, a struct of ``PROFILE``.
+
+    ``body`` is the first non-empty field of ``fields`` in the order of the profile's
+    ``input_preference``; names that are no field are passed over. A row without profile gets the
+    defaults: all fields in their order, no selectors, everything decoded, squeezed and whole.
+    """
+    own = lambda name: F.col(f"{profile}.{name}")
+    held = F.create_map(*[x for f in fields for x in (F.lit(f), F.when(strip(F.col(f)) != "", F.col(f)))])
+    wanted = F.coalesce(own("input_preference"), F.array(*map(F.lit, fields)))
+    found = F.filter(F.transform(wanted, lambda f: F.try_element_at(held, f)), lambda v: v.isNotNull())
+    rows = rows.withColumn("body", F.get(found, F.lit(0))).withColumn("_raw", F.col("body"))
+    decode, keeps = F.coalesce(own("decode_entities"), F.lit(True)), F.coalesce(F.size(own("content_selectors")), F.lit(0)) > 0
+    coded = F.col("_raw").contains("<") | F.col("_raw").contains("&")
+    rows = rows.withColumn("_p", parse_by_profile(F.when(coded, F.col("_raw")), own("remove_selectors"),
+                                                  own("content_selectors"), decode))
+    read = F.when(coded, F.col("_p.text")).when(~keeps, F.col("_raw")).otherwise(F.when(F.col("_raw").isNotNull(), ""))
+    rows = rows.withColumn("_read", read)
+    squeeze, fold = (F.coalesce(own(c), F.lit(True)) for c in ("normalize_whitespace", "collapse_blank_lines"))
+    tidied = F.when(squeeze & fold, tidy_lines(F.col("_read"))).when(squeeze, tidy_lines(F.col("_read"), True, False)).when(
+        fold, tidy_lines(F.col("_read"), False, True)).otherwise(tidy_lines(F.col("_read"), False, False))
+    rows = rows.withColumn("_full", tidied).withColumn("_most", own("max_length")).drop("_read")
+    return _text_record(rows, title, method if method is not None else "default")

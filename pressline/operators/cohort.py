@@ -197,14 +197,22 @@ def publishing_coverage(languages, item, decision, approved, publish, publish_st
                         window: tuple) -> DataFrame:
     """Coverage per language over all active approved articles.
 
-    The articles are aggregated once; the language list only meets the per-language counts, so no
-    article is repeated per language.
+    The articles meet their live rows once; one rollup counts them per language and altogether, and
+    the handful of counts, not the articles, meets the language list.
     """
-    active = active_approved(item, decision, approved, window)
-    live = live_by_language(active.select(KEY, "content_fingerprint"), publish, publish_status)
-    return (coverage_by_language(languages, live, active)
-            .join(F.broadcast(active.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")))
-            .select("language_code", "coverage_rate"))
+    active = active_approved(item, decision, approved, window).select(KEY, "content_fingerprint")
+    live = (publish_status.filter(F.col("publish_status") == "published")
+            .select("publish_record_id", "language_code", "source_fingerprint")
+            .join(publish.select("publish_record_id", KEY), "publish_record_id").drop("publish_record_id"))
+    version = [active[KEY] == live[KEY], active["content_fingerprint"] == live["source_fingerprint"]]
+    rows = active.join(live, version, "left").select(active[KEY], "language_code")
+    counts = rows.rollup("language_code").agg(F.countDistinct(KEY).alias("_n"), F.grouping("language_code").alias("_all"))
+    entry = F.when((F.col("_all") == 0) & F.col("language_code").isNotNull(), F.struct("language_code", "_n"))
+    one = counts.agg(F.map_from_entries(F.collect_list(entry)).alias("_live"),
+                     F.max(F.when(F.col("_all") == 1, F.col("_n"))).alias("_total")).filter("_total > 0")
+    published = F.coalesce(F.try_element_at("_live", F.col("language_code")), F.lit(0))
+    return languages.select("language_code").crossJoin(F.broadcast(one)).select(
+        "language_code", R.ratio(published, F.col("_total")).alias("coverage_rate"))
 
 
 # --- classification ----------------------------------------------------------------------------

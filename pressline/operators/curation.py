@@ -85,7 +85,7 @@ def queue_counts(item, cls, decision, retry_limit: int = V.RETRY_LIMIT) -> DataF
         count("rejected", "edit_rewrite").alias("rejected_rewrite"),
         count("rejected", "reject_discard").alias("rejected_discard"),
         count("failed").alias("failed_total"))
-    return pending.crossJoin(counts)
+    return pending.crossJoin(F.broadcast(counts))
 
 
 # --- writes ------------------------------------------------------------------------------------------

@@ -89,7 +89,7 @@ def status_counts_by_policy(decision, approved, translation, publish, publish_st
         R.tally(F.col("publish_status") == "published").alias("published_artifacts"),
         R.tally(F.col("publish_status") == "withdrawn").alias("withdrawn_artifacts"))
     slugs = publish.agg(F.count(F.lit(1)).alias("frozen_slugs"))
-    return rows.crossJoin(slugs).crossJoin(items)
+    return rows.crossJoin(F.broadcast(slugs)).crossJoin(F.broadcast(items))
 
 
 def upsert_status(publish_status: DataFrame, changes: DataFrame) -> DataFrame:

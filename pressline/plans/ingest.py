@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressline import fixed_values as V
 from pressline.functions import titles as N
-from pressline.functions.html import sanitize
+from pressline.functions.html import PROFILE, sanitize, sanitize_by_profile
 from pressline.functions.keys import with_dedup_keys
 from pressline.functions.times import published_at
 from pressline.operators import dedup as D
@@ -29,6 +29,24 @@ def labelled_entries(entries: DataFrame, order: list[str],
         F.length("title") > 0, "dedup").otherwise("normalization_failure"))
 
 
+def ingest_by_profile(entries: DataFrame, profiles: DataFrame, order: list[str], markers: DataFrame | None = None,
+                      last_id: int = 0, retention_days: int = V.RAW_RETENTION_DAYS) -> dict[str, DataFrame]:
+    """Like ``ingest``, with the merged sanitising profile of each entry's source.
+
+    ``profiles`` has one row per source: source_id, sanitization_profile and the fields of ``PROFILE``. It
+    is configuration, so adaptive execution sends it to the rows; its selectors are compiled once per
+    distinct list, whatever the number of entries. Entries bring ``summary`` and ``content``.
+    """
+    keyed = keyed_entries(entries)
+    places = D.first_places(keyed.filter(F.length("title") > 0), order, markers)
+    fields = [c.split()[0] for c in PROFILE.split(", ")]
+    own = profiles.select("source_id", F.struct(*fields).alias("_profile"), F.col("sanitization_profile").alias("_method"))
+    new = keyed.join(D.number_places(places, order, last_id), order).join(own, "source_id", "left")
+    clean = sanitize_by_profile(new, "_profile", "title", ["summary", "content"],
+                                F.coalesce("_method", F.lit("default")))
+    return D.item_tables(cut_lineage(clean.drop("_profile", "_method")), retention_days)
+
+
 def ingest(entries: DataFrame, order: list[str], markers: DataFrame | None = None,
            last_id: int = 0, retention_days: int = V.RAW_RETENTION_DAYS,
            max_length: int | None = None) -> dict[str, DataFrame]:

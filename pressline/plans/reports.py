@@ -132,7 +132,7 @@ def classify_breakdown(item, text, cls, window: tuple) -> DataFrame:
 def classify_metrics(item, text, cls, window: tuple) -> DataFrame:
     volume = C.char_volume_by_source(item, text, window).agg(
         F.coalesce(F.sum("char_volume"), F.lit(0)).alias("classification_character_volume_proxy"))
-    return C.classify_kpis(item, cls, window).crossJoin(volume)
+    return C.classify_kpis(item, cls, window).crossJoin(F.broadcast(volume))
 
 
 def translation_breakdown(item, decision, approved, translation, languages: DataFrame,
@@ -157,7 +157,7 @@ def translation_metrics(item, decision, approved, translation, languages: list[s
     return (T.success_rates(translation, window)
             .crossJoin(T.article_completion(item, decision, approved, translation, languages,
                                             window))
-            .crossJoin(T.average_latency(item, approved, translation, window)))
+            .crossJoin(F.broadcast(T.average_latency(item, approved, translation, window))))
 
 
 def curation_metrics(item, text, cls, decision, window: tuple) -> DataFrame:
@@ -167,15 +167,15 @@ def curation_metrics(item, text, cls, decision, window: tuple) -> DataFrame:
              .join(decision.select(C.KEY, "curated_at"), C.KEY)
              .select(R.seconds_between("curated_at", "classified_at").alias("seconds")))
     return (C.approval_rate(item, decision, window)
-            .crossJoin(C.curation_chars(item, text, decision, window))
+            .crossJoin(F.broadcast(C.curation_chars(item, text, decision, window)))
             .crossJoin(C.latency_summary(delay.withColumn("stage", F.lit("curation")))
                        .drop("stage")))
 
 
 def ingest_metrics(item, text, attempts, runs, window: tuple, attempt_window: tuple) -> DataFrame:
     return (X.success_rate(attempts, attempt_window)
-            .crossJoin(X.run_success_rate(runs, attempt_window))
-            .crossJoin(C.ingest_quality(item, text, window)))
+            .crossJoin(F.broadcast(X.run_success_rate(runs, attempt_window)))
+            .crossJoin(F.broadcast(C.ingest_quality(item, text, window))))
 
 
 def publishing_breakdown(languages, item, decision, approved, translation, publish, publish_status,

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of finished iterations go with the frames that held them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

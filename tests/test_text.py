@@ -155,3 +155,24 @@ def test_selectors():
 
 def test_unclosed_elements_cost_no_walk():
     assert read_markup("<p>x</q>" * 50_000) == "x" * 50_000
+
+
+def test_every_row_brings_its_profile(spark):
+    page = "<article><p>one  &amp;amp;</p></article>\n\n\n<div class='ad'>two</div>"
+    profiles = {
+        "none": None, "later field": (["content", "odd", "summary"], None, None, None, None, None, None),
+        "selectors": (None, [".ad", "p > > b"], ["article p", "div"], None, None, None, None),
+        "raw": (None, None, None, False, False, False, None), "cut": (None, None, None, None, None, None, 5),
+        "nothing kept": (None, [], ["main"], True, True, True, 0)}
+    rows = [(k, "Title", page, "plain text", p) for k, p in profiles.items()] + [
+        ("empty", "Title", " ", None, None), ("plain kept", "Title", "a  b", None, (None, None, ["p"], None, None, None, None)),
+        ("refused", "Title", "<p>x</p><![foo[bar]]>", None, None)]
+    df = spark.createDataFrame(rows, f"name string, title string, summary string, content string, profile struct<{H.PROFILE.replace(' ', ':').replace(',:', ', ')}>")
+    got = {r["name"]: r for r in H.sanitize_by_profile(df, "profile", "title", ["summary", "content"]).collect()}
+    text = {k: r["sanitized_text"] for k, r in got.items()}
+    assert text == {"none": "one &\n\ntwo", "later field": "plain text", "selectors": "one &", "raw": "one  &amp;\n\n\ntwo",
+                    "cut": "one &", "nothing kept": "", "empty": "", "plain kept": "", "refused": ""}
+    assert got["cut"]["was_truncated"] and not got["none"]["was_truncated"]
+    assert got["empty"]["text_processing_reason"] == "missing_body" and got["empty"]["text_processing_status"] == "failed"
+    assert got["refused"]["text_processing_reason"] == "sanitizer_exception"
+    assert got["later field"]["body"] == "plain text" and got["none"]["body"] == page
