@@ -21,10 +21,20 @@ def keyed_entries(entries: DataFrame) -> DataFrame:
         .withColumn("published_at", published_at(F.col("raw_date"))))
 
 
+def keys_alone(entries: DataFrame, order: list[str]) -> DataFrame:
+    """What ``keyed_entries`` adds to each entry, beside its unique ``order`` columns.
+
+    The rules for titles, URLs and dates are the costly part of a batch and are applied once; what is
+    stored is small, since bodies stay where they are.
+    """
+    keyed = keyed_entries(entries)
+    return cut_lineage(keyed.select(*order, *[c for c in keyed.columns if c not in entries.columns]))
+
+
 def labelled_entries(entries: DataFrame, order: list[str],
                      markers: DataFrame | None = None) -> DataFrame:
     """Keyed entries with a label: new, dedup or normalization_failure."""
-    judged = D.accept_first(keyed_entries(entries), order, markers)
+    judged = entries.join(D.accept_first(keys_alone(entries, order), order, markers), order, "left")
     return judged.withColumn("label", F.when(F.col("accepted"), "new").when(
         F.length("title") > 0, "dedup").otherwise("normalization_failure"))
 
