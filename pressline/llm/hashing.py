@@ -32,11 +32,20 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_POWERS: dict[int, np.ndarray] = {}
+"""Powers of a few bases for chunks of the usual length, so that they are not made anew for each."""
+
+
 def powers(n: int, base: np.uint64) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """base**0 .. base**(n-1) modulo 2**64; not to be written to."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        out = np.full(max(n, CHUNK + 2 if n > CHUNK >> 4 else n), base, dtype=np.uint64)
+        out[:1] = 1
+        known = np.multiply.accumulate(out)
+        if len(known) <= 2 * CHUNK and len(_POWERS) < 8:
+            _POWERS[int(base)] = known
+    return known[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -86,20 +86,32 @@ def bit_sketch(h: np.ndarray) -> bytes:
     return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def part_parities(h: np.ndarray) -> np.ndarray:
-    """Keys of the parts of one sorted set: equal keys mean the same level, part and parity."""
-    out = []
+def parts_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parity, label) of the parts of one sorted set; an empty part, where it counts, has parity 0."""
+    parities, labels = [], []
     for level, parts, spare in levels(len(h)):
         # The high 32 bits choose the part, in order, so that a part is a stretch of the sorted set.
         part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        parity = np.bitwise_xor.reduceat(h, at)
-        label = np.uint64(level << 40) + part[at]
-        out.append(mix(parity ^ mix(label)))
+        parities.append(np.bitwise_xor.reduceat(h, at))
+        labels.append(np.uint64(level << 40) + part[at])
         if parts - len(at) >= spare:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), part[at])
-            out.append(mix(mix(np.uint64(level << 40) + empty)))
-    return np.concatenate(out)
+            vacant = np.ones(parts, dtype=bool)
+            vacant[part[at].astype(np.int64)] = False
+            empty = np.flatnonzero(vacant).astype(np.uint64)
+            parities.append(np.zeros(len(empty), dtype=np.uint64))
+            labels.append(np.uint64(level << 40) + empty)
+    return np.concatenate(parities), np.concatenate(labels)
+
+
+def part_keys(parity: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Keys of parts: equal keys mean the same level, part and parity."""
+    return mix(parity ^ mix(label))
+
+
+def part_parities(h: np.ndarray) -> np.ndarray:
+    """Keys of all parts of one sorted set."""
+    return part_keys(*parts_of(h))
 
 
 def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
@@ -117,7 +129,8 @@ def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         for i in range(len(bounds) - 1):
             a, b = int(cut[i]), int(cut[i + 1])
             if b - a >= SHINGLE:
-                yield first + i, np.unique(run[a:b - SHINGLE + 1])
+                h = np.sort(run[a:b - SHINGLE + 1])
+                yield first + i, h[np.concatenate(([True], h[1:] != h[:-1]))]
             elif b > a:
                 whole = np.uint64(b - a)
                 for w in word[a:b]:
@@ -127,7 +140,8 @@ def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
 
 def class_key(h: np.ndarray) -> tuple[int, int]:
     """128 bits that name a set, as two signed numbers."""
-    two = np.array([mix(h).sum(dtype=np.uint64), mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)],
+    # Elements are mixed hashes already: their sum, and one sum that is not linear in them.
+    two = np.array([h.sum(dtype=np.uint64), ((h >> np.uint64(32)) * (h | np.uint64(1))).sum(dtype=np.uint64)],
                    dtype=np.uint64)
     a, b = mix(two + np.uint64(len(h))).view(np.int64).tolist()
     return a, b
@@ -154,17 +168,18 @@ def _parities(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     for batch in batches:
         seen: set[int] = set()
-        parts, owners = [], []
+        parities, labels, owners = [], [], []
         for _, h in shingle_sets(texts_of(batch.column("text"))):
             key, _ = class_key(h)
             if key not in seen:
                 seen.add(key)
-                p = part_parities(h)
-                parts.append(p)
-                owners.append(np.full(len(p), key, dtype=np.int64))
-        if not parts:
+                parity, label = parts_of(h)
+                parities.append(parity)
+                labels.append(label)
+                owners.append(np.full(len(parity), key, dtype=np.int64))
+        if not owners:
             continue
-        part, owner = np.concatenate(parts), np.concatenate(owners)
+        part, owner = part_keys(np.concatenate(parities), np.concatenate(labels)), np.concatenate(owners)
         order = np.lexsort((owner, part))
         part, owner = part[order], owner[order]
         new = np.concatenate(([True], part[1:] != part[:-1]))
@@ -306,13 +321,17 @@ def compare_blocks(closest: bool):
     """Compares classes of different components inside (part, block, block) groups.
 
     Rows come sorted by group; some thousand rows of whole groups are compared at a time, each with
-    the row k places on, for every k that a group has. With ``closest`` every class of a part gives
+    the row k places on in order of size, for every k up to the first set that is too large. With ``closest`` every class of a part gives
     the one pair to its nearest class of another component, else every possible pair is given.
     """
     def pairs_of(table: pa.Table) -> pa.RecordBatch:
         part, low, high, block, doc, component, n = (table[c].to_numpy() for c in DEALT[:-1])
-        sets = Sketches(n, table["sketch"].to_pylist())
         new = np.concatenate(([True], (part[1:] != part[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+        # By size inside each group: from the first set that is too large for a set, all are.
+        order = np.lexsort((n, np.cumsum(new)))
+        part, low, high, block, doc, component, n = (c[order] for c in (part, low, high, block, doc, component, n))
+        sketch = table["sketch"].to_pylist()
+        sets = Sketches(n, [sketch[k] for k in order.tolist()])
         bounds = np.append(np.flatnonzero(new), len(part))
         end = np.repeat(bounds[1:], np.diff(bounds))
         found: list[tuple] = [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64))]
@@ -334,6 +353,7 @@ def compare_blocks(closest: bool):
         while len(i):
             k += 1
             i = i[i + k < end[i]]
+            i = i[OF * n[i] >= SIMILAR * n[i + k]]
             j = i + k
             # Two rows of one block meet in the group of that block with itself.
             yes = (component[i] != component[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
