@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import chunks, mix, span_hashes, texts_of, word_spans, LOWER
-from pressline.llm.storage import judged_rows, keyed_rows, rows_with, stored
+from pressline.llm.storage import folders_noted, freed, judged_rows, keyed_rows, rows_with, stored
 from pressline.llm.toxicity import remainder
 
 SIZE, NONZERO = 24, 4
@@ -279,10 +279,15 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def document_vectors(docs: DataFrame) -> DataFrame:
     """(doc_id, features) of every row: each part's texts meet the vectors of the words they hold."""
-    parts = stored(docs.select("doc_id", "text").mapInArrow(words_and_texts, WORDS_AND_TEXTS))
-    texts = parts.where("key IS NULL").select("part", "doc_id", "size", "words", "counts")
-    wanted = parts.where("key IS NOT NULL").select(F.col("part").alias("of"), "key")
-    table = stored(word_vectors(parts))
+    rows = docs.select("doc_id", "text").mapInArrow(words_and_texts, WORDS_AND_TEXTS)
+    with folders_noted() as made:
+        parts = stored(rows.withColumn("is_word", F.col("key").isNotNull()), by="is_word")
+    texts = parts.where("NOT is_word").select("part", "doc_id", "size", "words", "counts")
+    words = parts.where("is_word")
+    table = stored(word_vectors(words))
+    wanted = stored(words.select(F.col("part").alias("of"), "key"))
+    # The sums of the parts are in the table now; they are the largest thing stored here.
+    freed(docs.sparkSession, [f"{made[0]}/is_word=true"])
     return texts.groupBy("part").cogroup(wanted.join(table, "key").groupBy("of")).applyInArrow(
         pooled, "doc_id long, features array<float>")
 

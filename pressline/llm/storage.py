@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pressline.session import ensure_checkpoint_dir
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _collected: list[list[str]] = []
 
 
@@ -32,22 +33,26 @@ def freed(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Later steps restart from these files, so a lost executor costs a step, never the job. The folder
     goes when the application ends or its maker frees it; the shuffle files of the step go as soon as it
-    is written.
+    is written. With ``by`` the rows of each value of that column lie in a folder of their own.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    # With a writer per folder at a time no sort by ``by`` is needed.
+    settings = {CLEANUP: "true", **({WRITERS: "16"} if by else {})}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         # A frame of its own plans under the setting.
-        df.select("*").write.parquet(folder)
+        df.select("*").write.parquet(folder, partitionBy=by)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     for made in _collected:
