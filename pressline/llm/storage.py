@@ -23,7 +23,8 @@ def folders_noted() -> Iterator[list[str]]:
     try:
         yield made
     finally:
-        _collected.remove(made)
+        # By identity: notes of an outer and an inner maker may be equal.
+        _collected[:] = [x for x in _collected if x is not made]
 
 
 def freed(spark: SparkSession, folders: list[str]) -> None:

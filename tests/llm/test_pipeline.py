@@ -115,3 +115,12 @@ def test_stages_decide_by_row(spark, monkeypatch):
     assert kept(decontamination.drop_contaminated(docs, bench)) == rows_at(0, 3, 4, 5, 6)
     monkeypatch.setattr(quality, "quality", lambda d, *_: d.selectExpr("doc_id", "cast(length(text) % 2 = 0 as int) AS predicted"))
     assert kept(quality.drop_poor(docs, labels)) == rows_at(*[i for i, r in enumerate(rows) if len(r[1]) % 2 == 0])
+
+
+def test_notes_of_nested_makers_are_kept_apart(spark):
+    from pressline.llm.storage import folders_noted
+    with folders_noted() as outer:
+        with folders_noted() as inner:
+            stored(spark.range(3))
+        stored(spark.range(3))
+    assert len(inner) == 1 and len(outer) == 2 and outer[0] == inner[0]
