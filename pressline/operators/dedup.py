@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pressline.functions import rates as R
 from pressline.operators.buckets import lookup, sequence_ids
-from pressline.session import cut_lineage
+from pressline.session import cut_lineage, cut_round
 
 K1, K2 = "ingest_dedup_key", "title_key"
 
@@ -101,7 +101,7 @@ def _decided(left: DataFrame) -> DataFrame:
     titled = left.join(_two_first(left, K2, "_n2", "_p2"), "_o", "left")
     near = titled.join(_two_first(left, K1, "_n1", "_p1"), "_o").withColumn(
         "_n2", F.when(F.col(K2).isNull(), 1).otherwise(F.col("_n2")))
-    known = cut_lineage(near.filter("_n1 + _n2 <= 3").select(
+    known = cut_round(near.filter("_n1 + _n2 <= 3").select(
         "_o", K1, K2, "_s1", "_s2", F.coalesce("_p1", "_p2", "_o").alias("_up")))
     free = F.col("_up") == F.col("_o")
     chain = known.select("_o", "_up", (~free).alias("_odd"), free.alias("_free"))
@@ -113,7 +113,7 @@ def _decided(left: DataFrame) -> DataFrame:
             F.coalesce(F.col("_odd") != F.col("_more"), F.col("_odd")).alias("_odd"),
             F.coalesce("_end", F.lit(False)).alias("_free"),
             F.coalesce(F.col("_top") != F.col("_up"), F.lit(False)).alias("_moved"))
-        chain = cut_lineage(joined.unionByName(
+        chain = cut_round(joined.unionByName(
             chain.filter("_free").withColumn("_moved", F.lit(False))))
         moved = chain.filter("_moved AND NOT _free").isEmpty()
         chain = chain.drop("_moved")
@@ -137,7 +137,7 @@ def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None =
     left = cut_lineage(rows.groupBy(K1, K2).agg(F.min(F.struct(*order)).alias("_o")))
     count = left.count()
     if count > settled:
-        left = cut_lineage(_salted(_salted(left, K1, "_s1"), K2, "_s2"))
+        left = cut_round(_salted(_salted(left, K1, "_s1"), K2, "_s2"))
     else:
         left = left.withColumns({"_s1": F.lit(-1), "_s2": F.lit(-1)})
     if markers is not None:
@@ -150,7 +150,7 @@ def first_places(rows: DataFrame, order: list[str], markers: DataFrame | None =
     while count > settled:
         first = cut_lineage(_decided(left))
         passed.append(first.select("_o"))
-        left = cut_lineage(_without(_without(left, K1, "_s1", first), K2, "_s2", first))
+        left = cut_round(_without(_without(left, K1, "_s1", first), K2, "_s2", first))
         count = left.count()
     return reduce(DataFrame.unionByName, [*passed, _settled(left).select("_o")]).select("_o.*")
 
@@ -274,32 +274,37 @@ def near_groups(rows: DataFrame, item: str, text: str, moment: str, bucket_hours
 
     Equal signatures collapse to one row first, so copies cost nothing later. Links only run
     between a band and its members, never between all pairs, and labels sink to the smallest id
-    until nothing changes.
+    until nothing changes. Only bands with two signatures or more link anything, so the rounds see
+    no others; each step of a round is stored, and no table of rows is broadcast.
     """
     base = signatures(rows.select(item, text, moment), text, hashes).select(
         item, "signature",
         F.floor(F.unix_seconds(moment) / F.lit(bucket_hours * 3600)).alias("_b"))
     base = cut_lineage(base)
-    heads = base.groupBy("_b", "signature").agg(F.min(item).alias("head"))
-    edges = cut_lineage(band_keys(heads, "_b", bands, hashes).select("head", "band"))
-    labels = cut_lineage(heads.select("head", F.col("head").alias("group_id")))
+    heads = cut_lineage(base.groupBy("_b", "signature").agg(F.min(item).alias("head")))
+    members = cut_lineage(band_keys(heads, "_b", bands, hashes).select("head", "band"))
+    shared = members.groupBy("band").agg(F.min("head").alias("_low"), F.max("head").alias("_high")).filter(
+        "_low <> _high").select("band")
+    edges = cut_round(members.join(shared.hint("merge"), "band", "left_semi"))
+    labels = cut_round(edges.select("head").distinct().withColumn("group_id", F.col("head")))
     while True:
-        held = edges.join(labels, "head")
+        held = cut_round(edges.join(labels.hint("merge"), "head"))
         low = held.groupBy("band").agg(F.min("group_id").alias("_low"))
-        sunk = (lookup(held, low, "band").groupBy("head")
-                .agg(F.min(F.least("group_id", "_low")).alias("group_id")))
+        sunk = cut_round(lookup(held, low, "band").groupBy("head")
+                           .agg(F.min(F.least("group_id", "_low")).alias("group_id")))
         # One more hop through the label's own label shortens long chains.
         hop = sunk.select(F.col("head").alias("group_id"), F.col("group_id").alias("_up"))
-        fresh = cut_lineage(lookup(sunk, hop, "group_id").select("head", F.least(
+        fresh = cut_round(lookup(sunk, hop, "group_id").select("head", F.least(
             "group_id", F.coalesce("_up", F.col("group_id"))).alias("group_id")))
-        moved = fresh.join(labels.withColumnRenamed("group_id", "_was"), "head").filter(
+        moved = fresh.join(labels.withColumnRenamed("group_id", "_was").hint("merge"), "head").filter(
             "group_id <> _was")
         labels = fresh
         if moved.isEmpty():
             break
-    named = heads.join(labels, "head")
-    on = [base["_b"].eqNullSafe(named["_b"]), base["signature"] == named["signature"]]
-    return base.join(named, on).select(base[item], "group_id")
+    named = heads.join(labels.hint("merge"), "head", "left").withColumn(
+        "group_id", F.coalesce("group_id", "head"))
+    on = [base["_b"].eqNullSafe(named["_b"]), base["signature"].eqNullSafe(named["signature"])]
+    return base.join(named.hint("merge"), on).select(base[item], "group_id")
 
 
 def preferred(groups: DataFrame, tiers: DataFrame, item: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressline.functions.titles import slugify
 from pressline.operators.buckets import lookup, row_rank, running_sum
-from pressline.session import cut_lineage
+from pressline.session import cut_lineage, cut_round
 
 _NUMBERED = "^(.+)-([1-9][0-9]{0,17})$"
 
@@ -153,11 +153,11 @@ def _shared_slots(items: DataFrame, bases: DataFrame, frozen: DataFrame) -> Data
         claims = level.select(F.col("parent").alias("base"), "slot", "child",
                               F.col("before").cast("long").alias("before"))
         wins = won_claims(_runs(slots.distinct()), claims)
-        extra = cut_lineage(extra.unionByName(wins.select(
+        extra = cut_round(extra.unionByName(wins.select(
             F.when(F.col("child_wins"), F.col("base")).otherwise(F.col("child")).alias("base"),
             F.when(F.col("child_wins"), F.col("slot")).otherwise(F.lit(1)).alias("slot"))))
-        level = cut_lineage(children.join(level.select(F.col("child").alias("parent")), "parent",
-                                          "left_semi"))
+        level = cut_round(children.join(level.select(F.col("child").alias("parent")), "parent",
+                                        "left_semi"))
     return extra
 
 

@@ -128,3 +128,24 @@ def test_preferred_takes_the_best_tier(spark):
     got = {r.group_id: (r.primary_item, r.alternatives) for r in
            D.preferred(groups, tiers, "id").collect()}
     assert got == {1: (2, 2), 9: (9, 0)}
+
+
+def test_near_groups_over_a_long_chain(spark, monkeypatch):
+    # Neighbours share a band and nothing else, so labels need many rounds; estimates must not pile up.
+    n, bits = 200, []
+    own = lambda j: F.col("entry_id") * 100 + 1_000_000 + j
+    link = [*[F.floor(F.col("entry_id") / 2)] * 4, *[F.floor((F.col("entry_id") + 1) / 2)] * 4]
+    monkeypatch.setattr(D, "signatures", lambda rows, text, hashes: rows.withColumn(
+        "signature", F.array(*link, *[own(j) for j in range(24)])))
+    real = D.cut_round
+
+    def watched(df):
+        bits.append(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()).bit_length())
+        return real(df)
+
+    monkeypatch.setattr(D, "cut_round", watched)
+    rows = spark.range(n + 5).filter(f"id <> {n}").select(
+        F.col("id").alias("entry_id"), F.lit("x").alias("t"), F.to_timestamp(F.lit("2024-01-01")).alias("m"))
+    got = {r.entry_id: r.group_id for r in D.near_groups(rows, "entry_id", "t", "m").collect()}
+    assert got == {i: 0 if i < n else n + 1 for i in got} and len(got) == n + 4
+    assert max(bits) < 2000
