@@ -282,7 +282,7 @@ SELECT source_id, {iso_sql('last.started_at')} AS last_fetch_at,
        {iso_sql('last_success')} AS last_success_at, last.fails AS consecutive_failures,
        CASE WHEN last.outcome <> 'success' THEN last.error_class END AS last_error_class,
        last.http_status AS last_http_status, last.health_status AS health_status
-FROM (SELECT source_id, max(CASE WHEN outcome = 'success' THEN ended_at END) AS last_success,
+FROM (SELECT source_id, arg_max(ended_at, (started_at, fetch_attempt_id)) FILTER (outcome = 'success') AS last_success,
              arg_max(h, (started_at, fetch_attempt_id)) AS last
       FROM ({HISTORY_SQL}) h GROUP BY source_id) g""")
 def _(t):
