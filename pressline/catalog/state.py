@@ -738,10 +738,12 @@ def _(t):
 
 
 @query("translation_contract", "VAL-3 FN-20 FN-21 FN-22", """
-SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'not an object' WHEN 1 THEN 'missing translated_title'
-  WHEN 2 THEN 'bullet_1 must be null' WHEN 3 THEN 'title too long' WHEN 4 THEN 'length ratio'
-  WHEN 5 THEN 'script' WHEN 6 THEN 'label prefix' WHEN 7 THEN 'script' END AS reason
-FROM documents""")
+SELECT doc_id, CASE WHEN k = 0 THEN 'not an object' WHEN k = 1 THEN 'missing translated_title'
+  WHEN k = 2 THEN 'bullet_1 must be null' WHEN k = 3 THEN 'title too long'
+  WHEN CASE k WHEN 4 THEN 4 * 50000 WHEN 6 THEN length('- **關鍵主張**：漢字') WHEN 7 THEN length('漢字')
+       WHEN 8 THEN length('漢字 かな') END > 3 * n AND n > 0 THEN 'length ratio'
+  WHEN k = 5 OR k = 7 THEN 'script' WHEN k = 6 THEN 'label prefix' END AS reason
+FROM (SELECT doc_id, doc_id % 9 AS k, length(text) AS n FROM documents) d""")
 def _(t):
     k = F.col("doc_id") % 9
     text = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("x"))),
