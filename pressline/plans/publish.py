@@ -12,9 +12,11 @@ from pressline.session import cut_lineage
 
 
 def reconcile(tables: dict[str, DataFrame], languages: list[str], run_ts,
-              last_record_id: int) -> dict[str, DataFrame]:
+              last_record_id: int = 0) -> dict[str, DataFrame]:
     """The complete publish_record and publish_language_status tables after a run.
 
+    New records are numbered from ``last_record_id``, or from the largest id in use if that is higher.
+
     Pairs whose payload is missing or breaks the contract come back as ``rejected``. Nothing of their
     items is published or refreshed, in no language, and no slug or record is made for them.
     """
@@ -37,7 +39,8 @@ def reconcile(tables: dict[str, DataFrame], languages: list[str], run_ts,
     failed = plan.filter("NOT is_valid")
     accepted = plan.join(failed.select(KEY).distinct(), KEY, "left_anti")
     fresh = B.new_records(accepted, publish, run_ts)
-    numbered = cut_lineage(sequence_ids(fresh, [KEY], "publish_record_id", last_record_id))
+    in_use = publish.agg(F.max("publish_record_id")).first()[0] or 0
+    numbered = cut_lineage(sequence_ids(fresh, [KEY], "publish_record_id", max(last_record_id, in_use)))
     records = publish.unionByName(numbered.select(*publish.columns))
     changes = (accepted.select(KEY, "language_code",
                                F.lit("published").alias("publish_status"),
