@@ -1,5 +1,6 @@
 """Catalogue order, digests, snapshots and configuration."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -109,3 +110,17 @@ def test_whole_index_reads_back_with_its_undated_entries(spark, tmp_path):
     valid, invalid = E.split_index(spark, str(tmp_path / "index"))
     assert [(r.slug, r.position) for r in valid.collect()] == [("dated", 1)]
     assert [(r.slug, r.position) for r in invalid.collect()] == [("undated", 2)]
+
+
+def test_artifact_digests_start_from_payloads_stored_once(spark, monkeypatch):
+    from pressline.bindings import Tables
+    from pressline.catalog import publishing
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    real, calls = publishing.payloads, []
+    monkeypatch.setattr(publishing, "payloads", lambda t: calls.append(t) or real(t))
+    out = publishing.digests(Tables(spark, folder))
+    assert len(calls) == 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
