@@ -279,10 +279,20 @@ def stats_document(stats: DataFrame, run_ts) -> DataFrame:
 
 # --- digests -------------------------------------------------------------------------------------------------
 
+LANE_BITS = 20
+
+
 def lanes(row_digest: Column) -> list[Column]:
-    """Four 60-bit lanes of a row digest as exact decimals."""
-    return [F.conv(F.substring(row_digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
-            for i in range(4)]
+    """Four 60-bit lanes of a row digest."""
+    return [F.conv(F.substring(row_digest, 1 + 15 * i, 15), 16, 10).cast("long") for i in range(4)]
+
+
+def lane_sum(lane: Column) -> Column:
+    """Exact sum of a lane as a decimal: 20 bits at a time, so that rows are added up as plain longs."""
+    def piece(k: int) -> Column:
+        part = F.shiftright(lane, LANE_BITS * k).bitwiseAND(F.lit((1 << LANE_BITS) - 1))
+        return F.coalesce(F.sum(part), F.lit(0)).cast("decimal(20,0)") * F.lit(1 << LANE_BITS * k).cast("decimal(13,0)")
+    return (piece(2) + piece(1) + piece(0)).cast("decimal(38,0)")
 
 
 def set_digest(row_digest: Column) -> Column:
@@ -291,7 +301,7 @@ def set_digest(row_digest: Column) -> Column:
     Lane sums combine map-side, so no group is ever gathered in one place, and the result does not
     depend on partitioning. The order of the rows must be part of the row text where it matters.
     """
-    sums = [F.coalesce(F.sum(lane), F.lit(0)).cast("string") for lane in lanes(row_digest)]
+    sums = [lane_sum(lane).cast("string") for lane in lanes(row_digest)]
     return F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"), *sums), 256)
 
 

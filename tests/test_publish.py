@@ -1,5 +1,6 @@
 """Catalogue order, digests, snapshots and configuration."""
 
+import hashlib
 import os
 from datetime import datetime
 
@@ -44,6 +45,44 @@ def test_digest_does_not_depend_on_partitions(spark):
     assert len(one & other) == 2 and len(other) == 3
 
 
+def test_digest_sums_are_exact(spark):
+    # The largest lanes and a small one: their sums leave 64 bits, and no digest at all is a sum of zero.
+    digests = ["f" * 64] * 40 + ["0" * 63 + "1"]
+    rows = spark.createDataFrame([(d,) for d in digests], "d string")
+    sums = [sum(int(d[15 * i:15 * i + 15], 16) for d in digests) for i in range(4)]
+    assert max(sums) > 1 << 64
+    text = "|".join(map(str, [len(digests), *sums]))
+    assert rows.agg(B.set_digest(F.col("d"))).first()[0] == hashlib.sha256(text.encode()).hexdigest()
+    assert rows.filter("false").agg(B.set_digest(F.col("d"))).first()[0] == hashlib.sha256(b"0|0|0|0|0").hexdigest()
+
+
+def test_digest_adds_rows_up_as_longs(spark):
+    rows = spark.range(3).select(F.sha2(F.col("id").cast("string"), 256).alias("d")).agg(B.set_digest(F.col("d")))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    # The buffers of a partial sum over decimals hold a flag beside each sum.
+    assert "isEmpty#" not in plan
+
+
+def test_each_part_of_a_snapshot_is_one_file(spark, tmp_path):
+    # Eight tasks hold rows of every part; before, each of them wrote a file of its own for each part.
+    # Small partitions are not merged here, as large ones would not be.
+    rows = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "en").otherwise("ja").alias("language_code"),
+        F.format_string("%02d", F.col("id") % 20).alias("part"), F.col("id").cast("string").alias("line"))
+    pointer = {"generation": "g1"}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        E.write_changed_parts(spark, str(tmp_path), pointer, None, {"items": rows, "archives": rows.filter("part < '10'")})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for kind, parts in (("items", 20), ("archives", 10)):
+        files = list((tmp_path / "store" / kind / "home=g1").rglob("*.txt"))
+        assert len(files) == parts
+        got = sorted(tuple(r) for r in E.read_lines(spark, str(tmp_path), pointer, kind).collect())
+        assert got == sorted(tuple(r) for r in rows.filter(F.col("part") < parts).collect())
+
+
 def test_snapshot_with_itself_has_no_change(spark):
     rows = spark.createDataFrame([("a", "1"), ("b", "2")], "path string, digest string")
     assert {r.change for r in B.snapshot_diff(rows, rows).collect()} == {"unchanged"}
