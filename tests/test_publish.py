@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from pressline.bindings import Tables
 from pressline.operators import publish as B
 from pressline.sources import exports as E
 from pressline.sources import tables as ST
@@ -163,3 +164,15 @@ def test_artifact_digests_start_from_payloads_stored_once(spark, monkeypatch):
     assert len(calls) == 1
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_kept_binding_is_not_derived_again(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    old, new = Tables(spark, folder), Tables(spark, folder)
+    new.keep("b_translation", str(tmp_path / "translation"))
+    for name in ("b_translation", "b_publish_status"):
+        before, after = getattr(old, name), getattr(new, name)
+        assert [f for f in before.inputFiles() if "lineitem" in f]
+        assert not [f for f in after.inputFiles() if "lineitem" in f]
+        assert before.schema.simpleString() == after.schema.simpleString()
+        assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
