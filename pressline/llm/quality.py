@@ -4,8 +4,8 @@ A text is read as tokens: words without case, runs of equal marks, and signs of
 capitals, a word in capitals at its start, the word before once more). A token is known by its 64-bit
 hash, and the hash alone gives its sparse ternary index vector, so the vocabulary has no fixed size.
 A word's vector is the sum of the index vectors of its neighbours over all documents of the corpus,
-added up per group of documents first and by key in Spark then. The table of all words is joined
-with the words of each group, never broadcast. A document is the mean and the spread of its tokens'
+added up per group of documents first and per range of hashes in Spark then, which sends the sums
+back to the groups that hold the words, never by broadcast. A document is the mean and the spread of its tokens'
 vectors, with the shares of the signs and its length. A network of two layers, trained on labelled
 rows, maps that to a logit, and one temperature, fitted on labelled rows that the training has not
 seen, calibrates it.
@@ -13,6 +13,7 @@ seen, calibrates it.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ REACH = 2
 FEATURES = 2 * SIZE + SIGNS + 2
 GROUP_BYTES = 32 << 20
 """Documents share one list of words up to about this many bytes; it only sets how often a word is sent."""
+BUCKET_BITS = 10
+"""Words whose hashes share their first bits are added up together; this only sets the size of one step."""
 SAMPLE_ROWS = 40_000
 """At most this many labelled rows are fitted, chosen by a hash of their id."""
 
@@ -102,52 +105,76 @@ def neighbour_sums(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.n
     return words, sums, local
 
 
-WORDS_AND_TEXTS = ("part long, doc_id long, size long, words binary, counts binary, "
-                   "key long, sums array<int>")
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers of any size, exactly: bytes of the same place lie together and are coded by frequency."""
+    x = numbers.astype(np.int64).ravel()
+    folded = (x << 1) ^ (x >> 63)
+    width = max(1, (int(folded.view(np.uint64).max(initial=0)).bit_length() + 7) // 8)
+    planes = folded.view(np.uint8).reshape(-1, 8)[:, :width].T
+    coder = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return bytes([width]) + coder.compress(planes.tobytes()) + coder.flush()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The numbers of ``packed``."""
+    planes = np.frombuffer(zlib.decompress(memoryview(data)[1:]), dtype=np.uint8).reshape(data[0], -1)
+    folded = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    folded[:, :data[0]] = planes.T
+    x = folded.view(np.uint64).ravel()
+    return (x >> np.uint64(1)).view(np.int64) ^ -(x & np.uint64(1)).view(np.int64)
+
+
+def lowest_key(bucket: int | np.ndarray) -> np.ndarray:
+    """The lowest key of a bucket."""
+    return np.asarray(bucket).astype(np.uint64) << np.uint64(64 - BUCKET_BITS)
+
+
+WORDS_AND_TEXTS = ("part long, bucket int, keys binary, sums binary, ids array<long>, sizes binary, "
+                   "lengths binary, words binary, counts binary, first binary")
 
 
 def words_and_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of some texts each: a row per distinct word with its sums, and a row per text.
+    """Parts of some texts each: a row per bucket of its distinct words with their sums, and rows of texts.
 
-    A text's row has the numbers of its distinct words among the sorted keys of the part, and counts.
+    A bucket holds the sorted keys that begin with its bits, written as steps. A text has the numbers of its distinct words
+    among the sorted keys of the part, written as steps, and counts; ``first`` has the first keys.
     """
     part = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     ids, sizes, found, held = [], [], [], 0
     names = [c.split()[0] for c in WORDS_AND_TEXTS.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int32())]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), *[pa.binary()] * 5]
 
-    def record(n: int, **columns: pa.Array) -> pa.RecordBatch:
+    def record(n: int, **columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [columns.get(c, pa.nulls(n, k)) for c, k in zip(names, kinds)], names)
+            [pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names)
 
     def flush() -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([np.zeros(0, dtype=np.uint64), *[f[0] for f in found]])
-        every, at = np.unique(keys, return_inverse=True)
+        every = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[f[0] for f in found]]))
         sums = np.zeros((len(every), SIZE), dtype=np.int32)
-        words, counts, ends = [], [], []
-        before = 0
-        for key, near, code, n in found:
-            to = at[before:before + len(key)]
-            before += len(key)
+        lists = [[np.zeros(0, dtype=np.uint32)] for _ in range(3)]
+        found.reverse()
+        while found:
+            key, near, *own = found.pop()
+            to = np.searchsorted(every, key)
             sums[to] += near
-            words.append(to[code & np.uint64(0xFFFFFFFF)].astype(np.uint32))
-            counts.append(n.astype(np.uint32))
-            ends.append((code >> np.uint64(32)).astype(np.int64))
-        owner = np.concatenate([np.zeros(0, dtype=np.int64), *ends])
-        flat, n = (np.concatenate([np.zeros(0, dtype=np.uint32), *x]) for x in (words, counts))
-        cut = np.searchsorted(owner, np.arange(len(sizes) + 1))
-        for at in range(0, len(every), 10_000):
-            some = every[at:at + 10_000]
-            rows = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * SIZE,
-                                            pa.array(sums[at:at + len(some)].ravel()))
-            yield record(len(some), part=pa.array(np.full(len(some), part)),
-                         key=pa.array(some.view(np.int64)), sums=rows)
+            own[1] = to.astype(np.uint32)[own[1]]
+            for x, y in zip(lists, own):
+                x.append(y)
+        owner, flat, n = map(np.concatenate, lists)
+        cut = np.append(np.searchsorted(every, lowest_key(np.arange(1 << BUCKET_BITS))), len(every))
+        full = np.flatnonzero(np.diff(cut))
+        spans = [slice(*cut[b:b + 2]) for b in full]
+        yield record(len(full), part=[part] * len(full), bucket=full,
+                     keys=[packed(np.diff(every[x], prepend=lowest_key(b))) for b, x in zip(full, spans)],
+                     sums=[packed(sums[x]) for x in spans])
+        ends = np.searchsorted(owner, np.arange(len(sizes) + 1, dtype=np.uint32))
         for at in range(0, len(sizes), 1000):
-            spans = [slice(*cut[i:i + 2]) for i in range(at, min(at + 1000, len(sizes)))]
-            yield record(len(spans), part=pa.array(np.full(len(spans), part)),
-                         doc_id=pa.array(ids[at:at + 1000], pa.int64()), size=pa.array(sizes[at:at + 1000]),
-                         words=pa.array([flat[x].tobytes() for x in spans], pa.binary()),
-                         counts=pa.array([n[x].tobytes() for x in spans], pa.binary()))
+            to = min(at + 1000, len(sizes))
+            x = slice(ends[at], ends[to])
+            yield record(1, part=[part], ids=[ids[at:to]], sizes=[packed(np.array(sizes[at:to]))],
+                         lengths=[packed(np.diff(ends[at:to + 1]))],
+                         words=[packed(np.diff(flat[x].astype(np.int64), prepend=0))],
+                         counts=[packed(n[x])], first=[every[:SIGNS].tobytes()])
 
     for batch in batches:
         texts, own = texts_of(batch.column("text")), batch.column("doc_id").to_pylist()
@@ -161,26 +188,57 @@ def words_and_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for first, key, owner in tokens(texts[done:stop]):
                 if len(key):
                     words, near, local = neighbour_sums(key, owner)
-                    text = (len(sizes) + first + owner).astype(np.uint64)
-                    found.append((words, near, *np.unique(text << np.uint64(32) | local.astype(np.uint64),
-                                                          return_counts=True)))
+                    code, count = np.unique((len(sizes) + first + owner).astype(np.uint64) << np.uint64(32)
+                                            | local.astype(np.uint64), return_counts=True)
+                    small = np.abs(near).max() < 1 << 15
+                    found.append((words, near.astype(np.int16) if small else near,
+                                  (code >> np.uint64(32)).astype(np.uint32), code.astype(np.uint32),
+                                  count.astype(np.uint32)))
             ids.extend(own[done:stop])
             sizes.extend(len(x) for x in texts[done:stop])
             held, done = held + n, stop
             if held > GROUP_BYTES:
                 yield from flush()
                 part, held = part + 1, 0
-                for x in (ids, sizes, found):
+                for x in (ids, sizes):
                     x.clear()
     if sizes:
         yield from flush()
 
 
+def added_up(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(distinct keys, their sums over all rows, places of each row's keys) of the rows of one bucket."""
+    low = lowest_key(parts.column("bucket")[0].as_py())
+    keys = [low + np.cumsum(unpacked(k)).astype(np.uint64) for k in parts.column("keys").to_pylist()]
+    every, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros((len(every), SIZE), dtype=np.int64)
+    places = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
+    for to, own in zip(places, parts.column("sums").to_pylist()):
+        sums[to] += unpacked(own).reshape(-1, SIZE)
+    return every, sums, places
+
+
 def word_vectors(parts: DataFrame) -> DataFrame:
     """(key, vector): the neighbour sums of every distinct word of the corpus."""
-    total = parts.where("key IS NOT NULL").groupBy("key").agg(
-        *[F.sum(F.get("sums", F.lit(i))).alias(f"v{i}") for i in range(SIZE)])
-    return total.select("key", F.array(*[F.col(f"v{i}").cast("float") for i in range(SIZE)]).alias("vector"))
+    def run(rows: pa.Table) -> pa.Table:
+        every, sums, _ = added_up(rows)
+        flat = pa.array(sums.ravel().astype(np.float32))
+        vectors = pa.ListArray.from_arrays(np.arange(len(every) + 1, dtype=np.int32) * SIZE, flat)
+        return pa.table({"key": every.view(np.int64), "vector": vectors})
+
+    return parts.where("bucket IS NOT NULL").select("bucket", "keys", "sums").groupBy("bucket").applyInArrow(
+        run, "key long, vector array<float>")
+
+
+def sent_back(words: DataFrame) -> DataFrame:
+    """(part, bucket, vectors): for each bucket of a part the corpus sums of its words, in the order of their keys."""
+    def run(rows: pa.Table) -> pa.Table:
+        _, sums, places = added_up(rows)
+        return pa.table({"part": rows.column("part"), "bucket": rows.column("bucket"),
+                         "vectors": pa.array([packed(sums[to]) for to in places], pa.binary())})
+
+    return words.select("part", "bucket", "keys", "sums").groupBy("bucket").applyInArrow(
+        run, "part long, bucket int, vectors binary")
 
 
 def pooled(texts: pa.Table, table: pa.Table) -> pa.Table:
@@ -188,29 +246,37 @@ def pooled(texts: pa.Table, table: pa.Table) -> pa.Table:
 
     ``texts`` and ``table`` are the texts and the words of one part; a text without tokens is zero.
     """
-    key = table.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(key)
-    vectors = np.asarray(table.column("vector").combine_chunks().flatten(), dtype=np.float32).reshape(-1, SIZE)[order]
+    blobs = table.column("vectors").to_pylist()
+    parts = [unpacked(blobs[i]).astype(np.float32) for i in np.argsort(table.column("bucket").to_numpy())]
+    vectors = np.concatenate([np.zeros(0, dtype=np.float32), *parts]).reshape(-1, SIZE)
+    del parts, blobs
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    vectors = vectors / np.where(norm > 0, norm, 1)
-    signs = key[order][:, None] == np.arange(SIGNS, dtype=np.uint64)
-    both = np.concatenate([vectors, vectors ** 2, signs], axis=1).astype(np.float32)
-    out = np.zeros((len(texts), FEATURES), dtype=np.float32)
-    rows = zip(texts.column("words").to_pylist(), texts.column("counts").to_pylist(),
-               texts.column("size").to_pylist())
-    for i, (words, counts, size) in enumerate(rows):
-        if not words:
-            continue
-        n = np.frombuffer(counts, dtype=np.uint32).astype(np.float32)
-        total = n.sum(dtype=np.float64)
-        sums = (n @ both[np.frombuffer(words, dtype=np.uint32)]) / np.float32(total)
-        mean = sums[:SIZE]
-        out[i, :SIZE] = mean
-        out[i, SIZE:2 * SIZE] = np.sqrt(np.maximum(sums[SIZE:2 * SIZE] - mean ** 2, 0))
-        out[i, 2 * SIZE:-2] = sums[2 * SIZE:]
-        out[i, -2:] = np.log1p(total), total / max(size, 1)
-    flat = pa.ListArray.from_arrays(np.arange(len(out) + 1, dtype=np.int32) * FEATURES, pa.array(out.ravel()))
-    return pa.table({"doc_id": texts.column("doc_id"), "features": flat})
+    both = np.zeros((len(vectors), 2 * SIZE + SIGNS), dtype=np.float32)
+    np.divide(vectors, np.where(norm > 0, norm, 1), out=both[:, :SIZE])
+    del vectors
+    np.square(both[:, :SIZE], out=both[:, SIZE:2 * SIZE])
+    ids, out = [], []
+    for block in texts.to_pylist():
+        first = np.frombuffer(block["first"], dtype=np.uint64)
+        both[:len(first), 2 * SIZE:] = first[:, None] == np.arange(SIGNS, dtype=np.uint64)
+        sizes, lengths, steps, counts = (unpacked(block[c]) for c in ("sizes", "lengths", "words", "counts"))
+        words, ends = np.cumsum(steps), np.cumsum(lengths)
+        some = np.zeros((len(sizes), FEATURES), dtype=np.float32)
+        for i in np.flatnonzero(lengths):
+            x = slice(ends[i] - lengths[i], ends[i])
+            n = counts[x].astype(np.float32)
+            total = n.sum(dtype=np.float64)
+            sums = (n @ both[words[x]]) / np.float32(total)
+            mean = sums[:SIZE]
+            some[i, :SIZE] = mean
+            some[i, SIZE:2 * SIZE] = np.sqrt(np.maximum(sums[SIZE:2 * SIZE] - mean ** 2, 0))
+            some[i, 2 * SIZE:-2] = sums[2 * SIZE:]
+            some[i, -2:] = np.log1p(total), total / max(sizes[i], 1)
+        ids.extend(block["ids"])
+        out.append(some)
+    flat = np.concatenate([np.zeros((0, FEATURES), dtype=np.float32), *out])
+    rows = pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * FEATURES, pa.array(flat.ravel()))
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "features": rows})
 
 
 @dataclass
@@ -281,14 +347,12 @@ def document_vectors(docs: DataFrame) -> DataFrame:
     """(doc_id, features) of every row: each part's texts meet the vectors of the words they hold."""
     rows = docs.select("doc_id", "text").mapInArrow(words_and_texts, WORDS_AND_TEXTS)
     with folders_noted() as made:
-        parts = stored(rows.withColumn("is_word", F.col("key").isNotNull()), by="is_word")
-    texts = parts.where("NOT is_word").select("part", "doc_id", "size", "words", "counts")
-    words = parts.where("is_word")
-    table = stored(word_vectors(words))
-    wanted = stored(words.select(F.col("part").alias("of"), "key"))
+        parts = stored(rows.withColumn("is_word", F.col("bucket").isNotNull()), by="is_word")
+    table = stored(sent_back(parts.where("is_word")))
     # The sums of the parts are in the table now; they are the largest thing stored here.
     freed(docs.sparkSession, [f"{made[0]}/is_word=true"])
-    return texts.groupBy("part").cogroup(wanted.join(table, "key").groupBy("of")).applyInArrow(
+    texts = parts.where("NOT is_word").select("part", "ids", "sizes", "lengths", "words", "counts", "first")
+    return texts.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(
         pooled, "doc_id long, features array<float>")
 
 

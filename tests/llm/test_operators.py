@@ -15,7 +15,7 @@ import brute  # noqa: E402
 from pressline.llm import (decontamination, exact_dedup, html_text, jaccard_join, packing, quality,  # noqa: E402
                            sharding, suffix_dedup, toxicity, url_filters)
 from pressline.llm.queries import ORACLES, QUERIES  # noqa: E402
-from pressline.llm.storage import components  # noqa: E402
+from pressline.llm.storage import components, stored  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -393,6 +393,18 @@ def test_every_word_has_its_own_vector(spark, monkeypatch):
     assert (quality.index_vectors(np.arange(9000, dtype=np.uint64)) != 0).sum(axis=1).tolist() == [quality.NONZERO] * 9000
 
 
+def test_words_are_stored_in_few_bytes(spark):
+    for numbers in ([], [0], [-1, 1, 127, -128, 300], [2**63 - 1, -2**63, 0, 5]):
+        assert quality.unpacked(quality.packed(np.array(numbers, dtype=np.int64))).tolist() == numbers
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(100)) for _ in range(400)]
+    docs = frame(spark, list(enumerate(texts))).coalesce(1)
+    parts = stored(docs.mapInArrow(quality.words_and_texts, quality.WORDS_AND_TEXTS))
+    used = sum(os.path.getsize(f.removeprefix("file://")) for f in parts.inputFiles())
+    # Some 40,000 words: key, 24 sums and place in a text.
+    assert 40_000 * 8 < used < 40_000 * 22
+
+
 @pytest.mark.parametrize("page,want", [
     ('<a href="x"">text</a> <a href="y">more</a> end "q"', 'text more end "q"'),
     ("<a title=Bob's>text</a> it's all here", "text it's all here"),
