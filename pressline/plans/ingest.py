@@ -10,7 +10,11 @@ from pressline.functions.html import PROFILE, sanitize, sanitize_by_profile
 from pressline.functions.keys import with_dedup_keys
 from pressline.functions.times import published_at
 from pressline.operators import dedup as D
-from pressline.session import cut_lineage
+from pressline.session import cut_columns, cut_lineage
+
+
+KEYED = ["source_id", "guid", "canonical_url", "title", "published_at", "fetched_at", D.K1, D.K2, "dedup_rule"]
+"""What the item tables take from a keyed entry beside its body."""
 
 
 def keyed_entries(entries: DataFrame) -> DataFrame:
@@ -45,16 +49,17 @@ def ingest_by_profile(entries: DataFrame, profiles: DataFrame, order: list[str],
 
     ``profiles`` has one row per source: source_id, sanitization_profile and the fields of ``PROFILE``. It
     is configuration, so adaptive execution sends it to the rows; its selectors are compiled once per
-    distinct list, whatever the number of entries. Entries bring ``summary`` and ``content``.
+    distinct list, whatever the number of entries. Entries bring ``summary`` and ``content``. They may come
+    from a parser, so they are stored with their keys, and dedup and the bodies' join read that.
     """
-    keyed = keyed_entries(entries)
+    bodies = ["summary", "content"]
+    keyed = cut_columns(keyed_entries(entries).select(*dict.fromkeys([*order, *KEYED, *bodies])))
     places = D.first_places(keyed.filter(F.length("title") > 0), order, markers)
     fields = [c.split()[0] for c in PROFILE.split(", ")]
     own = profiles.select("source_id", F.struct(*fields).alias("_profile"), F.col("sanitization_profile").alias("_method"))
     new = keyed.join(D.number_places(places, order, last_id), order).join(own, "source_id", "left")
-    clean = sanitize_by_profile(new, "_profile", "title", ["summary", "content"],
-                                F.coalesce("_method", F.lit("default")))
-    return D.item_tables(cut_lineage(clean.drop("_profile", "_method")), retention_days)
+    clean = sanitize_by_profile(new, "_profile", "title", bodies, F.coalesce("_method", F.lit("default")))
+    return D.item_tables(cut_columns(clean.drop("_profile", "_method", *bodies)), retention_days)
 
 
 def ingest(entries: DataFrame, order: list[str], markers: DataFrame | None = None,

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pressline.functions.html import PROFILE
 from pressline.operators import dedup as D
 from pressline.plans import ingest as I
 
@@ -88,6 +89,29 @@ def test_second_run_adds_nothing(spark):
     assert {r.label for r in again.collect()} == {"dedup", "normalization_failure"}
 
 
+def test_entries_are_parsed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def parse(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    n = 40
+    rows = [(k, k % 4, f"Headline number {k}", f"https://a.example/{k}", None, f"<p>body {k}</p>", None, None) for k in range(n)]
+    entries = spark.createDataFrame(rows, "entry_id long, source_id long, raw_title string, link string, guid string, "
+                                    "summary string, content string, raw_date string")
+    entries = entries.mapInArrow(parse, entries.schema).withColumn("fetched_at", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    fields = PROFILE.split(", ")
+    profiles = spark.range(3).select(F.col("id").alias("source_id"), F.lit("own").alias("sanitization_profile"),
+                                     *[F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in fields])
+    tables = I.ingest_by_profile(entries, profiles, ["fetched_at", "source_id", "entry_id"])
+    assert {name: df.count() for name, df in tables.items()} == {
+        "source_item": n, "source_item_text": n, "ingest_dedup_marker": 2 * n, "source_item_raw": n}
+    assert {r.sanitized_text for r in tables["source_item_text"].collect()} == {f"body {k}" for k in range(n)}
+    assert seen.value == n
+
+
 def test_near_groups_match_union_find(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(400)]
