@@ -33,6 +33,8 @@ REACH = 2
 FEATURES = 2 * SIZE + SIGNS + 2
 GROUP_BYTES = 32 << 20
 """Documents share one list of words up to about this many bytes; it only sets how often a word is sent."""
+RUN_BYTES = 1 << 18
+"""Texts are read in runs of about this many bytes; one longer text is a run."""
 BUCKET_BITS = 10
 """Words whose hashes share their first bits are added up together; this only sets the size of one step."""
 SAMPLE_ROWS = 40_000
@@ -179,10 +181,10 @@ def words_and_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         texts, own = texts_of(batch.column("text")), batch.column("doc_id").to_pylist()
         done = 0
-        # A part may end inside a batch, so texts are taken in runs of about a chunk.
+        # A part may end inside a batch, so texts are taken in runs.
         while done < len(texts):
             stop, n = done, 0
-            while stop < len(texts) and (n == 0 or n + len(texts[stop]) <= 1 << 20):
+            while stop < len(texts) and (n == 0 or n + len(texts[stop]) <= RUN_BYTES):
                 n += len(texts[stop]) + 1
                 stop += 1
             for first, key, owner in tokens(texts[done:stop]):
