@@ -3,10 +3,15 @@
 A document is its set of distinct five-word shingles (64-bit hashes); documents with equal sets are
 one class. XOR of hashes is a parity: equal elements of two sets cancel, so parities of the same
 part of the hash range differ only if the symmetric difference has an element there. Two sets A and B
-of Jaccard similarity 0.8 or more differ in at most (|A| + |B|) / 9 elements. Sizes are cut into
-bands, which bounds that number by some d per band; the hash range is cut into more than d parts, so
-by the pigeonhole principle linked sets have the same parity in some part that is not empty.
-Documents that share the parity of a part are candidates.
+of Jaccard similarity 0.8 or more differ in at most (|A| + |B|) / 9 elements, which the size of one
+set bounds by some d. Sizes are cut into bands, each with its number of parts of the hash range, so
+by the pigeonhole principle linked sets have the same parity in one of any d + 1 parts of a set that
+are not empty. Documents that share the parity of a part are candidates.
+
+Which d + 1 parts a set shows is free, as long as all sets prefer the same ones. A shingle that many
+documents have would make a part that many sets share, and the pairs of such a group grow with the
+square of the table. So shingles are counted first, and a part comes the later the more often its
+rarest shingle was seen. A wrong count costs time, never a link.
 
 Candidates are never written out as all pairs of a group. First every class is paired with the one
 leader that it shares most parts with. Verified pairs grow into components. Only where a group still
@@ -24,6 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from pressline.llm.hashing import LOWER, WHITE, chunks, mix, span_hashes, texts_of, word_spans
@@ -39,39 +45,46 @@ AT_ONCE = 1 << 20
 """Words of 64 bits that are compared at once."""
 
 
+STACK = 1 << 17
+"""Shingles of the sets that are handled at once."""
+RUN = 1 << 21
+"""Shingles of one run; those that repeat in a run are counted."""
+LISTED = 1 << 19
+"""Most shingles whose counts are broadcast; they only order the parts of a set."""
+PACKS = 1 << 12
+"""Ranges of parts; what a batch has in one of them travels as one row."""
+BUCKETS = 1 << 20
+"""Buckets of doc_ids that tell which texts a verification can do without."""
+
+
 def bands(top: int = 1 << 40) -> list[int]:
-    """Smallest set size of every band: steps of about one half."""
+    """Smallest set size of every band: steps of four, as only sets near the end of one join two levels."""
     out = [1]
     while out[-1] < top:
-        out.append(out[-1] * 3 // 2 + 1)
+        out.append(out[-1] * 4)
     return out
 
 
 BANDS = np.array(bands(), dtype=np.int64)
 
 
-def most_different(size_a: int, size_b: int) -> int:
-    """Largest symmetric difference of two linked sets of these sizes."""
+def most_different(size_a, size_b):
+    """Largest symmetric difference of two linked sets of these sizes (numbers or arrays)."""
     return (size_a + size_b) * (OF - SIMILAR) // (OF + SIMILAR)
 
 
-def levels(size: int) -> list[tuple[int, int, int]]:
-    """(level, number of parts, number of parts that stay equal for sure) where a set takes part.
+def levels(n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(sets, level, number of parts, largest difference from a linked set) where sets of these sizes take part.
 
     A level joins the sets of one band with each other and with those sets of the band below that
-    are not too small. ``d`` is the largest difference at the level; the parts beyond ``d`` make it
-    sure that some equal part is not empty, unless a set has as many empty parts as there are such.
+    are not too small. It has about one part for two elements of its largest sets.
     """
-    own = int(np.searchsorted(BANDS, size, side="right")) - 1
-    out = []
-    for level in (own, own + 1):
-        if level > own and OF * size < SIMILAR * int(BANDS[level]):
-            continue
-        top = int(BANDS[level + 1]) - 1
-        d = most_different(top, top)
-        spare = 2 + d // 12
-        out.append((level, d + spare, spare))
-    return out
+    own = np.searchsorted(BANDS, n, side="right") - 1
+    for step in (0, 1):
+        sets = np.flatnonzero(OF * n >= SIMILAR * BANDS[own + step]) if step else np.arange(len(n))
+        level, size = own[sets] + step, n[sets]
+        top = BANDS[level + 1] - 1
+        yield sets, level, top // 2 + 8, most_different(size, np.minimum(top, size * OF // SIMILAR))
 
 
 def sketch_bits(size: int) -> int:
@@ -86,22 +99,66 @@ def bit_sketch(h: np.ndarray) -> bytes:
     return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def parts_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(parity, label) of the parts of one sorted set; an empty part, where it counts, has parity 0."""
-    parities, labels = [], []
-    for level, parts, spare in levels(len(h)):
+class Seen:
+    """How often the most frequent shingles were seen."""
+
+    def __init__(self, shingles: np.ndarray, times: np.ndarray):
+        self.shingles, self.times = shingles, times
+        self.maybe = np.zeros(1 << 22, dtype=bool)
+        self.maybe[self.cells(shingles)] = True
+
+    def cells(self, h: np.ndarray) -> np.ndarray:
+        return (h & np.uint64(len(self.maybe) - 1)).astype(np.int64)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """The count of every shingle; 0 where it is not listed."""
+        out = np.zeros(len(h), dtype=np.int64)
+        some = np.flatnonzero(self.maybe[self.cells(h)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.shingles, h[some]), len(self.shingles) - 1)
+            out[some] = np.where(self.shingles[at] == h[some], self.times[at], 0)
+        return out
+
+
+def parts_of(h: np.ndarray, n: np.ndarray, seen: Seen | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, parity, label) of the parts that sorted sets show; an empty part has parity 0.
+
+    ``h`` holds sets of the sizes ``n`` one after the other. Of its parts that are not empty a set shows
+    the first d + 1, in order of how often the rarest shingle of a part was seen. Parts of a linked set
+    with other shingles are d at most, so the first one with the same shingles is shown by both. A set of
+    no more than d such parts shows the empty ones too: where all that two linked sets have in common is
+    empty, both are such sets.
+    """
+    times = seen.of(h) if seen else np.zeros(len(h), dtype=np.int64)
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for sets, level, parts, d in levels(n):
+        if not len(sets):
+            continue
+        size = n[sets]
+        mine = np.repeat(np.isin(np.arange(len(n)), sets), n)
+        x, x_times, of = h[mine], times[mine], np.repeat(np.arange(len(sets)), size)
         # The high 32 bits choose the part, in order, so that a part is a stretch of the sorted set.
-        part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        parities.append(np.bitwise_xor.reduceat(h, at))
-        labels.append(np.uint64(level << 40) + part[at])
-        if parts - len(at) >= spare:
-            vacant = np.ones(parts, dtype=bool)
-            vacant[part[at].astype(np.int64)] = False
-            empty = np.flatnonzero(vacant).astype(np.uint64)
-            parities.append(np.zeros(len(empty), dtype=np.uint64))
-            labels.append(np.uint64(level << 40) + empty)
-    return np.concatenate(parities), np.concatenate(labels)
+        part = ((x >> np.uint64(32)) * parts.astype(np.uint64)[of]) >> np.uint64(32)
+        at = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (of[1:] != of[:-1]))))
+        parity, part, of, x_times = np.bitwise_xor.reduceat(x, at), part[at], of[at], np.minimum.reduceat(x_times, at)
+        full = np.bincount(of, minlength=len(sets))
+        new = x_times == 0
+        place = np.cumsum(new)
+        first = np.cumsum(full) - full
+        shown = new & (place - (place - new)[first][of] <= d[of] + 1)
+        # Few sets need parts that were seen before.
+        short = np.flatnonzero((np.bincount(of[new], minlength=len(sets)) <= d)[of])
+        short = short[np.lexsort((x_times[short], of[short]))]
+        start = np.concatenate(([True], of[short][1:] != of[short][:-1]))[:len(short)]
+        place = np.arange(len(short)) - np.maximum.accumulate(np.where(start, np.arange(len(short)), 0))
+        shown[short[place <= d[of[short]]]] = True
+        out.append((sets[of[shown]], parity[shown], (level.astype(np.uint64) << np.uint64(40))[of[shown]] + part[shown]))
+        for k in np.flatnonzero(full <= d).tolist():
+            empty = np.setdiff1d(np.arange(parts[k]).astype(np.uint64), part[first[k]:first[k] + full[k]])
+            out.append((np.full(len(empty), sets[k]), np.zeros(len(empty), dtype=np.uint64),
+                        (np.uint64(int(level[k]) << 40) + empty)))
+    own, parity, label = (np.concatenate(c) for c in zip(*out))
+    return own, parity, label
 
 
 def part_keys(parity: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -109,9 +166,9 @@ def part_keys(parity: np.ndarray, label: np.ndarray) -> np.ndarray:
     return mix(parity ^ mix(label))
 
 
-def part_parities(h: np.ndarray) -> np.ndarray:
-    """Keys of all parts of one sorted set."""
-    return part_keys(*parts_of(h))
+def part_parities(h: np.ndarray, seen: Seen | None = None) -> np.ndarray:
+    """Keys of all parts that one sorted set shows."""
+    return part_keys(*parts_of(h, np.array([len(h)]), seen)[1:])
 
 
 def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
@@ -138,77 +195,193 @@ def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
                 yield first + i, np.array([whole], dtype=np.uint64)
 
 
-def class_key(h: np.ndarray) -> tuple[int, int]:
-    """128 bits that name a set, as two signed numbers."""
-    # Elements are mixed hashes already: their sum, and one sum that is not linear in them.
-    two = np.array([h.sum(dtype=np.uint64), ((h >> np.uint64(32)) * (h | np.uint64(1))).sum(dtype=np.uint64)],
-                   dtype=np.uint64)
-    a, b = mix(two + np.uint64(len(h))).view(np.int64).tolist()
-    return a, b
+def stacked_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """(indexes, sets, key, key2) of some texts at a time; the keys are 128 bits that name a set."""
+    index: list[int] = []
+    sets: list[np.ndarray] = []
+
+    def stack() -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        h, n = np.concatenate(sets), np.array([len(x) for x in sets])
+        start, size = np.cumsum(n) - n, n.astype(np.uint64)
+        # Elements are mixed hashes already: their sum, and one sum that is not linear in them.
+        two = (np.add.reduceat(h, start), np.add.reduceat((h >> np.uint64(32)) * (h | np.uint64(1)), start))
+        return np.array(index), sets, *(mix(x + size).view(np.int64) for x in two)
+
+    held = 0
+    # Not all texts of a batch are copied at once.
+    for at in range(0, len(column), 1000):
+        for i, h in shingle_sets(texts_of(column.slice(at, 1000))):
+            index.append(at + i)
+            sets.append(h)
+            held += len(h)
+            if held >= STACK:
+                yield stack()
+                index, sets, held = [], [], 0
+    if sets:
+        yield stack()
+
+
+def repeated(run: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle, number of sets) of the shingles that several sets of a run have. The run is emptied."""
+    h = np.concatenate(run)
+    run.clear()
+    h.sort()
+    again = h[1:][h[1:] == h[:-1]]
+    at = np.flatnonzero(np.concatenate(([True], again[1:] != again[:-1]))[:len(again)])
+    return again[at], np.diff(np.append(at, len(again))) + 1
+
+
+SETS = "doc_id long, n long, key long, key2 long, sketch binary"
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text, and rows of n = -1: a shingle (key) and its number of classes in a run (key2)."""
+    run: list[np.ndarray] = []
+    known: set[int] = set()
+
+    def counts() -> Iterator[pa.RecordBatch]:
+        h, times = repeated(run)
+        known.clear()
+        for k in range(0, len(h), 200_000):
+            some, often = h[k:k + 200_000].view(np.int64), times[k:k + 200_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(some), pa.int64()), pa.array(np.full(len(some), -1)), pa.array(some), pa.array(often),
+                 pa.nulls(len(some), pa.binary())], ["doc_id", "n", "key", "key2", "sketch"])
+
+    held = 0
     for batch in batches:
-        texts = texts_of(batch.column("text"))
-        n, key, key2 = (np.zeros(len(texts), dtype=np.int64) for _ in range(3))
-        sketch: list[bytes | None] = [None] * len(texts)
-        for i, h in shingle_sets(texts):
-            n[i] = len(h)
-            key[i], key2[i] = class_key(h)
-            sketch[i] = bit_sketch(h)
+        n, key, key2 = (np.zeros(batch.num_rows, dtype=np.int64) for _ in range(3))
+        sketch: list[bytes | None] = [None] * batch.num_rows
+        for index, some, first, second in stacked_sets(batch.column("text")):
+            key[index], key2[index] = first, second
+            for i, h, k in zip(index.tolist(), some, first.tolist()):
+                n[i] = len(h)
+                sketch[i] = bit_sketch(h)
+                if k not in known:
+                    known.add(k)
+                    run.append(h)
+                    held += len(h)
+            if held >= RUN:
+                held = 0
+                yield from counts()
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n), pa.array(key), pa.array(key2),
              pa.array(sketch, pa.binary())], ["doc_id", "n", "key", "key2", "sketch"])
+    if run:
+        yield from counts()
 
 
-def _parities(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, key, head): head is the smallest class of this batch that has the part.
+def often_seen(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle, count) of the ``LISTED`` most frequent shingles of ``counted`` at most, by shingle.
 
-    ``deal`` decides where a row goes: heads meet by part, all others need no meeting and spread.
+    Runs are counted apart, so a shingle that no run has twice is missing, and so are runs that have it once.
     """
-    for batch in batches:
-        seen: set[int] = set()
-        parities, labels, owners = [], [], []
-        for _, h in shingle_sets(texts_of(batch.column("text"))):
-            key, _ = class_key(h)
-            if key not in seen:
-                seen.add(key)
-                parity, label = parts_of(h)
-                parities.append(parity)
-                labels.append(label)
-                owners.append(np.full(len(parity), key, dtype=np.int64))
-        if not owners:
-            continue
-        part, owner = part_keys(np.concatenate(parities), np.concatenate(labels)), np.concatenate(owners)
-        order = np.lexsort((owner, part))
-        part, owner = part[order], owner[order]
-        new = np.concatenate(([True], part[1:] != part[:-1]))
-        at = np.flatnonzero(new)
-        head = np.repeat(owner[at], np.diff(np.append(at, len(part))))
-        shared = np.repeat(np.diff(np.append(at, len(part))) > 1, np.diff(np.append(at, len(part))))
-        deal = np.where(new, part, mix(owner.view(np.uint64) ^ part))
-        for a in range(0, len(part), 200_000):
-            s = slice(a, a + 200_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[s].view(np.int64)), pa.array(owner[s]), pa.array(head[s]),
-                 pa.array(new[s]), pa.array(shared[s]), pa.array(deal[s].view(np.int64))],
-                ["part", "key", "head", "is_head", "shared", "deal"])
+    bits = F.length(F.bin("times"))
+    sums = stored(counted.groupBy("key").agg(F.sum("key2").alias("times")))
+    least, listed = 64, 0
+    for k, shingles in sorted(sums.groupBy(bits).count().collect(), reverse=True):
+        listed += shingles
+        if listed > LISTED:
+            break
+        least = k
+    top = sums.where(bits >= least).toArrow()
+    shingles, times = top["key"].to_numpy().view(np.uint64), top["times"].to_numpy()
+    order = np.argsort(shingles)
+    return shingles[order], times[order]
+
+
+PACKED = "pack int, part binary, key binary, leader binary"
+
+
+def packed(pack: np.ndarray, bounds: np.ndarray, *columns: np.ndarray | None) -> pa.RecordBatch:
+    """A row per stretch of ``columns`` between ``bounds``: its numbers as bytes."""
+    offsets = pa.py_buffer((8 * bounds).astype(np.int32))
+    blobs = [pa.nulls(len(pack), pa.binary()) if c is None else
+             pa.Array.from_buffers(pa.binary(), len(pack), [None, offsets, pa.py_buffer(np.ascontiguousarray(c))])
+             for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(pack.astype(np.int32)), *blobs], ["pack", "part", "key", "leader"])
+
+
+def parities_of(seen: Broadcast):
+    """Gives the parts of all classes, packed.
+
+    The smallest and the largest class of a batch that have a part meet those of other batches. All
+    between them need no meeting: they follow the smallest one, and spread.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = Seen(*seen.value)
+        for batch in batches:
+            met: set[int] = set()
+            keys, owners = [], []
+            for _, sets, key, _ in stacked_sets(batch.column("text")):
+                fresh = [i for i, k in enumerate(key.tolist()) if not (k in met or met.add(k))]
+                if fresh:
+                    some = [sets[i] for i in fresh]
+                    own, parity, label = parts_of(np.concatenate(some), np.array([len(h) for h in some]), often)
+                    keys.append(part_keys(parity, label))
+                    owners.append(key[fresh][own])
+            if not owners:
+                continue
+            part, owner = np.concatenate(keys), np.concatenate(owners)
+            order = np.lexsort((owner, part))
+            part, owner = part[order], owner[order]
+            new = np.concatenate(([True], part[1:] != part[:-1]))
+            meets = new | np.append(new[1:], True)
+            if not meets.all():
+                rest, at = np.flatnonzero(~meets), np.flatnonzero(new)
+                head = owner[at][np.cumsum(new)[rest] - 1]
+                bounds = np.append(np.arange(0, len(rest), 4096), len(rest))
+                yield packed(mix(part[rest[bounds[:-1]]]) % np.uint64(PACKS), bounds, part[rest], owner[rest], head)
+            part, owner = part[meets], owner[meets]
+            pack = part // np.uint64((1 << 64) // PACKS)
+            at = np.flatnonzero(np.concatenate(([True], pack[1:] != pack[:-1])))
+            yield packed(pack[at], np.append(at, len(part)), part, owner, None)
+
+    return run
 
 
-def shared_parts(docs: DataFrame) -> DataFrame:
-    """(part, key, leader): every class of every part that at least two classes have.
+def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, key, leader) of packed rows in order of pack, of the parts that several classes have."""
+    def numbers(column: Iterable[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(column), dtype=np.int64)
+
+    def rows(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "key", "leader"])
+
+    def met(parts: list[bytes], keys: list[bytes]) -> pa.RecordBatch:
+        part, key = numbers(parts), numbers(keys)
+        order = np.lexsort((key, part))
+        part, key = part[order], key[order]
+        at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        size = np.diff(np.append(at, len(part)))
+        shared = np.repeat(key[at] < key[at + size - 1], size)
+        return rows(part[shared], key[shared], np.repeat(key[at], size)[shared])
+
+    now, parts, keys = -1, [], []
+    for batch in batches:
+        alone = batch.filter(batch.column("leader").is_valid())
+        if alone.num_rows:
+            yield rows(*(numbers(alone.column(c).to_pylist()) for c in ("part", "key", "leader")))
+        batch = batch.filter(batch.column("leader").is_null())
+        for pack, part, key in zip(*(batch.column(c).to_pylist() for c in ("pack", "part", "key"))):
+            if pack != now and parts:
+                yield met(parts, keys)
+                parts, keys = [], []
+            now = pack
+            parts.append(part)
+            keys.append(key)
+    if parts:
+        yield met(parts, keys)
+
+
+def shared_parts(docs: DataFrame, seen: Broadcast) -> DataFrame:
+    """(part, key, leader): every class of every part that at least two classes show.
 
     ``leader`` is another class with the part, or the class itself where it is the smallest.
     """
-    rows = docs.select("text").mapInArrow(
-        _parities, "part long, key long, head long, is_head boolean, shared boolean, deal long")
-    # A part that very many classes share is one head per batch here.
-    low = F.expr("min(key) OVER (PARTITION BY deal, part, is_head)")
-    high = F.expr("max(key) OVER (PARTITION BY deal, part, is_head)")
-    rows = rows.withColumn("low", low).withColumn("high", high)
-    return (rows.where("NOT is_head OR shared OR low < high")
-            .select("part", "key", F.when(F.col("is_head"), F.col("low")).otherwise(F.col("head"))
-                    .alias("leader")))
+    # A part that very many classes share is two numbers per batch here.
+    rows = docs.select("text").mapInArrow(parities_of(seen), PACKED).repartition("pack").sortWithinPartitions("pack")
+    return rows.mapInArrow(_leaders, "part long, key long, leader long")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -233,7 +406,11 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Of ``pairs`` (a, b) of doc_ids those whose whole texts are linked."""
-    text = docs.select("doc_id", "text")
+    # Most texts are in no pair: they need not move. There are at most as many rows here as buckets.
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).alias("bucket")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    wanted = F.broadcast(ids.select(bucket).distinct())
+    text = docs.select("doc_id", "text", bucket).join(wanted, "bucket", "left_semi").drop("bucket")
     both = (pairs.join(text.toDF("b", "text_b"), "b")
             .join(text.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b"))
     return both.mapInArrow(_verify, "a long, b long")
@@ -420,10 +597,13 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     doc_id have no component. An empty table gives no rows. Other columns are never read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(docs.mapInArrow(_sets, "doc_id long, n long, key long, key2 long, sketch binary"))
+    counted = stored(docs.mapInArrow(_sets, SETS))
+    sets = counted.where("n >= 0")
+    seen = docs.sparkSession.sparkContext.broadcast(often_seen(counted.where("n < 0")))
     classes = stored(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("key", "key2").agg(
         F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    shared = stored(shared_parts(docs.where("doc_id IS NOT NULL")))
+    shared = stored(shared_parts(docs.where("doc_id IS NOT NULL"), seen))
+    seen.destroy()
 
     votes = shared.where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("parts"))
     best = votes.groupBy("key").agg(F.max_by("leader", F.struct("parts", "leader")).alias("leader"))

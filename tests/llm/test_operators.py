@@ -81,6 +81,51 @@ def test_near_copies_around_the_threshold(spark):
     assert got == {(d, *v) for d, v in brute.near_groups(rows).items()}
 
 
+def test_linked_sets_show_a_part_in_common_whatever_was_seen():
+    rng = np.random.default_rng(7)
+    pool = np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64))
+    times = rng.integers(2, 50, len(pool))
+    linked = 0
+    for _ in range(1500):
+        size = int(rng.integers(1, 9)) if rng.random() < 0.5 else int(rng.integers(9, 300))
+        # Up to all shingles of a set are ones that were seen often, and by some counts only.
+        own = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        a = np.unique(np.where(rng.random(size) < rng.random(), rng.choice(pool, size), own))
+        gone = int(rng.integers(0, len(a) // 5 + 2))
+        new = rng.integers(0, 1 << 63, int(rng.integers(0, 3)) if gone else 0).astype(np.uint64)
+        b = np.unique(np.concatenate([rng.permutation(a)[gone:], new, rng.choice(pool, int(rng.integers(0, 3)))]))
+        if len(b) and jaccard_join.linked(a, b):
+            linked += 1
+            for seen in (None, jaccard_join.Seen(pool, times), jaccard_join.Seen(pool[::7], times[::7])):
+                shown = [jaccard_join.part_parities(x, seen) for x in (a, b)]
+                assert set(shown[0]) & set(shown[1])
+            n = np.array([len(a), len(b)])
+            own, parity, label = jaccard_join.parts_of(np.concatenate([a, b]), n, seen)
+            assert [set(jaccard_join.part_keys(parity[own == k], label[own == k])) for k in (0, 1)] == list(map(set, shown))
+    assert linked > 500
+
+
+def test_common_passages_make_no_groups_of_unlike_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    common = [prose(rng, 8) for _ in range(12)]
+    rows = []
+    for i in range(400):
+        rows.append((i, " ".join(x for line in rng.sample(common, 8) for x in (line, prose(rng, 10)))))
+    rows += [(400 + i, rows[i][1] + " more") for i in range(20)]
+    compare, pairs = jaccard_join.across_components, []
+
+    def counted(members, labels, closest):
+        per_part = members.groupBy("part").count().selectExpr("sum(count * (count - 1) / 2) AS pairs")
+        pairs.append(per_part.first()[0] or 0)
+        return compare(members, labels, closest)
+
+    monkeypatch.setattr(jaccard_join, "across_components", counted)
+    got = rows_of(jaccard_join.similar_groups(frame(spark, rows)), "doc_id", "component_id")
+    assert got == {(i, i) for i in range(400)} | {(400 + i, i) for i in range(20)}
+    # The copies alone share some fifty parts each.
+    assert pairs[0] < 2000
+
+
 def test_sketch_distance_never_exceeds_the_difference():
     rng = np.random.default_rng(1)
     for size in (6, 40, 700):
